@@ -34,7 +34,7 @@ WORDS_KEPT, PAIRS_KEPT = 400_000, 1_000_000
 LONG_TEXT, WORDS_AT_A_TIME = 2_000_000, 200_000
 #: Fixed value: how byte-level vocabularies split text before merging.  White space is spelled
 #: out, as the Unicode White_Space property, since libraries differ on ``\s``.
-SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
+SPACE = r"\x09-\x0d\x20\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 WORD = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -146,9 +146,10 @@ class TrieBpe:
         if len(pairs) > PAIRS_KEPT:
             pairs.clear()
 
-    def pieces(self, text: str) -> Iterable[tuple[list[str], int | None]]:
-        """Runs of words, each with the reserved id that follows it, if any."""
-        parts = self.split_special.split(text) if self.split_special and any(s in text for s in self.special) else [text]
+    def pieces(self, text: str, plain: bool) -> Iterable[tuple[list[str], int | None]]:
+        """Runs of words, each with the reserved id that follows it, if any; plain: never any."""
+        special = not plain and self.split_special and any(s in text for s in self.special)
+        parts = self.split_special.split(text) if special else [text]
         for i in range(0, len(parts), 2):
             part, reserved = parts[i], self.special[parts[i + 1]] if i + 1 < len(parts) else None
             if len(part) <= LONG_TEXT:
@@ -159,9 +160,12 @@ class TrieBpe:
                     yield some, None
                 yield [], reserved
 
-    def encode(self, text: str) -> Iterable[bytes]:
-        """Ids of a text as runs of little-endian unsigned 32-bit integers."""
-        for words, reserved in self.pieces(text):
+    def encode(self, text: str, plain: bool = False) -> Iterable[bytes]:
+        """Ids of a text as runs of little-endian unsigned 32-bit integers.
+
+        plain: the strings of special tokens in the text are ordinary text.
+        """
+        for words, reserved in self.pieces(text, plain):
             if missing := set(words).difference(self.words):
                 if len(self.words) > WORDS_KEPT:
                     self.words.clear()

@@ -5,18 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, chat, quality, simhash
 from .common import table
 
 #: The vocabulary of the token operators; any file of the same kind will do.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run(spark, sf_dir)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.run(spark, sf_dir)
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(turns.unionByName(extra), TOKENIZER), TOKENIZER)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op6_simhash": op6_simhash,
+    "op7_chat": op7_chat,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_chat": chat.DIGEST_SQL}
