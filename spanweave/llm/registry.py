@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, quality, simhash
+from . import bpe, chat, decontaminate, pages, quality, sharding, simhash, urls
 from .common import table
 
 #: The vocabulary of the token operators; any file of the same kind will do.
@@ -16,6 +16,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run(spark, sf_dir)
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.run(spark, sf_dir)
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.run(spark, sf_dir)
+
+
+def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.run(spark, sf_dir)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.run(spark, sf_dir)
 
@@ -27,14 +39,26 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra), TOKENIZER), TOKENIZER)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.run(spark, sf_dir)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_urls": op2_urls,
+    "op3_decontaminate": op3_decontaminate,
+    "op5_pages": op5_pages,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
+    "op9_sharding": op9_sharding,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {"op7_chat": chat.DIGEST_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": decontaminate.PAIR_SQL,
+    "op7_chat": chat.DIGEST_SQL,
+    "op9_sharding": sharding.placement_sql(),
+}
