@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pages, quality, sharding, simhash, urls
+from . import bpe, chat, decontaminate, pages, quality, repeats, sharding, simhash, urls
 from .common import table
 
 #: The vocabulary of the token operators; any file of the same kind will do.
@@ -39,6 +39,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(extra), TOKENIZER), TOKENIZER)
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.run(spark, sf_dir)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.run(spark, sf_dir)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op5_pages": op5_pages,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
+    "op8_suffixes": op8_suffixes,
     "op9_sharding": op9_sharding,
     "op10_bpe": op10_bpe,
 }
