@@ -1,12 +1,58 @@
-"""Corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, token counts."""
+"""Corpus pipeline over ``documents``: five stages, each on all that the one before kept.
 
-STAGES: list = []
+1. quality: documents that the quality classifier rejects go.
+2. near_duplicates: of each group of linked SimHash fingerprints the smallest doc_id stays.
+3. repeated_passages: byte strings that repeat anywhere go from the texts.
+4. decontamination: documents that contain a benchmark item go.
+5. tokens: each text encoded and decoded; one row of digests for each document.
+
+All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from spanweave.llm import bpe, decontaminate, quality, repeats, simhash
+from spanweave.llm.common import cut, table
+from spanweave.llm.registry import TOKENIZER
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def strip_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return repeats.strip_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("repeated_passages", strip_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("tokens", encode),
+]
+
+#: XXH64 fingerprints and the fitted classifier have no counterpart in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The stages in order over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``; each but the last is checkpointed for the next."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
