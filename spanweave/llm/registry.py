@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pages, quality, repeats, sharding, simhash, urls
+from . import bpe, chat, decontaminate, pages, quality, repeats, sharding, simhash, spotsigs, urls
 from .common import table
 
 #: The vocabulary of the token operators; any file of the same kind will do.
@@ -24,6 +24,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.run(spark, sf_dir)
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.run(spark, sf_dir)
+
+
 def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.run(spark, sf_dir)
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
     "op3_decontaminate": op3_decontaminate,
+    "op4_spotsigs": op4_spotsigs,
     "op5_pages": op5_pages,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
