@@ -7,6 +7,7 @@ grows with the partition unless their docstring states the bound.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -44,6 +45,15 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that a checkpoint has made needless.
+
+    It does so when the driver's collector finds their plans unused, which may take long by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],

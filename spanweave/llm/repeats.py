@@ -6,16 +6,18 @@ text is anchored first:
 
 1. Each string of LENGTH bytes has an *anchor*, the leftmost of its GRAM-byte substrings with the
    least hash.  Equal strings have equal anchors at equal offsets, and neighbouring strings mostly
-   share an anchor, so an anchor stands for a run of strings.
-2. Anchors met once cannot repeat.  For each other one, the bytes of its run of strings (its
-   *context*) go to the task of the anchor's hash.
-3. There the contexts' right sides, and their left sides read backwards, are coded in blocks and
-   ordered with suffix arrays built by linear grouping (``suffixes.suffix_array``).  With the
+   share an anchor, so an anchor stands for a run of strings, whose bytes are its *context*.
+2. Anchors and contexts are counted by hash.  An anchor met once cannot repeat.  A context met more
+   than once repeats whole.  The other contexts of anchors that repeat are *open*: some of their
+   strings may stand in other contexts of the anchor.
+3. The bytes of open contexts, and of one occurrence of each whole one beside them, go to the task of
+   the anchor.  There their right sides, and their left sides read backwards, are coded in blocks
+   and ordered with suffix arrays built by linear grouping (``suffixes.suffix_array``).  With the
    common prefixes of neighbours in either order, strings of two contexts at the same offset are
    equal exactly if both sides fall in the same classes at their lengths there.
 4. The removed ranges go back to their texts.
 
-Anchors with very many occurrences would make one task's group too large; their strings are
+Anchors with very many open contexts would make one task's group too large; their strings are
 counted one by one by their hashes, in Spark, instead.
 """
 
@@ -23,28 +25,29 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, n_partitions, small_batches, table, text_of
+from .common import cut, map_batches, n_partitions, release, small_batches, table, text_of
 from .suffixes import suffix_array
 
-LENGTH, GRAM = 200, 64
+LENGTH, GRAM = 200, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes of a text anchored at a time; strings across a cut are kept.
 BLOCK = 4 << 20
-#: Occurrences of an anchor beyond which its strings are counted by hash in Spark.
+#: Contexts of an anchor beyond which its strings are counted by hash in Spark.
 CROWD = 100_000
-#: Bytes of the bitmap of repeated anchors that may be broadcast; beyond it the anchors are taken
-#: in so many slices of their hashes, each with a pass over the texts.
+#: Bytes of a bitmap of hashes that may be broadcast; beyond it the hashes are taken in so many
+#: slices, each with a pass over the texts.
 BITMAP_BYTES = 32 << 20
 BITS_EACH = 16
 #: Distinct contexts solved at a time.
 CHUNK = 8_192
-RIGHT_BLOCK, LEFT_BLOCK = 50, 46
+RIGHT_BLOCK, LEFT_BLOCK = 50, 56
 
 _PRIME = np.uint64(0x100000001B3)
 _UNPRIME = np.uint64(pow(0x100000001B3, -1, 1 << 64))
@@ -109,67 +112,133 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("text"), text).alias("k2"), text.alias("text"))
 
 
-def _anchor_counts(texts: DataFrame) -> DataFrame:
-    """``anchor, n``: anchors met more than once, counted over all texts."""
+def _occurrences(raw: bytes, k1: int, anchors: Anchors) -> Iterator[tuple[np.ndarray, ...]]:
+    """Hash of the anchor, hash of the context, hash of the occurrence, place, first and end byte."""
+    for at, h, where, first, last in anchors(raw):
+        lead, size = where - first, last - first + LENGTH
+        sums = anchors.sums(np.frombuffer(raw, np.uint8)[at : at + int(last[-1]) + LENGTH])
+        own = (sums[first + size] - sums[first]) * anchors.inverse[first]
+        context = _mix(own + _mix((lead * 1009 + size).astype(np.uint64))).view(np.int64)
+        met = _mix(_mix((at + where).astype(np.uint64)) + np.uint64(k1 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
+        yield h, context, met, at + where, at + first, at + first + size
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
+def _counts(texts: DataFrame) -> DataFrame:
+    """``anchor, context, n, met``: contexts, how often each occurs, and one occurrence."""
 
     def make():
         anchors = Anchors()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [block[1] for text in batch.column(2).to_pylist() for block in anchors(text.encode())]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], ["anchor"])
+            found = [x[:3] for k1, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True) for x in _occurrences(text.encode(), k1, anchors)]
+            return pa.RecordBatch.from_arrays([pa.array(_joined([x[i] for x in found])) for i in range(3)], ["anchor", "context", "met"])
 
         return step
 
-    met = map_batches(texts, make, "anchor long")
-    return met.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    met = map_batches(texts, make, "anchor long, context long, met long")
+    return met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("met").alias("met"))
 
 
-def _bitmap(anchors: DataFrame, bits: int) -> np.ndarray:
-    """Bits set at the anchors' leading ``bits`` bits; at most BITMAP_BYTES reach the driver."""
-    at = F.shiftrightunsigned("anchor", 64 - bits)
-    words = anchors.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - bits}) & 63 as int))")).alias("bits"))
-    found = words.toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
+def _repeating(texts: DataFrame) -> DataFrame:
+    """``_counts`` of anchors met more than once, with the anchor's contexts and how many are open."""
+    each = cut(_counts(texts))
+    per = each.groupBy("anchor").agg(F.sum("n").alias("times"), F.count("*").alias("contexts"), F.count_if(F.col("n") == 1).alias("open"))
+    kept = cut(each.join(per.where("times > 1"), "anchor").select("anchor", "context", "n", "met", "contexts", "open"))
+    release(texts.sparkSession)
+    return kept
+
+
+class Bitmap:
+    """A set of 64-bit hashes by their leading bits; what is not in it is told apart almost always."""
 
+    def __init__(self, bits: int, words: np.ndarray, slices: int, k: int):
+        self.bits, self.words, self.slices, self.k = bits, words, slices, k
 
-def _contexts(texts: DataFrame, bitmap: np.ndarray, bits: int) -> DataFrame:
-    """A row for each occurrence of an anchor whose bit is set.
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes in the set, each in one slice alone."""
+        bit = hashes.view(np.uint64) >> np.uint64(64 - self.bits)
+        found = np.flatnonzero(self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))
+        return found if self.slices == 1 else found[hashes[found] % self.slices == self.k]
 
-    ``anchor, context, lead, k1, k2, at``: the bytes of its run of strings, how many come before
-    the anchor, the text's name and the anchor's place in it.
+
+def _bitmaps(hashes: DataFrame, limit: int) -> Iterator[tuple[Bitmap, Column]]:
+    """The hashes (a column ``h``) in bitmaps of at most ``limit`` bytes, with what each covers.
+
+    One bitmap mostly; with more hashes than it may hold, one for each slice of them.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+    hashes = cut(hashes)
+    n = hashes.count()
+    want = max(12, int(np.ceil(np.log2(BITS_EACH * max(1, n)))))
+    bits = min(want, int(np.log2(limit * 8)))
+    slices = 1 << (want - bits)
+    for k in range(slices):
+        mine = F.pmod(F.col("h"), F.lit(slices)) == k
+        at = F.shiftrightunsigned("h", 64 - bits)
+        one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))")
+        found = hashes.where(mine).groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(one).alias("bits")).toArrow()
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        words[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        yield Bitmap(bits, words, slices, k), mine
 
-    def make():
-        anchors, words = Anchors(), shared.value
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows, hashes, leads, places, owner = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                raw = text.encode()
-                for at, h, where, first, last in anchors(raw):
-                    bit = h.view(np.uint64) >> np.uint64(64 - bits)
-                    keep = np.flatnonzero(words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))
-                    if len(keep):
-                        lo, hi = at + first[keep], at + last[keep] + LENGTH
-                        rows += [raw[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-                        hashes.append(h[keep])
-                        leads.append(where[keep] - first[keep])
-                        places.append(at + where[keep])
+def _whole(texts: DataFrame, whole: DataFrame, limit: int) -> list[DataFrame]:
+    """Ranges of contexts that repeat whole (``anchor, context``): all of each occurrence."""
+    parts = []
+    for bitmap, mine in _bitmaps(whole.select(F.col("context").alias("h")), limit):
+        shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+        def make(shared=shared):
+            anchors, filled = Anchors(), shared.value
+
+            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+                found, owner = [], []
+                for i, (k1, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                    for h, context, _, _, lo, hi in _occurrences(text.encode(), k1, anchors):
+                        keep = filled.has(context)
+                        found.append((h[keep], context[keep], lo[keep], hi[keep]))
                         owner.append(np.full(len(keep), i))
-            join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-            of = pa.array(join(owner))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(join(hashes)), pa.array(rows, pa.binary()), pa.array(join(leads).astype(np.int32)), batch.column(0).take(of), batch.column(1).take(of), pa.array(join(places))],
-                ["anchor", "context", "lead", "k1", "k2", "at"],
-            )
+                of = pa.array(_joined(owner))
+                h, context, lo, hi = (pa.array(_joined([x[k] for x in found])) for k in range(4))
+                return pa.RecordBatch.from_arrays([h, context, batch.column(0).take(of), batch.column(1).take(of), lo, hi], ["anchor", "context", "k1", "k2", "lo", "hi"])
 
-        return step
+            return step
 
-    return map_batches(texts, make, "anchor long, context binary, lead int, k1 long, k2 long, at long", rows=256)
+        met = map_batches(texts, make, "anchor long, context long, k1 long, k2 long, lo long, hi long")
+        own = whole.withColumn("h", F.col("context")).where(mine).select("anchor", "context")
+        parts.append(met.join(own, ["anchor", "context"]).select("k1", "k2", "lo", "hi"))
+    return parts
+
+
+def _contexts(texts: DataFrame, wanted: DataFrame, limit: int) -> list[DataFrame]:
+    """``anchor, context, lead, k1, k2, at`` of wanted occurrences (``met``), with the context's bytes."""
+    parts = []
+    for bitmap, _ in _bitmaps(wanted.select(F.col("met").alias("h")), limit):
+        shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+        def make(shared=shared):
+            anchors, filled = Anchors(), shared.value
+
+            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+                rows, found, owner = [], [], []
+                for i, (k1, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                    raw = text.encode()
+                    for h, _, met, at, lo, hi in _occurrences(raw, k1, anchors):
+                        keep = filled.has(met)
+                        rows += [raw[a:b] for a, b in zip(lo[keep].tolist(), hi[keep].tolist(), strict=True)]
+                        found.append((h[keep], (at - lo)[keep].astype(np.int32), at[keep]))
+                        owner.append(np.full(len(keep), i))
+                of = pa.array(_joined(owner))
+                h, lead, at = (pa.array(_joined([x[k] for x in found])) for k in range(3))
+                return pa.RecordBatch.from_arrays([h, pa.array(rows, pa.binary()), lead.cast(pa.int32()), batch.column(0).take(of), batch.column(1).take(of), at], ["anchor", "context", "lead", "k1", "k2", "at"])
+
+            return step
+
+        parts.append(map_batches(texts, make, "anchor long, context binary, lead int, k1 long, k2 long, at long", rows=256))
+    return parts
 
 
 def classes(strings: list[bytes], groups: np.ndarray, block: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,29 +374,19 @@ def repeated_ranges(docs: DataFrame, crowd: int = CROWD, bitmap_bytes: int = BIT
     """
     spark = docs.sparkSession
     texts = _keyed(docs)
-    often = cut(_anchor_counts(texts))
-    n = often.count()
-    parts = []
-    bits = max(12, int(np.ceil(np.log2(BITS_EACH * max(1, n)))))
-    slices = max(1, -(-(1 << (bits - 3)) // bitmap_bytes))
-    bits -= int(np.ceil(np.log2(slices)))
-    crowds = often.where(F.col("n") > crowd).select("anchor")
+    known = _repeating(texts)
+    found = reduce(DataFrame.union, _whole(texts, known.where("n > 1").select("anchor", "context"), bitmap_bytes))
+    wanted = known.where("open > 0 and contexts > 1")
+    crowds = known.where(F.col("contexts") > crowd).select("anchor").distinct()
     crowded = not crowds.isEmpty()
-    for k in range(slices):
-        own = often if slices == 1 else often.where(F.pmod("anchor", F.lit(slices)) == k)
-        contexts = _contexts(texts, _bitmap(own, bits), bits)
-        if slices > 1:
-            contexts = contexts.where(F.pmod("anchor", F.lit(slices)) == k)
-        if crowded:
-            parts.append(_crowded(contexts.join(crowds, "anchor", "left_semi").select("anchor", "context", "lead", "k1", "k2", "at")))
-            contexts = contexts.join(crowds, "anchor", "left_anti")
-        small_batches(spark, 4096)
-        dealt = contexts.repartition(max(n_partitions(spark), 3 * spark.sparkContext.defaultParallelism), "anchor").sortWithinPartitions("anchor", "context", "lead")
-        parts.append(dealt.mapInArrow(_ranges, RANGE))
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.union(more)
-    return found.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    width = max(n_partitions(spark), 3 * spark.sparkContext.defaultParallelism)
+    sides = reduce(DataFrame.union, _contexts(texts, wanted, bitmap_bytes))
+    if crowded:
+        found = found.union(_crowded(sides.join(crowds, "anchor", "left_semi").select("anchor", "context", "lead", "k1", "k2", "at")))
+        sides = sides.join(crowds, "anchor", "left_anti")
+    small_batches(spark, 4096)
+    solved = sides.repartition(width, "anchor").sortWithinPartitions("anchor", "context", "lead").mapInArrow(_ranges, RANGE)
+    return found.union(solved).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 def merged(ranges: list[dict] | None, n: int) -> list[tuple[int, int]]:

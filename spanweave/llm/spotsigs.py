@@ -130,7 +130,8 @@ def similar_texts(docs: DataFrame, threshold: float = LIKE) -> DataFrame:
     and the next.  Within it, sets are joined on their rarest signatures, the fewest that a similar
     set cannot all lack, and each pair is compared once, at the first signature the two share.
     """
-    sets = class_of(docs).select("name", "signs").where("size(signs) > 0").dropDuplicates(["name"])
+    # Cut before the filter, which would otherwise be pushed below the steps and repeat them.
+    sets = cut(class_of(docs).select("name", "signs")).where("size(signs) > 0").dropDuplicates(["name"])
     sets = cut(sets.withColumn("part", F.floor(F.log(F.size("signs").cast("double")) / math.log(1 / threshold) + 1e-9)))
     spots = sets.select("name", "part", F.size("signs").alias("n"), F.explode("signs").alias("sign"))
     freq = spots.groupBy("sign").agg(F.count("*").alias("often"))
