@@ -1,6 +1,631 @@
-"""Every query of the library on the driver's tables, with the SQL that gives its result."""
+"""Every query of the library on the driver's tables, with the SQL that gives its result.
+
+Events stand for speaker turns: a user is a video, an event type a speaker, and a value the turn's
+length.  Times are whole microseconds, so both engines agree to the last digit.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from .functions import text as X
+from .operators import intervals as I
+from .operators import joins as J
+from .operators import script as G
+from .operators import solvers as L
+from .operators import speech as S
+from .operators import tags as T
+from .plans import lineage as N
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+MINUTE = 60_000_000
+#: Video bounds of the events, in microseconds.
+FROM, UNTIL = 1_704_153_600_000_000, 1_706_400_000_000_000
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def micros(column: str):
+    """Microseconds since 1970 of a timestamp without time zone, whatever the session's zone."""
+    clock = F.unix_date(F.col(column).cast("date")).cast("long") * 86_400 + F.hour(column) * 3_600 + F.minute(column) * 60
+    return clock * 1_000_000 + F.round(F.expr(f"extract(second from {column})") * 1_000_000).cast("long")
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = micros("ts")
+    length = F.round(F.col("value") * 100).cast("long") * 3_600_000
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("video_id"), F.col("event_type").alias("speaker"), start.alias("start"), (start + length).alias("end"), "event_id")
+
+
+TURNS = """turns AS (SELECT user_id AS video_id, event_type AS speaker, epoch_us(ts) AS s,
+  epoch_us(ts) + CAST(round(value * 100) AS BIGINT) * 3600000 AS e, event_id FROM events)"""
+
+
+def islands_sql(name: str, source: str, keys: str, gap: int = 0) -> str:
+    """CTEs that merge intervals s..e of ``source`` for each key where gaps are at most ``gap``."""
+    return f"""{name}_a AS (SELECT {keys}, s, e, max(e) OVER (PARTITION BY {keys} ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM {source}),
+{name}_b AS (SELECT *, sum(CASE WHEN p IS NULL OR s - p > {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM {name}_a),
+{name} AS (SELECT {keys}, min(s) AS s, max(e) AS e FROM {name}_b GROUP BY {keys}, g)"""
+
+
+def out_sql(ctes: str, select: str) -> str:
+    return f"WITH {ctes}\n{select}"
+
+
+@query(out_sql(f"{TURNS}, {islands_sql('m', 'turns', 'video_id', 10 * MINUTE)}", 'SELECT video_id, s AS "start", e AS "end" FROM m'))
+def q_merge(spark, d):
+    return I.merge(turns(spark, d), max_gap=10 * MINUTE)
+
+
+@query(out_sql(f"{TURNS}, {islands_sql('m', 'turns', 'video_id')}", "SELECT video_id, CAST(sum(e - s) AS BIGINT) AS length FROM m GROUP BY video_id"))
+def q_union_length(spark, d):
+    return I.union_length(turns(spark, d))
+
+
+CLEAN = f"""{TURNS}, c AS (SELECT video_id, speaker, least(greatest(s, {FROM}), {UNTIL}) AS s, least(greatest(e, {FROM}), {UNTIL}) AS e FROM turns),
+d AS (SELECT * FROM c WHERE e > s), {islands_sql("m", "d", "video_id, speaker", 12 * MINUTE)}, k AS (SELECT * FROM m WHERE e - s >= {6 * MINUTE})"""
+
+
+def clean(spark, d):
+    return S.clean_turns(turns(spark, d), F.lit(UNTIL), merge_gap=12 * MINUTE, least=6 * MINUTE, floor=FROM)
+
+
+@query(out_sql(CLEAN, 'SELECT video_id, speaker, s AS "start", e AS "end" FROM k'))
+def q_clean_turns(spark, d):
+    return clean(spark, d)
+
+
+SWEEP = f"""{CLEAN}, {islands_sql("o", "k", "video_id, speaker")},
+ev AS (SELECT video_id, t, sum(x) AS x FROM (SELECT video_id, s AS t, 1 AS x FROM o UNION ALL SELECT video_id, e, -1 FROM o) GROUP BY video_id, t),
+sw AS (SELECT video_id, t AS s, lead(t) OVER w AS e, sum(x) OVER w AS n FROM ev WINDOW w AS (PARTITION BY video_id ORDER BY t))"""
+
+
+@query(out_sql(f"{SWEEP}, two AS (SELECT video_id, s, e FROM sw WHERE n >= 2 AND e IS NOT NULL), {islands_sql('z', 'two', 'video_id')}", 'SELECT video_id, s AS "start", e AS "end" FROM z'))
+def q_overlap_spans(spark, d):
+    return I.overlaps(clean(spark, d), "speaker")
+
+
+@query(
+    out_sql(
+        SWEEP,
+        """SELECT a.video_id, a.speakers, a.speaker_length, b.speech_length, b.overlap_length,
+  round(CASE WHEN b.speech_length > 0 THEN b.overlap_length / b.speech_length ELSE 0 END, 6) AS overlap_ratio
+FROM (SELECT video_id, count(DISTINCT speaker) AS speakers, CAST(sum(e - s) AS BIGINT) AS speaker_length FROM o GROUP BY video_id) a
+JOIN (SELECT video_id, CAST(sum(CASE WHEN n >= 1 THEN e - s ELSE 0 END) AS BIGINT) AS speech_length, CAST(sum(CASE WHEN n >= 2 THEN e - s ELSE 0 END) AS BIGINT) AS overlap_length
+  FROM sw WHERE e IS NOT NULL GROUP BY video_id) b USING (video_id)""",
+    )
+)
+def q_overlap_ratio(spark, d):
+    return S.speech_summary(clean(spark, d)).withColumn("overlap_ratio", F.round("overlap_ratio", 6))
+
+
+SIDES = f"""{TURNS}, va AS (SELECT video_id, s, e FROM turns WHERE speaker = 'view'), cb AS (SELECT video_id, s, e FROM turns WHERE speaker = 'click'),
+{islands_sql("a", "va", "video_id")}, {islands_sql("b", "cb", "video_id")},
+x AS (SELECT a.video_id, greatest(a.s, b.s) AS s, least(a.e, b.e) AS e FROM a JOIN b ON a.video_id = b.video_id AND a.s < b.e AND b.s < a.e)"""
+
+
+def sides(spark, d):
+    t = turns(spark, d)
+    return t.where("speaker = 'view'").select("video_id", "start", "end"), t.where("speaker = 'click'").select("video_id", "start", "end")
+
+
+@query(out_sql(f"{SIDES}, {islands_sql('z', 'x', 'video_id')}", 'SELECT video_id, s AS "start", e AS "end" FROM z'))
+def q_intersect(spark, d):
+    return I.intersect(*sides(spark, d))
+
+
+@query(out_sql(SIDES, "SELECT video_id, CAST(sum(e - s) AS BIGINT) AS length FROM x GROUP BY video_id"))
+def q_overlap_length(spark, d):
+    return I.overlap_total(*sides(spark, d))
+
+
+@query(
+    out_sql(
+        f"""{SIDES}, bounds AS (SELECT video_id, s AS t FROM a UNION SELECT video_id, e FROM a UNION SELECT video_id, s FROM b UNION SELECT video_id, e FROM b),
+cells AS (SELECT video_id, t AS s, lead(t) OVER (PARTITION BY video_id ORDER BY t) AS e FROM bounds),
+y AS (SELECT * FROM cells c WHERE e IS NOT NULL AND EXISTS (SELECT 1 FROM a WHERE a.video_id = c.video_id AND a.s <= c.s AND c.e <= a.e)
+  AND NOT EXISTS (SELECT 1 FROM b WHERE b.video_id = c.video_id AND b.s <= c.s AND c.e <= b.e)), {islands_sql("z", "y", "video_id")}""",
+        'SELECT video_id, s AS "start", e AS "end" FROM z',
+    )
+)
+def q_subtract(spark, d):
+    return I.subtract(*sides(spark, d))
+
+
+@query(
+    f"""WITH b AS (SELECT DISTINCT user_id AS video_id, epoch_us(ts) AS t FROM events WHERE epoch_us(ts) > {FROM} AND epoch_us(ts) < {UNTIL}
+UNION SELECT DISTINCT user_id, {FROM} FROM events UNION SELECT DISTINCT user_id, {UNTIL} FROM events),
+n AS (SELECT video_id, row_number() OVER w AS "index", t AS "start", lead(t) OVER w AS "end" FROM b WINDOW w AS (PARTITION BY video_id ORDER BY t))
+SELECT * FROM n WHERE "end" IS NOT NULL"""
+)
+def q_tile(spark, d):
+    t = turns(spark, d)
+    spans = t.select("video_id").distinct().select("video_id", F.lit(FROM).alias("start"), F.lit(UNTIL).alias("end"))
+    return I.tile(t.select("video_id", F.col("start").alias("t")), spans)
+
+
+@query(
+    out_sql(
+        f"""{TURNS}, g AS (SELECT video_id, speaker, s, lead(s) OVER (PARTITION BY video_id, speaker ORDER BY s) - s AS gap FROM turns),
+p AS (SELECT video_id, speaker, min(s) AS s, max(s) AS l, list_sort(list(gap) FILTER (gap IS NOT NULL)) AS gs FROM g GROUP BY ALL)""",
+        'SELECT video_id, speaker, s AS "start", l + CASE WHEN len(gs) > 0 THEN gs[len(gs) // 2 + 1] ELSE 100000 END AS "end" FROM p',
+    )
+)
+def q_presence(spark, d):
+    return I.presence(turns(spark, d).select("video_id", "speaker", F.col("start").alias("t")), ["video_id", "speaker"], 100_000)
+
+
+@query(
+    """WITH s AS (SELECT user_id AS video_id, epoch_us(ts) AS t, event_id FROM events WHERE event_type <> 'signup'),
+r AS (SELECT user_id AS video_id, epoch_us(ts) AS t, max(event_id) AS shot FROM events WHERE event_type = 'signup' GROUP BY ALL)
+SELECT s.video_id, s.t, s.event_id, coalesce((SELECT max_by(shot, r.t) FROM r WHERE r.video_id = s.video_id AND r.t <= s.t),
+  (SELECT min_by(shot, r.t) FROM r WHERE r.video_id = s.video_id)) AS shot FROM s"""
+)
+def q_as_of(spark, d):
+    t = turns(spark, d).select("video_id", F.col("start").alias("t"), "event_id", "speaker")
+    right = t.where("speaker = 'signup'").select("video_id", "t", F.col("event_id").alias("shot"))
+    return J.as_of(t.where("speaker <> 'signup'").select("video_id", "t", "event_id"), right, "shot", first_if_none=True)
+
+
+@query(
+    f"""WITH s AS (SELECT user_id AS video_id, epoch_us(ts) AS t, event_id AS row_id FROM events WHERE event_type = 'view'),
+r AS (SELECT user_id AS video_id, epoch_us(ts) AS t, event_id AS near FROM events WHERE event_type = 'click')
+SELECT s.video_id, s.t, s.row_id, (SELECT arg_min(near, abs(r.t - s.t) * 2 + CASE WHEN r.t > s.t THEN 1 ELSE 0 END) FROM r
+  WHERE r.video_id = s.video_id AND abs(r.t - s.t) <= {180 * MINUTE}) AS near FROM s"""
+)
+def q_nearest(spark, d):
+    t = turns(spark, d).select("video_id", F.col("start").alias("t"), "event_id", "speaker")
+    right = t.where("speaker = 'click'").select("video_id", "t", F.col("event_id").alias("near"))
+    return J.nearest(t.where("speaker = 'view'").select("video_id", "t", F.col("event_id").alias("row_id")), right, "near", 180 * MINUTE)
+
+
+INSIDE = f"{TURNS}, p AS (SELECT video_id, s AS t, event_id FROM turns WHERE speaker = 'view'), q AS (SELECT video_id, s, e FROM turns WHERE speaker = 'purchase')"
+HIT = "(SELECT 1 FROM q WHERE q.video_id = p.video_id AND q.s <= p.t AND p.t < q.e)"
+
+
+def points(spark, d):
+    t = turns(spark, d)
+    return t.where("speaker = 'view'").select("video_id", F.col("start").alias("t"), "event_id"), t.where("speaker = 'purchase'").select("video_id", "start", "end")
+
+
+@query(out_sql(INSIDE, f"SELECT video_id, t, event_id FROM p WHERE EXISTS {HIT}"))
+def q_points_inside(spark, d):
+    return J.inside(*points(spark, d))
+
+
+@query(out_sql(INSIDE, f"SELECT video_id, t, event_id FROM p WHERE NOT EXISTS {HIT}"))
+def q_points_outside(spark, d):
+    return J.inside(*points(spark, d), how="left_anti")
+
+
+@query(out_sql(f"{TURNS}", """SELECT a.event_id AS a, b.event_id AS b FROM turns a JOIN turns b ON a.video_id = b.video_id AND a.s < b.e AND b.s < a.e
+WHERE a.speaker = 'view' AND b.speaker = 'error' AND a.e > a.s AND b.e > b.s"""))
+def q_overlap_join(spark, d):
+    t = turns(spark, d)
+    right = t.where("speaker = 'error'").select("video_id", "start", "end", F.col("event_id").alias("b"))
+    left = t.where("speaker = 'view'").select("video_id", "start", "end", F.col("event_id").alias("a"))
+    return J.overlap_join(left, right, bucket=12 * 60 * MINUTE).select("a", "b")
+
+
+SEGMENTS = f"""{TURNS}, {islands_sql("m", "turns", "video_id, speaker")}, {islands_sql("g", "m", "video_id, speaker", 12 * MINUTE)},
+p AS (SELECT video_id, speaker, greatest(s - {3 * MINUTE}, {FROM}) AS s, least(e + {3 * MINUTE}, {UNTIL}) AS e FROM g), {islands_sql("z", "p", "video_id, speaker")},
+segs AS (SELECT *, e - s < {60 * MINUTE} AS short FROM z WHERE e - s >= {36 * MINUTE})"""
+
+
+def segs(spark, d):
+    return S.segments(turns(spark, d), F.lit(UNTIL), ["video_id", "speaker"], max_gap=12 * MINUTE, pad=3 * MINUTE, least=36 * MINUTE, short=60 * MINUTE, floor=FROM)
+
+
+@query(out_sql(SEGMENTS, 'SELECT video_id, speaker, s AS "start", e AS "end", short FROM segs'))
+def q_segments(spark, d):
+    return segs(spark, d)
+
+
+@query(out_sql(SEGMENTS, """SELECT video_id, speaker, s AS "start", row_number() OVER w - 1 AS "index", printf('%s_%04d', speaker, row_number() OVER w - 1) AS name
+FROM segs WINDOW w AS (PARTITION BY video_id, speaker ORDER BY s, e)"""))
+def q_segment_names(spark, d):
+    return S.named(segs(spark, d), ["video_id"], "speaker").select("video_id", "speaker", "start", F.col("index").cast("long").alias("index"), "name")
+
+
+@query(
+    out_sql(
+        f"""{SEGMENTS}, o AS (SELECT a.video_id, a.speaker, a.s, a.e, CAST(sum(CASE WHEN b.s IS NULL THEN 0 ELSE least(a.e, b.e) - greatest(a.s, b.s) END) AS BIGINT) AS overlap
+FROM segs a LEFT JOIN segs b ON a.video_id = b.video_id AND a.speaker <> b.speaker AND a.s < b.e AND b.s < a.e GROUP BY ALL)""",
+        f"""SELECT video_id, speaker, s AS "start", e AS "end", overlap, CASE WHEN overlap >= {120 * MINUTE} THEN 'extraction' ELSE 'mix' END AS source,
+CASE WHEN overlap >= {120 * MINUTE} OR least({UNTIL}, e + {15 * MINUTE}) <= s THEN s ELSE greatest(0, s - {15 * MINUTE}) END AS origin,
+CASE WHEN overlap >= {120 * MINUTE} OR least({UNTIL}, e + {15 * MINUTE}) <= s THEN e ELSE least({UNTIL}, e + {15 * MINUTE}) END AS until FROM o""",
+    )
+)
+def q_sources(spark, d):
+    return S.route_sources(segs(spark, d).drop("short"), F.lit(UNTIL), least=120 * MINUTE, context=15 * MINUTE)
+
+
+@query(out_sql(f"{TURNS}", """, z AS (SELECT 1)
+SELECT video_id, speaker, other, overlap, rank FROM (SELECT *, row_number() OVER (PARTITION BY video_id, speaker ORDER BY overlap DESC, other) AS rank FROM (
+  SELECT a.video_id, a.speaker, b.speaker AS other, CAST(sum(least(a.e, b.e) - greatest(a.s, b.s)) AS BIGINT) AS overlap
+  FROM turns a JOIN turns b ON a.video_id = b.video_id AND a.speaker <> b.speaker AND a.s < b.e AND b.s < a.e GROUP BY ALL)) WHERE rank < 3"""))
+def q_context_speakers(spark, d):
+    return S.context_speakers(turns(spark, d), ["video_id"], "speaker").withColumn("rank", F.col("rank").cast("long"))
+
+
+def customers_as_videos(spark, d):
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("video_id")).agg(F.count("*").alias("n"))
+    return orders.select("video_id", (F.col("n") * 2.5).alias("duration"), F.when(F.col("video_id") % 2 == 0, 25.0).otherwise(30.0).alias("fps"))
+
+
+@query(
+    """WITH v AS (SELECT o_custkey AS video_id, count(*) * 2.5 AS duration, CASE WHEN o_custkey % 2 = 0 THEN 25 ELSE 30 END AS fps FROM orders GROUP BY o_custkey),
+p AS (SELECT video_id, CAST(greatest(1, round_even(duration * fps, 0)) AS BIGINT) AS total, least(8 * fps, 200) AS width, least(8 * fps, 200) - fps AS step FROM v),
+w AS (SELECT *, unnest(range(0, CAST(greatest(0, ceil((total - width) / step)) AS BIGINT) + 1)) AS i FROM p)
+SELECT video_id, CAST(i AS INTEGER) AS "index", CAST(i * step AS INTEGER) AS "start", CAST(least(i * step + width, total) AS INTEGER) AS "end" FROM w"""
+)
+def q_windows(spark, d):
+    return S.frame_windows(customers_as_videos(spark, d))
+
+
+@query(
+    """WITH o AS (SELECT o_custkey AS video_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i, (o_orderkey % 97) / 97.0 AS p FROM orders),
+f AS (SELECT video_id, i * 3 + j AS frame, p FROM o, (SELECT unnest(range(0, 5)) AS j))
+SELECT video_id, frame, round(avg(p), 6) AS probability FROM f GROUP BY ALL"""
+)
+def q_stitch(spark, d):
+    order = W.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("video_id"), ((F.row_number().over(order) - 1).cast("long") * 3).alias("start"), F.array_repeat((F.col("o_orderkey") % 97) / 97.0, 5).alias("probs"))
+    return S.stitch(o).withColumn("probability", F.round("probability", 6))
+
+
+def detected(spark, d):
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    docs = table(spark, d, "documents").join(labels, "doc_id", "left")
+    return docs.select(F.col("source").alias("video_id"), F.col("lang").alias("language"), (F.col("doc_id") % 3 != 0).alias("detected"), (F.col("n_chars") / 100.0).alias("duration"), F.coalesce(F.col("q") * 0.5 + 0.25, F.lit(0.6)).alias("probability"))
+
+
+DETECTED = """rows AS (SELECT source AS video_id, lang AS language, doc_id % 3 <> 0 AS detected, n_chars / 100.0 AS duration, coalesce(q * 0.5 + 0.25, 0.6) AS probability
+FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) USING (doc_id)),
+v AS (SELECT video_id, language, round(sum(duration), 4) AS seconds, count(*) AS segments, round(sum(duration * probability) / sum(duration), 6) AS probability
+FROM rows WHERE detected AND language IS NOT NULL AND duration >= 3 AND probability >= 0.5 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seconds DESC, segments DESC, language) AS rank FROM v)"""
+
+
+@query(out_sql(DETECTED, "SELECT * FROM r"))
+def q_votes(spark, d):
+    return S.votes(detected(spark, d)).withColumn("seconds", F.round("seconds", 4)).withColumn("probability", F.round("probability", 6)).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(out_sql(f"{DETECTED}, w AS (SELECT video_id, language AS code FROM r WHERE rank = 1)", """SELECT rows.video_id, language, round(sum(duration), 4) AS seconds FROM rows JOIN w USING (video_id)
+WHERE detected AND duration >= 3 AND language <> code GROUP BY ALL"""))
+def q_minority_languages(spark, d):
+    rows = detected(spark, d)
+    decided = S.decide_language(S.votes(rows), rows)
+    return S.minority_seconds(rows, decided).withColumn("seconds", F.round("seconds", 4))
+
+
+@query("""WITH s AS (SELECT o_custkey AS video_id, o_orderkey AS "start", CAST(o_orderkey % 11 + 1 AS DOUBLE) AS duration FROM orders),
+b AS (SELECT *, coalesce(sum(duration + 0.25) OVER (PARTITION BY video_id ORDER BY duration DESC, "start" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
+SELECT * FROM b WHERE before < 30""")
+def q_take_until(spark, d):
+    s = table(spark, d, "orders").select(F.col("o_custkey").alias("video_id"), F.col("o_orderkey").alias("start"), (F.col("o_orderkey") % 11 + 1).cast("double").alias("duration"))
+    return S.take_until(s)
+
+
+WORDS = "(VALUES ('event','view','cough'),('event','click','sigh'),('delivery','error','shouting'),('delivery','view','breathy'),('emotion','signup','happy'),('emotion','click','sad'),('emotion','error','neutral')) AS words(dimension, label, tag)"
+SCORES = """scores AS (SELECT user_id AS video_id, CAST(epoch_us(ts) // 86400000000 AS BIGINT) AS name, CASE event_id % 3 WHEN 0 THEN 'event' WHEN 1 THEN 'delivery' ELSE 'emotion' END AS dimension,
+  event_type AS label, (event_id % 100) / 100.0 AS score FROM events)"""
+
+
+def label_scores(spark, d):
+    e = table(spark, d, "events")
+    dimension = F.when(F.col("event_id") % 3 == 0, "event").when(F.col("event_id") % 3 == 1, "delivery").otherwise("emotion")
+    return e.select(F.col("user_id").alias("video_id"), F.floor(micros("ts") / 86_400_000_000).cast("long").alias("name"), dimension.alias("dimension"), F.col("event_type").alias("label"), ((F.col("event_id") % 100) / 100.0).alias("score"))
+
+
+def some_words(spark):
+    rows = [("event", "view", "cough"), ("event", "click", "sigh"), ("delivery", "error", "shouting"), ("delivery", "view", "breathy"), ("emotion", "signup", "happy"), ("emotion", "click", "sad"), ("emotion", "error", "neutral")]
+    return spark.createDataFrame(rows, "dimension string, label string, tag string")
+
+
+@query(
+    out_sql(
+        f"""{SCORES}, good AS (SELECT s.video_id, s.name, s.dimension, w.tag, s.label, s.score FROM scores s JOIN {WORDS.replace(" AS words", " AS w")} ON s.dimension = w.dimension AND s.label = w.label WHERE w.tag <> 'neutral' AND s.score >= 0.5),
+best AS (SELECT *, CASE dimension WHEN 'event' THEN 1 WHEN 'delivery' THEN 2 ELSE 3 END AS d FROM good QUALIFY row_number() OVER (PARTITION BY video_id, name, dimension ORDER BY score DESC, tag, label) = 1),
+n AS (SELECT *, row_number() OVER (PARTITION BY video_id, name ORDER BY d) AS r FROM best),
+o AS (SELECT video_id, name, max(score) AS other FROM n WHERE r > 1 GROUP BY ALL)""",
+        "SELECT n.video_id, n.name, tag, dimension, round(score, 4) AS score, round(CASE WHEN other IS NULL THEN score ELSE score - other END, 4) AS margin FROM n LEFT JOIN o ON n.video_id = o.video_id AND n.name = o.name WHERE r = 1",
+    )
+)
+def q_tag_reduce(spark, d):
+    found = T.reduce_tags(label_scores(spark, d), some_words(spark), ["video_id", "name"])
+    return found.select("video_id", "name", "tag", "dimension", F.round("score", 4).alias("score"), F.round("margin", 4).alias("margin"))
+
+
+@query(out_sql(SCORES, f"SELECT dimension, label, count(*) AS n FROM scores s WHERE score >= 0.5 AND NOT EXISTS (SELECT 1 FROM {WORDS} WHERE words.dimension = s.dimension AND words.label = s.label) GROUP BY ALL"))
+def q_unmapped(spark, d):
+    return T.unmapped(label_scores(spark, d), some_words(spark))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(trim(p_name || '  ' || p_brand || '_' || p_type)), '[^\\p{L}\\p{N}]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part")
+def q_slug(spark, d):
+    return table(spark, d, "part").select("p_partkey", X.slug(F.concat("p_name", F.lit("  "), "p_brand", F.lit("_"), "p_type")).alias("slug"))
+
+
+@query(
+    """WITH t AS (SELECT c_nationkey AS video_id, c_custkey, round(sum(o_totalprice), 2) AS screen_time, min(epoch_us(o_orderdate)) AS first_seen FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)
+SELECT video_id, c_custkey, printf('F%03d', row_number() OVER (PARTITION BY video_id ORDER BY screen_time DESC, first_seen, c_custkey)) AS face_id FROM t"""
+)
+def q_rank_identities(spark, d):
+    both = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"))
+    t = both.groupBy(F.col("c_nationkey").alias("video_id"), "c_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("screen_time"), F.min("o_orderdate").alias("first_seen"))
+    order = W.partitionBy("video_id").orderBy(F.desc("screen_time"), "first_seen", "c_custkey")
+    return t.select("video_id", "c_custkey", X.face_id(F.row_number().over(order)).alias("face_id"))
+
+
+@query(
+    """WITH t AS (SELECT c_custkey, 'F' || lpad(CAST(c_custkey % 5 + 1 AS VARCHAR), 3, '0') || ' meets F' || lpad(CAST(c_custkey % 7 + 1 AS VARCHAR), 3, '0') || ' , then leaves.' AS text FROM customer),
+f AS (SELECT *, list_distinct_ordered FROM (SELECT *, list_filter(list_transform(regexp_extract_all(text, '\\b(F[0-9]{3})\\b', 1), lambda x: x), lambda x: true) AS list_distinct_ordered FROM t))
+SELECT c_custkey, CASE WHEN len(list_filter(list_distinct_ordered, lambda x: x IN ('F006','F007'))) = 0 THEN text
+ ELSE trim(trim(regexp_replace(regexp_replace(regexp_replace(text, '\\b(F006|F007)\\b', '', 'g'), '[ \\t]{2,}', ' ', 'g'), '\\s+([,.;:!?])', '\\1', 'g')), ' ,;:') END AS caption FROM f"""
+)
+def q_roster(spark, d):
+    name = lambda n: F.concat(F.lit("F"), F.lpad((F.col("c_custkey") % n + 1).cast("string"), 3, "0"))
+    t = table(spark, d, "customer").select("c_custkey", F.concat(name(5), F.lit(" meets "), name(7), F.lit(" , then leaves.")).alias("text"))
+    dropped = F.array_intersect(X.references(F.col("text")), F.array(F.lit("F006"), F.lit("F007")))
+    return t.select("c_custkey", X.without_references(F.col("text"), dropped).alias("caption"))
+
+
+SAID = """u AS (SELECT conv_id AS video_id, turn, CAST(turn * 10 AS BIGINT) AS s, CAST(turn * 10 + 12 AS BIGINT) AS e,
+  CASE role WHEN 'system' THEN 'F000' WHEN 'user' THEN 'F001' ELSE 'F002' END AS face, CASE WHEN turn % 3 = 0 THEN 'calm' END AS tag, trim(text, chr(32)) AS text FROM conversations)"""
+
+
+def said(spark, d):
+    c = table(spark, d, "conversations")
+    face = F.when(F.col("role") == "system", "F000").when(F.col("role") == "user", "F001").otherwise("F002")
+    return c.select(
+        F.col("conv_id").alias("video_id"), F.col("turn").alias("row_id"), (F.col("turn") * 10).cast("long").alias("start"), (F.col("turn") * 10 + 12).cast("long").alias("end"), face.alias("face"), F.when(F.col("turn") % 3 == 0, "calm").alias("tag"), F.trim("text").alias("text")
+    )
+
+
+def scenes(spark, d):
+    videos = said(spark, d).groupBy("video_id").agg(F.max("end").alias("duration")).withColumn("caption", F.lit("A talk."))
+    cuts = said(spark, d).where("row_id % 2 = 1").select("video_id", F.col("start").alias("t"))
+    spans = videos.select("video_id", F.lit(0).cast("long").alias("start"), F.col("duration").alias("end"))
+    return videos, I.tile(cuts, spans).withColumn("caption", F.lit("Two people."))
+
+
+RENDERABLE = "text IS NOT NULL AND text <> '' AND NOT regexp_matches(text, '[<>\\n\\r]')"
+LINE = "'<' || face || '> ' || coalesce(tag || ': ', '') || '<S>' || text || '<E>'"
+
+
+@query(
+    out_sql(
+        f"""{SAID}, v AS (SELECT video_id, max(e) AS d FROM u GROUP BY video_id),
+b AS (SELECT DISTINCT u.video_id, s AS t FROM u JOIN v USING (video_id) WHERE turn % 2 = 1 AND s > 0 AND s < d UNION SELECT video_id, 0 FROM v UNION SELECT video_id, d FROM v),
+sh AS (SELECT * FROM (SELECT video_id, row_number() OVER w AS i, t AS s, lead(t) OVER w AS e FROM b WINDOW w AS (PARTITION BY video_id ORDER BY t)) WHERE e IS NOT NULL),
+l AS (SELECT u.video_id, (SELECT max(i) FROM sh WHERE sh.video_id = u.video_id AND sh.s <= u.s) AS i, string_agg({LINE}, chr(10) ORDER BY s, e, face, {LINE}) AS x FROM u WHERE {RENDERABLE} GROUP BY ALL),
+k AS (SELECT sh.video_id, sh.i, '[SHOT ' || sh.i || ' ' || sh.s || '.0s-' || sh.e || '.0s]' || chr(10) || 'Two people.' || coalesce(chr(10) || x, '') AS x FROM sh LEFT JOIN l ON l.video_id = sh.video_id AND l.i = sh.i)""",
+        "SELECT video_id, '[GLOBAL]' || chr(10) || 'A talk.' || chr(10) || chr(10) || string_agg(x, chr(10) || chr(10) ORDER BY i) || chr(10) AS script FROM k GROUP BY video_id",
+    )
+)
+def q_script(spark, d):
+    videos, shots = scenes(spark, d)
+    return G.render(videos.select("video_id", "caption"), shots, said(spark, d))
+
+
+@query(
+    out_sql(
+        SAID,
+        f"SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY s, e, face) - 1 AS position, face, tag, text FROM u WHERE {RENDERABLE}",
+    )
+)
+def q_parse(spark, d):
+    videos, shots = scenes(spark, d)
+    back = G.parse(G.render(videos.select("video_id", "caption"), shots, said(spark, d)))
+    return back.select("video_id", F.col("position").cast("long").alias("position"), "face", "tag", "text")
+
+
+@query(
+    out_sql(
+        f"""{SAID}, v AS (SELECT video_id, max(e) - 5 AS duration, sum(e - s) - CASE WHEN video_id % 2 = 0 THEN 4 ELSE 0 END AS voiced FROM u GROUP BY video_id),
+b AS (SELECT *, lag(e) OVER (PARTITION BY video_id, face ORDER BY s, e) AS p FROM u)""",
+        f"""SELECT v.video_id, 0 AS position, 'format_hygiene' AS gate, count(u.video_id) AS violations FROM v LEFT JOIN u ON u.video_id = v.video_id AND NOT ({RENDERABLE}) GROUP BY ALL
+UNION ALL SELECT v.video_id, 1, 'id_integrity', count(u.video_id) FROM v LEFT JOIN u ON u.video_id = v.video_id AND face = 'F002' GROUP BY ALL
+UNION ALL SELECT v.video_id, 2, 'timeline_sanity', count(b.video_id) FROM v LEFT JOIN b ON b.video_id = v.video_id AND (b.e > v.duration OR b.s < b.p) GROUP BY ALL
+UNION ALL SELECT video_id, 3, 'speech_accounting', CASE WHEN video_id % 2 = 0 THEN 1 ELSE 0 END FROM v""",
+    )
+)
+def q_gates(spark, d):
+    u = said(spark, d)
+    length = F.col("end") - F.col("start")
+    videos = u.groupBy("video_id").agg((F.max("end") - 5).alias("duration"), F.sum(length).alias("v")).withColumn("voiced", F.col("v") - F.when(F.col("video_id") % 2 == 0, 4).otherwise(0))
+    tracks = u.select("video_id").distinct().withColumn("face", F.lit("F001"))
+    return G.gates(u, tracks, videos.select("video_id", "duration", "voiced")).drop("passed")
+
+
+@query(
+    out_sql(
+        f"""{SAID}, v AS (SELECT video_id, max(e) AS duration, count(*) AS utterances, count(DISTINCT face) AS faces, count(tag) AS tagged, CAST(sum(e - s) AS BIGINT) AS speech,
+  CAST(sum(CASE WHEN face <> 'F000' THEN e - s ELSE 0 END) AS BIGINT) AS assigned, CAST(sum(length(text)) AS BIGINT) AS chars FROM u GROUP BY video_id),
+{islands_sql("o", "u", "video_id, face")}, ev AS (SELECT video_id, t, sum(x) AS x FROM (SELECT video_id, s AS t, 1 AS x FROM o UNION ALL SELECT video_id, e, -1 FROM o) GROUP BY video_id, t),
+sw AS (SELECT video_id, t AS s, lead(t) OVER w AS e, sum(x) OVER w AS n FROM ev WINDOW w AS (PARTITION BY video_id ORDER BY t)),
+x AS (SELECT video_id, CAST(sum(e - s) AS BIGINT) AS overlap FROM sw WHERE n >= 2 AND e IS NOT NULL GROUP BY video_id)""",
+        """SELECT v.*, coalesce(overlap, 0) AS overlap, round(speech / duration, 6) AS speech_ratio, round(assigned / speech, 6) AS assigned_ratio, round(coalesce(overlap, 0) / speech, 6) AS overlap_ratio
+FROM v LEFT JOIN x USING (video_id)""",
+    )
+)
+def q_metrics(spark, d):
+    u = said(spark, d)
+    found = G.metrics(u, u.groupBy("video_id").agg(F.max("end").alias("duration")))
+    return found.withColumns({c: F.round(c, 6) for c in ("speech_ratio", "assigned_ratio", "overlap_ratio")})
+
+
+@query(
+    """SELECT o_orderkey, count(*) AS tracks, count(DISTINCT l_suppkey) AS suppliers, round(sum(l_quantity), 2) AS quantity, count(p_partkey) FILTER (p_size > 25) AS large
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY o_orderkey"""
+)
+def q_compose(spark, d):
+    part = table(spark, d, "part").select("p_partkey", "p_size")
+    lines = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    nested = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_suppkey", "l_quantity", "p_size")).alias("rows"))
+    doc = table(spark, d, "orders").select("o_orderkey").join(nested, "o_orderkey")
+    return doc.select(
+        "o_orderkey",
+        F.size("rows").cast("long").alias("tracks"),
+        F.size(F.array_distinct("rows.l_suppkey")).cast("long").alias("suppliers"),
+        F.round(F.aggregate("rows.l_quantity", F.lit(0.0), lambda s, x: s + x), 2).alias("quantity"),
+        F.size(F.filter("rows", lambda r: r["p_size"] > 25)).cast("long").alias("large"),
+    )
+
+
+ORDER = ("signup", "view", "click", "purchase", "error")
+
+
+def stage_records(spark, d):
+    e = table(spark, d, "events")
+    return e.select(
+        F.col("user_id").alias("video_id"), F.col("event_type").alias("stage"), F.when(F.col("value") > 200, "failed").otherwise("done").alias("status"), F.col("event_type").alias("error"), F.col("event_id").alias("finished_at"), F.lit("v1").alias("code_version"), F.sha2("props", 256).alias("input_hash")
+    )
+
+
+PLACE = "CASE stage WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 ELSE 5 END"
+STATE = "state AS (SELECT user_id AS video_id, event_type AS stage, CASE WHEN value > 200 THEN 'failed' ELSE 'done' END AS status, event_type AS error, event_id AS finished_at, sha256(props) AS input_hash FROM events)"
+
+
+@query(out_sql(STATE, f"SELECT video_id, arg_min(stage, {PLACE}) AS failed_stage, arg_min(error, {PLACE}) AS error FROM state WHERE status = 'failed' GROUP BY video_id"))
+def q_first_failure(spark, d):
+    return N.first_failures(stage_records(spark, d), ORDER)
+
+
+@query(
+    out_sql(
+        f"""{STATE}, f AS (SELECT video_id, arg_min(stage, {PLACE}) AS failed_stage, arg_min(error, {PLACE}) AS error FROM state WHERE status = 'failed' GROUP BY video_id),
+r AS (SELECT video_id, count(*) AS stages_ran FROM state GROUP BY video_id), k AS (SELECT video_id FROM r UNION SELECT c_custkey FROM customer WHERE c_custkey < 400)""",
+        """SELECT k.video_id, k.video_id % 10 = 0 AS ok, CASE WHEN k.video_id % 10 <> 0 THEN failed_stage END AS failed_stage,
+CASE WHEN k.video_id % 10 = 0 THEN '' WHEN failed_stage IS NOT NULL THEN error WHEN stages_ran > 0 THEN 'no stage recorded a failure' ELSE 'no stage ever ran for this video' END AS error, coalesce(stages_ran, 0) AS stages_ran
+FROM k LEFT JOIN f USING (video_id) LEFT JOIN r USING (video_id)""",
+    )
+)
+def q_outcomes(spark, d):
+    expected = table(spark, d, "customer").where("c_custkey < 400").select(F.col("c_custkey").alias("video_id"))
+    state = stage_records(spark, d)
+    known = expected.union(state.select("video_id")).distinct()
+    return N.outcomes(expected, state, known.where("video_id % 10 = 0"), ORDER)
+
+
+@query("SELECT c_custkey AS video_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
+def q_missing(spark, d):
+    return J.missing(table(spark, d, "customer").select(F.col("c_custkey").alias("video_id")), table(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("video_id")))
+
+
+@query(
+    out_sql(
+        f"{STATE}, l AS (SELECT * FROM state QUALIFY row_number() OVER (PARTITION BY video_id, stage ORDER BY finished_at DESC) = 1), p AS (SELECT DISTINCT user_id AS video_id, event_type AS stage, sha256('{{\"k\": 1}}') AS input_hash FROM events)",
+        """SELECT p.video_id, p.stage, CASE WHEN l.status IS NULL THEN 'no previous run' WHEN l.status <> 'done' THEN 'previous run ' || l.status WHEN l.input_hash <> p.input_hash THEN 'inputs changed' END AS reason
+FROM p LEFT JOIN l ON l.video_id = p.video_id AND l.stage = p.stage""",
+    )
+)
+def q_reasons_to_run(spark, d):
+    planned = table(spark, d, "events").select(F.col("user_id").alias("video_id"), F.col("event_type").alias("stage")).distinct()
+    planned = planned.withColumn("code_version", F.lit("v1")).withColumn("input_hash", F.sha2(F.lit('{"k": 1}'), 256))
+    return N.reasons_to_run(planned, stage_records(spark, d))
+
+
+@query("""SELECT p_partkey, sha256('{"brand":"' || p_brand || '","name":"' || p_name || '","size":' || p_size || '}') AS hash FROM part""")
+def q_payload_hash(spark, d):
+    return table(spark, d, "part").select("p_partkey", N.payload_hash(size=F.col("p_size"), name=F.col("p_name"), brand=F.col("p_brand")).alias("hash"))
+
+
+@query(
+    """WITH e AS (SELECT label, embedding, sqrt(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) * v))) AS norm FROM embeddings),
+p AS (SELECT label, norm, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM e), u AS (SELECT label, i, x / norm AS x FROM p),
+c AS (SELECT label, i, sum(x) AS s, avg(x) AS m FROM u GROUP BY ALL), n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT c.label, n.n, round(sum(m * m), 5) AS norm2, round(CASE WHEN n.n > 1 THEN (sum(s * s) - n.n) / (n.n * (n.n - 1)) ELSE 1 END, 5) AS cohesion FROM c JOIN n USING (label) GROUP BY c.label, n.n"""
+)
+def q_cohesion(spark, d):
+    e = table(spark, d, "embeddings")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    parts = e.select("label", norm.alias("norm"), F.posexplode("embedding").alias("i", "x")).select("label", "i", (F.col("x").cast("double") / F.col("norm")).alias("x"))
+    sums = parts.groupBy("label", "i").agg(F.sum("x").alias("s"), F.avg("x").alias("m"), F.count("*").alias("n"))
+    cohesion = F.when(F.max("n") > 1, (F.sum(F.col("s") * F.col("s")) - F.max("n")) / (F.max("n") * (F.max("n") - 1))).otherwise(1.0)
+    return sums.groupBy("label").agg(F.max("n").alias("n"), F.round(F.sum(F.col("m") * F.col("m")), 5).alias("norm2"), F.round(cohesion, 5).alias("cohesion"))
+
+
+@query(
+    """SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity
+FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE a.vec_id % 100 = 0"""
+)
+def q_cosine_pairs(spark, d):
+    e = table(spark, d, "embeddings")
+    probes = e.where("vec_id % 100 = 0").select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("va"))
+    both = probes.join(e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("vb")), "label").where("a < b")
+    return both.select("a", "b", F.round(X.cosine(F.col("va"), F.col("vb")), 5).alias("similarity"))
+
+
+@query(
+    """WITH c AS (SELECT r_regionkey AS video_id, i, j, CAST((r_regionkey * 7 + i * i * 5 + j * 3 + i * j * 11) % 13 AS DOUBLE) AS cost FROM region, (SELECT unnest([0, 1, 2]) AS i), (SELECT unnest([0, 1, 2]) AS j)),
+p AS (SELECT * FROM (VALUES (0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)) AS p(a, b, c)),
+s AS (SELECT x.video_id, x.cost + y.cost + z.cost AS total FROM p JOIN c x ON x.i = 0 AND x.j = p.a JOIN c y ON y.i = 1 AND y.j = p.b AND y.video_id = x.video_id JOIN c z ON z.i = 2 AND z.j = p.c AND z.video_id = x.video_id)
+SELECT video_id, 3 AS pairs, min(total) AS total FROM s GROUP BY video_id"""
+)
+def q_assign(spark, d):
+    three = F.explode(F.array(*[F.lit(i) for i in range(3)]))
+    c = table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("video_id"), three.alias("i")).select("*", three.alias("j"))
+    c = c.withColumn("cost", ((F.col("video_id") * 7 + F.col("i") * F.col("i") * 5 + F.col("j") * 3 + F.col("i") * F.col("j") * 11) % 13).cast("double"))
+    return L.assign(c, ["video_id"], "i", "j").groupBy("video_id").agg(F.count("*").cast("int").alias("pairs"), F.sum("cost").alias("total"))
+
+
+@query()
+def q_assign_speakers(spark, d):
+    """Speakers to faces on events: views are seen faces, clicks their samples, the rest voices."""
+    t = turns(spark, d).withColumn("face", F.format_string("F%03d", F.col("event_id") % 3 + 1))
+    visible = t.where("speaker = 'view'").select("video_id", "face", "start", "end")
+    samples = t.where("speaker = 'click'").select("video_id", "face", F.col("start").alias("t"), ((F.col("event_id") % 10) / 10.0).alias("p"))
+    voices = t.where("speaker not in ('view', 'click')").select("video_id", "speaker", "start", "end")
+    return L.assign_speakers(L.speaker_scores(visible, samples, voices), voices)
+
+
+@query()
+def q_cluster(spark, d):
+    """Average-linkage clusters of embeddings within each label."""
+    e = table(spark, d, "embeddings").select(F.col("label").alias("video_id"), F.col("vec_id").alias("track_id"), F.col("embedding").alias("vector"))
+    return L.cluster(e)
+
+
+@query()
+def q_track(spark, d):
+    """Boxes that drift with each event, tracked by user."""
+    e = table(spark, d, "events")
+    order = W.partitionBy("user_id").orderBy("event_id")
+    n = F.row_number().over(order)
+    boxes = e.select(F.col("user_id").alias("video_id"), F.floor((n - 1) / 2).cast("long").alias("frame"), (F.when(n % 2 == 0, 100.0).otherwise(400.0) + n * 0.2).alias("x"), F.lit(100.0).alias("y"), F.lit(40.0).alias("w"), F.lit(50.0).alias("h"), (0.55 + (F.col("event_id") % 5) * 0.1).alias("score"))
+    return L.track_quality(L.track(boxes), 25.0)
+
+
+@query(
+    """WITH g AS (SELECT DISTINCT user_id AS video_id, unnest(range(0, 30)) AS frame FROM events),
+s AS (SELECT user_id AS video_id, epoch_us(ts) // 86400000000 - 19723 AS frame, max(event_id) AS box FROM events GROUP BY ALL)
+SELECT g.video_id, g.frame, coalesce((SELECT arg_max(box, s.frame) FROM s WHERE s.video_id = g.video_id AND s.frame <= g.frame),
+  (SELECT arg_min(box, s.frame) FROM s WHERE s.video_id = g.video_id AND s.frame >= g.frame)) AS box FROM g"""
+)
+def q_filled_grid(spark, d):
+    e = table(spark, d, "events").select(F.col("user_id").alias("video_id"), (F.floor(micros("ts") / 86_400_000_000) - 19723).cast("long").alias("frame"), F.col("event_id").alias("box"))
+    grid = e.select("video_id").distinct().select("video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("frame"))
+    return J.filled_grid(grid, e, "box")
