@@ -215,7 +215,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc
                     n += len(ids) // 4
                     of_ids.update(ids)
                     tail += bpe.decode(ids)
-                    cut = len(tail) - next((k for k in (1, 2, 3) if tail[-k:] and tail[-k] >= 0xC0), 0)
+                    cut = len(tail) - next((k for k in (1, 2, 3) if len(tail) >= k and tail[-k] >= 0xC0), 0)
                     of_text.update(tail[:cut].decode("utf-8", "replace").encode())
                     tail = tail[cut:]
                 of_text.update(tail.decode("utf-8", "replace").encode())

@@ -27,6 +27,8 @@ EDGE = [
     (6, " \n\t "),
     (7, "word " * 4000),
     (8, "UPPER!! CASE!! 123 %%% $$$"),
+    (9, "x"),
+    (10, "é"),
 ]
 #: Columns whose names operators might use themselves.
 CLASHING = ("score", "fp", "component_id", "key", "anchor", "k1", "slot", "h", "d", "n", "text_hash", "range", "item_id", "part")
@@ -282,7 +284,7 @@ def test_decontamination(spark, edge, none, limit):
     assert decontaminate.contained_items(none, bench, limit).count() == 0
     assert decontaminate.contained_items(docs, bench.limit(0), limit).count() == 0
     kept = decontaminate.drop_contaminated(docs, bench)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.where("doc_id > 5").collect()) == [6, 7, 8, 21]
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.where("doc_id > 5").collect()) == [6, 7, 8, 9, 10, 21]
 
 
 # --- 4
