@@ -13,12 +13,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import text as X
+from .operators import captions as P
 from .operators import intervals as I
 from .operators import joins as J
 from .operators import script as G
 from .operators import solvers as L
 from .operators import speech as S
 from .operators import tags as T
+from .operators import transcripts as R
 from .plans import lineage as N
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -592,14 +594,35 @@ def q_assign(spark, d):
     return L.assign(c, ["video_id"], "i", "j").groupBy("video_id").agg(F.count("*").cast("int").alias("pairs"), F.sum("cost").alias("total"))
 
 
-@query()
-def q_assign_speakers(spark, d):
-    """Speakers to faces on events: views are seen faces, clicks their samples, the rest voices."""
+VOICES = f"""{TURNS}, t AS (SELECT *, printf('F%03d', event_id % 3 + 1) AS face FROM turns), w AS (SELECT video_id, face, s, e FROM t WHERE speaker = 'view'),
+{islands_sql("vis", "w", "video_id, face")}, u AS (SELECT video_id, speaker, s, e FROM t WHERE speaker NOT IN ('view', 'click') AND e > s), {islands_sql("own", "u", "video_id, speaker")},
+sm AS (SELECT video_id, face, s AS t, (event_id % 10) / 10.0 AS p FROM t WHERE speaker = 'click'),
+sp AS (SELECT video_id, speaker, sum(e - s) AS speech FROM own GROUP BY ALL),
+seen AS (SELECT vis.video_id, face, speaker, sum(least(vis.e, own.e) - greatest(vis.s, own.s)) AS seen FROM vis JOIN own ON vis.video_id = own.video_id AND vis.s < own.e AND own.s < vis.e GROUP BY ALL),
+pr AS (SELECT DISTINCT vis.video_id, face, speaker, speech FROM vis JOIN sp USING (video_id)),
+mark AS (SELECT pr.video_id, pr.face, pr.speaker, sm.p, EXISTS (SELECT 1 FROM own WHERE own.video_id = pr.video_id AND own.speaker = pr.speaker AND own.s <= sm.t AND sm.t < own.e) AS inside FROM pr JOIN sm ON sm.video_id = pr.video_id AND sm.face = pr.face),
+mn AS (SELECT video_id, face, speaker, avg(p) FILTER (inside) AS a, avg(p) FILTER (NOT inside) AS b FROM mark GROUP BY ALL)"""
+
+
+def voices(spark, d):
     t = turns(spark, d).withColumn("face", F.format_string("F%03d", F.col("event_id") % 3 + 1))
     visible = t.where("speaker = 'view'").select("video_id", "face", "start", "end")
     samples = t.where("speaker = 'click'").select("video_id", "face", F.col("start").alias("t"), ((F.col("event_id") % 10) / 10.0).alias("p"))
-    voices = t.where("speaker not in ('view', 'click')").select("video_id", "speaker", "start", "end")
-    return L.assign_speakers(L.speaker_scores(visible, samples, voices), voices)
+    return visible, samples, t.where("speaker not in ('view', 'click')").select("video_id", "speaker", "start", "end")
+
+
+@query(out_sql(VOICES, """SELECT pr.video_id, pr.face, pr.speaker, round(a - 0.5 * coalesce(b, 0), 6) + 0.0 AS score, round(coalesce(seen, 0) / speech, 6) AS coverage
+FROM pr LEFT JOIN seen ON seen.video_id = pr.video_id AND seen.face = pr.face AND seen.speaker = pr.speaker LEFT JOIN mn ON mn.video_id = pr.video_id AND mn.face = pr.face AND mn.speaker = pr.speaker"""))
+def q_speaker_scores(spark, d):
+    found = L.speaker_scores(*voices(spark, d))
+    return found.withColumns({c: F.round(c, 6) + 0.0 for c in ("score", "coverage")})  # no negative zero
+
+
+@query()
+def q_assign_speakers(spark, d):
+    """Speakers to faces on events: views are seen faces, clicks their samples, the rest voices."""
+    scores = L.speaker_scores(*voices(spark, d))
+    return L.assign_speakers(scores, voices(spark, d)[2])
 
 
 @query()
@@ -629,3 +652,46 @@ def q_filled_grid(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("video_id"), (F.floor(micros("ts") / 86_400_000_000) - 19723).cast("long").alias("frame"), F.col("event_id").alias("box"))
     grid = e.select("video_id").distinct().select("video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("frame"))
     return J.filled_grid(grid, e, "box")
+
+
+@query("""SELECT doc_id, list_filter([CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty' END, CASE WHEN doc_id % 10 / 10.0 > 0.6 THEN 'no_speech' END, CASE WHEN -(doc_id % 7) / 4.0 < -1 THEN 'low_confidence' END,
+CASE WHEN n_chars / 1000.0 > 2.4 THEN 'repetition' END], lambda x: x IS NOT NULL) AS flags FROM documents""")
+def q_transcript_flags(spark, d):
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", R.flags(F.col("text"), (F.col("doc_id") % 10) / 10.0, -(F.col("doc_id") % 7) / 4.0, F.col("n_chars") / 1000.0).alias("flags"))
+
+
+@query("""WITH f AS (SELECT source AS video_id, unnest([CASE WHEN lang = 'en' THEN 'english' END, CASE WHEN n_chars > 2000 THEN 'long' END]) AS flag FROM documents),
+c AS (SELECT video_id, flag, count(*) AS n FROM f WHERE flag IS NOT NULL GROUP BY ALL) SELECT video_id, string_agg(flag || '=' || n, ',' ORDER BY flag) AS counts FROM c GROUP BY ALL""")
+def q_flag_counts(spark, d):
+    docs = table(spark, d, "documents").select(F.col("source").alias("video_id"), F.array_compact(F.array(F.when(F.col("lang") == "en", "english"), F.when(F.col("n_chars") > 2000, "long"))).alias("flags"))
+    shown = F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return R.flag_counts(docs).select("video_id", shown.alias("counts"))
+
+
+@query(out_sql(f"""{TURNS}, p AS (SELECT video_id, speaker AS face, s, e FROM turns WHERE speaker IN ('view', 'click')), {islands_sql("m", "p", "video_id, face")},
+sh AS (SELECT DISTINCT video_id, d AS i, {FROM} + d * 86400000000 AS s, {FROM} + (d + 1) * 86400000000 AS e FROM turns, (SELECT unnest(range(0, 26)) AS d)),
+n AS (SELECT sh.video_id, sh.i, face, sum(least(sh.e, m.e) - greatest(sh.s, m.s)) AS n FROM sh JOIN m ON m.video_id = sh.video_id AND m.s < sh.e AND sh.s < m.e GROUP BY ALL),
+r AS (SELECT video_id, i, string_agg(face, ',' ORDER BY face) AS roster FROM n WHERE n >= {30 * MINUTE} GROUP BY ALL)""", 'SELECT sh.video_id, sh.i AS "index", coalesce(roster, \'\') AS roster FROM sh LEFT JOIN r ON r.video_id = sh.video_id AND r.i = sh.i'))
+def q_rosters(spark, d):
+    t = turns(spark, d)
+    day = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(25).cast("long")))
+    shots = t.select("video_id").distinct().select("video_id", day.alias("index")).select("*", (FROM + F.col("index") * 86_400_000_000).alias("start"), (FROM + (F.col("index") + 1) * 86_400_000_000).alias("end"))
+    seen = t.where("speaker in ('view', 'click')").select("video_id", F.col("speaker").alias("face"), "start", "end")
+    return P.rosters(seen, shots, least=30 * MINUTE).select("video_id", "index", F.array_join("roster", ",").alias("roster"))
+
+
+@query("""WITH p AS (SELECT o_orderkey, CAST(o_orderkey % 90 AS DOUBLE) AS d FROM orders), c AS (SELECT *, CAST(least(greatest(round_even(d / 4, 0), 1), 8) AS INTEGER) AS n FROM p)
+SELECT o_orderkey, n AS frames, CASE WHEN n = 1 THEN 10.0 ELSE round(10 + 0.5 * d / n, 6) END AS first FROM c""")
+def q_sample_times(spark, d):
+    start, length = F.lit(10.0), (F.col("o_orderkey") % 90).cast("double")
+    count = P.frame_count(length)
+    return table(spark, d, "orders").select("o_orderkey", count.alias("frames"), F.round(F.get(P.sample_times(start, start + length, count), F.lit(0)), 6).alias("first"))
+
+
+@query("""SELECT p_partkey, CAST(least(greatest(round_even(x - 0.4 * 50, 0), 0), 640) AS INTEGER) AS "left", CAST(least(greatest(round_even(x + 50 * 1.4, 0), 0), 640) AS INTEGER) AS "right"
+FROM (SELECT p_partkey, CAST(p_partkey % 700 AS DOUBLE) AS x FROM part)""")
+def q_crop_box(spark, d):
+    x = (F.col("p_partkey") % 700).cast("double")
+    box = P.crop_box(x, F.lit(10.0), F.lit(50.0), F.lit(60.0), F.lit(640), F.lit(480))
+    return table(spark, d, "part").select("p_partkey", box["left"].alias("left"), box["right"].alias("right"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import KEYS, intersect, merge, union_length
+from .intervals import KEYS, merge
 
 
 def cheapest_matching(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -98,18 +98,18 @@ def speaker_scores(visible: DataFrame, samples: DataFrame, turns: DataFrame, key
     """
     k = list(keys)
     own = merge(turns.where("end > start"), [*k, "speaker"])
-    speech = union_length(own, [*k, "speaker"]).withColumnRenamed("length", "speech")
-    pairs = visible.select(*k, "face").distinct().join(speech, k)
-    spread_v = visible.join(pairs.select(*k, "face", "speaker"), [*k, "face"]).select(*k, "face", "speaker", "start", "end")
-    spread_t = own.join(pairs.select(*k, "face", "speaker"), [*k, "speaker"]).select(*k, "face", "speaker", "start", "end")
-    seen = union_length(intersect(spread_v, spread_t, [*k, "face", "speaker"]), [*k, "face", "speaker"]).withColumnRenamed("length", "seen")
-    points = samples.join(pairs.select(*k, "face", "speaker"), [*k, "face"])
-    hit = points.join(own.select(*k, "speaker", F.col("start").alias("__s"), F.col("end").alias("__e")), [*k, "speaker"], "left")
-    inside = F.max((F.col("__s") <= F.col("t")) & (F.col("t") < F.col("__e")))
-    marked = hit.groupBy(*k, "face", "speaker", "t", "p").agg(F.coalesce(inside, F.lit(False)).alias("inside"))
-    means = marked.groupBy(*k, "face", "speaker").agg(F.avg(F.when(F.col("inside"), F.col("p"))).alias("within"), F.avg(F.when(~F.col("inside"), F.col("p"))).alias("without"))
-    found = pairs.join(seen, [*k, "face", "speaker"], "left").join(means, [*k, "face", "speaker"], "left")
-    return found.select(*k, "face", "speaker", (F.col("within") - penalty * F.coalesce("without", F.lit(0.0))).alias("score"), (F.coalesce("seen", F.lit(0)) / F.col("speech")).alias("coverage"))
+    speech = own.groupBy(*k, "speaker").agg(F.sum(F.col("end") - F.col("start")).alias("speech"))
+    voiced = own.select(*k, "speaker", F.col("start").alias("__s"), F.col("end").alias("__e"))
+    # Either side is merged, so shared lengths add up without being counted twice.
+    both = merge(visible, [*k, "face"]).join(voiced, k).where("start < __e and __s < end")
+    seen = both.groupBy(*k, "face", "speaker").agg(F.sum(F.least("end", "__e") - F.greatest("start", "__s")).alias("seen"))
+    every = samples.groupBy(*k, "face").agg(F.count("p").alias("n"), F.sum("p").alias("total"))
+    hit = samples.join(voiced, k).where("__s <= t and t < __e").groupBy(*k, "face", "speaker").agg(F.count("p").alias("n_in"), F.sum("p").alias("total_in"))
+    found = visible.select(*k, "face").distinct().join(speech, k).join(seen, [*k, "face", "speaker"], "left").join(hit, [*k, "face", "speaker"], "left").join(every, [*k, "face"], "left")
+    outside = F.col("n") - F.coalesce("n_in", F.lit(0))
+    mean_out = F.when(outside > 0, (F.col("total") - F.coalesce("total_in", F.lit(0.0))) / outside).otherwise(0.0)
+    within = F.when(F.col("n_in") > 0, F.col("total_in") / F.col("n_in"))
+    return found.select(*k, "face", "speaker", (within - penalty * mean_out).alias("score"), (F.coalesce("seen", F.lit(0)) / F.col("speech")).alias("coverage"))
 
 
 def assign_speakers(scores: DataFrame, speakers: DataFrame, keys: Sequence[str] = KEYS, least_score=0.05, least_margin=0.05, least_coverage=0.25) -> DataFrame:
