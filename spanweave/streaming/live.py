@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from ..operators.solvers import Tracker
 
 
 def live_sessions(events: DataFrame, keys: list[str], gap: str = "5 minutes", late: str = "10 minutes", at: str = "ts") -> DataFrame:
@@ -16,3 +24,25 @@ def live_windows(events: DataFrame, keys: list[str], value: str, width: str = "8
     """Mean of a value over overlapping windows of each key."""
     seen = events.withWatermark(at, late).groupBy(*keys, F.window(at, width, step).alias("window")).agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
     return seen.select(*keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "mean", "n")
+
+
+def live_tracks(detections: DataFrame, key: str = "video_id", **limits) -> DataFrame:
+    """Detections of an unbounded stream with their ``track_id``, one tracker kept for each key.
+
+    The tracker (followed boxes and their motion) is the state; rows of a key must arrive in the
+    order of frames from batch to batch.
+    """
+    kind = {f.name: f.dataType.simpleString() for f in detections.schema}
+    cols = [key, "frame", "x", "y", "w", "h", "score"]
+
+    def step(_, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        tracker = pickle.loads(state.get[0]) if state.exists else Tracker(**limits)
+        pdf = pd.concat(list(parts)).sort_values(["frame", "score", "x"], ascending=[True, False, True]).reset_index(drop=True)
+        ids = np.zeros(len(pdf), int)
+        for _, rows in pdf.groupby("frame", sort=True):
+            ids[rows.index] = tracker.frame(rows[["x", "y", "w", "h"]].to_numpy(float), rows["score"].to_numpy(float))
+        state.update((pickle.dumps(tracker),))
+        yield pdf.assign(track_id=ids)[ids > 0]
+
+    schema = ", ".join(f"`{c}` {kind[c]}" for c in cols) + ", track_id int"
+    return detections.select(*cols).groupBy(key).applyInPandasWithState(step, schema, "tracker binary", "append", GroupStateTimeout.NoTimeout)
