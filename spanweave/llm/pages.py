@@ -271,3 +271,14 @@ def main_text(pages: DataFrame) -> DataFrame:
 
 def run(spark, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: The same texts by patterns in SQL (DuckDB), for pages whose article holds only headings,
+#: paragraphs and inline markup, and the character references that the tables have.
+TEXT_SQL = r"""
+WITH a AS (SELECT row_number() OVER () AS n, page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS inner_html FROM pages),
+b AS (SELECT n, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS part FROM (SELECT n, regexp_split_to_array(inner_html, '</?(?:p|h1)>') AS parts FROM a)),
+c AS (SELECT n, i, trim(regexp_replace(regexp_replace(replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS line FROM b),
+t AS (SELECT n, string_agg(line, chr(10) ORDER BY i) AS text FROM c WHERE line <> '' GROUP BY n)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM a LEFT JOIN t USING (n)
+"""

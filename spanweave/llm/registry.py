@@ -68,7 +68,9 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_urls": urls.verdict_sql(),
     "op3_decontaminate": decontaminate.PAIR_SQL,
+    "op5_pages": pages.TEXT_SQL,
     "op7_chat": chat.DIGEST_SQL,
     "op9_sharding": sharding.placement_sql(),
 }

@@ -107,9 +107,32 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     bound = -threshold * (1 - DAMPING)
     own = F.when(F.col("score") < bound, F.lit("block")).otherwise(F.lit("allow"))
     return keyed.join(salted, ["host", "salt"], "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("said", own).alias("verdict"), F.round(F.coalesce("score", F.lit(0.0)), 9).alias("score")
+        "page_id", "host", "path", "rule", F.coalesce("said", own).alias("verdict"), (F.round(F.coalesce("score", F.lit(0.0)), 9) + 0.0).alias("score")
     )
 
 
 def run(spark, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
+
+
+def verdict_sql() -> str:
+    """The same verdicts in SQL (DuckDB), spreading by a recursive query."""
+    fits = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}')"
+    cases = [(rule, said, fits.format(*rule.split("/", 1))) for rule, said in sorted(RULES, key=lambda r: (-len(r[0]), r[0]))]
+    rule = " ".join(f"WHEN {cond} THEN '{name}'" for name, _, cond in cases)
+    said = " ".join(f"WHEN {cond} THEN '{verdict}'" for _, verdict, cond in cases)
+    return rf"""
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS n, page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT n, page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+p AS (SELECT *, CASE {rule} END AS rule, CASE {said} END AS said FROM h),
+l AS (SELECT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\s*=\s*["'']?(?:https?:)?//([^/?#"''\s>]+)', 1)), '{UPPER}', '{LOWER}') AS dst FROM p),
+e AS (SELECT src, dst, count(*) AS n FROM l WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY ALL),
+b AS (SELECT 'trust' AS kind, src, dst, n FROM e UNION ALL SELECT 'distrust', dst, src, n FROM e),
+s AS (SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM b),
+q AS (SELECT host, avg(CASE WHEN said = 'allow' THEN 1.0 ELSE 0 END) AS t, avg(CASE WHEN said = 'block' THEN 1.0 ELSE 0 END) AS d FROM p WHERE host <> '' GROUP BY host),
+f AS (SELECT 0 AS k, kind, host, mass * {1 - DAMPING!r}::DOUBLE AS mass FROM (SELECT 'trust' AS kind, host, t AS mass FROM q WHERE t > 0 UNION ALL SELECT 'distrust', host, d FROM q WHERE d > 0)
+  UNION ALL SELECT f.k + 1, f.kind, s.dst, sum(f.mass * s.share * {DAMPING}) FROM f JOIN s ON f.kind = s.kind AND f.host = s.src WHERE f.k < {ROUNDS} GROUP BY f.k, f.kind, s.dst),
+c AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN mass ELSE -mass END) AS score FROM f GROUP BY host)
+SELECT page_id, p.host, path, rule, coalesce(said, CASE WHEN score < {-THRESHOLD * (1 - DAMPING)!r} THEN 'block' ELSE 'allow' END) AS verdict, round(coalesce(score, 0), 9) + 0.0 AS score
+FROM p LEFT JOIN c ON c.host = p.host
+"""

@@ -149,6 +149,12 @@ def test_hosts_that_link_to_blocked_ones_are_blocked(spark):
     found = {r.page_id: (r.verdict, r.score) for r in urls.judge(df, threshold=0.3).collect()}
     assert found[10][0] == "block" and found[11][0] == found[12][0] == "allow" and found[11][1] > 0
     assert urls.judge(df.limit(0)).count() == 0
+    db = duckdb.connect()
+    db.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    db.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    cursor = db.execute(urls.verdict_sql())
+    columns = [c[0] for c in cursor.description]
+    assert collections.Counter(map(tuple, urls.judge(df).select(*columns).collect())) == collections.Counter(cursor.fetchall())
 
 
 # --- 7
