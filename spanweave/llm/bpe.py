@@ -29,7 +29,7 @@ from .common import map_batches, text_of
 
 NEVER = 1 << 60
 #: Entries a worker keeps of encoded words and of judged token pairs before it starts anew.
-WORDS_KEPT, PAIRS_KEPT = 400_000, 1_000_000
+WORDS_KEPT, PAIRS_KEPT = 1_000_000, 1_000_000
 #: A text of more code points is cut into words lazily, this many words at a time.
 LONG_TEXT, WORDS_AT_A_TIME = 2_000_000, 200_000
 #: Fixed value: how byte-level vocabularies split text before merging.  White space is spelled
@@ -160,6 +160,22 @@ class TrieBpe:
                     yield some, None
                 yield [], reserved
 
+    def prepare(self, texts: Iterable[str], plain: bool = False) -> list[list[tuple[list[str], int | None]] | None]:
+        """Words of each text that is not very long, all learned together so that more prefixes are shared."""
+        cut = [None if len(t) > LONG_TEXT else list(self.pieces(t, plain)) for t in texts]
+        seen = set().union(*(words for pieces in cut if pieces for words, _ in pieces))
+        missing = seen.difference(self.words)
+        if len(self.words) + len(missing) > WORDS_KEPT:
+            self.words.clear()
+            missing = seen
+        self.learn(missing)
+        return cut
+
+    def join(self, pieces: list[tuple[list[str], int | None]]) -> bytes:
+        """Ids of a text cut by ``prepare``."""
+        look = self.words.__getitem__
+        return b"".join(b"".join(map(look, words)) + (b"" if reserved is None else struct.pack("<I", reserved)) for words, reserved in pieces)
+
     def encode(self, text: str, plain: bool = False) -> Iterable[bytes]:
         """Ids of a text as runs of little-endian unsigned 32-bit integers.
 
@@ -208,10 +224,12 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             count, ids_hex, text_hex = [], [], []
-            for text in batch.column(1).to_pylist():
+            texts = batch.column(1).to_pylist()
+            joined = [pieces and bpe.join(pieces) for pieces in bpe.prepare(texts)]
+            for text, whole in zip(texts, joined, strict=True):
                 n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
                 tail = b""
-                for ids in bpe.encode(text):
+                for ids in bpe.encode(text) if whole is None else [whole]:
                     n += len(ids) // 4
                     of_ids.update(ids)
                     tail += bpe.decode(ids)
