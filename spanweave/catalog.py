@@ -654,11 +654,12 @@ def q_filled_grid(spark, d):
     return J.filled_grid(grid, e, "box")
 
 
-@query("""SELECT doc_id, list_filter([CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty' END, CASE WHEN doc_id % 10 / 10.0 > 0.6 THEN 'no_speech' END, CASE WHEN -(doc_id % 7) / 4.0 < -1 THEN 'low_confidence' END,
-CASE WHEN n_chars / 1000.0 > 2.4 THEN 'repetition' END], lambda x: x IS NOT NULL) AS flags FROM documents""")
+@query("""SELECT doc_id, list_aggregate(list_filter([CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty' END, CASE WHEN doc_id % 10 / 10.0 > 0.6 THEN 'no_speech' END, CASE WHEN -(doc_id % 7) / 4.0 < -1 THEN 'low_confidence' END,
+CASE WHEN n_chars / 1000.0 > 2.4 THEN 'repetition' END], lambda x: x IS NOT NULL), 'string_agg', ',') AS flags FROM documents""")
 def q_transcript_flags(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", R.flags(F.col("text"), (F.col("doc_id") % 10) / 10.0, -(F.col("doc_id") % 7) / 4.0, F.col("n_chars") / 1000.0).alias("flags"))
+    found = R.flags(F.col("text"), (F.col("doc_id") % 10) / 10.0, -(F.col("doc_id") % 7) / 4.0, F.col("n_chars") / 1000.0)
+    return docs.select("doc_id", F.nullif(F.array_join(found, ","), F.lit("")).alias("flags"))
 
 
 @query("""WITH f AS (SELECT source AS video_id, unnest([CASE WHEN lang = 'en' THEN 'english' END, CASE WHEN n_chars > 2000 THEN 'long' END]) AS flag FROM documents),
