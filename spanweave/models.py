@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .shipping import ship
+
 #: For each model: the columns it reads and the columns of each row it returns.
 CONTRACTS = {
     "detector": (("video_id", "frame", "image"), "x double, y double, w double, h double, score double, vector array<float>"),
@@ -49,6 +51,7 @@ def run_model(rows: DataFrame, kind: str, make: Callable[[], Callable[..., list[
             yield pd.DataFrame(out, columns=[*keys, *names, "error"])
 
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), *(f"`{c.split(' ')[0]}` {c.split(' ', 1)[1]}" for c in gives.split(", ")), "error string"])
+    ship(rows.sparkSession)
     return rows.select(*takes).mapInPandas(work, schema)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .intervals import KEYS, merge
 
 
@@ -81,6 +82,7 @@ def assign(costs: DataFrame, keys: Sequence[str], row: str, column: str, cost: s
             out.insert(0, name, pdf[name].iloc[0])
         return out
 
+    ship(costs.sparkSession)
     schema = ", ".join(f"`{n}` {kind[n]}" for n in [*k, row, column]) + f", `{cost}` double"
     return costs.select(*k, row, column, F.col(cost).cast("double").alias(cost)).groupBy(*k).applyInPandas(solve, schema)
 
@@ -189,6 +191,7 @@ def cluster(vectors: DataFrame, keys: Sequence[str] = KEYS, item: str = "track_i
         where = {i: n for n, g in enumerate(groups) for i in g}
         return pdf[[*k, item]].assign(cluster=[where[i] for i in range(len(pdf))])
 
+    ship(vectors.sparkSession)
     return vectors.select(*k, item, vector).groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in [*k, item]) + ", cluster int")
 
 
@@ -307,6 +310,7 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, **limits) -> DataFr
             ids[rows.index] = tracker.frame(rows[["x", "y", "w", "h"]].to_numpy(float), rows["score"].to_numpy(float))
         return pdf.assign(track_id=ids)[ids > 0]
 
+    ship(detections.sparkSession)
     return detections.select(*cols).groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
 
 

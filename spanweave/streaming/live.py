@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.solvers import Tracker
+from ..shipping import ship
 
 
 def live_sessions(events: DataFrame, keys: list[str], gap: str = "5 minutes", late: str = "10 minutes", at: str = "ts") -> DataFrame:
@@ -45,4 +46,5 @@ def live_tracks(detections: DataFrame, key: str = "video_id", **limits) -> DataF
         yield pdf.assign(track_id=ids)[ids > 0]
 
     schema = ", ".join(f"`{c}` {kind[c]}" for c in cols) + ", track_id int"
+    ship(detections.sparkSession)
     return detections.select(*cols).groupBy(key).applyInPandasWithState(step, schema, "tracker binary", "append", GroupStateTimeout.NoTimeout)
