@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanweave.shipping import ship
+
 #: Rows in one Arrow batch sent to a Python worker.  Texts reach hundreds of kilobytes, so the
 #: default of 10,000 rows could make one batch of gigabytes.
 BATCH_ROWS = 512
@@ -26,7 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch for the queries planned from now on."""
+    """Bound the rows of an Arrow batch for the queries planned from now on; every operator that
+    runs Python on the executors calls this, so the package is sent to them here.
+    """
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
