@@ -15,7 +15,7 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_spanweave_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="spanweave-"), "spanweave_code.zip")
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="spanweave-")), "spanweave_code.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as code:
         for folder, _, names in sorted(os.walk(here)):
             for name in sorted(names):
