@@ -30,6 +30,9 @@ def cheapest_matching(cost: np.ndarray) -> list[tuple[int, int]]:
     if cost.shape[0] > cost.shape[1]:
         return sorted((r, c) for c, r in cheapest_matching(cost.T))
     rows, cols = cost.shape
+    cheapest = cost.argmin(1).tolist()
+    if len(set(cheapest)) == rows:  # each row can have its own cheapest column
+        return list(enumerate(cheapest))
     row_price, col_price = np.zeros(rows), np.zeros(cols)
     owner = np.full(cols, -1)
     for new in range(rows):
@@ -306,8 +309,10 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, **limits) -> DataFr
         pdf = pdf.sort_values(["frame", "score", "x", "y", "w", "h"], ascending=[True, False, True, True, True, True]).reset_index(drop=True)
         tracker = Tracker(**limits)
         ids = np.zeros(len(pdf), int)
-        for _, rows in pdf.groupby("frame", sort=True):
-            ids[rows.index] = tracker.frame(rows[["x", "y", "w", "h"]].to_numpy(float), rows["score"].to_numpy(float))
+        frame, box, score = pdf["frame"].to_numpy(), pdf[["x", "y", "w", "h"]].to_numpy(float), pdf["score"].to_numpy(float)
+        bounds = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(pdf)]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            ids[a:b] = tracker.frame(box[a:b], score[a:b])
         return pdf.assign(track_id=ids)[ids > 0]
 
     ship(detections.sparkSession)
