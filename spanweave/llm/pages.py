@@ -13,15 +13,17 @@ is not deleted for being shared.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, map_batches, n_partitions, small_batches, table
+from .common import BATCH_ROWS, cut, map_batches, n_partitions, small_batches, table
 from .urls import host_of, path_of
 
 NOISE, LINE, PROSE = 0, 1, 2
@@ -196,11 +198,16 @@ def nearness(a: str, b: str) -> int:
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Delete what a page shares with its nearer neighbour; rows come sorted by group and path."""
+    """Delete what a page shares with its nearer neighbour; rows come sorted by group and path.
+
+    Rows carried from another group are neighbours only and are not returned.
+    """
     out: list[tuple] = []
 
     def settle(before, page, after):
-        near = [p for p in (before, after) if p and p["grp"] == page["grp"] and p["lines"] != page["lines"]]
+        if page["carried"]:
+            return
+        near = [p for p in (before, after) if p and p["grp"] == page["grp"] and p["digest"] != page["digest"]]
         other = max(near, key=lambda p: nearness(p["path"], page["path"]), default=None)
         shared = aligned(page["lines"], other["lines"]) if other else ()
         kept = [x for i, (x, kind) in enumerate(zip(page["lines"], page["kinds"], strict=True)) if kind == PROSE or kind == LINE and i not in shared]
@@ -225,47 +232,138 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack()
 
 
-#: Hosts with more than one page in so many are spread over groups of their pages.
-SHARE = 1000
+#: Pages of a host in one group; a host with more is cut into ranges of its sorted paths.
+SHARE = 4096
+
+#: What orders the pages of a host, and the digest of their lines.
+KEY = ("host string", "path string", "page_id long", "url string", "digest binary")
+_KEY_TYPE = pa.struct([("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.binary())])
+#: First and last page of a range, and the nearest to each of them with other lines.
+ENDS_OF_RANGE = ("first", "second", "before_last", "last")
+
+
+def digest_of(lines: list[str]) -> bytes:
+    return hashlib.blake2b("\n".join(lines).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def order(host: str, path: str, page_id: int | None, url: str | None, digest: bytes) -> tuple:
+    """A page's key in Spark's order: nulls first, texts by code point."""
+    return host, path, page_id is not None, page_id or 0, url is not None, url or "", digest
+
+
+def ranges(keys: DataFrame, size: int) -> list[dict]:
+    """The ends of consecutive ranges of ``size`` pages of a host, in order; pages alike in all
+    of KEY stay together.  The driver gets four keys for each range.
+    """
+
+    def cut_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = lambda found: pa.RecordBatch.from_arrays([pa.array([x[name] for x in found], _KEY_TYPE) for name in ENDS_OF_RANGE], list(ENDS_OF_RANGE))
+        found, n = None, 0
+        for batch in batches:
+            done = []
+            for row in batch.to_pylist():
+                if found is None or row["host"] != found["last"]["host"] or n >= size and row != found["last"]:
+                    if found:
+                        done.append(found)
+                    found, n = {"first": row, "second": None, "before_last": None}, 0
+                elif row["digest"] != found["last"]["digest"]:
+                    found["before_last"] = found["last"]
+                    found["second"] = found["second"] or row
+                found["last"] = row
+                n += 1
+            if done:
+                yield pack(done)
+        if found:
+            yield pack([found])
+
+    key = f"struct<{','.join(x.replace(' ', ':') for x in KEY)}>"
+    by = [x.split()[0] for x in KEY]
+    dealt = keys.repartitionByRange(n_partitions(keys.sparkSession), *by).sortWithinPartitions(*by)
+    rows = dealt.mapInArrow(cut_ranges, ", ".join(f"{name} {key}" for name in ENDS_OF_RANGE)).collect()
+    found = [{name: r[name] and r[name].asDict() for name in ENDS_OF_RANGE} for r in rows]
+    return sorted(found, key=lambda x: order(**x["first"]))
+
+
+def beyond(found: Iterable[dict], near: str, far: str, far_other: str) -> Iterator[tuple[dict, dict]]:
+    """Each range with the nearest page before it, of its host, with other lines than its end ``near``."""
+    last = other = None
+    for x in found:
+        if last and last["host"] != x[near]["host"]:
+            last = other = None
+        if last and (page := last if last["digest"] != x[near]["digest"] else other):
+            yield x, page
+        if x[far_other]:
+            other = x[far_other]
+        elif last and last["digest"] != x[far]["digest"]:
+            other = last
+        last = x[far]
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` for each row of ``pages``: the article's blocks joined by newlines.
 
     A page's neighbours are those next to it in the order of path and page_id among its host's.
-    A host with more than a thousandth of all rows (of which there are under a thousand) is dealt
-    into groups by path, of that size on average, so no task gets a host whole; a page's
-    neighbours are then those in its group.  Neighbours with the very same lines say nothing
-    about the template and are passed over; a page without another neighbour is bounded by its
-    markup alone.
+    A host with more than SHARE pages is cut into ranges of that order, so no task gets it whole;
+    the pages just beyond a range's ends go with it, so the neighbours are the same.  For this
+    the pages of such hosts are cut into lines twice.  Neighbours with the very same lines say
+    nothing about the template and are passed over; a page without another neighbour is bounded
+    by its markup alone.
 
     Null html or a page without text: empty text.  Null url: host and path empty.  Repeated
     rows: a row each.  Empty table: empty result.  Other columns are dropped.
     """
     spark = pages.sparkSession
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    counts = keyed.select(host_of("url").alias("host")).groupBy("host").count()
-    total = counts.agg(F.sum("count").alias("n")).first()["n"] or 0
-    hot = {r["host"]: r["count"] * SHARE // total + 1 for r in counts.where(F.col("count") * SHARE > total).collect()} if total > SHARE else {}
-    spread = F.lit(1)
-    if hot:
-        sizes = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-        spread = F.coalesce(F.element_at(sizes, host_of("url")), F.lit(1))
+    keyed = keyed.select(host_of("url").alias("host"), path_of("url").alias("path"), "page_id", "url", "html")
+    large = [(r["host"],) for r in keyed.groupBy("host").count().where(F.col("count") > SHARE).collect()]
+    starts: dict[str, list[tuple]] = {}
+    carried: dict[tuple, list[str]] = {}
+    if large:
+
+        def make_keys():
+            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+                digests = [digest_of(lines_of(html or "")[0]) for html in batch.column(4).to_pylist()]
+                return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(digests, pa.binary())], [x.split()[0] for x in KEY])
+
+            return step
+
+        of_large = keyed.join(F.broadcast(spark.createDataFrame(large, "host string")), "host", "left_semi")
+        found = ranges(cut(map_batches(of_large.select("host", "path", "page_id", "url", "html"), make_keys, ", ".join(KEY))), SHARE)
+        for x in found:
+            of_host = starts.setdefault(x["first"]["host"], [])
+            x["grp"] = f"{x['first']['host']}/{len(of_host)}"
+            of_host.append(order(**x["first"]))
+        for x, page in [*beyond(found, "first", "last", "before_last"), *beyond(reversed(found), "last", "first", "second")]:
+            carried.setdefault(order(**page), []).append(x["grp"])
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [lines_of(html or "") for html in batch.column(4).to_pylist()]
+            lines, kinds, digests, at, groups, extra = [], [], [], [], [], []
+            for i, (host, path, page_id, url, html) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+                found = lines_of(html or "")
+                digest = digest_of(found[0])
+                own = [f"{host}/0"]
+                if host in starts:
+                    key = order(host, path, page_id, url, digest)
+                    own = [f"{host}/{bisect_right(starts[host], key) - 1}", *carried.get(key, ())]
+                for n, group in enumerate(own):
+                    at.append(i)
+                    groups.append(group)
+                    extra.append(n > 0)
+                    lines.append(found[0])
+                    kinds.append(found[1])
+                    digests.append(digest)
+            rows = [c.take(pa.array(at, pa.int64())) for c in batch.columns[1:4]]
             return pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array([x for x, _ in found], pa.list_(pa.string())), pa.array([k for _, k in found], pa.list_(pa.int8()))],
-                ["grp", "path", "page_id", "url", "lines", "kinds"],
+                [pa.array(groups, pa.string()), *rows, pa.array(digests, pa.binary()), pa.array(lines, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int8())), pa.array(extra, pa.bool_())],
+                ["grp", "path", "page_id", "url", "digest", "lines", "kinds", "carried"],
             )
 
         return step
 
-    group = F.concat_ws("/", host_of("url"), F.pmod(F.xxhash64(path_of("url")), spread).cast("string"))
-    cut = map_batches(keyed.select(group.alias("grp"), path_of("url").alias("path"), "page_id", "url", "html"), make, "grp string, path string, page_id long, url string, lines array<string>, kinds array<tinyint>")
+    lined = map_batches(keyed, make, "grp string, path string, page_id long, url string, digest binary, lines array<string>, kinds array<tinyint>, carried boolean")
     small_batches(spark, BATCH_ROWS)
-    dealt = cut.repartition(n_partitions(spark), "grp").sortWithinPartitions("grp", "path", "page_id", "url", "lines")
+    dealt = lined.repartition(n_partitions(spark), "grp").sortWithinPartitions("grp", "path", "page_id", "url", "digest")
     return dealt.mapInArrow(_difference, "page_id long, url string, text string")
 
 

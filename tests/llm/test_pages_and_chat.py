@@ -87,6 +87,17 @@ def test_main_text_spreads_a_hot_host(spark, monkeypatch):
     assert all(found[i] == (f"text {i}" if i % 3 else f"Menu\ntext {i}") for i in range(60))
 
 
+def test_neighbours_are_those_of_the_whole_host(spark, monkeypatch):
+    """Pages of a section share a line with their nearest page alone, wherever the host is cut."""
+    rng = random.Random(5)
+    rows = [(i, f"http://big/{i // 2:05}/{i % 2}", f"<div>Section {i // 2}</div><div>text {i}</div>") for i in range(1200)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "page_id long, url string, html string").repartition(3)
+    for share in (4096, 7):  # whole, and cut inside sections
+        monkeypatch.setattr(pages, "SHARE", share)
+        found = {r.page_id: r.text for r in pages.main_text(df).collect()}
+        assert found == {i: f"text {i}" for i in range(1200)}
+
+
 # --- 2
 
 
