@@ -200,36 +200,48 @@ def nearness(a: str, b: str) -> int:
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Delete what a page shares with its nearer neighbour; rows come sorted by group and path.
 
-    Rows carried from another group are neighbours only and are not returned.
+    Pages of a group that stand together with the same lines are a run, held at once (a group has
+    few over SHARE rows, and the lines are held once); its neighbours are the pages before and
+    after it, and each of these is aligned with it once.  Rows carried from another group are
+    neighbours only and are not returned.
     """
     out: list[tuple] = []
 
-    def settle(before, page, after):
-        if page["carried"]:
-            return
-        near = [p for p in (before, after) if p and p["grp"] == page["grp"] and p["digest"] != page["digest"]]
-        other = max(near, key=lambda p: nearness(p["path"], page["path"]), default=None)
-        shared = aligned(page["lines"], other["lines"]) if other else ()
-        kept = [x for i, (x, kind) in enumerate(zip(page["lines"], page["kinds"], strict=True)) if kind == PROSE or kind == LINE and i not in shared]
-        out.append((page["page_id"], page["url"], "\n".join(kept)))
+    def settle(before, run, after):
+        near = [p for p in (before, after) if p and p["grp"] == run[0]["grp"]]
+        shared: dict[int, set[int]] = {}
+        for page in run:
+            if page["carried"]:
+                continue
+            other = max(near, key=lambda p: nearness(p["path"], page["path"]), default=None)
+            if other and id(other) not in shared:
+                shared[id(other)] = aligned(page["lines"], other["lines"])
+            gone = shared[id(other)] if other else ()
+            kept = [x for i, (x, kind) in enumerate(zip(page["lines"], page["kinds"], strict=True)) if kind == PROSE or kind == LINE and i not in gone]
+            out.append((page["page_id"], page["url"], "\n".join(kept)))
 
     def pack():
-        ids, urls, texts = zip(*out, strict=True)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+        while out:
+            ids, urls, texts = zip(*out[:BATCH_ROWS], strict=True)
+            del out[:BATCH_ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    before = page = None
+    before, run = None, []
     for batch in batches:
-        for after in batch.to_pylist():
-            if page:
-                settle(before, page, after)
-            before, page = page, after
+        for page in batch.to_pylist():
+            if run and page["grp"] == run[0]["grp"] and page["digest"] == run[0]["digest"]:
+                page["lines"] = run[0]["lines"]
+                run.append(page)
+                continue
+            if run:
+                settle(before, run, page)
+                before = run[-1]
+            run = [page]
             if len(out) >= BATCH_ROWS:
-                yield pack()
-    if page:
-        settle(before, page, None)
-    if out:
-        yield pack()
+                yield from pack()
+    if run:
+        settle(before, run, None)
+    yield from pack()
 
 
 #: Pages of a host in one group; a host with more is cut into ranges of its sorted paths.
@@ -306,8 +318,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     A host with more than SHARE pages is cut into ranges of that order, so no task gets it whole;
     the pages just beyond a range's ends go with it, so the neighbours are the same.  For this
     the pages of such hosts are cut into lines twice.  Neighbours with the very same lines say
-    nothing about the template and are passed over; a page without another neighbour is bounded
-    by its markup alone.
+    nothing about the template and are passed over, however many stand together; a page without
+    another neighbour is bounded by its markup alone.
 
     Null html or a page without text: empty text.  Null url: host and path empty.  Repeated
     rows: a row each.  Empty table: empty result.  Other columns are dropped.

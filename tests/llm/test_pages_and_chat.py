@@ -98,6 +98,18 @@ def test_neighbours_are_those_of_the_whole_host(spark, monkeypatch):
         assert found == {i: f"text {i}" for i in range(1200)}
 
 
+def test_all_copies_of_a_page_lose_the_template(spark, monkeypatch):
+    """A run of equal pages is compared with the pages around it, also where groups are cut in it."""
+    page = lambda body: f"<div>Menu</div><div>{body}</div>"
+    rows = [(0, "http://h/a", page("first")), *((i, "http://h/b", page("copy")) for i in range(1, 100)), (100, "http://h/c", page("last"))]
+    rows += [(200 + i, f"http://only/{i}", page("alone")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    expected = {i: "copy" for i in range(1, 100)} | {0: "first", 100: "last"} | {200 + i: "Menu\nalone" for i in range(20)}
+    for share in (4096, 6):
+        monkeypatch.setattr(pages, "SHARE", share)
+        assert {r.page_id: r.text for r in pages.main_text(df).collect()} == expected
+
+
 # --- 2
 
 
