@@ -1,13 +1,15 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search.
+"""Benchmark decontamination: MinHash containment search by each item's least hashes.
 
 Short test items are looked for inside long documents.  An item is contained where at least 80 in
 100 of its distinct shingles (five words) occur in the document.  MinHash signatures of a short
 item and a long document hardly ever agree, so documents are not sketched to one size; instead
-items are partitioned by the size of their shingle set, and an item of n shingles is represented
-by its floor(0.2 n) + 1 smallest shingle hashes.  A document that contains the item lacks at most
-floor(0.2 n) of its shingles, so it has at least one of these: the search misses nothing.  Each
-partition's largest such hash is a ceiling: shingles of documents above all ceilings are dropped
-at once.  What shares a hash is verified by exact containment of the shingles' words.
+an item of n shingles is represented by its floor(0.2 n) + 1 smallest shingle hashes.  A document
+that contains the item lacks at most floor(0.2 n) of its shingles, so it has at least one of
+these: the search misses nothing.  Items are partitioned by the width of their shingles in words
+(five, or all words of a shorter item), not by the size of their shingle set, so all items of five
+or more words are one partition.  Each partition's largest such hash is a ceiling: shingles of
+documents above it are dropped at once.  What shares a hash is verified by exact containment of
+the shingles' words.
 
 Words are maximal runs of characters other than ASCII marks, white space and controls, of the
 lower-cased text.  Items of fewer than five words are looked for as one run of all their words;
