@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import load
-from .common import BATCH_ROWS, map_batches, n_partitions, small_batches
+from .common import BATCH_ROWS, map_batches, n_partitions
 
 #: The template's control strings, in the order of their reserved ids after the vocabulary's last.
 CONTROLS = ("### System:", "### User:", "### Assistant:", "### Role:", "### Text:", "</turn>")
@@ -139,7 +139,6 @@ def read_back(parts: DataFrame, tokenizer_path: str) -> DataFrame:
     """
     spark = parts.sparkSession
     model = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
-    small_batches(spark, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(model.value)

@@ -1,14 +1,15 @@
-"""Helpers shared by the training-data operators: table access, checkpoints, Arrow batches.
+"""Helpers shared by the training-data operators: table access, intermediate tables, Arrow batches.
 
-Every operator here takes and returns DataFrames.  Operators that run Python on the
-executors receive Arrow record batches of a bounded number of rows and keep no state that
-grows with the partition unless their docstring states the bound.
+Every operator here takes and returns DataFrames.  Operators that run Python on the executors
+receive Arrow record batches, which Spark bounds in rows and in bytes, work on slices of a few
+rows of them and keep no state that grows with the partition unless their docstring states the
+bound.  The session's settings are left as they are.
 """
 
 from __future__ import annotations
 
-import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 
 from spanweave.shipping import ship
 
-#: Rows in one Arrow batch sent to a Python worker.  Texts reach hundreds of kilobytes, so the
-#: default of 10,000 rows could make one batch of gigabytes.
+#: Rows of an Arrow batch that a Python function handles at a time.
 BATCH_ROWS = 512
 
 
@@ -27,36 +27,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch for the queries planned from now on; every operator that
-    runs Python on the executors calls this, so the package is sent to them here.
+def scratch(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables that the cluster names in spark.checkpoint.dir.
+
+    Only a local session, as in tests, may do without; it gets a temporary folder.
     """
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if not getattr(sc, "_spanweave_scratch", None):
+            sc._spanweave_scratch = tempfile.mkdtemp(prefix="spanweave-")
+        named = sc._spanweave_scratch
+    return named.rstrip("/")
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder the cluster names.
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back, which cuts its lineage.
 
-    The folder in ``spark.checkpoint.dir`` is used where it is set; only where it is unset (as
-    in tests on one machine) a temporary folder is made.
+    What is read back survives the loss of executors; ``forget`` deletes it.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(
-            sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spanweave-")
-        )
-    return df.checkpoint(eager=eager)
+    path = f"{scratch(spark)}/spanweave-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._spanweave_path = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that a checkpoint has made needless.
-
-    It does so when the driver's collector finds their plans unused, which may take long by itself.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def forget(*frames: DataFrame | None) -> None:
+    """Delete the tables of frames that ``cut`` gave and that no plan still to run reads."""
+    for df in frames:
+        if path := getattr(df, "_spanweave_path", None):
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 def map_batches(
@@ -65,14 +71,17 @@ def map_batches(
     schema: str,
     rows: int = BATCH_ROWS,
 ) -> DataFrame:
-    """``mapInArrow`` with one function per task: ``make()`` is called on the executor."""
-    small_batches(df.sparkSession, rows)
+    """``mapInArrow`` with one function per task: ``make()`` is called on the executor.
+
+    The function gets ``rows`` rows at a time.
+    """
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            for at in range(0, batch.num_rows, rows):
+                yield step(batch.slice(at, rows))
 
     return df.mapInArrow(run, schema)
 

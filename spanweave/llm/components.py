@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, forget
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     neighbours (large star, then small star), until the links are stars; the rounds grow with the
     logarithm of the graph.  Groups are reduced by min() before each shuffle, joins on a node's
     smallest neighbour are split by adaptive execution where a node has very many links, and each
-    round's links are checkpointed, so nothing is gathered on the driver but two counts.
+    round's links are written as a table that replaces the one before, so nothing is gathered on the driver but two counts.
     """
     a, b = links.columns
     edges = cut(
@@ -30,7 +30,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         down = large.where("u <> v")
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = cut(small.where("u <> v").distinct())
+        before, edges = edges, cut(small.where("u <> v").distinct())
+        forget(before)
         # Links are stars when no centre is itself a leaf; their number and sum then stay.
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == state:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, cut, map_batches, n_partitions, small_batches, table
+from .common import BATCH_ROWS, cut, map_batches, n_partitions, table
 from .urls import host_of, path_of
 
 NOISE, LINE, PROSE = 0, 1, 2
@@ -374,7 +374,6 @@ def main_text(pages: DataFrame) -> DataFrame:
         return step
 
     lined = map_batches(keyed, make, "grp string, path string, page_id long, url string, digest binary, lines array<string>, kinds array<tinyint>, carried boolean")
-    small_batches(spark, BATCH_ROWS)
     dealt = lined.repartition(n_partitions(spark), "grp").sortWithinPartitions("grp", "path", "page_id", "url", "digest")
     return dealt.mapInArrow(_difference, "page_id long, url string, text string")
 

@@ -6,7 +6,8 @@ text is anchored first:
 
 1. Each string of LENGTH bytes has an *anchor*, the leftmost of its GRAM-byte substrings with the
    least hash.  Equal strings have equal anchors at equal offsets, and neighbouring strings mostly
-   share an anchor, so an anchor stands for a run of strings, whose bytes are its *context*.
+   share an anchor, so an anchor stands for a run of strings, whose bytes are its *context*.  One
+   pass over the texts writes a row for each anchor met: hashes, document and place.
 2. Anchors and contexts are counted by hash.  An anchor met once cannot repeat.  A context met more
    than once repeats whole.  The other contexts of anchors that repeat are *open*: some of their
    strings may stand in other contexts of the anchor.
@@ -17,22 +18,29 @@ text is anchored first:
    equal exactly if both sides fall in the same classes at their lengths there.
 4. The removed ranges go back to their texts.
 
-Anchors with very many open contexts would make one task's group too large; their strings are
-counted one by one by their hashes, in Spark, instead.
+Texts are shuffled once, compressed one by one; both the requests for bytes and the removed ranges
+meet them there.  Contexts that repeat whole are told by two 64-bit hashes, that of the anchor and
+XXH3 of the context's bytes and the anchor's place in it; that an anchor's hash may stand for two
+strings does no harm, as the bytes are compared.  Anchors with more than CROWD contexts would make
+one task's group too large; their strings are counted one by one by their hashes, in Spark, instead.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, map_batches, n_partitions, release, small_batches, table, text_of
+from spanweave.shipping import ship
+
+from .common import cut, forget, map_batches, n_partitions, table, text_of
 from .suffixes import suffix_array
 
 LENGTH, GRAM = 200, 32
@@ -41,10 +49,9 @@ SPAN = LENGTH - GRAM + 1
 BLOCK = 4 << 20
 #: Contexts of an anchor beyond which its strings are counted by hash in Spark.
 CROWD = 100_000
-#: Bytes of a bitmap of hashes that may be broadcast; beyond it the hashes are taken in so many
-#: slices, each with a pass over the texts.
-BITMAP_BYTES = 32 << 20
-BITS_EACH = 16
+#: Bits of the filter that tells most anchors met once from the others before they are joined; its
+#: size is the same for every corpus, and what it lets through by chance the join drops.
+FILTER_BITS = 27
 #: Distinct contexts solved at a time.
 CHUNK = 8_192
 RIGHT_BLOCK, LEFT_BLOCK = 50, 56
@@ -107,138 +114,140 @@ def _window_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``k1, k2, text``: two hashes that name a text."""
-    text = text_of()
-    return docs.select(F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("text"), text).alias("k2"), text.alias("text"))
+    """``docs`` with ``__sw_d, __sw_k``, its doc_id (null as 0) and a hash of its text.
+
+    Only rows of one id and one text share the key, so copies of a text are spread by their ids.
+    """
+    return docs.withColumns({"__sw_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__sw_k": F.xxhash64(text_of())})
 
 
-def _occurrences(raw: bytes, k1: int, anchors: Anchors) -> Iterator[tuple[np.ndarray, ...]]:
-    """Hash of the anchor, hash of the context, hash of the occurrence, place, first and end byte."""
-    for at, h, where, first, last in anchors(raw):
-        lead, size = where - first, last - first + LENGTH
-        sums = anchors.sums(np.frombuffer(raw, np.uint8)[at : at + int(last[-1]) + LENGTH])
-        own = (sums[first + size] - sums[first]) * anchors.inverse[first]
-        context = _mix(own + _mix((lead * 1009 + size).astype(np.uint64))).view(np.int64)
-        met = _mix(_mix((at + where).astype(np.uint64)) + np.uint64(k1 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
-        yield h, context, met, at + where, at + first, at + first + size
+#: A context's place in its text in one number: first byte, bytes before the anchor, bytes.
+def _spot(lo: np.ndarray, lead: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return lo << 20 | lead << 10 | size
+
+
+def _read_spot(spot: int) -> tuple[int, int, int]:
+    return spot >> 20, spot >> 10 & 1023, spot & 1023
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def _counts(texts: DataFrame) -> DataFrame:
-    """``anchor, context, n, met``: contexts, how often each occurs, and one occurrence."""
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """``anchor, context, d, k, spot``: a row for each anchor met, from one pass over the texts."""
 
     def make():
-        anchors = Anchors()
+        anchors, digest = Anchors(), xxhash.xxh3_64_intdigest
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [x[:3] for k1, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True) for x in _occurrences(text.encode(), k1, anchors)]
-            return pa.RecordBatch.from_arrays([pa.array(_joined([x[i] for x in found])) for i in range(3)], ["anchor", "context", "met"])
+            found, owner = [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                raw = text.encode()
+                for at, h, where, first, last in anchors(raw):
+                    lo, lead, size = at + first, where - first, last - first + LENGTH
+                    context = [digest(raw[a:b], s) for a, b, s in zip(lo.tolist(), (lo + size).tolist(), lead.tolist(), strict=True)]
+                    found.append((h, np.array(context, np.uint64).view(np.int64), _spot(lo, lead, size)))
+                    owner.append(np.full(len(h), i))
+            of = pa.array(_joined(owner))
+            h, context, spot = (pa.array(_joined([x[i] for x in found])) for i in range(3))
+            return pa.RecordBatch.from_arrays([h, context, batch.column(0).take(of), batch.column(1).take(of), spot], ["anchor", "context", "d", "k", "spot"])
 
         return step
 
-    met = map_batches(texts, make, "anchor long, context long, met long")
-    return met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("met").alias("met"))
+    rows = _keyed(docs).select("__sw_d", "__sw_k", text_of().alias("text"))
+    return map_batches(rows, make, "anchor long, context long, d long, k long, spot long")
 
 
-def _repeating(texts: DataFrame) -> DataFrame:
-    """``_counts`` of anchors met more than once, with the anchor's contexts and how many are open."""
-    each = cut(_counts(texts))
-    per = each.groupBy("anchor").agg(F.sum("n").alias("times"), F.count("*").alias("contexts"), F.count_if(F.col("n") == 1).alias("open"))
-    kept = cut(each.join(per.where("times > 1"), "anchor").select("anchor", "context", "n", "met", "contexts", "open"))
-    release(texts.sparkSession)
-    return kept
+def _of_repeating(met: DataFrame, bits: int) -> DataFrame:
+    """Rows of ``met`` whose anchor is met again, and some others.
 
+    The anchors met again go into a filter of ``1 << bits`` bits by their leading bits, which is
+    broadcast.
+    """
+    again = met.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    at = F.shiftrightunsigned("anchor", 64 - bits)
+    one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - bits}) & 63 as int))")
+    found = again.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    shared = met.sparkSession.sparkContext.broadcast(words)
 
-class Bitmap:
-    """A set of 64-bit hashes by their leading bits; what is not in it is told apart almost always."""
+    def make():
+        filled = shared.value
 
-    def __init__(self, bits: int, words: np.ndarray, slices: int, k: int):
-        self.bits, self.words, self.slices, self.k = bits, words, slices, k
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            bit = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            return batch.filter(pa.array((filled[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)))
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of the hashes in the set, each in one slice alone."""
-        bit = hashes.view(np.uint64) >> np.uint64(64 - self.bits)
-        found = np.flatnonzero(self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))
-        return found if self.slices == 1 else found[hashes[found] % self.slices == self.k]
+        return step
 
+    return map_batches(met, make, met.schema, rows=65_536)
 
-def _bitmaps(hashes: DataFrame, limit: int) -> Iterator[tuple[Bitmap, Column]]:
-    """The hashes (a column ``h``) in bitmaps of at most ``limit`` bytes, with what each covers.
 
-    One bitmap mostly; with more hashes than it may hold, one for each slice of them.
+def _known(met: DataFrame, crowd: int) -> DataFrame:
+    """``anchor, context, n, one, open, crowded``: contexts that are whole or whose anchor has open ones.
+
+    ``n`` is how often the context is met and ``one`` names one of these.
     """
-    hashes = cut(hashes)
-    n = hashes.count()
-    want = max(12, int(np.ceil(np.log2(BITS_EACH * max(1, n)))))
-    bits = min(want, int(np.log2(limit * 8)))
-    slices = 1 << (want - bits)
-    for k in range(slices):
-        mine = F.pmod(F.col("h"), F.lit(slices)) == k
-        at = F.shiftrightunsigned("h", 64 - bits)
-        one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))")
-        found = hashes.where(mine).groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(one).alias("bits")).toArrow()
-        words = np.zeros(1 << (bits - 6), np.uint64)
-        words[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-        yield Bitmap(bits, words, slices, k), mine
-
-
-def _whole(texts: DataFrame, whole: DataFrame, limit: int) -> list[DataFrame]:
-    """Ranges of contexts that repeat whole (``anchor, context``): all of each occurrence."""
-    parts = []
-    for bitmap, mine in _bitmaps(whole.select(F.col("context").alias("h")), limit):
-        shared = texts.sparkSession.sparkContext.broadcast(bitmap)
-
-        def make(shared=shared):
-            anchors, filled = Anchors(), shared.value
-
-            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-                found, owner = [], []
-                for i, (k1, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                    for h, context, _, _, lo, hi in _occurrences(text.encode(), k1, anchors):
-                        keep = filled.has(context)
-                        found.append((h[keep], context[keep], lo[keep], hi[keep]))
-                        owner.append(np.full(len(keep), i))
-                of = pa.array(_joined(owner))
-                h, context, lo, hi = (pa.array(_joined([x[k] for x in found])) for k in range(4))
-                return pa.RecordBatch.from_arrays([h, context, batch.column(0).take(of), batch.column(1).take(of), lo, hi], ["anchor", "context", "k1", "k2", "lo", "hi"])
-
-            return step
-
-        met = map_batches(texts, make, "anchor long, context long, k1 long, k2 long, lo long, hi long")
-        own = whole.withColumn("h", F.col("context")).where(mine).select("anchor", "context")
-        parts.append(met.join(own, ["anchor", "context"]).select("k1", "k2", "lo", "hi"))
-    return parts
-
-
-def _contexts(texts: DataFrame, wanted: DataFrame, limit: int) -> list[DataFrame]:
-    """``anchor, context, lead, k1, k2, at`` of wanted occurrences (``met``), with the context's bytes."""
-    parts = []
-    for bitmap, _ in _bitmaps(wanted.select(F.col("met").alias("h")), limit):
-        shared = texts.sparkSession.sparkContext.broadcast(bitmap)
-
-        def make(shared=shared):
-            anchors, filled = Anchors(), shared.value
-
-            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-                rows, found, owner = [], [], []
-                for i, (k1, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                    raw = text.encode()
-                    for h, _, met, at, lo, hi in _occurrences(raw, k1, anchors):
-                        keep = filled.has(met)
-                        rows += [raw[a:b] for a, b in zip(lo[keep].tolist(), hi[keep].tolist(), strict=True)]
-                        found.append((h[keep], (at - lo)[keep].astype(np.int32), at[keep]))
-                        owner.append(np.full(len(keep), i))
-                of = pa.array(_joined(owner))
-                h, lead, at = (pa.array(_joined([x[k] for x in found])) for k in range(3))
-                return pa.RecordBatch.from_arrays([h, pa.array(rows, pa.binary()), lead.cast(pa.int32()), batch.column(0).take(of), batch.column(1).take(of), at], ["anchor", "context", "lead", "k1", "k2", "at"])
-
-            return step
-
-        parts.append(map_batches(texts, make, "anchor long, context binary, lead int, k1 long, k2 long, at long", rows=256))
-    return parts
+    each = met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.xxhash64("d", "k", "spot")).alias("one"))
+    per = each.groupBy("anchor").agg(F.count("*").alias("contexts"), F.count_if(F.col("n") == 1).alias("alone")).where("contexts > 1 and alone > 0")
+    both = each.join(per, "anchor", "left").where("n > 1 or contexts is not null")
+    return both.select("anchor", "context", "n", "one", F.col("contexts").isNotNull().alias("open"), F.coalesce(F.col("contexts") > crowd, F.lit(False)).alias("crowded"))
+
+
+def _marked(met: DataFrame, known: DataFrame) -> DataFrame:
+    """``__sw_d, __sw_k, __sw_whole, __sw_asked``: of each document its contexts that repeat whole
+    and those whose bytes are needed; at most one of each for each of its anchors.
+    """
+    found = met.join(known, ["anchor", "context"])
+    whole = F.when(F.col("n") > 1, F.col("spot"))
+    asked = F.when(F.col("open") & ((F.col("n") == 1) | (F.col("one") == F.xxhash64("d", "k", "spot"))), F.struct("anchor", "spot", "crowded"))
+    marks = found.groupBy("d", "k").agg(F.collect_list(whole).alias("__sw_whole"), F.collect_list(asked).alias("__sw_asked"))
+    return marks.withColumnsRenamed({"d": "__sw_d", "k": "__sw_k"})
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with its key and, for ``text``, the text compressed as ``__sw_z`` (null: null)."""
+    keyed = _keyed(docs)
+    kept = [c for c in keyed.columns if c != "text"]
+
+    def make():
+        pack = zstandard.ZstdCompressor(level=1)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            z = [None if t is None else pack.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(z, pa.binary())], [*kept, "__sw_z"])
+
+        return step
+
+    return map_batches(keyed, make, T.StructType([*(keyed.schema[c] for c in kept), T.StructField("__sw_z", T.BinaryType())]))
+
+
+CONTEXT = "anchor long, context binary, lead int, crowded boolean, d long, k long, at long"
+
+
+def _contexts(marked: DataFrame) -> DataFrame:
+    """``anchor, context, lead, crowded, d, k, at``: the bytes that documents are asked for."""
+
+    def make():
+        unpack = zstandard.ZstdDecompressor()
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for d, k, z, asked in zip(*(batch.column(c).to_pylist() for c in ("__sw_d", "__sw_k", "__sw_z", "__sw_asked")), strict=True):
+                if asked and z is not None:
+                    raw = unpack.decompress(z)
+                    for one in asked:
+                        lo, lead, size = _read_spot(one["spot"])
+                        rows.append((one["anchor"], raw[lo : lo + size], lead, one["crowded"], d, k, lo + lead))
+            columns = zip(*rows, strict=True) if rows else [[]] * 7
+            types = [pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split()[0] for c in CONTEXT.split(", ")])
+
+        return step
+
+    return map_batches(marked, make, CONTEXT, rows=256)
 
 
 def classes(strings: list[bytes], groups: np.ndarray, block: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -300,13 +309,13 @@ def repeated(contexts: list[bytes], leads: np.ndarray, groups: np.ndarray, weigh
     return found
 
 
-RANGE = "k1 long, k2 long, lo long, hi long"
+RANGE = "d long, k long, lo long, hi long"
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removed ranges of each occurrence, from rows sorted by anchor and context."""
     contexts: list[bytes] = []
-    anchor_of, lead_of, rows = [], [], []  # rows: of each distinct context, (k1, k2, at) of its occurrences
+    anchor_of, lead_of, rows = [], [], []  # rows: of each distinct context, (d, k, at) of its occurrences
     held = 0
 
     def solve(n: int) -> Iterator[pa.RecordBatch]:
@@ -314,7 +323,7 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = np.unique(np.array(anchor_of[:n]), return_inverse=True)[1].ravel()
         weights = np.array([len(r) for r in rows[:n]])
         leads = np.array(lead_of[:n])
-        alone = np.bincount(groups, weights)[groups] < 2  # let through by the bitmap, not repeated
+        alone = np.bincount(groups, weights)[groups] < 2  # no other context of the anchor came
         some = np.flatnonzero(~alone)
         if len(some):
             hit = repeated([contexts[i] for i in some], leads[some], groups[some], weights[some])
@@ -322,9 +331,9 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
             who, o1 = np.nonzero(edge == 1)
             o2 = np.nonzero(edge == -1)[1] - 1
-            out = [(k1, k2, at - b, at - a + LENGTH) for i, a, b in zip(some[who].tolist(), o1.tolist(), o2.tolist(), strict=True) for k1, k2, at in rows[i]]
+            out = [(d, k, at - b, at - a + LENGTH) for i, a, b in zip(some[who].tolist(), o1.tolist(), o2.tolist(), strict=True) for d, k, at in rows[i]]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["k1", "k2", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["d", "k", "lo", "hi"])
         del contexts[:n], anchor_of[:n], lead_of[:n], rows[:n]
 
     for batch in batches:
@@ -351,48 +360,54 @@ def _crowded(contexts: DataFrame) -> DataFrame:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             h, lo, owner = [], [], []
-            for i, (raw, lead, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+            for i, (raw, lead, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("context", "lead", "at")), strict=True)):
                 sums = anchors.sums(np.frombuffer(raw, np.uint8))
                 one = _mix((sums[LENGTH:] - sums[:-LENGTH]) * anchors.inverse[: len(raw) - LENGTH + 1])
                 h.append(one.view(np.int64))
                 lo.append(at - lead + np.arange(len(one)))
                 owner.append(np.full(len(one), i))
-            of = pa.array(np.concatenate(owner))
-            return pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(np.concatenate(h)), batch.column(3).take(of), batch.column(4).take(of), pa.array(np.concatenate(lo))], ["anchor", "string", "k1", "k2", "lo"])
+            of = pa.array(_joined(owner))
+            return pa.RecordBatch.from_arrays([batch.column("anchor").take(of), pa.array(_joined(h)), *(batch.column(c).take(of) for c in ("d", "k")), pa.array(_joined(lo))], ["anchor", "string", "d", "k", "lo"])
 
         return step
 
-    strings = map_batches(contexts, make, "anchor long, string long, k1 long, k2 long, lo long", rows=256)
+    strings = map_batches(contexts, make, "anchor long, string long, d long, k long, lo long", rows=256)
     often = strings.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "string")
-    return strings.join(often, ["anchor", "string"]).select("k1", "k2", "lo", (F.col("lo") + LENGTH).alias("hi"))
+    return strings.join(often, ["anchor", "string"]).select("d", "k", "lo", (F.col("lo") + LENGTH).alias("hi"))
 
 
-def repeated_ranges(docs: DataFrame, crowd: int = CROWD, bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
-    """``k1, k2, ranges``: for each text (by its two hashes) the byte ranges that repeat.
+def with_ranges(docs: DataFrame, crowd: int = CROWD, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``docs`` without ``text`` but with ``__sw_z`` (the text, compressed), ``__sw_whole`` and
+    ``__sw_ranges``: its contexts that repeat whole, and the other byte ranges that repeat.
 
-    Ranges of a text are distinct and may overlap.
+    Ranges may overlap.  The two intermediate tables that the plan returned still reads stay in the
+    shared folder; those before are deleted.
     """
     spark = docs.sparkSession
-    texts = _keyed(docs)
-    known = _repeating(texts)
-    found = reduce(DataFrame.union, _whole(texts, known.where("n > 1").select("anchor", "context"), bitmap_bytes))
-    wanted = known.where("open > 0 and contexts > 1")
-    crowds = known.where(F.col("contexts") > crowd).select("anchor").distinct()
-    crowded = not crowds.isEmpty()
+    ship(spark)
+    all_met = cut(_occurrences(docs))
+    met = cut(_of_repeating(all_met, filter_bits))
+    forget(all_met)
+    known = cut(_known(met, crowd))
+    marked = _packed(docs).join(_marked(met, known), ["__sw_d", "__sw_k"], "left")
+    sides = _contexts(marked)
+    crowded = not known.where("crowded").isEmpty()
+    if crowded:
+        sides = cut(sides)
     width = max(n_partitions(spark), 3 * spark.sparkContext.defaultParallelism)
-    sides = reduce(DataFrame.union, _contexts(texts, wanted, bitmap_bytes))
+    small = sides.where("not crowded") if crowded else sides
+    found = small.select("anchor", "context", "lead", "d", "k", "at").repartition(width, "anchor").sortWithinPartitions("anchor", "context", "lead").mapInArrow(_ranges, RANGE)
     if crowded:
-        found = found.union(_crowded(sides.join(crowds, "anchor", "left_semi").select("anchor", "context", "lead", "k1", "k2", "at")))
-        sides = sides.join(crowds, "anchor", "left_anti")
-    small_batches(spark, 4096)
-    solved = sides.repartition(width, "anchor").sortWithinPartitions("anchor", "context", "lead").mapInArrow(_ranges, RANGE)
-    return found.union(solved).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        found = found.union(_crowded(sides.where("crowded")))
+    ranges = found.groupBy(F.col("d").alias("__sw_d"), F.col("k").alias("__sw_k")).agg(F.collect_set(F.struct("lo", "hi")).alias("__sw_ranges"))
+    return marked.join(ranges, ["__sw_d", "__sw_k"], "left")
 
 
-def merged(ranges: list[dict] | None, n: int) -> list[tuple[int, int]]:
-    """Maximal runs of the ranges' bytes."""
+def merged(whole: list[int] | None, ranges: list[dict] | None) -> list[tuple[int, int]]:
+    """Maximal runs of bytes of whole contexts and of ranges."""
     out: list[tuple[int, int]] = []
-    for lo, hi in sorted((r["lo"], min(n, r["hi"])) for r in ranges or ()):
+    of_whole = [(lo, lo + size) for lo, _, size in map(_read_spot, whole or ())]
+    for lo, hi in sorted(of_whole + [(r["lo"], r["hi"]) for r in ranges or ()]):
         if out and lo <= out[-1][1]:
             out[-1] = out[-1][0], max(hi, out[-1][1])
         else:
@@ -405,14 +420,6 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``docs`` with the ranges of their texts; texts copied very often are split by adaptive execution."""
-    named = ranges.select(F.col("k1").alias("__sw_k1"), F.col("k2").alias("__sw_k2"), F.col("ranges").alias("__sw_ranges"))
-    text = text_of()
-    keyed = docs.withColumn("__sw_k1", F.xxhash64(text)).withColumn("__sw_k2", F.xxhash64(F.lit("text"), text))
-    return keyed.join(named, ["__sw_k1", "__sw_k2"], "left")
-
-
 def remove_repeats(docs: DataFrame, **limits) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row of ``docs``.
 
@@ -424,47 +431,51 @@ def remove_repeats(docs: DataFrame, **limits) -> DataFrame:
     rows repeat each other.  Very long texts are anchored block by block.  Empty table: empty
     result.  Other columns are dropped.
     """
-    ranges = repeated_ranges(docs, **limits)
-    joined = _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), ranges)
+    marked = with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), **limits)
 
     def make():
+        unpack = zstandard.ZstdDecompressor()
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
-            for doc, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = text.encode()
-                spans = merged(ranges, len(raw))
+            for doc, z, whole, ranges in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "__sw_z", "__sw_whole", "__sw_ranges")), strict=True):
+                raw = unpack.decompress(z)
+                spans = merged(whole, ranges)
                 rows.append((doc, len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept_bytes(raw, spans)).hexdigest()))
             types = [pa.int64()] * 4 + [pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
         return step
 
-    return map_batches(joined.select("doc_id", "text", "__sw_ranges"), make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_batches(marked, make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def strip_repeats(docs: DataFrame) -> DataFrame:
+def strip_repeats(docs: DataFrame, **limits) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` and ``n_chars`` counted anew.
 
-    A character that a removed range cuts goes whole.  Null texts stay null; all rows stay.
+    A character that a removed range cuts goes whole.  Null texts stay null; all rows stay, repeated
+    ones too, whose texts repeat each other.  Very long texts are anchored block by block.  Empty
+    table: empty result.  All other columns stay as they are, whatever their names; ``n_chars`` is
+    counted only where there is such a column of longs.
     """
-    joined = _with_ranges(docs, repeated_ranges(docs))
+    marked = with_ranges(docs, **limits)
     names = docs.columns
 
     def make():
+        unpack = zstandard.ZstdDecompressor()
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, counts = [], []
-            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("__sw_ranges").to_pylist(), strict=True):
-                if ranges and text is not None:
-                    raw = text.encode()
-                    text = kept_bytes(raw, merged(ranges, len(raw))).decode("utf-8", "ignore")
-                texts.append(text)
-                counts.append(None if text is None else len(text))
+            for z, whole, ranges in zip(*(batch.column(c).to_pylist() for c in ("__sw_z", "__sw_whole", "__sw_ranges")), strict=True):
+                raw = None if z is None else unpack.decompress(z)
+                texts.append(None if raw is None else kept_bytes(raw, merged(whole, ranges)).decode("utf-8", "ignore"))
+                counts.append(None if raw is None else len(texts[-1]))
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(counts, pa.int64())}
             return pa.RecordBatch.from_arrays([new[c] if c == "text" or c == "n_chars" and pa.types.is_int64(batch.column(c).type) else batch.column(c) for c in names], names)
 
         return step
 
-    return map_batches(joined.select(*names, "__sw_ranges"), make, docs.schema)
+    return map_batches(marked, make, docs.schema)
 
 
 def run(spark, sf_dir: str) -> DataFrame:

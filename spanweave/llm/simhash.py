@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, cut, map_batches, n_partitions, small_batches, table, text_of
+from .common import cut, forget, map_batches, n_partitions, table, text_of
 from .components import components
 
 #: Widths of the segments, lowest bits first.
@@ -178,13 +178,11 @@ def balls(fps: DataFrame) -> DataFrame:
 def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) that connect just the distinct fingerprints ``fp`` that links of BITS connect."""
     spark = fps.sparkSession
-    small_batches(spark, 65_536)
     width = max(n_partitions(spark), 3 * spark.sparkContext.defaultParallelism)
     dealt = variants(fps).repartition(width, "key").sortWithinPartitions("key")
     found = cut(dealt.mapInArrow(_linked, "a long, b long"))
     crowd = cut(found.where("b is null").select(F.col("a").alias("fp")).distinct())
     pairs = found.where("b is not null")
-    small_batches(spark, BATCH_ROWS)
     return pairs if crowd.isEmpty() else pairs.union(balls(crowd))
 
 

@@ -232,7 +232,7 @@ def passages():
     return [*texts, "ab" * 400, "x" * 1000, None, "", texts[3], texts[3], "y" * 199, "y" * 200]
 
 
-@pytest.mark.parametrize("limits", [{}, {"crowd": 3}, {"bitmap_bytes": 64}])
+@pytest.mark.parametrize("limits", [{}, {"crowd": 3}, {"filter_bits": 6}])
 def test_repeats(spark, limits):
     texts = passages()
     df = documents(spark, list(enumerate(texts))).repartition(3)
