@@ -12,8 +12,9 @@ does not depend on the vocabulary.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from operator import eq
 
 import numpy as np
@@ -31,8 +32,10 @@ SHAPE_N = (1, 2, 3)
 #: Labelled rows to fit on, at most so many of each class: those with the smallest hashes of
 #: doc_id.  The bound keeps the fit in one task whatever the size of the corpus.
 FIT_ROWS_PER_CLASS = 2_000
-#: Code points of a text turned into n-grams at a time, and how far the next ones reach back.
-BLOCK, REACH = 1 << 18, 200
+#: Code points of a text turned into n-grams at a time, or more where no white space stands between;
+#: n-grams across a cut are kept, so the indicators do not depend on it.
+BLOCK = 1 << 18
+SPACE = re.compile(r"\s")
 THRESHOLD = 0.3
 
 
@@ -67,10 +70,10 @@ class Shapes(dict):
         self[word] = shape = 1 + case + 4 * tail + 32 * (not bare) + 64 * min(3, len(word) - len(bare))
         return shape
 
-    def of(self, words: list[str]) -> np.ndarray:
-        """Shapes of a row of words, with a mark on words that repeat the one before."""
+    def of(self, words: list[str], before: str | None = None) -> np.ndarray:
+        """Shapes of a row of words that follow ``before``, with a mark on words that repeat the one before."""
         shape = np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
-        shape[1:] += np.fromiter(map(eq, words[1:], words), np.bool_, max(0, len(words) - 1)) * np.uint32(16)
+        shape += np.fromiter(map(eq, words, [before, *words[:-1]]), np.bool_, len(words)) * np.uint32(16)
         return shape
 
 
@@ -82,18 +85,23 @@ class Extractor:
 
     def __call__(self, text: str) -> np.ndarray:
         if len(text) <= BLOCK:
-            return self.block(text)
-        parts = (self.block(text[max(0, at - REACH) : at + BLOCK]) for at in range(0, len(text), BLOCK))
+            return self.block(self.codes(text), self.shapes.of(text.split()))
         found = np.zeros(SLOTS, bool)
-        for part in parts:
-            found[part] = True
+        codes, shapes, word = np.empty(0, np.uint32), np.empty(0, np.uint32), None
+        for part in pieces(text):
+            words = part.split()
+            codes, shapes = np.r_[codes[-2:], self.codes(part)], np.r_[shapes[-2:], self.shapes.of(words, word)]
+            found[self.block(codes, shapes)] = True
+            word = words[-1] if words else word
         return np.flatnonzero(found).astype(np.uint32)
 
-    def block(self, text: str) -> np.ndarray:
-        low = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-        words = self.shapes.of(text.split())
+    @staticmethod
+    def codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
+
+    def block(self, codes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         found = []
-        for values, sizes, base, bits, first in ((low, CHAR_N, 257, CHAR_BITS, 0), (words, SHAPE_N, 1021, SHAPE_BITS, 1 << CHAR_BITS)):
+        for values, sizes, base, bits, first in ((codes, CHAR_N, 257, CHAR_BITS, 0), (shapes, SHAPE_N, 1021, SHAPE_BITS, 1 << CHAR_BITS)):
             for n in sizes:
                 if len(values) >= n:
                     h = values[: len(values) - n + 1] + np.uint32(n << 24)
@@ -103,6 +111,20 @@ class Extractor:
         return _once(np.concatenate(found), self.seen) if found else np.empty(0, np.uint32)
 
 
+def pieces(text: str) -> Iterator[str]:
+    """The text in pieces of about BLOCK code points that each begin with white space, but for the first."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > BLOCK:
+            end = max(text.rfind(" ", at + 1, at + BLOCK), text.rfind("\n", at + 1, at + BLOCK))
+            if end < 0:
+                cut = SPACE.search(text, at + BLOCK)
+                end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def fit(rows: Iterable[tuple[np.ndarray, int]], cost: float = 1.0, rounds: int = 12, seed: int = 0) -> dict[str, np.ndarray | float]:
     """Weights, bias and sigmoid of an NB-SVM fitted on (indicator slots, label) rows.
 
@@ -189,20 +211,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
     The chosen labels are a bounded number of rows and broadcast; indicators are made where the
     texts are, and one task fits the model, which is all that reaches the driver.  Rows with a
-    null id or label are not used; a doc_id with several labels counts with each.
+    null id or label are not used; a doc_id with both labels counts with each.  Of the rows of
+    ``docs`` that share a doc_id one text is used, that of the smallest hash, so the fit is bounded
+    however often ids repeat.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(label) != 0).cast("int").alias("y"))
     usable = usable.where("doc_id is not null and y is not null").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = usable.where("y = 0").orderBy(by_hash).limit(per_class).union(usable.where("y = 1").orderBy(by_hash).limit(per_class))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen.distinct()), "doc_id")
+    rows = rows.select("doc_id", "y", F.xxhash64("text").alias("h"), "text")
 
     def make():
         extract = Extractor()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [extract(t).astype(np.int32) for t in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "y", "slots"])
+            sets = [extract(t).astype(np.int32) for t in batch.column(3).to_pylist()]
+            return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "y", "h", "slots"])
 
         return step
 
@@ -213,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
         numbers = [[float(m[k])] for k in ("bias", "slope", "offset")]
         yield pa.RecordBatch.from_arrays([pa.array([m["w"].astype("<f8").tobytes()], pa.binary()), *map(pa.array, numbers)], ["w", "bias", "slope", "offset"])
 
-    sets = map_batches(rows, make, "doc_id long, y int, slots array<int>")
+    sets = map_batches(rows, make, "doc_id long, y int, h long, slots array<int>").groupBy("doc_id", "y").agg(F.min_by("slots", "h").alias("slots"))
     row = sets.repartition(1).mapInArrow(solve, "w binary, bias double, slope double, offset double").first()
     return {"w": np.frombuffer(row["w"], "<f8"), "bias": row["bias"], "slope": row["slope"], "offset": row["offset"]}
 
@@ -243,7 +268,12 @@ def score_documents(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: dict) -> DataFrame:
-    """The rows of ``docs`` that the model doesn't reject, with all their columns."""
+    """The rows of ``docs`` that the model doesn't reject, with all their columns.
+
+    Each row is scored by its whole text alone, however long.  Null text: as empty, with the score of
+    the model's constant.  Repeated rows: a row each.  Empty table: empty result.  Columns stay as
+    they are, whatever their names; no shuffle.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

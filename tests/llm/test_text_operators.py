@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import json
+import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -110,11 +112,96 @@ def test_quality_edges(spark, edge, none):
     assert quality.keep_good(edge, constant).count() == len(EDGE) and quality.keep_good(edge, constant).columns == edge.columns
 
 
-def test_quality_long_texts_keep_all_indicators(monkeypatch):
-    text = "The Quick brown fox!! jumps 12 over *** it. " * 30
-    whole = set(quality.Extractor()(text).tolist())
-    monkeypatch.setattr(quality, "BLOCK", 64)
-    assert whole <= set(quality.Extractor()(text).tolist())
+def test_quality_cuts_change_no_indicator(monkeypatch):
+    rng = random.Random(8)
+    texts = ["The Quick brown fox!! jumps jumps 12 over *** it.\n" * 30, "x" * 500, " " * 300, "a " * 200, "ΑΣ ΑΣ, " * 60]
+    texts += ["".join(rng.choice(["a", "B", "é", " ", "  ", "\u2003", "\n", "!", "same "]) for _ in range(rng.randint(0, 900))) for _ in range(60)]
+    whole = [sorted(quality.Extractor()(t).tolist()) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(quality, "BLOCK", size)
+        assert [sorted(quality.Extractor()(t).tolist()) for t in texts] == whole
+
+
+def plain_slots(text):
+    """Indicators of a text, one n-gram after the other."""
+    found, full = set(), 1 << 32
+
+    def add(values, n, base, bits, first):
+        for i in range(len(values) - n + 1):
+            h = values[i] + (n << 24)
+            for v in values[i + 1 : i + n]:
+                h = (h * base + v) % full
+            found.add(first + (((h ^ h >> 15) * int(quality.MIX) % full) >> 32 - bits))
+
+    shapes = []
+    words = text.split()
+    for i, word in enumerate(words):
+        bare = word.strip(quality.MARKS)
+        case = 0 if word.islower() else 1 if word.isupper() else 2 if bare.istitle() else 3
+        tail = 0 if word[-1] not in quality.MARKS else 1 if word[-1] in quality.STOPS else 2
+        shapes.append(1 + case + 4 * tail + 16 * (i > 0 and words[i - 1] == word) + 32 * (not bare) + 64 * min(3, len(word) - len(bare)))
+    add(list(text.lower().encode()), 3, 257, quality.CHAR_BITS, 0)
+    for n in (1, 2, 3):
+        add(shapes, n, 1021, quality.SHAPE_BITS, 1 << quality.CHAR_BITS)
+    return found
+
+
+def plain_svm(sets, y, rng):
+    """NB-SVM by plain loops: (weight of each indicator, bias)."""
+    count = {1: collections.Counter(), -1: collections.Counter()}
+    for x, s in zip(sets, y, strict=True):
+        count[s].update(x)
+    total = {s: quality.SLOTS + sum(c.values()) for s, c in count.items()}
+    ratio = lambda f: math.log((count[1][f] + 1) / total[1]) - math.log((count[-1][f] + 1) / total[-1])
+    rows = [{f: ratio(f) / max(1, len(x)) ** 0.5 for f in x} for x in sets]
+    upper = {1: 1.0, -1: y.count(1) / y.count(-1)}
+    alpha, w, bias = [0.0] * len(y), collections.defaultdict(float), 0.0
+    for _ in range(12):
+        for i in rng.permutation(len(y)):
+            gradient = y[i] * (sum(w[f] * v for f, v in rows[i].items()) + bias) - 1
+            new = min(max(alpha[i] - gradient / (sum(v * v for v in rows[i].values()) + 1), 0.0), upper[y[i]])
+            step, alpha[i] = (new - alpha[i]) * y[i], new
+            for f, v in rows[i].items():
+                w[f] += step * v
+            bias += step
+    return {f: v * ratio(f) for f, v in w.items()}, bias
+
+
+def plain_scores(docs, labels):
+    """Scores of {doc_id: text} by an NB-SVM fitted on {doc_id: label}; sigmoid by bisection."""
+    sets = {i: plain_slots(t or "") for i, t in docs.items()}
+    use = sorted((i for i in labels if i in docs and zlib.crc32(str(i).encode()) % 5), key=lambda i: (zlib.crc32(str(i).encode()), i))
+    y, rng = [1 if labels[i] else -1 for i in use], np.random.default_rng(0)
+    margin = lambda model, x: sum(model[0].get(f, 0.0) for f in x) / max(1, len(x)) ** 0.5 + model[1]
+    folds = (np.arange(len(y)) % 3)[rng.permutation(len(y))].tolist()
+    margins = [0.0] * len(y)
+    for k in range(3):
+        inside = [j for j in range(len(y)) if folds[j] != k]
+        model = plain_svm([sets[use[j]] for j in inside], [y[j] for j in inside], rng)
+        for j in range(len(y)):
+            if folds[j] == k:
+                margins[j] = margin(model, sets[use[j]])
+    model = plain_svm([sets[i] for i in use], y, rng)
+    slope, offset = quality._sigmoid(np.array(margins), np.array(y))
+    return {i: 1 / (1 + math.exp(-(slope * margin(model, x) + offset))) for i, x in sets.items()}
+
+
+def test_quality_query_equals_a_plain_classifier(spark, sf, texts):
+    labels = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    expected = plain_scores(texts, labels)
+    rows = quality.run(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert abs(r.score - expected[r.doc_id]) < 1e-6 and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_quality_fit_is_bounded_when_ids_repeat(spark):
+    docs = documents(spark, [(i % 3, f"text number {i}") for i in range(600)])
+    labels = spark.createDataFrame([(i % 3, i % 2, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    once = documents(spark, [(i % 3, f"text number {i}") for i in range(600)]).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    model, same = quality.train(docs, labels), quality.train(once, labels)
+    assert np.array_equal(model["w"], same["w"]) and model["bias"] == same["bias"]
+    assert quality.score_documents(docs, model).count() == 600
 
 
 # --- 6
@@ -170,21 +257,46 @@ def test_simhash_edges(edge, none):
     assert kept.columns == edge.columns and kept.count() == len({c for _, _, c in expected})
 
 
-def test_simhash_crowds_are_linked_by_balls(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [4096, 20, 3])
+def test_simhash_crowds_are_linked_whole(spark, crowd):
+    """With 20 crowded keys are cut by further segments, with 3 those of them that stay crowded by balls."""
     rng = random.Random(3)
     centre = rng.getrandbits(64)
     fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(150)} | {rng.getrandbits(64) for _ in range(50)}
+    fps |= {centre ^ (rng.getrandbits(20) << shift) for shift in (0, 22, 43) for _ in range(40)}
     signed = [(x - (1 << 64) if x >> 63 else x,) for x in fps]
-    df = spark.createDataFrame(signed, "fp long")
+    df = spark.createDataFrame(signed, "fp long").repartition(2)
 
     def groups(links):
         roots = dict(components(links).collect())
         return sorted(sorted(x for x in (f[0] for f in signed) if roots.get(x, x) == r) for r in {roots.get(f[0], f[0]) for f in signed})
 
-    plain = groups(simhash.links(df))
-    assert len(plain) < len(fps)
-    found = df.repartition(2).select("fp")
-    assert groups(simhash.balls(found)) == plain
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in fps:
+        for y in fps:
+            if (x ^ y).bit_count() <= 4:
+                root[find(x)] = find(y)
+    plain = collections.defaultdict(list)
+    for x in fps:
+        plain[find(x)].append(x - (1 << 64) if x >> 63 else x)
+    plain = sorted(sorted(g) for g in plain.values())
+    assert 1 < len(plain) < len(fps)
+    assert groups(simhash.links(df, crowd)) == plain
+    if crowd == 3:
+        assert groups(simhash.balls(df)) == plain
+
+
+def test_simhash_of_a_very_long_text(monkeypatch):
+    text = " ".join(f"W{i % 977}" for i in range(70_000))
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+    monkeypatch.setattr(simhash, "BLOCK", 1000)
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
 def test_components_of_a_path_and_a_star(spark):
@@ -287,6 +399,34 @@ def test_decontamination(spark, edge, none, limit):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.where("doc_id > 5").collect()) == [6, 7, 8, 9, 10, 21]
 
 
+def test_items_are_partitioned_by_the_size_of_their_sets():
+    rng = random.Random(4)
+    sizes = [1, 2, 3, 7, 8, 40, 500, 1996]
+    items = decontaminate.Items([(n, " ".join(f"w{rng.getrandbits(60)}" for _ in range(n + 4))) for n in sizes])
+    assert set(items.keys) == {(5, int(math.log2(n))) for n in sizes}
+    ceilings = items.partitions.ceilings[5]
+    assert max(ceilings[b] for b in (8, 10)) < 0.3 * 2**64  # the large ones' hashes are the lowest fifth
+    words = decontaminate.word_hashes(" ".join(f"v{rng.getrandbits(60)}" for _ in range(5000)))
+    found = list(items.partitions.look(words))
+    assert {band for _, band, _ in found} <= set(ceilings) and sum(len(h) for *_, h in found) < 200  # of 4,996
+    few = decontaminate.word_hashes(" ".join(f"v{i}" for i in range(30)))
+    assert all(band <= 5 for _, band, _ in items.partitions.look(few))
+
+
+def test_very_long_texts_and_words_are_taken_whole(spark, monkeypatch):
+    rng = random.Random(6)
+    text = " ".join(rng.choice(["a", "éé", "x" * 700, "b1,c2", "—"]) for _ in range(400))
+    whole = decontaminate.word_hashes(text).tolist()
+    assert len(whole) == len(decontaminate.WORDS.findall(text.lower()))
+    for size in (16, 64, 1000):
+        monkeypatch.setattr(decontaminate, "BLOCK", size)
+        assert decontaminate.word_hashes(text).tolist() == whole
+    passage = "one two three four five six seven eight nine ten"
+    rows = [(1, "y" * 1_500_000 + " " + passage), (2, "word " * 300_000 + passage), (3, "word " * 300_000)]
+    found = decontaminate.contained_items(documents(spark, rows), spark.createDataFrame([(7, passage), (8, "y" * 1_500_000)], "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 7), (1, 8), (2, 7)]
+
+
 # --- 4
 
 
@@ -318,7 +458,7 @@ def check_fingerprints(rows, found):
             assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
             assert r.near_edited == pytest.approx(plain_jaccard(plain_signatures(text), plain_signatures(edited)))
             assert r.near_next == pytest.approx(plain_jaccard(plain_signatures(text), plain_signatures(after)))
-            assert len(r.fingerprint) == 8 * len(plain_signatures(text))
+            assert len(r.fingerprint) == 16 * len(plain_signatures(text))
 
 
 def test_fingerprints(spark, texts, edge, none):
@@ -329,6 +469,10 @@ def test_fingerprints(spark, texts, edge, none):
     found = spotsigs.fingerprints(edge).collect()
     assert len(found) == len(EDGE) and spotsigs.fingerprints(none).count() == 0
     check_fingerprints(EDGE, found)
+    far = [(-(1 << 63), "of the lowest id there is"), (0, "an id of zero beside no id at all"), (None, "an id of zero beside no id at all"), ((1 << 63) - 1, "the dog and a cat " * 30_000)]
+    found = spotsigs.fingerprints(documents(spark, far)).collect()
+    assert {r.doc_id for r in found} == {i for i, _ in far}
+    check_fingerprints(far, found)
 
 
 def test_similar_texts(spark, texts):
