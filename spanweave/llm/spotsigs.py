@@ -28,11 +28,12 @@ ANCHORS = (
 CHAIN = 2
 LIKE = 0.8
 GLUE = "\x01"
-LOWEST = -(1 << 63)
+#: What names a text in the order of documents: whether its id is null, its id, its hash.
+KEY = ("no_id", "d", "h")
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFrame:
-    """``df`` with ``out``, the sorted set of signatures (32-bit hashes) of the column ``text``.
+    """``df`` with ``out``, the sorted set of signatures (64-bit hashes) of the column ``text``.
 
     A text without any signature has the hash of all its words as its only one, so texts without
     common words are alike only if their words are equal; a text without words has the empty set.
@@ -46,7 +47,7 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> D
     def signed(token: Column, i: Column) -> Column:
         follow = F.array_join(F.slice(F.col(content), i + 1, chain), " ")
         anchors = F.array_distinct(F.split(F.call_function("substring_index", token, F.lit(GLUE), F.size(F.split(token, GLUE)) - 1), GLUE))
-        return F.when(F.instr(token, GLUE) > 0, F.transform(anchors, lambda a: F.hash(a, follow))).otherwise(F.array().cast("array<int>"))
+        return F.when(F.instr(token, GLUE) > 0, F.transform(anchors, lambda a: F.xxhash64(a, follow))).otherwise(F.array().cast("array<long>"))
 
     whole = F.filter(F.col(content), lambda c: c != "")
     df = df.withColumn(words, plain).withColumn(tokens, F.split(F.rtrim(glued), " "))
@@ -54,13 +55,13 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> D
     # A chain that runs off the end of the text is no signature.
     spots = F.transform(F.slice(F.col(tokens), 1, F.greatest(F.size(content) - (chain - 1), F.lit(0))), signed)
     df = df.withColumn(signs, F.sort_array(F.array_distinct(F.flatten(spots))))
-    none = F.when(F.col(words) == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(words)))
+    none = F.when(F.col(words) == "", F.array().cast("array<long>")).otherwise(F.array(F.xxhash64(words)))
     return df.withColumn(out, F.when(F.size(signs) > 0, F.col(signs)).otherwise(none)).drop(words, tokens, content, signs)
 
 
 def fingerprint(signs: str) -> Column:
-    """The set written out, eight hex digits for each signature, in order."""
-    return F.array_join(F.transform(signs, lambda h: F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+    """The set written out, sixteen hex digits for each signature, in order."""
+    return F.array_join(F.transform(signs, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
 def jaccard(a: str, b: str) -> Column:
@@ -70,23 +71,23 @@ def jaccard(a: str, b: str) -> Column:
 
 
 def before_each(docs: DataFrame) -> DataFrame:
-    """``d, h, prev_d, prev_h, prev_n``: of each distinct (doc_id, text), the one before it.
+    """KEY of each distinct (doc_id, text), with ``prev``: KEY and length of the one before it.
 
-    The order is that of descending doc_id (nulls last, as the least long), ties by text hash, and
-    closes to a ring: before the first comes the last.  Only ids, hashes and lengths are ordered,
-    in ranges; ranges are joined through their first and last rows, as many as partitions.
+    The order is that of descending doc_id (nulls last), ties by text hash, and closes to a ring:
+    before the first comes the last.  Only ids, hashes and lengths are ordered, in ranges; ranges
+    are joined through their first and last rows, as many as partitions.
     """
     spark = docs.sparkSession
-    ids = docs.groupBy("d", "h").agg(F.max(F.length("text")).alias("n"))
-    order = [F.desc("d"), F.asc("h")]
+    ids = docs.groupBy(*KEY).agg(F.max(F.length("text")).alias("n"))
+    order = [F.asc("no_id"), F.desc("d"), F.asc("h")]
+    row = F.struct(*KEY, "n")
     ranged = cut(ids.repartitionByRange(n_partitions(spark), *order).withColumn("range", F.spark_partition_id()))
-    ends = ranged.groupBy("range").agg(F.max_by(F.struct("d", "h", "n"), F.struct(-F.col("d").cast("decimal(20,0)"), "h")).alias("last"))
+    ends = ranged.groupBy("range").agg(F.max_by(row, F.struct("no_id", -F.col("d").cast("decimal(20,0)"), "h")).alias("last"))
     ring = W.partitionBy(F.lit(0)).orderBy("range")
     ends = ends.select(F.col("range").alias("of"), F.coalesce(F.lag("last").over(ring), F.last("last").over(ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("end"))
-    inside = ranged.withColumn("prev", F.lag(F.struct("d", "h", "n")).over(W.partitionBy("range").orderBy(*order)))
+    inside = ranged.withColumn("prev", F.lag(row).over(W.partitionBy("range").orderBy(*order)))
     # As many rows as partitions: broadcast.
-    known = inside.join(F.broadcast(ends), inside["range"] == ends["of"]).withColumn("prev", F.coalesce("prev", "end"))
-    return known.select("d", "h", F.col("prev.d").alias("prev_d"), F.col("prev.h").alias("prev_h"), F.col("prev.n").alias("prev_n"))
+    return inside.join(F.broadcast(ends), inside["range"] == ends["of"]).select(*KEY, F.coalesce("prev", "end").alias("prev"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -98,20 +99,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Null text: as empty.  Null doc_id: after all others.  Repeated rows (doc_id and text) count
     once in the order and get equal results.  A single document is its own next.  Empty table:
-    empty result.  Other columns are dropped.  Texts are shuffled once by id; each then sends its
-    signatures and the part needed to the document before it.
+    empty result.  Other columns are dropped.  Each text is signed once, before it is shuffled by its
+    id; each then sends its signatures and the part needed to the document before it.
     """
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("d"), text_of().alias("text"))
-    keyed = keyed.select("d", F.xxhash64("text").alias("h"), "text")
-    links = before_each(keyed)
-    sent = keyed.join(links, ["d", "h"]).select("prev_d", "prev_h", "text", F.expr("substring(text, 1, prev_n div 2)").alias("part"))
-    sent = with_signatures(sent, "text", "next_signs").select("prev_d", "prev_h", "part", "next_signs")
-    sent = sent.groupBy("prev_d", "prev_h").agg(F.first("part").alias("part"), F.first("next_signs").alias("next_signs"))
-    both = keyed.join(sent, (keyed.d == sent.prev_d) & (keyed.h == sent.prev_h)).withColumn("n", F.length("text"))
-    both = both.withColumn("edited", F.expr("concat(substring(text, 1, n - n div 2), part)"))
-    both = with_signatures(with_signatures(both, "text", "signs"), "edited", "edited_signs")
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.select(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("d"), text_of().alias("text"))
+    keyed = keyed.select("no_id", "d", F.xxhash64("text").alias("h"), "text")
+    signed = with_signatures(keyed, "text", "signs")
+    sent = signed.join(before_each(keyed), list(KEY)).select(*(F.col(f"prev.{k}").alias(f"prev_{k}") for k in KEY), F.expr("substring(text, 1, prev.n div 2)").alias("part"), F.col("signs").alias("next_signs"))
+    sent = sent.groupBy(*(f"prev_{k}" for k in KEY)).agg(F.first("part").alias("part"), F.first("next_signs").alias("next_signs"))
+    both = signed.join(sent, [signed[k] == sent[f"prev_{k}"] for k in KEY]).withColumn("n", F.length("text"))
+    both = with_signatures(both.withColumn("edited", F.expr("concat(substring(text, 1, n - n div 2), part)")), "edited", "edited_signs")
     return both.select(
-        F.when(F.col("d") != LOWEST, F.col("d")).alias("doc_id"),
+        F.when(~F.col("no_id"), F.col("d")).alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("signs").alias("fingerprint"),
@@ -128,7 +128,11 @@ def similar_texts(docs: DataFrame, threshold: float = LIKE) -> DataFrame:
     one set.  A set of length n can be alike only one of length threshold*n to n/threshold: sets
     are partitioned by length, in steps of 1/threshold, and each is joined with its own partition
     and the next.  Within it, sets are joined on their rarest signatures, the fewest that a similar
-    set cannot all lack, and each pair is compared once, at the first signature the two share.
+    set cannot all lack, and pairs are compared once.
+
+    Null, empty and wordless texts have the empty set and are in no pair.  Very long texts are signed
+    whole.  Repeated rows and equal texts are one set.  Empty table: empty result.  Other columns are
+    dropped.
     """
     # Cut before the filter, which would otherwise be pushed below the steps and repeat them.
     sets = cut(class_of(docs).select("name", "signs")).where("size(signs) > 0").dropDuplicates(["name"])
@@ -147,7 +151,11 @@ def similar_texts(docs: DataFrame, threshold: float = LIKE) -> DataFrame:
 
 
 def class_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, name, signs``: each document with the name of its signature set."""
+    """``doc_id, name, signs``: each row with the name of its signature set; equal sets have one name.
+
+    Null text: as empty, with the empty set.  Repeated rows: a row each.  Empty table: empty result.
+    Other columns are dropped.
+    """
     own = with_signatures(docs.select("doc_id", text_of().alias("text")), "text", "signs")
     return own.select("doc_id", F.xxhash64("signs").alias("name"), "signs")
 
