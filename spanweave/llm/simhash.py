@@ -4,6 +4,13 @@ Fingerprints of 64 bits link where at most four bits differ.  Cut into three seg
 fingerprints have a segment in which at most one bit differs, so they agree on that segment with
 one and the same bit left out.  Each fingerprint is indexed under all 64 such one-wildcard
 variants; an equality join on the variant gives the candidates and the bits decide.
+
+A variant's key holds 20 or 21 bits, so its members grow with the corpus.  Those of a key with more
+than CROWD are indexed again, under the key and 42 or 43 one-wildcard variants of what the rest of
+the fingerprint holds, cut in three (of at most four differing bits there, one third has at most
+one): such keys hold 33 to 35 bits.  Members of keys that are still crowded are linked through balls
+of two flips.  So a fingerprint is at most 64 rows, 43 more for each of its keys that is crowded, and
+2,081 more where one of those is crowded still; no key's pairs are all made beyond CROWD members.
 """
 
 from __future__ import annotations
@@ -16,15 +23,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, forget, map_batches, n_partitions, table, text_of
+from spanweave.shipping import ship
+
+from .common import cut, map_batches, n_partitions, table, text_of
 from .components import components
 
 #: Widths of the segments, lowest bits first.
 SEGMENTS = (22, 21, 21)
 BITS = 4
 SHINGLE = 4
-#: Fingerprints sharing one variant beyond which their links are found by balls, not pairs.
+#: Fingerprints sharing one key beyond which they are not compared in pairs.
 CROWD = 4096
+#: Widths of the thirds of what remains of a fingerprint without one of its segments.
+THIRDS = (15, 14, 14)
 #: Shingles hashed at a time.
 BLOCK = 65_536
 
@@ -80,12 +91,37 @@ def variants(fps: DataFrame) -> DataFrame:
     return fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among sorted (key, fp) rows, and the members of crowded keys as (fp, null).
+def again(crowded: DataFrame) -> DataFrame:
+    """``key, fp``: members of crowded keys (``key, fp``) under variants of the rest of their bits.
+
+    Keys are hashed with the variant; members that meet by chance are told apart by their bits.
+    """
+    rest, low, keys = None, 0, []
+    for width in SEGMENTS:
+        own = F.shiftrightunsigned("fp", low + width) if low + width < 64 else F.lit(0).cast("long")
+        own = F.shiftleft(own, low).bitwiseOR(F.col("fp").bitwiseAND(F.lit((1 << low) - 1))) if low else own
+        bit = F.shiftright("key", 32)
+        rest = F.when((bit >= low) & (bit < low + width), own) if rest is None else rest.when((bit >= low) & (bit < low + width), own)
+        low += width
+    low = 0
+    for width in THIRDS:
+        third = F.shiftrightunsigned("rest", low).bitwiseAND(F.lit((1 << width) - 1))
+        keys += [F.xxhash64("key", F.lit(low + i), third.bitwiseAND(F.lit(~(1 << i)))) for i in range(width)]
+        low += width
+    return crowded.select("key", "fp", rest.alias("rest")).select(F.explode(F.array(*keys)).alias("key"), "fp")
+
+
+def linked(crowd: int):
+    """The function that links sorted (key, fp) rows, comparing no key's pairs beyond ``crowd`` members."""
+    return lambda batches: _linked(batches, crowd)
+
+
+def _linked(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Links among sorted (key, fp) rows, and the members of crowded keys as (fp, null, key).
 
     Of the pairs within BITS only those are returned that join two groups not joined before in
     this task, so the rows returned are fewer than the fingerprints met.  A key's rows are held
-    until it has more than CROWD.
+    until it has more than ``most``.
     """
     parent: dict[int, int] = {}
 
@@ -126,40 +162,42 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = at[keys[at] == keys[at + shift]]
         return a, b
 
-    pack = lambda a, b: pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    names = ["a", "b", "key"]
+    pack = lambda a, b: pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64())], names)
+    full = lambda k, f: pa.RecordBatch.from_arrays([pa.array(f), pa.nulls(len(f), pa.int64()), pa.array(k)], names)
+
+    def settle(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Links of whole keys; keys that turned out crowded are told apart first."""
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        over = np.repeat(sizes > most, sizes)
+        if over.any():
+            yield full(keys[over], fps[over])
+        a, b = solve(keys[~over], fps[~over])
+        if a:
+            yield pack(a, b)
+
     held_k, held_f, crowd = np.empty(0, np.int64), np.empty(0, np.int64), None
     for batch in batches:
         k, f = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if crowd is not None:
             more = int(np.searchsorted(k, crowd, "right")) if k[0] == crowd else 0
             if more:
-                yield pack(f[:more], [None] * more)
+                yield full(k[:more], f[:more])
             if more == len(k):
                 continue
             k, f, crowd = k[more:], f[more:], None
         held_k, held_f = np.concatenate([held_k, k]), np.concatenate([held_f, f])
         last = int(np.searchsorted(held_k, held_k[-1], "left"))
-        if len(held_k) - last > CROWD:
+        if len(held_k) - last > most:
             crowd = held_k[-1]
-            yield pack(held_f[last:], [None] * (len(held_k) - last))
+            yield full(held_k[last:], held_f[last:])
             held_k, held_f = held_k[:last], held_f[:last]
         if last:
-            yield from _settle(held_k[:last], held_f[:last], solve, pack)
+            yield from settle(held_k[:last], held_f[:last])
             held_k, held_f = held_k[last:], held_f[last:]
     if len(held_k):
-        yield from _settle(held_k, held_f, solve, pack)
-
-
-def _settle(keys: np.ndarray, fps: np.ndarray, solve, pack) -> Iterator[pa.RecordBatch]:
-    """Links of whole keys; keys that turned out crowded are told apart first."""
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sizes = np.diff(np.r_[starts, len(keys)])
-    full = np.repeat(sizes > CROWD, sizes)
-    if full.any():
-        yield pack(fps[full], [None] * int(full.sum()))
-    a, b = solve(keys[~full], fps[~full])
-    if a:
-        yield pack(a, b)
+        yield from settle(held_k, held_f)
 
 
 def balls(fps: DataFrame) -> DataFrame:
@@ -175,15 +213,23 @@ def balls(fps: DataFrame) -> DataFrame:
     return reached.join(least, "word").where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def links(fps: DataFrame) -> DataFrame:
+def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that connect just the distinct fingerprints ``fp`` that links of BITS connect."""
     spark = fps.sparkSession
+    ship(spark)
     width = max(n_partitions(spark), 3 * spark.sparkContext.defaultParallelism)
-    dealt = variants(fps).repartition(width, "key").sortWithinPartitions("key")
-    found = cut(dealt.mapInArrow(_linked, "a long, b long"))
-    crowd = cut(found.where("b is null").select(F.col("a").alias("fp")).distinct())
-    pairs = found.where("b is not null")
-    return pairs if crowd.isEmpty() else pairs.union(balls(crowd))
+
+    def search(keyed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Links, and the members of crowded keys if any."""
+        found = cut(keyed.repartition(width, "key").sortWithinPartitions("key").mapInArrow(linked(crowd), "a long, b long, key long"))
+        over = found.where("b is null").select("key", F.col("a").alias("fp")).distinct()
+        return found.where("b is not null").select("a", "b"), None if over.isEmpty() else over
+
+    pairs, over = search(variants(fps))
+    if over is not None:
+        more, over = search(again(over))
+        pairs = pairs.union(more)
+    return pairs if over is None else pairs.union(balls(over.select("fp").distinct()))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,9 +243,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = cut(fingerprints(docs))
     fps = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(fps.select("fp")))
-    joined = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    named = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    member = joined.select("fp", "root").join(named, "root").select("fp", "component_id")
+    joined = cut(fps.join(roots, fps.fp == roots.node, "left").select("fp", "least_id", "root"))
+    # A table of its own, so that adaptive execution may split the join at a root of very many.
+    named = cut(joined.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id")))
+    member = joined.join(named, "root", "left").select("fp", F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
     return prints.join(member, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
