@@ -190,10 +190,13 @@ def _known(met: DataFrame, crowd: int) -> DataFrame:
 
     ``n`` is how often the context is met and ``one`` names one of these.
     """
-    each = met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.xxhash64("d", "k", "spot")).alias("one"))
-    per = each.groupBy("anchor").agg(F.count("*").alias("contexts"), F.count_if(F.col("n") == 1).alias("alone")).where("contexts > 1 and alone > 0")
+    each = cut(met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.xxhash64("d", "k", "spot")).alias("one")))
+    # Tables of their own, so that adaptive execution may split the join at an anchor of very many.
+    per = cut(each.groupBy("anchor").agg(F.count("*").alias("contexts"), F.count_if(F.col("n") == 1).alias("alone")).where("contexts > 1 and alone > 0"))
     both = each.join(per, "anchor", "left").where("n > 1 or contexts is not null")
-    return both.select("anchor", "context", "n", "one", F.col("contexts").isNotNull().alias("open"), F.coalesce(F.col("contexts") > crowd, F.lit(False)).alias("crowded"))
+    known = cut(both.select("anchor", "context", "n", "one", F.col("contexts").isNotNull().alias("open"), F.coalesce(F.col("contexts") > crowd, F.lit(False)).alias("crowded")))
+    forget(each, per)
+    return known
 
 
 def _marked(met: DataFrame, known: DataFrame) -> DataFrame:
@@ -388,7 +391,7 @@ def with_ranges(docs: DataFrame, crowd: int = CROWD, filter_bits: int = FILTER_B
     all_met = cut(_occurrences(docs))
     met = cut(_of_repeating(all_met, filter_bits))
     forget(all_met)
-    known = cut(_known(met, crowd))
+    known = _known(met, crowd)
     marked = _packed(docs).join(_marked(met, known), ["__sw_d", "__sw_k"], "left")
     sides = _contexts(marked)
     crowded = not known.where("crowded").isEmpty()
