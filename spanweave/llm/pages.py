@@ -28,16 +28,18 @@ from .urls import host_of, path_of
 
 NOISE, LINE, PROSE = 0, 1, 2
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = set("head title script style noscript template iframe svg math canvas object audio video map nav footer aside form button select textarea datalist dialog menu".split())
+#: What these hold is not shown as text, or is a form's; they may stand inside a line and don't end it.
+HIDDEN = set("head title script style template iframe svg canvas object audio video map select textarea datalist".split())
+AWAY = set("nav footer aside form dialog".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 PROSE_IN = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An open element of the key's kind ends when one of these begins, unless a list or table stands between.
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-WITHIN = {"ul", "ol", "dl", "table", "select", "menu"}
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+WITHIN = {"ul", "ol", "dl", "table", "menu"}
 #: Words in class, id or role that mark what is not the article.
 MARKS = set(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar widget footer header masthead topbar banner "
@@ -45,6 +47,8 @@ MARKS = set(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "comment comments reply replies respond disqus pagination pager toolbar complementary contentinfo search".split()
 )
+#: Those of them that mark readers' comments.
+REPLIES = {"comment", "comments", "reply", "replies", "respond", "disqus"}
 _PARTS = re.compile(r"[A-Za-z]+")
 
 
@@ -55,24 +59,26 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool]] = []  # tag, in noise, in prose
         self.text: list[str] = []
+        self.at = (False, False, False)  # in noise, in prose, in the article: of the line begun
         self.found: list[list] = []
         self.in_article: list[bool] = []
-        self.article = 0
+        self.article = self.inner = self.hidden = 0  # open: article or main, article, hidden elements
 
     def noisy(self, tag: str, attrs: list) -> bool:
-        if tag in DROPPED or tag == "header" and not self.article:
+        """Whether a block is no part of the article; inside one, class words do not mark prose."""
+        if tag in AWAY or tag == "header" and not self.article:
             return True
-        if tag in HEADINGS or tag in ("html", "body", "main"):
+        if tag not in BLOCKS or tag in HEADINGS or tag in ("html", "body", "main") or self.inner and tag in PROSE_IN:
             return False
         said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-        marks = MARKS.intersection(_PARTS.findall(said)) if said else ()
-        return bool(marks) and not (tag == "article" and marks.isdisjoint({"comment", "comments", "reply", "replies"}))
+        marks = MARKS.intersection(_PARTS.findall(said)) if said else set()
+        return bool(marks & REPLIES if tag == "article" or tag == "section" and self.inner else marks)
 
     def flush(self) -> None:
         if line := " ".join("".join(self.text).split()):
-            noise, prose = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
+            noise, prose, inside = self.at
             self.found.append([line, NOISE if noise else PROSE if prose else LINE])
-            self.in_article.append(self.article > 0)
+            self.in_article.append(inside)
         self.text = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -91,14 +97,11 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         noise, prose = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        if tag in DROPPED or tag in BLOCKS:
-            noise = noise or self.noisy(tag, attrs)
-        elif attrs:
-            noise = noise or self.noisy(tag, attrs)
-        if noise and not (self.open and self.open[-1][1]):
-            self.flush()
-        if tag in ("article", "main") or ("role", "main") in attrs:
+        noise = noise or self.noisy(tag, attrs)
+        if tag in ("article", "main"):
             self.article += not noise
+            self.inner += tag == "article" and not noise
+        self.hidden += tag in HIDDEN
         self.open.append((tag, noise, prose or tag in PROSE_IN))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -113,19 +116,23 @@ class Lines(HTMLParser):
             if self.open[i][0] == tag:
                 self.close_from(i)
                 return
-            if tag not in BLOCKS and self.open[i][0] in BLOCKS:
+            if tag not in BLOCKS and tag not in HIDDEN and self.open[i][0] in BLOCKS:
                 return
 
     def close_from(self, i: int) -> None:
-        if self.open[i][1] != (self.open[-1][1]) or self.open[i][1] and not (i and self.open[i - 1][1]):
+        if any(tag in BLOCKS for tag, *_ in self.open[i:]):
             self.flush()
         for tag, noise, _ in self.open[i:]:
-            if tag in ("article", "main") and not noise and self.article:
+            if tag in ("article", "main") and not noise:
                 self.article -= 1
+                self.inner -= tag == "article"
+            self.hidden -= tag in HIDDEN
         del self.open[i:]
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][1] and self.open[-1][0] in ("script", "style")):
+        if not self.hidden:
+            if not any(map(str.strip, self.text)):
+                self.at = (*((self.open[-1][1], self.open[-1][2]) if self.open else (False, False)), self.article > 0)
             self.text.append(data)
 
 

@@ -47,6 +47,56 @@ def test_main_text_of_rich_markup(spark):
     assert pages.main_text(df).first().text == "Head <line>\nFirst &amp; bold part\nSecond éé &am\none\ntwo\na\nb\nquote\nLast"
 
 
+PROSE = """<body><nav>Home</nav><article><h1>T</h1><p>a <button>x</button> b</p><p>c <math><mi>y</mi></math> d <svg><title>no</title></svg>e</p>
+<p class="alert">f</p><section class="search"><p>g</p></section><p>h <span class="related">i</span> j</p><noscript><p>k</p></noscript><menu><li>l<li>m</menu>
+<p>n <select><option>no</select>o <script>no()</script>p</p><div class="comments"><p>no</p></div><div>q<table><tr><td>r</table>s</div></article><p class="ad">no</p></body>"""
+
+
+def test_nothing_else_is_dropped_from_an_article_and_no_block_is_split(spark):
+    df = spark.createDataFrame([(1, "http://a/x", PROSE)], "page_id long, url string, html string")
+    assert pages.main_text(df).first().text == "T\na x b\nc y d e\nf\ng\nh i j\nk\nl\nm\nn o p\nq\nr\ns"
+
+
+def plain_difference(rows):
+    """Texts by differencing alone: each page loses a longest common subsequence with its nearest neighbour."""
+    hosts, out = collections.defaultdict(list), {}
+    for page_id, url, body in rows:
+        host, _, path = url.split("://", 1)[1].partition("/")
+        hosts[host].append(("/" + path, page_id, [x for x in re.split(r"<[^>]*>", body) if x]))
+    for group in hosts.values():
+        group.sort()
+        for k, (path, page_id, lines) in enumerate(group):
+            near = [g for g in (group[k - 1] if k else None, group[k + 1] if k + 1 < len(group) else None) if g]
+            shared = lambda g: next((i for i, (x, y) in enumerate(zip(g[0], path, strict=False)) if x != y), min(len(g[0]), len(path)))  # noqa: B023, E731
+            other = max(near, key=shared)[2] if near else []
+            best = [[0] * (len(other) + 1) for _ in range(len(lines) + 1)]
+            for i, x in enumerate(lines):
+                for j, y in enumerate(other):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            out[page_id] = len(lines) - best[-1][-1], set(lines) - set(other), lines
+    return out
+
+
+def test_differencing_alone_decides_where_markup_says_nothing(spark):
+    """Pages of bare divs: what is left of each is as long as brute force says, holds all it has alone, in order."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(120):
+        host = rng.randrange(6)
+        template = [f"menu {host} {k}" for k in range(4)]
+        own = [f"text {i} {k}" for k in range(rng.randint(1, 4))] + [rng.choice(["again", "and again"]) for _ in range(rng.randint(0, 3))]
+        lines = [*template[:2], *own, *(template[2:] if rng.random() < 0.9 else [])]
+        rows.append((i, f"http://h{host}/{rng.choice('abc')}/{i:03}", "".join(f"<div>{x}</div>" for x in lines)))
+    expected = plain_difference(rows)
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        n, alone, lines = expected[r.page_id]
+        kept = r.text.split("\n") if r.text else []
+        rest = iter(lines)
+        assert len(kept) == n and alone <= set(kept) and all(x in rest for x in kept)
+
+
 def test_template_lines_go_from_pages_without_an_article(spark):
     page = lambda body: f"<body><div>Welcome</div><div>Menu</div>{body}<div>All rights</div></body>"
     rows = [(1, "http://h/a/1", page("<p>one</p><p>same</p>")), (2, "http://h/a/2", page("<p>two</p>")), (3, "http://other/a", page("<p>one</p>")), (4, "http://h/a/2", page("<p>two</p>"))]
