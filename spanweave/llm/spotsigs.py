@@ -10,6 +10,7 @@ signatures, of which similar sets share at least one.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -28,8 +29,11 @@ ANCHORS = (
 CHAIN = 2
 LIKE = 0.8
 GLUE = "\x01"
-#: What names a text in the order of documents: whether its id is null, its id, its hash.
-KEY = ("no_id", "d", "h")
+#: What names a text in the order of documents: whether its id is null, its id with all
+#: bits flipped (so that it falls as the id grows), its hash.
+KEY = ("no_id", "e", "h")
+#: Rows alike in id and text beyond which they are made one before texts are shuffled.
+ALIKE = 10_000
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFrame:
@@ -70,24 +74,47 @@ def jaccard(a: str, b: str) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def before_each(docs: DataFrame) -> DataFrame:
-    """KEY of each distinct (doc_id, text), with ``prev``: KEY and length of the one before it.
+def _range_of(bounds: list[tuple]) -> Column:
+    """How many of the sorted keys ``bounds`` are not above the row's KEY, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    listed = json.dumps([dict(zip(KEY, b, strict=True)) for b in bounds])
+    known = F.from_json(F.lit(listed), "array<struct<no_id:boolean,e:bigint,h:bigint>>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    reached = lambda p, step: (p + step <= len(bounds)) & (F.get(known, p + step - 1) <= F.struct(*KEY))
+    return F.aggregate(steps, F.lit(0), lambda p, step: F.when(reached(p, step), p + step).otherwise(p))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, signs, next, copies``: each distinct (doc_id, text) with its signatures and
+    ``next`` (text, signs), those of the one after it; ``copies`` is how many rows it stands for.
 
     The order is that of descending doc_id (nulls last), ties by text hash, and closes to a ring:
-    before the first comes the last.  Only ids, hashes and lengths are ordered, in ranges; ranges
-    are joined through their first and last rows, as many as partitions.
+    after the last comes the first.  Ids and hashes alone are ordered first, in ranges.  Then texts
+    are shuffled once, by range, with the first text of the range that follows each; so every text
+    stands beside its next.  Ranges are four for each partition, and the driver gets their first keys.
+    Rows alike in id and text that are more than ALIKE are made one before that shuffle.
     """
     spark = docs.sparkSession
-    ids = docs.groupBy(*KEY).agg(F.max(F.length("text")).alias("n"))
-    order = [F.asc("no_id"), F.desc("d"), F.asc("h")]
-    row = F.struct(*KEY, "n")
-    ranged = cut(ids.repartitionByRange(n_partitions(spark), *order).withColumn("range", F.spark_partition_id()))
-    ends = ranged.groupBy("range").agg(F.max_by(row, F.struct("no_id", -F.col("d").cast("decimal(20,0)"), "h")).alias("last"))
-    ring = W.partitionBy(F.lit(0)).orderBy("range")
-    ends = ends.select(F.col("range").alias("of"), F.coalesce(F.lag("last").over(ring), F.last("last").over(ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("end"))
-    inside = ranged.withColumn("prev", F.lag(row).over(W.partitionBy("range").orderBy(*order)))
-    # As many rows as partitions: broadcast.
-    return inside.join(F.broadcast(ends), inside["range"] == ends["of"]).select(*KEY, F.coalesce("prev", "end").alias("prev"))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.isNull().alias("no_id"), F.bitwise_not(F.coalesce(doc_id, F.lit(0))).alias("e"), F.xxhash64(text_of()).alias("h"), text_of().alias("text"))
+    each = cut(rows.groupBy(*KEY).agg(F.count("*").alias("n")))
+    ranged = each.repartitionByRange(4 * n_partitions(spark), *KEY).groupBy(F.spark_partition_id().alias("range")).agg(F.min(F.struct(*KEY)).alias("first"))
+    firsts = sorted(tuple(r["first"]) for r in ranged.collect())
+    # As many rows as ranges: broadcast.
+    heads = F.broadcast(spark.createDataFrame([(*key, (i - 1) % len(firsts)) for i, key in enumerate(firsts)], "no_id boolean, e long, h long, range int"))
+    ahead = rows.join(heads, list(KEY)).groupBy("range", *KEY).agg(F.first("text").alias("text")).select("range", F.lit(True).alias("ahead"), *KEY, "text", F.lit(0).cast("long").alias("n"))
+    many = each.where(F.col("n") > ALIKE).select(*KEY)
+    own = rows.withColumn("n", F.lit(1).cast("long"))
+    if not many.isEmpty():
+        alike = rows.join(many, list(KEY), "left_semi").groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+        own = own.join(many, list(KEY), "left_anti").unionByName(alike)
+    own = own.select(_range_of(firsts[1:]).alias("range"), F.lit(False).alias("ahead"), *KEY, "text", "n")
+    dealt = own.union(ahead).repartition(n_partitions(spark), "range")
+    once = dealt.groupBy("range", "ahead", *KEY).agg(F.first("text").alias("text"), F.sum("n").alias("copies"))
+    order = W.partitionBy("range").orderBy("ahead", *KEY)
+    found = with_signatures(once, "text", "signs").withColumn("next", F.lead(F.struct("text", "signs")).over(order)).where("not ahead")
+    return found.select(F.when(~F.col("no_id"), F.bitwise_not("e")).alias("doc_id"), "text", "signs", "next", "copies")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -98,27 +125,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     Null text: as empty.  Null doc_id: after all others.  Repeated rows (doc_id and text) count
-    once in the order and get equal results.  A single document is its own next.  Empty table:
-    empty result.  Other columns are dropped.  Each text is signed once, before it is shuffled by its
-    id; each then sends its signatures and the part needed to the document before it.
+    once in the order and get equal results, a row each.  A single document is its own next.  Empty
+    table: empty result.  Very long texts are signed whole.  Other columns are dropped.
     """
-    doc_id = F.col("doc_id").cast("long")
-    keyed = docs.select(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("d"), text_of().alias("text"))
-    keyed = keyed.select("no_id", "d", F.xxhash64("text").alias("h"), "text")
-    signed = with_signatures(keyed, "text", "signs")
-    sent = signed.join(before_each(keyed), list(KEY)).select(*(F.col(f"prev.{k}").alias(f"prev_{k}") for k in KEY), F.expr("substring(text, 1, prev.n div 2)").alias("part"), F.col("signs").alias("next_signs"))
-    sent = sent.groupBy(*(f"prev_{k}" for k in KEY)).agg(F.first("part").alias("part"), F.first("next_signs").alias("next_signs"))
-    both = signed.join(sent, [signed[k] == sent[f"prev_{k}"] for k in KEY]).withColumn("n", F.length("text"))
-    both = with_signatures(both.withColumn("edited", F.expr("concat(substring(text, 1, n - n div 2), part)")), "edited", "edited_signs")
-    return both.select(
-        F.when(~F.col("no_id"), F.col("d")).alias("doc_id"),
+    both = with_next(docs).withColumn("n", F.length("text"))
+    both = with_signatures(both.withColumn("edited", F.expr("concat(substring(text, 1, n - n div 2), substring(next.text, 1, n div 2))")), "edited", "edited_signs")
+    both = both.withColumn("next_signs", F.col("next.signs"))
+    found = both.select(
+        "doc_id",
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("signs").alias("fingerprint"),
         fingerprint("edited_signs").alias("edited_fingerprint"),
         jaccard("signs", "edited_signs").alias("near_edited"),
         jaccard("signs", "next_signs").alias("near_next"),
+        "copies",
     )
+    # A row for each copy, in two steps so that no list grows with their number.
+    names = [c for c in found.columns if c != "copies"]
+    parts = found.select(*names, "copies", F.explode(F.expr(f"sequence(0, (copies - 1) div {ALIKE})")).alias("part"))
+    return parts.select(*names, F.explode(F.expr(f"array_repeat(0, cast(least({ALIKE}, copies - part * {ALIKE}) as int))")).alias("copy")).drop("copy")
 
 
 def similar_texts(docs: DataFrame, threshold: float = LIKE) -> DataFrame:
