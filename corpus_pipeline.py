@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spanweave.llm import bpe, decontaminate, quality, repeats, simhash
-from spanweave.llm.common import cut, table
+from spanweave.llm.common import cut, forget, table
 from spanweave.llm.registry import TOKENIZER
 
 
@@ -51,8 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; each but the last is checkpointed for the next."""
+    """The stages in order over ``documents``; what each but the last keeps is written as a table for
+    the next, and deleted when the next one's is written.
+
+    Null and empty texts, repeated rows and further columns are each stage's matter: see their
+    functions.  Empty table: empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -83,6 +83,22 @@ def test_bpe_of_a_very_long_text(monkeypatch):
     assert b"".join(ours.encode(text)) == whole
 
 
+def test_bpe_query_equals_the_library(spark, sf, texts):
+    from tokenizers import Tokenizer
+
+    from spanweave.llm import registry
+
+    reference = Tokenizer.from_file(TOKENIZER)
+    reference.no_truncation()
+    reference.no_padding()
+    rows = registry.op10_bpe(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = reference.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(reference.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_bpe_edges(edge, none):
     rows = bpe.encode_documents(edge, TOKENIZER).collect()
     assert len(rows) == len(EDGE) and bpe.encode_documents(none, TOKENIZER).count() == 0
@@ -475,6 +491,14 @@ def test_fingerprints(spark, texts, edge, none):
     check_fingerprints(far, found)
 
 
+def test_fingerprints_of_rows_that_repeat_very_often(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "ALIKE", 3)
+    rows = [(i % 7, f"the house {i % 3} and a long road to the sea") for i in range(42)] + [(9, "of all the rows this one comes most often")] * 25
+    found = spotsigs.fingerprints(documents(spark, rows).repartition(5)).collect()
+    assert collections.Counter((r.doc_id, r.n_chars) for r in found) == collections.Counter((i, len(t)) for i, t in rows)
+    assert len({(r.fingerprint, r.near_next, r.edited_sha256) for r in found if r.doc_id == 9}) == 1
+
+
 def test_similar_texts(spark, texts):
     rows = list(texts.items())[:60]
     rows += [(1000 + i, " ".join(t.split(" ")[:-3])) for i, t in rows[:20]]
