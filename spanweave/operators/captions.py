@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import references, without_references
-from .intervals import KEYS, intersect, union_length
+from .intervals import KEYS, merge, within
 
 
 def frame_count(duration, seconds_each=4.0, least=1, most=8) -> Column:
@@ -33,12 +33,11 @@ def thinned(items: Column, most: int) -> Column:
 def rosters(present: DataFrame, shots: DataFrame, keys: Sequence[str] = KEYS, least=0.2) -> DataFrame:
     """The faces in view of each shot for ``least`` or longer, sorted; shots without any have none.
 
-    ``present``: face, start, end.
+    ``present``: face, start, end.  Spans are merged, so those clipped to a shot do not overlap.
     """
     k = list(keys)
-    every = shots.select(*k, "index", "start", "end").join(present.select(*k, "face").distinct(), k)
-    spread = shots.select(*k, "index").join(present, k).select(*k, "index", "face", "start", "end")
-    seen = union_length(intersect(every, spread, [*k, "index", "face"]), [*k, "index", "face"]).where(F.col("length") >= least)
+    clipped = within(merge(present, [*k, "face"]), shots, [*k, "face"], k)
+    seen = clipped.groupBy(*k, "index", "face").agg(F.sum(F.col("end") - F.col("start")).alias("length")).where(F.col("length") >= least)
     named = seen.groupBy(*k, "index").agg(F.array_sort(F.collect_set("face")).alias("roster"))
     return shots.join(named, [*k, "index"], "left").withColumn("roster", F.coalesce("roster", F.array().cast("array<string>")))
 
@@ -57,10 +56,37 @@ def checked_caption(rows: DataFrame) -> DataFrame:
     return named.withColumn("caption", kept).withColumn("flags", flags)
 
 
-def crop_box(x, y, w, h, width, height, margin=0.4) -> dict[str, Column]:
-    """A box grown by ``margin`` of its size on each side, rounded and cut to the frame."""
-    cut = lambda v, most: F.least(F.greatest(F.bround(v), F.lit(0)), most).cast("int")
-    return {"left": cut(x - w * margin, width), "top": cut(y - h * margin, height), "right": cut(x + w * (1 + margin), width), "bottom": cut(y + h * (1 + margin), height)}
+def clamp_box(x, y, w, h, width, height) -> dict[str, Column]:
+    """A box of whole numbers cut to the frame, not moved into it: x, y, width, height."""
+    left, top = (F.greatest(F.lit(0), F.least(v, most)) for v, most in ((x, width), (y, height)))
+    right, bottom = (F.greatest(at, F.least(v + size, most)) for at, v, size, most in ((left, x, w, width), (top, y, h, height)))
+    return {"x": left, "y": top, "width": right - left, "height": bottom - top}
+
+
+def crop_box(x, y, w, h, width, height, margin=0.0) -> dict[str, Column]:
+    """A box grown by ``margin`` of its size on each side, its origin and size rounded (half to even),
+    and cut to the frame: x, y, width, height.  A box without area stays without, where it is.
+    """
+    whole = lambda v: F.bround(v).cast("int")
+    cut = clamp_box(whole(x - w * margin), whole(y - h * margin), whole(w + 2 * margin * w), whole(h + 2 * margin * h), width, height)
+    flat = (w <= 0) | (h <= 0)
+    least = {"x": x.cast("int"), "y": y.cast("int"), "width": F.lit(0), "height": F.lit(0)}
+    return {k: F.when(flat, least[k]).otherwise(v) for k, v in cut.items()}
+
+
+def box_area(width, height) -> Column:
+    """Area of a box, 0 where a side is below 0."""
+    return F.greatest(F.lit(0), width) * F.greatest(F.lit(0), height)
+
+
+def box_points(x, y, w, h) -> dict[str, Column]:
+    """A box's centre and its far corner."""
+    return {"cx": x + w / 2, "cy": y + h / 2, "x2": x + w, "y2": y + h}
+
+
+def mouth(landmarks: Column) -> Column:
+    """The two corners of the mouth, the last of five landmarks; null where there are fewer."""
+    return F.when(F.size(landmarks) >= 5, F.slice(landmarks, 4, 2))
 
 
 def even_size(width, height, most=448) -> tuple[Column, Column]:

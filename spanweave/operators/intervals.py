@@ -50,37 +50,40 @@ def union_length(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return merge(df, keys).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("length"))
 
 
-def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Maximal spans of positive length that both sides cover.
+def swept(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Spans between the bounds of both sides, with whether left (``l``) and right (``r``) cover them.
 
-    Either side is merged first, so the join makes no more rows than spans that touch.
+    Either side is merged first; one window pass over the bounds, so no pairs are made.
     """
-    right = merge(b, keys).withColumnsRenamed({"start": "__s", "end": "__e"})
-    both = merge(a, keys).join(right, list(keys)).where("start < __e and __s < end")
-    return merge(both.select(*keys, F.greatest("start", "__s").alias("start"), F.least("end", "__e").alias("end")), keys)
+    events = None
+    for side, df in (("l", a), ("r", b)):
+        for bound, step in (("start", 1), ("end", -1)):
+            part = merge(df, keys).select(*keys, F.col(bound).alias("t"), F.lit(step if side == "l" else 0).alias("l"), F.lit(step if side == "r" else 0).alias("r"))
+            events = part if events is None else events.unionByName(part)
+    steps = events.groupBy(*keys, "t").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    order = W.partitionBy(*keys).orderBy("t")
+    covers = lambda c: F.sum(c).over(order) > 0
+    return steps.select(*keys, F.col("t").alias("start"), F.lead("t").over(order).alias("end"), covers("l").alias("l"), covers("r").alias("r")).where("end > start")
+
+
+def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Maximal spans of positive length that both sides cover."""
+    return merge(swept(a, b, keys).where("l and r").select(*keys, "start", "end"), keys)
 
 
 def overlap_total(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Length that both sides cover, for each key where they do."""
-    return union_length(intersect(a, b, keys), keys)
+    return swept(a, b, keys).where("l and r").groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("length"))
 
 
-def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """What the left side covers and the right side does not.
+def owner_overlap(df: DataFrame, owner: str, first, second, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Length that two named owners share, for each key where they do."""
+    return overlap_total(df.where(F.col(owner) == first), df.where(F.col(owner) == second), keys)
 
-    A sweep over both sides' bounds, so no pairs are made: a span counts where left is open and
-    right is not.
-    """
-    left, right = merge(a, keys), merge(b, keys)
-    events = None
-    for side, df in (("l", left), ("r", right)):
-        for bound, step in (("start", 1), ("end", -1)):
-            part = df.select(*keys, F.col(bound).alias("start"), F.lit(step if side == "l" else 0).alias("l"), F.lit(step if side == "r" else 0).alias("r"))
-            events = part if events is None else events.unionByName(part)
-    steps = events.groupBy(*keys, "start").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    order = W.partitionBy(*keys).orderBy("start")
-    open_ = steps.select(*keys, "start", F.lead("start").over(order).alias("end"), F.sum("l").over(order).alias("l"), F.sum("r").over(order).alias("r"))
-    return merge(open_.where("l > 0 and r = 0 and end > start").select(*keys, "start", "end"), keys)
+
+def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """What the left side covers and the right side does not."""
+    return merge(swept(a, b, keys).where("l and not r").select(*keys, "start", "end"), keys)
 
 
 def depth(df: DataFrame, owner: str, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -130,3 +133,19 @@ def presence(sightings: DataFrame, keys: Sequence[str] = KEYS, single=0.1) -> Da
     found = gaps.groupBy(*keys).agg(F.min("t").alias("start"), F.max("t").alias("last"), F.array_sort(F.collect_list("gap")).alias("gaps"))
     tail = F.when(F.size("gaps") > 0, F.get("gaps", F.expr("cast(size(gaps) div 2 as int)"))).otherwise(F.lit(single))
     return found.select(*keys, "start", (F.col("last") + tail).alias("end"))
+
+
+def within(spans: DataFrame, windows: DataFrame, keys: Sequence[str], window_keys: Sequence[str] = KEYS) -> DataFrame:
+    """The spans of each key clipped to the windows (``index, start, end``) of its video that they meet.
+
+    Windows are looked up by buckets of their typical length, so a long timeline is not one join key.
+    """
+    width = windows.agg(F.avg(F.col("end") - F.col("start")).alias("w")).first()["w"]
+    if not width:
+        return spans.limit(0).select(*keys, F.lit(0).alias("index"), "start", "end")
+    cells = lambda s, e: F.explode(F.sequence(F.floor(s / width), F.floor(e / width)))
+    left = spans.where("end > start").select(*keys, "start", "end", cells(F.col("start"), F.col("end")).alias("__cell"))
+    right = windows.where("end > start").select(*window_keys, "index", F.col("start").alias("__s"), F.col("end").alias("__e"), cells(F.col("start"), F.col("end")).alias("__cell"))
+    both = left.join(right, [*window_keys, "__cell"]).where("start < __e and __s < end")
+    both = both.where(F.col("__cell") == F.floor(F.greatest("start", "__s") / width))
+    return both.select(*keys, "index", F.greatest("start", "__s").alias("start"), F.least("end", "__e").alias("end"))

@@ -33,11 +33,38 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, bucket=
 
 def inside(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, how: str = "left_semi") -> DataFrame:
     """Points ``t`` that are (left_semi) or are not (left_anti) in any [start, end)."""
-    right = merge(spans.where("end > start"), keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("start").alias("__s"), F.col("end").alias("__e"))
-    on = (F.col("__s") <= F.col("t")) & (F.col("t") < F.col("__e"))
-    for k in keys:
-        on = (F.col(k) == F.col(f"__{k}")) & on
-    return points.join(right, on, how)
+    right = merge(spans.where("end > start"), keys).select(*keys, F.col("start").alias("t"), F.col("end").alias("__until"))
+    hit = F.coalesce(F.col("t") < F.col("__until"), F.lit(False))
+    return as_of(points, right, "__until", keys).where(hit if how == "left_semi" else ~hit).drop("__until")
+
+
+def covered_before(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``points`` with ``covered``: how long the spans of its key last before its time ``t``, spans that
+    lie over one another counting each.
+
+    The spans' depth and its sum up to each bound come from one window pass; points then take the
+    last bound's, so no pairs are made.  What spans cover from s to e is the difference at e and s.
+    """
+    length = spans.where("end > start")
+    events = length.select(*keys, F.col("start").alias("t"), F.lit(1).alias("d")).unionByName(length.select(*keys, F.col("end").alias("t"), F.lit(-1).alias("d")))
+    steps = events.groupBy(*keys, "t").agg(F.sum("d").alias("d"))
+    order = W.partitionBy(*keys).orderBy("t")
+    steps = steps.select(*keys, "t", F.sum("d").over(order).alias("__depth"), F.lead("t").over(order).alias("__next"))
+    whole = F.coalesce(F.sum(F.col("__depth") * (F.col("__next") - F.col("t"))).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    steps = steps.select(*keys, "t", F.struct(F.col("t").alias("at"), F.col("__depth").alias("depth"), whole.alias("sum")).alias("__bound"))
+    found = as_of(points, steps, "__bound", keys)
+    return found.withColumn("covered", F.coalesce(F.col("__bound.sum") + F.col("__bound.depth") * (F.col("t") - F.col("__bound.at")), F.lit(0))).drop("__bound")
+
+
+def covered_within(rows: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, name: str = "covered") -> DataFrame:
+    """``rows`` (start, end) with ``name``: how long the spans of their key last inside them."""
+    cols = rows.columns
+    ends = rows.select("*", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("end").alias("t"), F.lit(1).alias("sign")))).alias("__end"))
+    ends = ends.select(*cols, F.col("__end.t").alias("t"), F.col("__end.sign").alias("__sign"))
+    found = covered_before(ends, spans, keys).groupBy(*cols).agg(F.sum(F.col("covered") * F.col("__sign")).alias("__c"), F.count("*").alias("__n"))
+    # Rows alike in all columns are one group: each is given back.
+    each = found.withColumn("__i", F.explode(F.expr("sequence(1, cast(__n div 2 as int))")))
+    return each.select(*cols, (F.col("__c") / (F.col("__n") / 2)).cast(found.schema["__c"].dataType).alias(name))
 
 
 def as_of(left: DataFrame, right: DataFrame, value: str, keys: Sequence[str] = KEYS, first_if_none: bool = False) -> DataFrame:

@@ -9,10 +9,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import tag, unrenderable, utterance_line
-from .intervals import KEYS, overlaps
+from .intervals import KEYS
+from .joins import as_of
 
+#: The grammar of an utterance and of a shot's header.
 UTTERANCE = r"<F(\d+)>\s*([\w-]+)?:?\s*<S>(.*?)(?:<\s*/\s*S\s*>|<\s*E\s*>)"
-HEADER = r"^\[SHOT (\d+) ([\d.]+)s-([\d.]+)s\]$"
+HEADER = r"(?U)^\[SHOT\s+(\d+)\s+([0-9.]+)s-([0-9.]+)s\]$"
+#: White space at either end, as Python strips it.
+EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 #: Everything that Python's splitlines ends a line at.
 LINE_ENDS = "\r\n|[" + "".join(map(chr, (0x0A, 0x0D, 0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029))) + "]"
 
@@ -31,10 +35,8 @@ def to_shots(utterances: DataFrame, shots: DataFrame, keys: Sequence[str] = KEYS
     """
     order = W.partitionBy(*keys).orderBy("index").rowsBetween(W.unboundedPreceding, 0)
     by_then = shots.select(*keys, "index", F.max("start").over(order).alias("__from"))
-    rows = utterances.withColumn("__id", F.monotonically_increasing_id()) if "row_id" not in utterances.columns else utterances.withColumn("__id", F.col("row_id"))
-    both = rows.join(by_then, list(keys), "left")
-    found = both.groupBy(*keys, "__id").agg(F.max(F.when(F.col("__from") <= F.col("start"), F.col("index"))).alias("__at"), F.min("index").alias("__first"))
-    return rows.join(found, [*keys, "__id"]).withColumn("shot", F.coalesce("__at", "__first")).drop("__id", "__at", "__first")
+    begun = by_then.select(*keys, F.col("__from").alias("t"), F.col("index").alias("shot"))
+    return as_of(utterances.withColumn("t", F.col("start")), begun, "shot", keys, first_if_none=True).where("shot is not null").drop("t")
 
 
 def render(videos: DataFrame, shots: DataFrame, utterances: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -50,65 +52,57 @@ def render(videos: DataFrame, shots: DataFrame, utterances: DataFrame, keys: Seq
     return videos.select(*keys, intro.alias("__intro")).join(body, list(keys), "left").select(*keys, F.concat(F.concat_ws("\n\n", "__intro", "__body"), F.lit("\n")).alias("script"))
 
 
-def parse(scripts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Utterances of each script: ``position`` from 0, ``shot`` (null before any), ``face, tag, text``."""
-    split = scripts.select(*keys, F.posexplode(F.split("script", LINE_ENDS)).alias("__line", "__text"))
-    header = F.nullif(F.regexp_extract(F.trim("__text"), HEADER, 1), F.lit("")).cast("int")
-    order = W.partitionBy(*keys).orderBy("__line")
-    located = split.withColumn("shot", F.last(header, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
+def render_flat(videos: DataFrame, utterances: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One paragraph for each video: the global caption, then all lines in order, joined by ``", "``."""
+    said = lines(utterances).where("problem is null").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("start", "end", "face", "line"))).alias("__l"))
+    intro = F.when(F.trim(F.coalesce("caption", F.lit(""))) != "", F.array(F.trim("caption"))).otherwise(F.array().cast("array<string>"))
+    spoken = F.coalesce(F.transform("__l", lambda x: x["line"]), F.array().cast("array<string>"))
+    return videos.join(said, list(keys), "left").select(*keys, F.concat(F.array_join(F.concat(intro, spoken), ", "), F.lit("\n")).alias("script"))
+
+
+def read_lines(scripts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Lines of each script that hold anything: ``line`` from 0, ``block`` (how many shot headers came by
+    then), ``shot, start, end`` of the last header, ``said`` (the utterances) and ``prose`` (the rest).
+
+    Prose before the first header counts only after the global one.  A line that does not match the
+    grammar is prose.
+    """
+    split = scripts.select(*keys, F.posexplode(F.split("script", LINE_ENDS)).alias("line", "__text")).withColumn("__text", F.regexp_replace("__text", EDGES, ""))
+    order = W.partitionBy(*keys).orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    part = lambda n: F.nullif(F.regexp_extract("__text", HEADER, n), F.lit(""))
+    head = F.when(part(1).isNotNull(), F.struct(part(1).cast("int").alias("shot"), part(2).try_cast("double").alias("start"), part(3).try_cast("double").alias("end")))
+    located = split.where("__text <> ''").withColumns({"__head": head, "__global": F.col("__text") == "[GLOBAL]"})
+    located = located.withColumns({"__last": F.last("__head", ignorenulls=True).over(order), "block": F.count("__head").over(order), "__after": F.max("__global").over(order)})
     every = F.arrays_zip(*[F.regexp_extract_all("__text", F.lit("(?U)" + UTTERANCE), F.lit(i)).alias(c) for i, c in enumerate(("n", "tag", "text"), 1)])
-    found = located.select(*keys, "shot", "__line", F.posexplode(every).alias("__at", "u"))
-    place = W.partitionBy(*keys).orderBy(F.col("shot").isNotNull(), "__line", "__at")
-    return found.select(*keys, (F.row_number().over(place) - 1).alias("position"), "shot", F.format_string("F%03d", F.col("u.n").cast("int")).alias("face"), tag(F.col("u.tag")).alias("tag"), F.trim("u.text").alias("text"))
+    said = F.transform(every, lambda u: F.struct(F.format_string("F%03d", u["n"].cast("int")).alias("face"), F.nullif(F.lower(u["tag"]), F.lit("")).alias("tag"), F.regexp_replace(u["text"], EDGES, "").alias("text")))
+    gaps = F.transform(F.split("__text", "(?U)" + UTTERANCE, -1), lambda g: F.regexp_replace(g, "^[ ,]+|[ ,]+$", ""))
+    prose = F.nullif(F.array_join(F.filter(gaps, lambda g: g != ""), " "), F.lit(""))
+    own = F.col("__head").isNull() & ~F.col("__global")
+    counts = own & ((F.col("block") > 0) | F.col("__after"))
+    none = F.array().cast("array<struct<face:string,tag:string,text:string>>")
+    return located.select(*keys, "line", "block", "__last.shot", "__last.start", "__last.end", F.when(own, said).otherwise(none).alias("said"), F.when(counts, prose).alias("prose"))
 
 
-def gates(utterances: DataFrame, tracks: DataFrame, videos: DataFrame, keys: Sequence[str] = KEYS, tolerance=1.5, slack=1e-6, scripts: DataFrame | None = None) -> DataFrame:
-    """For each video and gate, in the fixed order, how many violations it has and whether it passed.
+def parse(scripts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Utterances of each script: ``position`` from 0, ``shot`` (null before any), ``face, tag, text``.
 
-    ``utterances`` has ``face, tag, text, start, end``; ``tracks`` has ``face``; ``videos`` has
-    ``duration`` and ``voiced`` (null: accounting is not checked).
+    Those before the first shot come first, as they stand.
     """
-    k = list(keys)
-    hygiene = lines(utterances).where("problem is not null").groupBy(*k).agg(F.count("*").alias("n"))
-    doubled = tracks.groupBy(*k, "face").agg(F.count("*").alias("c")).where("c > 1 or face = 'F000'").groupBy(*k).agg(F.count("*").alias("n"))
-    tracked = tracks.select(*k).distinct()
-    dangling = utterances.where("face <> 'F000'").join(tracked, k, "left_semi").join(tracks, [*k, "face"], "left_anti").groupBy(*k).agg(F.count("*").alias("n"))
-    ids = doubled.unionByName(dangling).groupBy(*k).agg(F.sum("n").alias("n"))
-    order = W.partitionBy(*k, "face").orderBy("start", "end")
-    timed = utterances.join(videos.select(*k, "duration"), k).withColumn("__before", F.lag("end").over(order))
-    wrong = (F.col("end") < F.col("start")) | (F.col("start") < -slack) | (F.col("end") > F.col("duration") + slack) | (F.col("start") < F.col("__before") - slack)
-    timeline = timed.where(wrong).groupBy(*k).agg(F.count("*").alias("n"))
-    spoken = utterances.groupBy(*k).agg(F.sum(F.col("end") - F.col("start")).alias("spoken"))
-    off = F.abs(F.coalesce("spoken", F.lit(0)) - F.col("voiced")) > tolerance
-    accounting = videos.join(spoken, k, "left").where(off).select(*k, F.lit(1).cast("long").alias("n"))
-    found = {"format_hygiene": hygiene, "id_integrity": ids, "timeline_sanity": timeline, "speech_accounting": accounting}
-    if scripts is not None:
-        place = W.partitionBy(*k).orderBy("start", "end", "face")
-        sent = utterances.select(*k, (F.row_number().over(place) - 1).alias("position"), "face", tag(F.col("tag")).alias("tag"), "text")
-        back = parse(scripts, keys).select(*k, "position", F.col("face").alias("f2"), F.col("tag").alias("t2"), F.col("text").alias("x2"))
-        differ = sent.join(back, [*k, "position"], "full").where(~(F.col("face").eqNullSafe(F.col("f2")) & F.col("tag").eqNullSafe(F.col("t2")) & F.col("text").eqNullSafe(F.col("x2"))))
-        found["render_round_trip"] = differ.groupBy(*k).agg(F.count("*").alias("n"))
-    out = None
-    for i, (name, bad) in enumerate(found.items()):
-        row = videos.select(*k).join(bad, k, "left").select(*k, F.lit(i).alias("position"), F.lit(name).alias("gate"), F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
-        out = row if out is None else out.unionByName(row)
-    return out.withColumn("passed", F.col("violations") == 0)
-
-
-def metrics(utterances: DataFrame, videos: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Counts, speech, overlap and assignment ratios of each video; 0 where nothing divides."""
-    k = list(keys)
-    length = F.col("end") - F.col("start")
-    on = F.col("face") != "F000"
-    per = utterances.groupBy(*k).agg(
-        F.count("*").alias("utterances"),
-        F.countDistinct("face").alias("faces"),
-        F.count_if(F.col("tag").isNotNull()).alias("tagged"),
-        F.sum(length).alias("speech"),
-        F.sum(F.when(on, length).otherwise(0)).alias("assigned"),
-        F.sum(F.length("text")).alias("chars"),
+    found = read_lines(scripts, keys).select(*keys, "shot", "line", F.posexplode("said").alias("__at", "u"))
+    place = W.partitionBy(*keys).orderBy("line", "__at")
+    return found.select(*keys, (F.row_number().over(place) - 1).alias("position"), "shot", "u.face", "u.tag", "u.text")
+
+
+def parse_blocks(scripts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Blocks of each script: ``block`` (0: the global one, then shots as they stand), ``shot, start, end,
+    caption`` (prose lines joined by a space) and how many ``utterances`` it has.
+    """
+    per = read_lines(scripts, keys).groupBy(*keys, "block").agg(
+        F.first("shot").alias("shot"), F.first("start").alias("start"), F.first("end").alias("end"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("prose").isNotNull(), F.struct("line", "prose")))), lambda x: x["prose"]), " ").alias("caption"),
+        F.sum(F.size("said")).alias("utterances"),
+    )
+    whole = scripts.select(*keys).distinct().withColumn("block", F.lit(0).cast("long"))
+    return whole.unionByName(per, allowMissingColumns=True).groupBy(*keys, "block").agg(
+        F.max("shot").alias("shot"), F.max("start").alias("start"), F.max("end").alias("end"), F.coalesce(F.max("caption"), F.lit("")).alias("caption"), F.coalesce(F.sum("utterances"), F.lit(0)).alias("utterances")
     )
-    shared = overlaps(utterances, "face", keys).groupBy(*k).agg(F.sum(length).alias("overlap"))
-    found = videos.select(*k, "duration").join(per, k, "left").join(shared, k, "left").na.fill(0)
-    ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-    return found.withColumn("speech_ratio", ratio("speech", "duration")).withColumn("assigned_ratio", ratio("assigned", "speech")).withColumn("overlap_ratio", ratio("overlap", "speech"))

@@ -7,7 +7,6 @@ index, so results do not depend on how rows are dealt.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import permutations
 
 import numpy as np
 import pandas as pd
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .intervals import KEYS, merge
+from .joins import covered_within, inside
 
 
 def cheapest_matching(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -104,12 +104,13 @@ def speaker_scores(visible: DataFrame, samples: DataFrame, turns: DataFrame, key
     k = list(keys)
     own = merge(turns.where("end > start"), [*k, "speaker"])
     speech = own.groupBy(*k, "speaker").agg(F.sum(F.col("end") - F.col("start")).alias("speech"))
-    voiced = own.select(*k, "speaker", F.col("start").alias("__s"), F.col("end").alias("__e"))
-    # Either side is merged, so shared lengths add up without being counted twice.
-    both = merge(visible, [*k, "face"]).join(voiced, k).where("start < __e and __s < end")
-    seen = both.groupBy(*k, "face", "speaker").agg(F.sum(F.least("end", "__e") - F.greatest("start", "__s")).alias("seen"))
+    names = speech.select(*k, "speaker")
+    # Spans and samples meet each speaker once, not each of its turns; either side is merged, so shared
+    # lengths add up without being counted twice.
+    shown = merge(visible, [*k, "face"]).join(names, k)
+    seen = covered_within(shown, own, [*k, "speaker"], "__c").groupBy(*k, "face", "speaker").agg(F.sum("__c").alias("seen"))
     every = samples.groupBy(*k, "face").agg(F.count("p").alias("n"), F.sum("p").alias("total"))
-    hit = samples.join(voiced, k).where("__s <= t and t < __e").groupBy(*k, "face", "speaker").agg(F.count("p").alias("n_in"), F.sum("p").alias("total_in"))
+    hit = inside(samples.join(names, k), own, [*k, "speaker"]).groupBy(*k, "face", "speaker").agg(F.count("p").alias("n_in"), F.sum("p").alias("total_in"))
     found = visible.select(*k, "face").distinct().join(speech, k).join(seen, [*k, "face", "speaker"], "left").join(hit, [*k, "face", "speaker"], "left").join(every, [*k, "face"], "left")
     outside = F.col("n") - F.coalesce("n_in", F.lit(0))
     mean_out = F.when(outside > 0, (F.col("total") - F.coalesce("total_in", F.lit(0.0))) / outside).otherwise(0.0)
@@ -121,44 +122,65 @@ def assign_speakers(scores: DataFrame, speakers: DataFrame, keys: Sequence[str]
     """Each speaker's face, with score, margin, candidate, and whether it is ambiguous or merged.
 
     Faces and speakers are matched one to one by highest total score among eligible pairs.  A speaker
-    left over shares its best face if that scores enough; else it is off screen.
+    left over shares its best face if that scores enough; else it is off screen.  A speaker's faces
+    are gathered in one list, of no more than the video has; ``scores`` is read once for the matching
+    and once for the rest.
     """
     k = list(keys)
-    good = scores.where((F.col("coverage") >= least_coverage) & F.col("score").isNotNull())
-    costs = scores.select(*k, "speaker", "face", F.when((F.col("coverage") >= least_coverage) & F.col("score").isNotNull(), -F.col("score")).otherwise(INELIGIBLE).alias("cost"))
+    fit = F.coalesce((F.col("coverage") >= least_coverage) & F.col("score").isNotNull(), F.lit(False))
+    costs = scores.select(*k, "speaker", "face", F.when(fit, -F.col("score")).otherwise(INELIGIBLE).alias("cost"))
     seats = assign(costs, k, "speaker", "face").where(F.col("cost") < INELIGIBLE).select(*k, "speaker", F.col("face").alias("seat"))
-    order = W.partitionBy(*k, "speaker").orderBy(F.desc("score"), "face")
-    best = good.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*k, "speaker", F.col("face").alias("best"))
-    chosen = speakers.select(*k, "speaker").distinct().join(seats, [*k, "speaker"], "left").join(best, [*k, "speaker"], "left").withColumn("candidate", F.coalesce("seat", "best"))
-    own = good.select(*k, "speaker", F.col("face").alias("candidate"), "score", "coverage")
-    rival = good.select(*k, "speaker", F.col("face").alias("__f"), F.col("score").alias("__s"))
-    found = chosen.join(own, [*k, "speaker", "candidate"], "left").join(rival, [*k, "speaker"], "left")
-    other = F.max(F.when(F.col("__f") != F.col("candidate"), F.col("__s")))
-    found = found.groupBy(*k, "speaker", "candidate", "seat", "best", "score", "coverage").agg(other.alias("__other"))
-    on = F.col("score") >= least_score
-    margin = F.col("score") - F.coalesce("__other", F.lit(0.0))
+    own = F.when(fit, F.struct((-F.col("score")).alias("less"), "face", "score", "coverage"))
+    each = scores.groupBy(*k, "speaker").agg(F.array_sort(F.collect_list(own)).alias("faces"))
+    both = speakers.select(*k, "speaker").distinct().join(each, [*k, "speaker"], "left").join(seats, [*k, "speaker"], "left")
+    best = F.get("faces", F.lit(0))
+    both = both.withColumn("__seat", F.get(F.filter("faces", lambda f: f["face"] == F.col("seat")), F.lit(0)))
+    both = both.withColumn("__one", F.coalesce("__seat", best)).withColumn("score", F.col("__one.score"))
+    # Of rivals that score alike the one of the greater id.
+    rivals = F.filter("faces", lambda f: f["face"] != F.col("__one.face"))
+    both = both.withColumn("__rival", F.array_max(F.transform(rivals, lambda f: F.struct(f["score"].alias("score"), f["face"].alias("face")))))
+    on, face, rival = F.coalesce(F.col("score") >= least_score, F.lit(False)), F.col("__one.face"), F.col("__rival.face")
     merged = on & F.col("seat").isNull()
+    margin = F.col("score") - F.coalesce("__rival.score", F.lit(0.0))
+    close = margin < least_margin
+    # The texts of the reasons.
     reason = (
-        F.when(F.col("candidate").isNull(), "no face is in view for enough of the speech")
-        .when(~on, F.format_string("the best face scores %.3f, too little", "score"))
-        .when(merged, "shares the face of another voice")
-        .when(margin < least_margin, "another face scores nearly as much")
-        .otherwise("the face speaks with the voice")
+        F.when(F.col("faces").isNull(), "no faces were tracked in this video")
+        .when(face.isNull(), "no face was on screen for enough of this speaker's speech")
+        .when(~on, F.format_string(f"best face %s scored %.3f, below the {least_score:.3f} floor; treated as off-screen", face, "score"))
+        .when(merged, F.format_string("%s scored %.3f; shared with a higher-scoring speaker, so this cluster is treated as a split of the same person", face, "score"))
+        .when(close & rival.isNotNull(), F.format_string(f"%s scored %.3f against %s at %.3f; margin below {least_margin:.3f}", face, "score", rival, F.col("__rival.score")))
+        .otherwise(F.format_string("%s scored %.3f over coverage %.2f", face, "score", F.col("__one.coverage")))
     )
-    return found.select(
+    return both.select(
         *k,
         "speaker",
-        F.when(on, F.col("candidate")).otherwise(OFF_SCREEN).alias("face"),
-        "candidate",
-        "score",
-        F.when(merged | F.col("seat").isNotNull(), margin).otherwise(0.0).alias("margin"),
-        "coverage",
-        F.coalesce(on & F.col("seat").isNotNull() & (margin < least_margin), F.lit(False)).alias("ambiguous"),
-        F.coalesce(merged, F.lit(False)).alias("merged"),
+        F.when(on, face).otherwise(OFF_SCREEN).alias("face"),
+        face.alias("candidate"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.when(on | F.col("seat").isNotNull(), margin).otherwise(0.0).alias("margin"),
+        F.coalesce("__one.coverage", F.lit(0.0)).alias("coverage"),
+        (on & close).alias("ambiguous"),
+        merged.alias("merged"),
         reason.alias("reason"),
     )
 
 
+def assignment_summary(assignments: DataFrame, faces: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """How each video's voices were matched: counts, and least and mean score of those on screen.
+
+    ``faces``: face; those that no voice was matched to are unclaimed.
+    """
+    k = list(keys)
+    on = F.col("face") != OFF_SCREEN
+    counts = assignments.groupBy(*k).agg(
+        F.count("*").alias("speakers"), F.count_if(on).alias("assigned"), F.count_if(~on).alias("offscreen"), F.count_if("ambiguous").alias("ambiguous"), F.count_if("merged").alias("merged"),
+        F.round(F.coalesce(F.min(F.when(on, F.col("score"))), F.lit(0.0)), 4).alias("least_score"), F.round(F.coalesce(F.avg(F.when(on, F.col("score"))), F.lit(0.0)), 4).alias("mean_score"),
+    )
+    alone = faces.select(*k, "face").distinct().join(assignments.select(*k, "face"), [*k, "face"], "left_anti").groupBy(*k).agg(F.count("*").alias("unclaimed"))
+    return counts.join(alone, k, "left").na.fill(0, ["unclaimed"])
+
+
 def linked_clusters(vectors: np.ndarray, most: float = 0.45, tie: float = 1e-9) -> list[list[int]]:
     """Average-linkage clusters under cosine distance, joined while some two are within ``most``."""
     v = np.asarray(vectors, np.float32)
@@ -337,13 +359,11 @@ def track_quality(tracked: DataFrame, fps: float, keys: Sequence[str] = KEYS) ->
 
 def rejection(quality: DataFrame, frames=3, span=0.3, score=0.6, height=16) -> DataFrame:
     """Tracks with the first ``reason`` to drop them, null for those kept."""
-    reason = F.when(F.col("frames") < frames, "too few frames").when(F.col("span") < span, "too short").when(F.col("mean_score") < score, "low score").when(F.col("mean_height") < height, "too small")
+    # The texts of the reasons.
+    reason = (
+        F.when(F.col("frames") < frames, F.format_string("only %d detections", F.col("frames").cast("long")))
+        .when(F.col("span") < span, F.format_string("visible for %.2fs", "span"))
+        .when(F.col("mean_score") < score, F.format_string("mean detection score %.2f", "mean_score"))
+        .when(F.col("mean_height") < height, F.format_string("face only %.0fpx tall", "mean_height"))
+    )
     return quality.withColumn("reason", reason)
-
-
-def brute_matching(cost: np.ndarray) -> float:
-    """Least total over all matchings, by trying each: for checks on small matrices."""
-    cost = np.asarray(cost, float)
-    cost = cost.T if cost.shape[0] > cost.shape[1] else cost
-    return min(sum(cost[r, c] for r, c in enumerate(p)) for p in permutations(range(cost.shape[1]), cost.shape[0]))
-

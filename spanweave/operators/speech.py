@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import KEYS, clamp, depth, intersect, merge
+from .intervals import KEYS, clamp, depth, intersect, merge, union_length
+from .joins import covered_within
 
 
 def clean_turns(turns: DataFrame, limit, keys: Sequence[str] = KEYS, owner: str = "speaker", merge_gap=0.2, least=0.1, floor=0) -> DataFrame:
@@ -55,13 +56,12 @@ def named(segs: DataFrame, keys: Sequence[str], identity: str) -> DataFrame:
 def route_sources(segs: DataFrame, limit, keys: Sequence[str] = KEYS, identity: str = "speaker", least=0.1, context=0.25) -> DataFrame:
     """Where each segment is read from: extraction where others talk over it, else the mix with context.
 
-    The overlap is a sum over others' segments, so two others at once count twice.
+    The overlap is a sum over others' segments, so two others at once count twice: what all segments
+    cover of it less what its own identity's do.
     """
-    others = segs.select(*keys, F.col(identity).alias("__other"), F.col("start").alias("__s"), F.col("end").alias("__e"))
-    shared = F.greatest(F.lit(0), F.least("end", "__e") - F.greatest("start", "__s"))
     own = [*keys, identity, "start", "end"]
-    per = segs.select(*own).join(others, list(keys)).where(f"{identity} <> __other and start < __e and __s < end").groupBy(*own).agg(F.sum(shared).alias("overlap"))
-    found = segs.select(*own).join(per, own, "left").na.fill(0, ["overlap"])
+    every = covered_within(segs.select(*own), segs, keys, "__all")
+    found = covered_within(every, segs, [*keys, identity], "__own").withColumn("overlap", F.col("__all") - F.col("__own"))
     lo, hi = F.greatest(F.lit(0), F.col("start") - context), F.least(limit, F.col("end") + context)
     past = hi <= F.col("start")
     taken = F.col("overlap") >= least
@@ -93,10 +93,14 @@ def stitch(scores: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def context_speakers(activity: DataFrame, keys: Sequence[str], identity: str, most: int = 3) -> DataFrame:
-    """For each identity the others active with it, most overlap first, at most ``most - 1``."""
-    others = activity.select(*keys, F.col(identity).alias("other"), F.col("start").alias("__s"), F.col("end").alias("__e"))
-    both = activity.join(others, list(keys)).where(f"{identity} <> other and start < __e and __s < end")
-    per = both.groupBy(*keys, identity, "other").agg(F.sum(F.least("end", "__e") - F.greatest("start", "__s")).alias("overlap"))
+    """For each identity the others active with it, most overlap first, at most ``most - 1``.
+
+    Each span meets each other identity once, not each of its spans.
+    """
+    others = activity.select(*keys, F.col(identity).alias("other")).distinct()
+    pairs = activity.select(*keys, identity, "start", "end").join(others, list(keys)).where(f"{identity} <> other")
+    theirs = activity.select(*keys, F.col(identity).alias("other"), "start", "end")
+    per = covered_within(pairs, theirs, [*keys, "other"], "__c").groupBy(*keys, identity, "other").agg(F.sum("__c").alias("overlap")).where("overlap > 0")
     order = W.partitionBy(*keys, identity).orderBy(F.desc("overlap"), "other")
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") < most)
 
@@ -130,3 +134,55 @@ def take_until(segs: DataFrame, keys: Sequence[str] = KEYS, seconds=30.0, gap=0.
     order = W.partitionBy(*keys).orderBy(F.desc("duration"), "start")
     before = F.coalesce(F.sum(F.col("duration") + gap).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     return segs.withColumn("before", before).where(F.col("before") < seconds)
+
+
+def speaking(assignments: DataFrame, turns: DataFrame, keys: Sequence[str] = KEYS, gap=0.5) -> DataFrame:
+    """When the person behind each face was talking: the turns of its speakers, merged over ``gap``.
+
+    ``assignments``: speaker, face; voices off screen are nobody's.
+    """
+    on = assignments.where("face <> 'F000'").select(*keys, "speaker", "face").distinct()
+    return merge(turns.join(on, [*keys, "speaker"]).select(*keys, "face", "start", "end"), [*keys, "face"], gap)
+
+
+def voiced_seconds(turns: DataFrame, videos: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``voiced`` of each video: how long anyone speaks; null where there are no turns at all."""
+    length = union_length(turns, keys).withColumnRenamed("length", "voiced")
+    return videos.select(*keys).join(length, list(keys), "left")
+
+
+def language_of(rows: DataFrame, sample: DataFrame, keys: Sequence[str] = KEYS, least_seconds=3.0) -> DataFrame:
+    """Each video's language in two passes: the vote of its long segments, else what was detected in a
+    sample of its longest ones (``code, confidence``), else ``unknown``.
+    """
+    k = list(keys)
+    voted = votes(rows, keys, least_seconds).where("rank = 1").select(*k, F.col("language").alias("__v"), F.col("probability").alias("__p"))
+    heard = sample.select(*k, F.when(~F.col("code").isin("", "unknown"), F.col("code")).alias("__c"), F.col("confidence").alias("__q"))
+    both = rows.select(*k).distinct().join(voted, k, "left").join(heard, k, "left")
+    return both.select(
+        *k,
+        F.coalesce("__v", "__c", F.lit("unknown")).alias("code"),
+        F.when(F.col("__v").isNotNull(), F.col("__p")).when(F.col("__c").isNotNull(), F.col("__q")).otherwise(F.lit(0.0)).alias("confidence"),
+        F.when(F.col("__v").isNotNull(), "segments").when(F.col("__c").isNotNull(), "sample").otherwise("none").alias("source"),
+    )
+
+
+def forced_language(segs: DataFrame, decided: DataFrame, keys: Sequence[str] = KEYS, least_seconds=3.0) -> DataFrame:
+    """Segments with the ``language`` they are transcribed in: short ones in the video's, unless that is
+    unknown; for long ones it is detected (null).
+    """
+    both = segs.join(decided.select(*keys, "code"), list(keys), "left")
+    forced = (F.col("duration") < least_seconds) & (F.col("code") != "unknown")
+    return both.withColumn("language", F.when(forced, F.col("code"))).drop("code")
+
+
+def context_window(start, end, fps, frames, context=0.0) -> tuple[Column, Column]:
+    """First and end frame of a segment with context around it, within the video's frames, one at least."""
+    first = F.greatest(F.lit(0), F.bround((start - context) * fps).cast("int"))
+    last = F.least(F.greatest(F.lit(1), frames), F.bround((end + context) * fps).cast("int"))
+    return first, F.greatest(first + 1, last)
+
+
+def trim_offset(start, first_frame, fps) -> Column:
+    """Seconds to cut from the beginning of audio that was extracted from a frame on."""
+    return start - first_frame / fps

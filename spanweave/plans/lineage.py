@@ -40,9 +40,10 @@ def reasons_to_run(planned: DataFrame, state: DataFrame, files: DataFrame | None
         what = F.when(F.col("__p").isNull(), F.concat(F.lit("missing artifact "), "a.path")).when(F.col("a.size") != F.col("__size"), F.concat(F.lit("artifact "), "a.path", F.lit(" changed size"))).when(F.col("a.sha256") != F.col("__sha"), F.concat(F.lit("artifact "), "a.path", F.lit(" changed content")))
         bad = each.withColumn("__w", what).where("__w is not null").groupBy("video_id", "stage").agg(F.min_by("__w", "__i").alias("__lost"))
         both, lost = both.join(bad, ["video_id", "stage"], "left"), F.col("__lost")
+    # The texts of the reasons.
     reason = (
         F.when(F.col("status").isNull(), "no previous run")
-        .when(F.col("status") != "done", F.concat(F.lit("previous run "), "status"))
+        .when(F.col("status") != "ok", F.concat(F.lit("previous run "), "status"))
         .when(F.col("code_version") != F.col("__code"), F.concat(F.lit("code changed ("), "__code", F.lit(" -> "), "code_version", F.lit(")")))
         .when(F.col("input_hash") != F.col("__input"), "inputs changed")
         .otherwise(lost)
@@ -66,7 +67,7 @@ def outcomes(expected: DataFrame, state: DataFrame, delivered: DataFrame, order:
     ran = state.groupBy("video_id").agg(F.count("*").alias("stages_ran"))
     found = known.join(delivered.select("video_id").distinct().withColumn("__ok", F.lit(True)), "video_id", "left").join(first_failures(state, order), "video_id", "left").join(ran, "video_id", "left")
     ok = F.coalesce("__ok", F.lit(False))
-    error = F.when(ok, "").when(F.col("failed_stage").isNotNull(), F.coalesce("error", F.lit(""))).when(F.col("stages_ran") > 0, "no stage recorded a failure").otherwise("no stage ever ran for this video")
+    error = F.when(ok, "").when(F.col("failed_stage").isNotNull(), F.coalesce("error", F.lit(""))).when(F.col("stages_ran") > 0, "no stage recorded anything for this video").otherwise("no stage ever ran for this video")
     return found.select("video_id", ok.alias("ok"), F.when(~ok, F.col("failed_stage")).alias("failed_stage"), error.alias("error"), F.coalesce("stages_ran", F.lit(0)).alias("stages_ran"))
 
 

@@ -1,5 +1,6 @@
 """Operators on small cases, against plain Python."""
 
+import itertools
 import random
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from spanweave.functions import text as X
 from spanweave.operators import intervals as I
 from spanweave.operators import joins as J
+from spanweave.operators import qa as Q
 from spanweave.operators import script as G
 from spanweave.operators import solvers as L
 from spanweave.operators import speech as S
@@ -145,19 +147,25 @@ def test_script_round_trip(spark):
     expected = "[GLOBAL]\nA room.\n\n[SHOT 1 0.0s-4.0s]\nOne.\n<F001> calm: <S>Hello there<E>\n\n[SHOT 2 4.0s-9.0s]\n<F000> <S>Oh<E>\n"
     assert script.first().script == expected
     assert got(G.parse(script), "position", "shot", "face", "text") == [(0, 1, "F001", "Hello there"), (1, 2, "F000", "Oh")]
-    gates = {r.gate: r.violations for r in G.gates(said, spark.createDataFrame([("v", "F001")], "video_id string, face string"), videos.withColumn("voiced", F.lit(2.5)), scripts=script).collect()}
+    gates = {r.gate: r.violations for r in Q.gates(said, spark.createDataFrame([("v", "F001")], "video_id string, face string"), videos.withColumn("voiced", F.lit(2.5)), scripts=script).collect()}
     assert gates == {"format_hygiene": 1, "id_integrity": 1, "timeline_sanity": 0, "speech_accounting": 0, "render_round_trip": 1}
 
 
 # --- solvers
 
 
+def brute_matching(cost):
+    """Least total over all matchings, by trying each."""
+    cost = cost.T if cost.shape[0] > cost.shape[1] else cost
+    return min(sum(cost[r, c] for r, c in enumerate(p)) for p in itertools.permutations(range(cost.shape[1]), cost.shape[0]))
+
+
 def test_matching_is_cheapest():
     rng = np.random.default_rng(0)
     assert L.cheapest_matching([[1, 2], [1, 100]]) == [(0, 1), (1, 0)] and L.cheapest_matching(np.zeros((0, 3))) == []
     for _ in range(200):
         cost = rng.integers(0, 9, (rng.integers(1, 6), rng.integers(1, 7))).astype(float)
-        assert sum(cost[r, c] for r, c in L.cheapest_matching(cost)) == L.brute_matching(cost)
+        assert sum(cost[r, c] for r, c in L.cheapest_matching(cost)) == brute_matching(cost)
     pairs, rows, columns = L.matched(np.array([[0.1, 0.9], [0.9, 0.95]]), 0.5)
     assert (pairs, rows, columns) == ([(0, 0)], [1], [1])
 
@@ -191,7 +199,7 @@ def test_speaker_assignment(spark):
 
 
 def test_reasons_to_run(spark):
-    state = [("a", "s1", "done", "1", "x", [("p", "h", 1)], 1), ("b", "s1", "failed", "1", "x", [], 1), ("c", "s1", "done", "0", "x", [], 1), ("d", "s1", "done", "1", "y", [], 1), ("e", "s1", "done", "1", "x", [("q", "h", 1)], 1)]
+    state = [("a", "s1", "ok", "1", "x", [("p", "h", 1)], 1), ("b", "s1", "failed", "1", "x", [], 1), ("c", "s1", "ok", "0", "x", [], 1), ("d", "s1", "ok", "1", "y", [], 1), ("e", "s1", "ok", "1", "x", [("q", "h", 1)], 1)]
     state = spark.createDataFrame(state, "video_id string, stage string, status string, code_version string, input_hash string, artifacts array<struct<path:string,sha256:string,size:long>>, finished_at long")
     planned = spark.createDataFrame([(v, "s1", "1", "x") for v in "abcdef"], "video_id string, stage string, code_version string, input_hash string")
     files = spark.createDataFrame([("p", "other", 1)], "path string, sha256 string, size long")
