@@ -50,7 +50,7 @@ def clipped(c: Column, most: int = 160) -> Column:
 
 def duration_text(seconds: Column) -> Column:
     """``1h 04m 09s``, ``4m 09s`` or ``9s``."""
-    s = F.floor(seconds).cast("long")
+    s = F.bround(seconds).cast("long")
     h, m, r = F.floor(s / 3600).cast("long"), F.floor(s / 60).cast("long") % 60, s % 60
     return F.when(h > 0, F.format_string("%dh %02dm %02ds", h, m, r)).when(m > 0, F.format_string("%dm %02ds", m, r)).otherwise(F.format_string("%ds", r))
 

@@ -321,8 +321,12 @@ class Tracker:
         return out
 
 
-def track(detections: DataFrame, keys: Sequence[str] = KEYS, **limits) -> DataFrame:
-    """Detections (``frame, x, y, w, h, score``) with their ``track_id``; those of no track are dropped."""
+def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame | None = None, **limits) -> DataFrame:
+    """Detections (``frame, x, y, w, h, score``) with their ``track_id``; those of no track are dropped.
+
+    ``frames`` (keys, ``frame``): all that were looked at, so that tracks age in those without faces
+    too; without it only frames with detections count.
+    """
     k = list(keys)
     cols = [*k, "frame", "x", "y", "w", "h", "score"]
     kind = {f.name: f.dataType.simpleString() for f in detections.schema}
@@ -334,11 +338,17 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, **limits) -> DataFr
         frame, box, score = pdf["frame"].to_numpy(), pdf[["x", "y", "w", "h"]].to_numpy(float), pdf["score"].to_numpy(float)
         bounds = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(pdf)]
         for a, b in zip(bounds, bounds[1:], strict=False):
-            ids[a:b] = tracker.frame(box[a:b], score[a:b])
+            if np.isnan(score[a:b]).any():  # a frame without faces
+                tracker.frame(box[:0], score[:0])
+            else:
+                ids[a:b] = tracker.frame(box[a:b], score[a:b])
         return pdf.assign(track_id=ids)[ids > 0]
 
     ship(detections.sparkSession)
-    return detections.select(*cols).groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
+    rows = detections.select(*cols)
+    if frames is not None:
+        rows = rows.unionByName(frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti"), allowMissingColumns=True)
+    return rows.groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
 
 
 def track_quality(tracked: DataFrame, fps: float, keys: Sequence[str] = KEYS) -> DataFrame:
