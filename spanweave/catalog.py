@@ -635,4 +635,4 @@ def q_sample_times(spark, d):
     return table(spark, d, "orders").select("o_orderkey", count.alias("frames"), F.round(F.get(P.sample_times(start, start + length, count), F.lit(0)), 6).alias("first"))
 
 
-from . import annotation_queries, corpus_queries  # noqa: E402, F401  (they register their queries here)
+from . import annotation_queries, corpus_queries, stage_queries  # noqa: E402, F401  (they register their queries here)

@@ -63,3 +63,23 @@ def two_faces(image=None, frame: int = 0) -> list[tuple]:
 def echo(name: str, audio=None, language: str | None = None) -> list[tuple]:
     """A transcriber for tests: says its segment's name."""
     return [(f" {name}", language or "en", 0.9, language is None, -0.2, 0.01, 1.0)]
+
+
+def two_voices(audio=None) -> list[tuple]:
+    """A diarizer for tests: two speakers, one after the other."""
+    return [("spk_00", 0.0, 4.0), ("spk_01", 4.5, 9.0)]
+
+
+def first_half(track_id: int, crops=None, audio=None) -> list[tuple]:
+    """A model of who speaks for tests: track 1 speaks in the first hundred frames, others after them."""
+    return [(f, 0.9 if (f < 110) == (track_id == 1) else 0.1) for f in range(0, 225, 3)]
+
+
+def moods(name: str, audio=None) -> list[tuple]:
+    """A tagger for tests: by the last digit of a segment's name."""
+    return [("event", "Laughter", 0.9)] if int(name[-1]) < 5 else [("emotion", "sad", 0.8), ("event", "Speech", 0.95)]
+
+
+def plain_caption(index: int, frames=None, prompt: str = "") -> list[tuple]:
+    """A captioner for tests: names the first person, whether in view or not."""
+    return [(f"Shot {index} shows F001.",)]

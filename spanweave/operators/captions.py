@@ -94,3 +94,22 @@ def even_size(width, height, most=448) -> tuple[Column, Column]:
     scale = F.least(F.lit(1.0), F.lit(float(most)) / F.greatest(width, height))
     even = lambda v: F.greatest(F.lit(2), F.floor(F.bround(v * scale) / 2).cast("int") * 2)
     return even(width), even(height)
+
+
+def people_line(roster: Column) -> Column:
+    """Who may be named in a caption; that nobody is in view is said too."""
+    names = F.array_join(roster, ", ")
+    return F.when(F.size(roster) == 0, "No tracked people are in view.").otherwise(F.concat(F.lit("In view are: "), names, F.lit(". Call them by these identifiers and use no others.")))
+
+
+def shot_prompt(index: Column, start: Column, end: Column, roster: Column, total: Column | None = None, rules: str = "") -> Column:
+    """What a captioner is asked of a shot; ``rules`` are added as they are."""
+    of = F.lit("") if total is None else F.concat(F.lit(" of "), total.cast("string"))
+    head = F.concat(F.format_string("Frames of shot %d", index), of, F.format_string(", from %.1f to %.1f seconds.", start.cast("double"), end.cast("double")))
+    return F.concat_ws("\n", head, people_line(roster), F.lit("Describe the place, the light and what people do."), F.nullif(F.lit(rules), F.lit("")))
+
+
+def global_prompt(roster: Column, frames: Column, shots: Column, rules: str = "") -> Column:
+    """What a captioner is asked of a whole video."""
+    head = F.format_string("%d frames of a video of %d shots, one from each.", frames, shots)
+    return F.concat_ws("\n", head, people_line(roster), F.lit("Describe in one sentence where it takes place and who is in it."), F.nullif(F.lit(rules), F.lit("")))

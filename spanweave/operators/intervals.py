@@ -50,16 +50,30 @@ def union_length(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return merge(df, keys).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("length"))
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` as it is, but to the planner of no known partitioning.
+
+    Spark 4.1 unites sides of one partitioning partition by partition (spark.sql.unionOutputPartitioning),
+    and where both read one reused exchange rows of a side are lost.  A side of a union passes here
+    first, which only nests and unnests its columns.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("__row")).select("__row.*")
+
+
+def bounds(df: DataFrame, keys: Sequence[str], **steps) -> DataFrame:
+    """Both bounds of each interval as rows ``t``; ``steps`` name columns that are the step at its start and
+    less that at its end.
+    """
+    row = lambda at, sign: F.struct(F.col(at).alias("t"), *[F.lit(sign * step).alias(name) for name, step in steps.items()])
+    return df.select(*keys, F.explode(F.array(row("start", 1), row("end", -1))).alias("__b")).select(*keys, "__b.*")
+
+
 def swept(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Spans between the bounds of both sides, with whether left (``l``) and right (``r``) cover them.
 
     Either side is merged first; one window pass over the bounds, so no pairs are made.
     """
-    events = None
-    for side, df in (("l", a), ("r", b)):
-        for bound, step in (("start", 1), ("end", -1)):
-            part = merge(df, keys).select(*keys, F.col(bound).alias("t"), F.lit(step if side == "l" else 0).alias("l"), F.lit(step if side == "r" else 0).alias("r"))
-            events = part if events is None else events.unionByName(part)
+    events = apart(bounds(merge(a, keys), keys, l=1, r=0)).unionByName(apart(bounds(merge(b, keys), keys, l=0, r=1)))
     steps = events.groupBy(*keys, "t").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     order = W.partitionBy(*keys).orderBy("t")
     covers = lambda c: F.sum(c).over(order) > 0
@@ -93,8 +107,7 @@ def depth(df: DataFrame, owner: str, keys: Sequence[str] = KEYS) -> DataFrame:
     dropped, which a sweep that closes before it opens would leave open for ever.
     """
     own = merge(df.where("end > start"), [*keys, owner])
-    events = own.select(*keys, F.col("start").alias("t"), F.lit(1).alias("d")).unionByName(own.select(*keys, F.col("end").alias("t"), F.lit(-1).alias("d")))
-    steps = events.groupBy(*keys, "t").agg(F.sum("d").alias("d"))
+    steps = bounds(own, keys, d=1).groupBy(*keys, "t").agg(F.sum("d").alias("d"))
     order = W.partitionBy(*keys).orderBy("t")
     return steps.select(*keys, F.col("t").alias("start"), F.lead("t").over(order).alias("end"), F.sum("d").over(order).alias("owners")).where("end is not null")
 
@@ -115,9 +128,9 @@ def tile(cuts: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> DataF
 
     ``cuts`` has ``t``; cuts outside a span's inside and repeated cuts do not count.
     """
-    bounds = spans.select(*keys, "start", "end")
-    inside = cuts.join(bounds, list(keys)).where("t > start and t < end").select(*keys, "t")
-    times = inside.unionByName(bounds.select(*keys, F.col("start").alias("t"))).unionByName(bounds.select(*keys, F.col("end").alias("t"))).distinct()
+    whole = spans.select(*keys, "start", "end")
+    inside = cuts.join(whole, list(keys)).where("t > start and t < end").select(*keys, "t")
+    times = apart(inside).unionByName(bounds(whole, keys)).distinct()
     order = W.partitionBy(*keys).orderBy("t")
     return times.select(*keys, F.row_number().over(order).alias("index"), F.col("t").alias("start"), F.lead("t").over(order).alias("end")).where("end is not null")
 

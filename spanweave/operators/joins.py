@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import KEYS, merge
+from .intervals import KEYS, apart, bounds, merge
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, bucket=None) -> DataFrame:
@@ -45,9 +45,7 @@ def covered_before(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KE
     The spans' depth and its sum up to each bound come from one window pass; points then take the
     last bound's, so no pairs are made.  What spans cover from s to e is the difference at e and s.
     """
-    length = spans.where("end > start")
-    events = length.select(*keys, F.col("start").alias("t"), F.lit(1).alias("d")).unionByName(length.select(*keys, F.col("end").alias("t"), F.lit(-1).alias("d")))
-    steps = events.groupBy(*keys, "t").agg(F.sum("d").alias("d"))
+    steps = bounds(spans.where("end > start"), keys, d=1).groupBy(*keys, "t").agg(F.sum("d").alias("d"))
     order = W.partitionBy(*keys).orderBy("t")
     steps = steps.select(*keys, "t", F.sum("d").over(order).alias("__depth"), F.lead("t").over(order).alias("__next"))
     whole = F.coalesce(F.sum(F.col("__depth") * (F.col("__next") - F.col("t"))).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -81,7 +79,7 @@ def as_of(left: DataFrame, right: DataFrame, value: str, keys: Sequence[str] = K
     found = F.last("__v", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
     if first_if_none:
         found = F.coalesce(found, F.first("__v", ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing)))
-    both = l_side.unionByName(r_side).withColumn(value, found)
+    both = apart(l_side).unionByName(apart(r_side)).withColumn(value, found)
     return both.where("__side = 1").select(*keys, "t", *[F.col("__row")[c].alias(c) for c in cols], value)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import tag, unrenderable, utterance_line
-from .intervals import KEYS
+from .intervals import KEYS, apart
 from .joins import as_of
 
 #: The grammar of an utterance and of a shot's header.
@@ -103,6 +103,6 @@ def parse_blocks(scripts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         F.sum(F.size("said")).alias("utterances"),
     )
     whole = scripts.select(*keys).distinct().withColumn("block", F.lit(0).cast("long"))
-    return whole.unionByName(per, allowMissingColumns=True).groupBy(*keys, "block").agg(
+    return apart(whole).unionByName(apart(per), allowMissingColumns=True).groupBy(*keys, "block").agg(
         F.max("shot").alias("shot"), F.max("start").alias("start"), F.max("end").alias("end"), F.coalesce(F.max("caption"), F.lit("")).alias("caption"), F.coalesce(F.sum("utterances"), F.lit(0)).alias("utterances")
     )

@@ -15,7 +15,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .intervals import KEYS, merge
+from ..storage import cut
+from .intervals import KEYS, apart, merge
 from .joins import covered_within, inside
 
 
@@ -123,10 +124,11 @@ def assign_speakers(scores: DataFrame, speakers: DataFrame, keys: Sequence[str]
 
     Faces and speakers are matched one to one by highest total score among eligible pairs.  A speaker
     left over shares its best face if that scores enough; else it is off screen.  A speaker's faces
-    are gathered in one list, of no more than the video has; ``scores`` is read once for the matching
-    and once for the rest.
+    are gathered in one list, of no more than the video has; ``scores`` are written as a table
+    first, as they are few and read twice.
     """
     k = list(keys)
+    scores = cut(scores)
     fit = F.coalesce((F.col("coverage") >= least_coverage) & F.col("score").isNotNull(), F.lit(False))
     costs = scores.select(*k, "speaker", "face", F.when(fit, -F.col("score")).otherwise(INELIGIBLE).alias("cost"))
     seats = assign(costs, k, "speaker", "face").where(F.col("cost") < INELIGIBLE).select(*k, "speaker", F.col("face").alias("seat"))
@@ -347,7 +349,8 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
     ship(detections.sparkSession)
     rows = detections.select(*cols)
     if frames is not None:
-        rows = rows.unionByName(frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti"), allowMissingColumns=True)
+        empty = frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti")
+        rows = apart(rows).unionByName(apart(empty), allowMissingColumns=True)
     return rows.groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
 
 

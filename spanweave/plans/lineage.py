@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.intervals import apart
+
 #: Stages in their order.
 STAGES = ("s0-preprocess", "s1-faces", "s2-tracks", "s3-cluster", "s4-diarize", "s5-asd", "s6-associate", "s7-tse", "s8-asr", "s9-paralinguistic", "s10-caption", "s11-compose")
 
@@ -63,7 +65,7 @@ def outcomes(expected: DataFrame, state: DataFrame, delivered: DataFrame, order:
     A delivered video is ok whatever its records say; else it stopped at its first failed stage;
     else nothing was recorded, or no stage ever ran.
     """
-    known = expected.select("video_id").union(state.select("video_id")).union(delivered.select("video_id")).distinct()
+    known = apart(expected.select("video_id")).union(apart(state.select("video_id"))).union(apart(delivered.select("video_id"))).distinct()
     ran = state.groupBy("video_id").agg(F.count("*").alias("stages_ran"))
     found = known.join(delivered.select("video_id").distinct().withColumn("__ok", F.lit(True)), "video_id", "left").join(first_failures(state, order), "video_id", "left").join(ran, "video_id", "left")
     ok = F.coalesce("__ok", F.lit(False))
