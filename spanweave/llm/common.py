@@ -8,8 +8,6 @@ bound.  The session's settings are left as they are.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.shipping import ship
+from spanweave.storage import cut, forget
+
+__all__ = ["BATCH_ROWS", "cut", "forget", "map_batches", "n_partitions", "table", "text_of"]
 
 #: Rows of an Arrow batch that a Python function handles at a time.
 BATCH_ROWS = 512
@@ -27,44 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables that the cluster names in spark.checkpoint.dir.
-
-    Only a local session, as in tests, may do without; it gets a temporary folder.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        if not getattr(sc, "_spanweave_scratch", None):
-            sc._spanweave_scratch = tempfile.mkdtemp(prefix="spanweave-")
-        named = sc._spanweave_scratch
-    return named.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back, which cuts its lineage.
-
-    What is read back survives the loss of executors; ``forget`` deletes it.
-    """
-    spark = df.sparkSession
-    path = f"{scratch(spark)}/spanweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._spanweave_path = path
-    return out
-
-
-def forget(*frames: DataFrame | None) -> None:
-    """Delete the tables of frames that ``cut`` gave and that no plan still to run reads."""
-    for df in frames:
-        if path := getattr(df, "_spanweave_path", None):
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
-
-
 def map_batches(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanweave.operators.intervals import apart
+
 from .common import cut, n_partitions, table, text_of
 
 #: Common words of English, German, French and Spanish.
@@ -108,7 +110,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = rows.withColumn("n", F.lit(1).cast("long"))
     if not many.isEmpty():
         alike = rows.join(many, list(KEY), "left_semi").groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("n"))
-        own = own.join(many, list(KEY), "left_anti").unionByName(alike)
+        own = apart(own.join(many, list(KEY), "left_anti")).unionByName(apart(alike))
     own = own.select(_range_of(firsts[1:]).alias("range"), F.lit(False).alias("ahead"), *KEY, "text", "n")
     dealt = own.union(ahead).repartition(n_partitions(spark), "range")
     once = dealt.groupBy("range", "ahead", *KEY).agg(F.first("text").alias("text"), F.sum("n").alias("copies"))
