@@ -86,13 +86,14 @@ def q_face_tracks(spark, d):
     out_sql(
         f"""{TRACKLETS}, v AS (SELECT *, (track_id % 7) / 8.0 AS cohesion FROM tk)""",
         f"""SELECT video_id, face, string_agg(CAST(track_id AS VARCHAR), ',' ORDER BY position) AS track_ids, round(min(first_time), 4) AS first_seen, round(max(last_time), 4) AS last_seen, round(sum(span), 4) AS screen_time, CAST(sum(frames) AS BIGINT) AS frames, count(*) AS tracks,
-round({WEIGHTED.format("mean_score")}, 4) AS mean_score, round({WEIGHTED.format("mean_height")}, 2) AS mean_height, round({WEIGHTED.format("motion")}, 5) AS motion, round(avg(cohesion), 4) AS cohesion, {WEIGHTED.format("motion")} < 0.0149 AS suspect_static FROM v GROUP BY ALL""",
+round({WEIGHTED.format("mean_score")}, 7) AS mean_score, round({WEIGHTED.format("mean_height")}, 7) AS mean_height, round({WEIGHTED.format("motion")}, 7) AS motion, round(avg(cohesion), 7) AS cohesion, {WEIGHTED.format("motion")} < 0.0149 AS suspect_static FROM v GROUP BY ALL""",
     )
 )
 def q_identity_rollup(spark, d):
     m = member(spark, d)
     vectors = m.select("video_id", "track_id", ((F.col("track_id") % 7) / 8.0).alias("cohesion"))
-    return C.identity_rollup(m, vectors, static=0.0149).withColumn("track_ids", F.array_join("track_ids", ","))
+    found = C.identity_rollup(m, vectors, static=0.0149, rounded=False).withColumn("track_ids", F.array_join("track_ids", ","))
+    return found.withColumns({c: F.round(c, 7) for c in ("mean_score", "mean_height", "motion", "cohesion")})
 
 
 @query(
@@ -198,12 +199,12 @@ def q_interval_checks(spark, d):
 @query(
     out_sql(
         TURNS,
-        """SELECT video_id, count(*) AS samples, max(e - s) AS peak, arg_max(s, (e - s, -s)) AS peak_at, round(avg(e - s), 4) AS mean, max(e - s) >= 90000000000 AS speaks FROM turns GROUP BY video_id""",
+        """SELECT video_id, count(*) AS samples, max(e - s) AS peak, arg_max(s, (e - s, -s)) AS peak_at, floor(avg(e - s)) AS mean, max(e - s) >= 90000000000 AS speaks FROM turns GROUP BY video_id""",
     )
 )
 def q_trace_peaks(spark, d):
     t = turns(spark, d).select("video_id", F.col("start").alias("t"), (F.col("end") - F.col("start")).alias("p"))
-    return C.trace_peaks(t, least=90_000_000_000).withColumn("mean", F.round("mean", 4))
+    return C.trace_peaks(t, least=90_000_000_000).withColumn("mean", F.floor("mean").cast("double"))
 
 
 @query("SELECT o_custkey AS video_id, round(avg((o_orderkey % 97) / 97.0), 6) AS probability FROM orders GROUP BY o_custkey")

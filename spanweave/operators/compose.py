@@ -76,19 +76,21 @@ def track_vectors(detections: DataFrame, embeddings: DataFrame, keys: Sequence[s
     return per.select(*k, centroid.alias("centroid"), cohesion.alias("cohesion"), "samples")
 
 
-def identity_rollup(member: DataFrame, vectors: DataFrame, keys: Sequence[str] = KEYS, static=0.005) -> DataFrame:
+def identity_rollup(member: DataFrame, vectors: DataFrame, keys: Sequence[str] = KEYS, static=0.005, rounded: bool = True) -> DataFrame:
     """Each person's numbers over its tracklets, and whether it may be a picture rather than a person.
 
     ``member`` as in ``face_tracks``, with ``span`` and ``mean_height``; ``vectors`` of ``track_vectors``.
+    Numbers are rounded as they are written down, unless asked for as they are.
     """
+    near = lambda c, places: F.round(c, places) if rounded else c
     k = [*keys, "face"]
     both = member.join(vectors.select(*keys, "track_id", "cohesion"), [*keys, "track_id"], "left")
     return both.groupBy(*k).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("position", "track_id"))), lambda m: m["track_id"]).alias("track_ids"),
-        F.round(F.min("first_time"), 4).alias("first_seen"), F.round(F.max("last_time"), 4).alias("last_seen"), F.round(F.sum("span"), 4).alias("screen_time"),
+        near(F.min("first_time"), 4).alias("first_seen"), near(F.max("last_time"), 4).alias("last_seen"), near(F.sum("span"), 4).alias("screen_time"),
         F.sum("frames").alias("frames"), F.count("*").alias("tracks"),
-        F.round(weighted_mean(F.col("mean_score"), F.col("frames")), 4).alias("mean_score"), F.round(weighted_mean(F.col("mean_height"), F.col("frames")), 2).alias("mean_height"),
-        F.round(weighted_mean(F.col("motion"), F.col("frames")), 5).alias("motion"), F.round(F.avg("cohesion"), 4).alias("cohesion"), (weighted_mean(F.col("motion"), F.col("frames")) < static).alias("suspect_static"),
+        near(weighted_mean(F.col("mean_score"), F.col("frames")), 4).alias("mean_score"), near(weighted_mean(F.col("mean_height"), F.col("frames")), 2).alias("mean_height"),
+        near(weighted_mean(F.col("motion"), F.col("frames")), 5).alias("motion"), near(F.avg("cohesion"), 4).alias("cohesion"), (weighted_mean(F.col("motion"), F.col("frames")) < static).alias("suspect_static"),
     )
 
 

@@ -233,40 +233,59 @@ def identities(clusters: DataFrame, tracks: DataFrame, keys: Sequence[str] = KEY
 
 
 class Motion:
-    """Constant-velocity Kalman filter of a box's centre, aspect and height."""
+    """Constant-velocity Kalman filters of many boxes at once: centre, aspect and height.
 
-    STEP = np.eye(8) + np.eye(8, k=4)
-    SEE = np.eye(4, 8)
+    The four coordinates do not mix, so each is a value with its speed and their variances: arrays of
+    one row for each box.
+    """
+
+    def __init__(self):
+        self.value, self.speed, self.var, self.cov, self.speed_var = (np.empty((0, 4)) for _ in range(5))
 
-    def __init__(self, box: np.ndarray):
-        z = self.measure(box)
-        h = z[3]
-        self.mean = np.r_[z, np.zeros(4)]
-        self.cov = np.diag(np.square([h / 10, h / 10, 2e-2, h / 10, h / 16, h / 16, 1e-4, h / 16]))
+    @staticmethod
+    def measure(boxes: np.ndarray) -> np.ndarray:
+        x, y, w, h = boxes.T
+        h = np.maximum(h, 1e-6)
+        return np.stack([x + w / 2, y + h / 2, w / h, h], axis=1)
 
     @staticmethod
-    def measure(box: np.ndarray) -> np.ndarray:
-        x, y, w, h = box
-        h = max(h, 1e-6)
-        return np.array([x + w / 2, y + h / 2, w / h, h])
+    def noise(height: np.ndarray, place: float, speed: float, aspect: float, aspect_speed: float) -> tuple[np.ndarray, np.ndarray]:
+        """Variances of places and speeds, in proportion to the height but for the aspect."""
+        p, s = (np.repeat((height * f)[:, None], 4, axis=1) for f in (place, speed))
+        p[:, 2], s[:, 2] = aspect, aspect_speed
+        return p**2, s**2
+
+    def begin(self, boxes: np.ndarray) -> None:
+        z = self.measure(boxes)
+        var, speed_var = self.noise(z[:, 3], 1 / 10, 1 / 16, 2e-2, 1e-4)
+        for name, rows in (("value", z), ("speed", np.zeros_like(z)), ("var", var), ("cov", np.zeros_like(z)), ("speed_var", speed_var)):
+            setattr(self, name, np.concatenate([getattr(self, name), rows]))
 
     def ahead(self) -> None:
-        h = self.mean[3]
-        noise = np.diag(np.square([h / 20, h / 20, 1e-2, h / 20, h / 160, h / 160, 1e-5, h / 160]))
-        self.mean = self.STEP @ self.mean
-        self.cov = self.STEP @ self.cov @ self.STEP.T + noise
-
-    def correct(self, box: np.ndarray) -> None:
-        h = self.mean[3]
-        seen = self.SEE @ self.cov @ self.SEE.T + np.diag(np.square([h / 20, h / 20, 1e-2, h / 20]))
-        gain = np.linalg.solve(seen, self.SEE @ self.cov).T
-        self.mean = self.mean + gain @ (self.measure(box) - self.SEE @ self.mean)
-        self.cov = self.cov - gain @ seen @ gain.T
+        var, speed_var = self.noise(self.value[:, 3], 1 / 20, 1 / 160, 1e-2, 1e-5)
+        self.value = self.value + self.speed
+        self.var = self.var + 2 * self.cov + self.speed_var + var
+        self.cov = self.cov + self.speed_var
+        self.speed_var = self.speed_var + speed_var
+
+    def correct(self, at: list[int], boxes: np.ndarray) -> None:
+        noise, _ = self.noise(self.value[at, 3], 1 / 20, 0, 1e-2, 0)
+        total = self.var[at] + noise
+        gain, speed_gain = self.var[at] / total, self.cov[at] / total
+        off = self.measure(boxes) - self.value[at]
+        self.value[at] += gain * off
+        self.speed[at] += speed_gain * off
+        self.speed_var[at] -= speed_gain * self.cov[at]
+        self.var[at], self.cov[at] = self.var[at] - gain * self.var[at], self.cov[at] - gain * self.cov[at]
+
+    def keep(self, which: np.ndarray) -> None:
+        for name in ("value", "speed", "var", "cov", "speed_var"):
+            setattr(self, name, getattr(self, name)[which])
 
     @property
-    def box(self) -> np.ndarray:
-        x, y, a, h = self.mean[:4]
-        return np.array([x - a * h / 2, y - h / 2, a * h, h])
+    def boxes(self) -> np.ndarray:
+        x, y, a, h = self.value.T
+        return np.stack([x - a * h / 2, y - h / 2, a * h, h], axis=1)
 
 
 def iou_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -288,38 +307,47 @@ class Tracker:
     def __init__(self, confident=0.5, floor=0.1, birth=0.6, near=0.8, near_second=0.5, patience=30):
         self.confident, self.floor, self.birth = confident, floor, birth
         self.near, self.near_second, self.patience = near, near_second, patience
-        self.live: list[dict] = []
+        self.motion = Motion()
+        self.ids, self.missed, self.lost = np.empty(0, int), np.empty(0, int), np.empty(0, bool)
         self.born = 0
 
     def frame(self, boxes: np.ndarray, scores: np.ndarray) -> list[int]:
         """The track of each detection, 0 for none."""
         out = [0] * len(scores)
-        for t in self.live:
-            t["motion"].ahead()
-            t["missed"] += 1
-        high = [i for i, s in enumerate(scores) if s > self.confident]
-        low = [i for i, s in enumerate(scores) if self.floor < s <= self.confident]
-
-        def join(tracks: list[dict], those: list[int], most: float) -> tuple[list[dict], list[int]]:
+        if len(self.ids):
+            self.motion.ahead()
+            self.missed += 1
+        scores = np.asarray(scores, float)
+        high = np.flatnonzero(scores > self.confident).tolist()
+        low = np.flatnonzero((scores > self.floor) & (scores <= self.confident)).tolist()
+
+        def join(tracks: list[int], those: list[int], most: float) -> tuple[list[int], list[int]]:
             if not tracks or not those:
                 return tracks, those
-            pairs, rest_t, rest_d = matched(iou_distance(np.array([t["motion"].box for t in tracks]), boxes[those]), most)
-            for r, c in pairs:
-                t, i = tracks[r], those[c]
-                t["motion"].correct(boxes[i])
-                t["missed"], t["lost"], out[i] = 0, False, t["id"]
+            pairs, rest_t, rest_d = matched(iou_distance(self.motion.boxes[tracks], boxes[those]), most)
+            if pairs:
+                at, of = [tracks[r] for r, _ in pairs], [those[c] for _, c in pairs]
+                self.motion.correct(at, boxes[of])
+                self.missed[at], self.lost[at] = 0, False
+                for t, i in zip(at, of, strict=True):
+                    out[i] = int(self.ids[t])
             return [tracks[r] for r in rest_t], [those[c] for c in rest_d]
 
-        rest, unused = join(self.live, high, self.near)
-        followed, _ = join([t for t in rest if not t["lost"]], low, self.near_second)
-        for t in followed:
-            t["lost"] = True
-        self.live = [t for t in self.live if t["missed"] <= self.patience]
-        for i in unused:
-            if scores[i] >= self.birth:
-                self.born += 1
-                self.live.append({"id": self.born, "motion": Motion(boxes[i]), "missed": 0, "lost": False})
-                out[i] = self.born
+        rest, unused = join(list(range(len(self.ids))), high, self.near)
+        followed, _ = join([t for t in rest if not self.lost[t]], low, self.near_second)
+        self.lost[followed] = True
+        if len(gone := np.flatnonzero(self.missed > self.patience)):
+            stay = np.delete(np.arange(len(self.ids)), gone)
+            self.motion.keep(stay)
+            self.ids, self.missed, self.lost = self.ids[stay], self.missed[stay], self.lost[stay]
+        new = [i for i in unused if scores[i] >= self.birth]
+        if new:
+            self.motion.begin(boxes[new])
+            fresh = np.arange(self.born + 1, self.born + 1 + len(new))
+            self.born += len(new)
+            self.ids, self.missed, self.lost = np.r_[self.ids, fresh], np.r_[self.missed, np.zeros(len(new), int)], np.r_[self.lost, np.zeros(len(new), bool)]
+            for i, t in zip(new, fresh.tolist(), strict=True):
+                out[i] = t
         return out
 
 

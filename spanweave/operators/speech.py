@@ -57,11 +57,10 @@ def route_sources(segs: DataFrame, limit, keys: Sequence[str] = KEYS, identity:
     """Where each segment is read from: extraction where others talk over it, else the mix with context.
 
     The overlap is a sum over others' segments, so two others at once count twice: what all segments
-    cover of it less what its own identity's do.
+    cover of it less its own length.  Segments of one identity do not overlap, as ``segments`` makes them.
     """
     own = [*keys, identity, "start", "end"]
-    every = covered_within(segs.select(*own), segs, keys, "__all")
-    found = covered_within(every, segs, [*keys, identity], "__own").withColumn("overlap", F.col("__all") - F.col("__own"))
+    found = covered_within(segs.select(*own), segs, keys, "__all").withColumn("overlap", F.col("__all") - (F.col("end") - F.col("start")))
     lo, hi = F.greatest(F.lit(0), F.col("start") - context), F.least(limit, F.col("end") + context)
     past = hi <= F.col("start")
     taken = F.col("overlap") >= least

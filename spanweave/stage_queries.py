@@ -30,7 +30,7 @@ def corpus(spark, d) -> stages.Tables:
         "tracked": seen,
         "tracks": track,
         "identities": track.select("video_id", F.lit("F001").alias("face"), F.array("track_id").alias("track_ids")),
-        "samples": t.where("speaker = 'click'").select("video_id", F.lit(1).alias("track_id"), F.col("start").alias("t"), ((F.col("event_id") % 10) / 10.0).alias("p")),
+        "samples": t.where("speaker = 'click'").select("video_id", F.lit(1).alias("track_id"), F.col("start").alias("t"), ((F.col("event_id") % 10) / 10.0 + 0.0013).alias("p")),
         "turns": t.where("speaker not in ('view', 'click')").select("video_id", "speaker", "start", "end"),
     }
 
@@ -47,7 +47,7 @@ vis AS (SELECT video_id, min(s) AS s, max(s) + CASE WHEN count(gap) > 0 THEN lis
 tu AS (SELECT video_id, speaker, s, e FROM t WHERE speaker NOT IN ('view', 'click')), pos AS (SELECT * FROM tu WHERE e > s), {islands_sql("own", "pos", "video_id, speaker")},
 sp AS (SELECT video_id, speaker, sum(e - s) AS speech FROM own GROUP BY ALL),
 cv AS (SELECT own.video_id, speaker, sum(least(vis.e, own.e) - greatest(vis.s, own.s)) AS seen FROM own JOIN vis ON vis.video_id = own.video_id AND vis.s < own.e AND own.s < vis.e GROUP BY ALL),
-mk AS (SELECT sp.video_id, sp.speaker, (c.event_id % 10) / 10.0 AS p, EXISTS (SELECT 1 FROM own WHERE own.video_id = sp.video_id AND own.speaker = sp.speaker AND own.s <= c.s AND c.s < own.e) AS inside FROM sp JOIN t c ON c.video_id = sp.video_id AND c.speaker = 'click'),
+mk AS (SELECT sp.video_id, sp.speaker, (c.event_id % 10) / 10.0 + 0.0013::DOUBLE AS p, EXISTS (SELECT 1 FROM own WHERE own.video_id = sp.video_id AND own.speaker = sp.speaker AND own.s <= c.s AND c.s < own.e) AS inside FROM sp JOIN t c ON c.video_id = sp.video_id AND c.speaker = 'click'),
 sc AS (SELECT video_id, speaker, avg(p) FILTER (inside) - 0.5 * coalesce(avg(p) FILTER (NOT inside), 0) AS score FROM mk GROUP BY ALL),
 on_ AS (SELECT sp.video_id, sp.speaker FROM sp JOIN cv ON cv.video_id = sp.video_id AND cv.speaker = sp.speaker JOIN sc ON sc.video_id = sp.video_id AND sc.speaker = sp.speaker WHERE seen / speech >= 0.25 AND score >= 0.05),
 mine AS (SELECT tu.video_id, s, e FROM tu JOIN on_ ON on_.video_id = tu.video_id AND on_.speaker = tu.speaker), {islands_sql("a", "mine", "video_id", 0)}, {islands_sql("said", "mine", "video_id").replace("> 0 THEN", "> 0.5 THEN")},
