@@ -23,7 +23,9 @@ from .plans import batch as B
 from .plans import lineage as N
 from .sources import media as M
 
-NONE = F.array().cast("array<string>")
+def none():
+    return F.array().cast("array<string>")
+
 
 # --- people and their tracks
 
@@ -303,7 +305,7 @@ def q_transcript_summary(spark, d):
     k = F.col("o_orderkey")
     o = table(spark, d, "orders").withColumn("video_id", F.col("o_custkey"))
     sources = o.select("video_id", k.alias("name"), F.format_string("F%03d", k % 3 + 1).alias("identity"), F.lit(0.0).alias("start"), ((k % 80) / 8.0).alias("end"), F.when(k % 4 == 0, "extraction").otherwise("mix").alias("source"))
-    texts = o.where("o_orderkey % 9 <> 0").select("video_id", k.alias("name"), (k % 5).alias("words"), F.when(k % 7 == 0, F.array(F.lit("empty"))).otherwise(NONE).alias("flags"))
+    texts = o.where("o_orderkey % 9 <> 0").select("video_id", k.alias("name"), (k % 5).alias("words"), F.when(k % 7 == 0, F.array(F.lit("empty"))).otherwise(none()).alias("flags"))
     return C.transcript_summary(sources, texts).withColumn("identities", F.array_join("identities", ","))
 
 
@@ -389,7 +391,7 @@ def q_shot_captions(spark, d):
 
 @query("SELECT conv_id AS video_id, coalesce(string_agg(DISTINCT role, ',' ORDER BY role) FILTER (turn % 4 > 0), '') AS identities FROM conversations GROUP BY conv_id")
 def q_shot_identities(spark, d):
-    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.when(F.col("turn") % 4 > 0, F.array("role")).otherwise(NONE).alias("roster"))
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.when(F.col("turn") % 4 > 0, F.array("role")).otherwise(none()).alias("roster"))
     return C.shot_identities(rows).withColumn("identities", F.array_join("identities", ","))
 
 
@@ -457,7 +459,7 @@ def q_utterances(spark, d):
     u = said(spark, d).withColumn("name", F.concat(F.lit("n"), F.col("row_id").cast("string")))
     k = F.col("row_id")
     segs = u.select("video_id", "name", F.col("face").alias("identity"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.when(k % 2 == 1, F.array(F.lit("short"))).alias("segment_flags"))
-    texts = u.where("row_id % 3 <> 2").select("video_id", "name", "text", F.when(k % 4 != 0, 0.5).alias("language_probability"), F.lit(-0.25).alias("avg_logprob"), F.when(k % 2 == 1, F.array(F.lit("short"))).otherwise(NONE).alias("flags"))
+    texts = u.where("row_id % 3 <> 2").select("video_id", "name", "text", F.when(k % 4 != 0, 0.5).alias("language_probability"), F.lit(-0.25).alias("avg_logprob"), F.when(k % 2 == 1, F.array(F.lit("short"))).otherwise(none()).alias("flags"))
     tags = u.where("row_id % 2 = 0").select("video_id", "name", F.lit(" Calm ").alias("tag"))
     return R.utterances(segs, texts, tags, F.lit(50.0)).withColumn("flags", F.array_join("flags", ","))
 

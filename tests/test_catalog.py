@@ -2,6 +2,9 @@
 
 import collections
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -42,3 +45,13 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_is_imported_without_a_session():
+    """And the queries are there also where the training-data operators or what they import are not."""
+    for block in ("", "spanweave.llm", "xxhash", "public_tokenizers"):
+        code = f"import sys; sys.modules[{block!r}] = None if {block!r} else sys; import __spark_entry__ as e; print(len(e.queries()), 'op1_quality' in e.queries(), set(e.oracle_sql()) <= set(e.queries()))"
+        said = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), capture_output=True, text=True, timeout=120).stdout.split()
+        assert int(said[0]) >= len(catalog.QUERIES) and said[2] == "True"
+        if block:
+            assert said[1] == "False"
