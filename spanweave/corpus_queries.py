@@ -409,10 +409,10 @@ def q_caption_flags(spark, d):
     return P.checked_caption(rows).select("c_custkey", "caption", F.array_join("flags", ",").alias("flags"))
 
 
-@query("SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS all_, CASE WHEN count(*) <= 4 THEN list(o_orderkey ORDER BY o_orderkey) ELSE list_transform([0, 1, 2, 3], lambda i: list(o_orderkey ORDER BY o_orderkey)[CAST(floor((i + 0.5) * count(*) / 4) AS INTEGER) + 1]) END AS some FROM orders GROUP BY o_custkey".replace("list(o_orderkey ORDER BY o_orderkey) AS all_, ", ""))
+@query("WITH l AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS x FROM orders GROUP BY o_custkey) SELECT o_custkey, array_to_string(CASE WHEN len(x) <= 4 THEN x ELSE list_transform([0, 1, 2, 3], lambda i: x[CAST(floor((i + 0.5) * len(x) / 4) AS INTEGER) + 1]) END, ',') AS some FROM l")
 def q_thinned(spark, d):
     lists = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("items"))
-    return lists.select("o_custkey", P.thinned(F.col("items"), 4).alias("some"))
+    return lists.select("o_custkey", F.array_join(P.thinned(F.col("items"), 4), ",").alias("some"))
 
 
 @query(
