@@ -72,3 +72,49 @@ def read_media_list(spark: SparkSession, list_path: str, root: str) -> DataFrame
     found = media_list(rows, files)
     stop = F.raise_error(F.format_string("%s: %s", "problem", "entry"))
     return found.withColumn("path", F.when(F.col("problem").isNotNull(), stop).otherwise(F.col("path"))).drop("problem")
+
+
+def read_stored(spark: SparkSession, root: str, name: str, made_by: str | None = None, kind: str = "json") -> DataFrame:
+    """A stage's table below ``root`` by its fixed schema; one that is not there names the stage to run first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"there is no {path.toString()}" + (f"; run {made_by} first" if made_by else ""))
+    reader = spark.read.schema(SCHEMAS[name])
+    return reader.json(path.toString(), mode="FAILFAST") if kind == "json" else reader.parquet(path.toString())
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``path, text`` of JSON documents, each file whole."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+RECORDS = "struct<stages:array<struct<stage:string,status:string,code_version:string,config_hash:string,input_hash:string,error:string,artifacts:array<struct<path:string,sha256:string,size:long>>>>>"
+
+
+def stage_states(documents: DataFrame) -> DataFrame:
+    """Stage records from state documents (``video_id, text``); a document that is no JSON has none."""
+    parsed = documents.select("video_id", F.from_json("text", RECORDS, {"mode": "PERMISSIVE"}).alias("d"))
+    return parsed.select("video_id", F.posexplode("d.stages").alias("position", "r")).select("video_id", "position", "r.*").where("stage is not null")
+
+
+def vectors(rows: DataFrame, column: str = "vec") -> DataFrame:
+    """Vectors stored as little-endian half floats (binary) as float arrays; without bytes none.
+
+    The bits of each number are taken apart in SQL: sign, five of exponent, ten of fraction.
+    """
+    def number(w):
+        sign = F.when(F.shiftrightunsigned(w, 15) == 1, -1.0).otherwise(1.0)
+        power, fraction = F.shiftrightunsigned(w, 10).bitwiseAND(F.lit(31)), w.bitwiseAND(F.lit(1023))
+        value = F.when(power == 0, fraction * F.lit(2.0**-24)).when(power == 31, F.when(fraction == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))).otherwise((1 + fraction / 1024) * F.pow(F.lit(2.0), power - 15))
+        return (sign * value).cast("float")
+
+    n = F.floor(F.length(column) / 2).cast("int")
+    digits = F.hex(F.col(column))
+    words = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.concat(F.substring(digits, i * 4 + 3, F.lit(2)), F.substring(digits, i * 4 + 1, F.lit(2))), 16, 10).cast("int"))
+    return rows.withColumn(column, F.when(n > 0, F.transform(words, number)))
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """``path, sha256, size`` of the files below a folder."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
