@@ -628,7 +628,7 @@ def q_rosters(spark, d):
 
 
 @query("""WITH p AS (SELECT o_orderkey, CAST(o_orderkey % 90 AS DOUBLE) AS d FROM orders), c AS (SELECT *, CAST(least(greatest(round_even(d / 4, 0), 1), 8) AS INTEGER) AS n FROM p)
-SELECT o_orderkey, n AS frames, CASE WHEN n = 1 THEN 10.0 ELSE round(10 + 0.5 * d / n, 6) END AS first FROM c""")
+SELECT o_orderkey, n AS frames, CASE WHEN n = 1 THEN 10.0 ELSE round(10 + 0.5 * d / n, 4) END AS first FROM c""")
 def q_sample_times(spark, d):
     start, length = F.lit(10.0), (F.col("o_orderkey") % 90).cast("double")
     count = P.frame_count(length)

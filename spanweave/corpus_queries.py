@@ -14,6 +14,7 @@ from .operators import captions as P
 from .operators import compose as C
 from .operators import document as D
 from .operators import intervals as I
+from .operators import joins as J
 from .operators import solvers as L
 from .operators import speech as S
 from .operators import summaries as Y
@@ -713,3 +714,52 @@ def q_sampled_frames(spark, d):
 def q_quiet_tail(spark, d):
     said_ = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: F.concat(F.lit("line "), x.cast("string"))), "\n").alias("out"))
     return said_.select("o_custkey", M.quiet_tail(F.concat("out", F.lit("\n"))).alias("tail"))
+
+
+@query(
+    out_sql(
+        f"{TURNS}, c AS (SELECT video_id, speaker, least(greatest(s, 1704153600000000), 1706000000000000) AS s, least(greatest(e, 1704153600000000), 1706000000000000) AS e FROM turns), k AS (SELECT * FROM c WHERE e > s), {islands_sql('m', 'k', 'video_id, speaker', 12 * MINUTE)}",
+        """SELECT t.video_id, count(*) AS raw_turns, (SELECT count(*) FROM k WHERE k.video_id = t.video_id) AS clamped_turns, count(*) - (SELECT count(*) FROM k WHERE k.video_id = t.video_id) AS outside_video, (SELECT count(*) FROM m WHERE m.video_id = t.video_id) AS merged_turns,
+(SELECT count(*) FROM m WHERE m.video_id = t.video_id AND e - s < 3600000000) AS dropped_short, (SELECT count(*) FROM m WHERE m.video_id = t.video_id AND e - s >= 3600000000) AS turns FROM turns t GROUP BY t.video_id""",
+    )
+)
+def q_turn_counts(spark, d):
+    return S.turn_counts(turns(spark, d), F.lit(1_706_000_000_000_000), merge_gap=12 * MINUTE, least=60 * MINUTE, floor=1_704_153_600_000_000)
+
+
+@query(
+    out_sql(
+        f"""{TURNS}, x AS (SELECT video_id, speaker, s // 86400000000 AS w, s, least(e, (s // 86400000000 + 1) * 86400000000) AS e FROM turns WHERE e > s), {islands_sql('m', 'x', 'video_id, w, speaker')}, th AS (SELECT DISTINCT video_id, w, speaker FROM x),
+p AS (SELECT a.video_id, a.w, a.speaker, b.speaker AS other, (SELECT coalesce(sum(least(i.e, j.e) - greatest(i.s, j.s)), 0) FROM m i JOIN m j ON i.s < j.e AND j.s < i.e WHERE i.video_id = a.video_id AND i.w = a.w AND i.speaker = a.speaker AND j.video_id = a.video_id AND j.w = a.w AND j.speaker = b.speaker) AS c
+  FROM th a JOIN th b ON a.video_id = b.video_id AND a.w = b.w AND a.speaker <> b.speaker),
+r AS (SELECT *, row_number() OVER (PARTITION BY video_id, w, speaker ORDER BY c DESC, other) AS n FROM p)""",
+        """SELECT th.video_id, th.w, th.speaker, th.speaker || coalesce(',' || string_agg(other, ',' ORDER BY n), '') AS "group" FROM th LEFT JOIN r ON r.video_id = th.video_id AND r.w = th.w AND r.speaker = th.speaker AND n < 3 GROUP BY th.video_id, th.w, th.speaker""",
+    )
+)
+def q_window_groups(spark, d):
+    t = turns(spark, d).withColumn("w", F.floor(F.col("start") / 86_400_000_000).cast("long")).withColumn("end", F.least("end", (F.col("w") + 1) * 86_400_000_000))
+    return S.window_groups(t, ["video_id", "w"], "speaker").select("video_id", "w", "speaker", F.array_join("group", ",").alias("group"))
+
+
+@query(
+    """WITH g AS (SELECT DISTINCT user_id AS video_id, unnest(range(0, 30)) AS frame FROM events),
+s AS (SELECT user_id AS video_id, epoch_us(ts) // 86400000000 - 19723 AS frame, arg_min(event_type, event_id) AS box FROM events GROUP BY ALL)
+SELECT g.video_id, g.frame, coalesce((SELECT arg_max(box, s.frame) FROM s WHERE s.video_id = g.video_id AND s.frame <= g.frame),
+  (SELECT arg_min(box, s.frame) FROM s WHERE s.video_id = g.video_id AND s.frame >= g.frame)) AS box FROM g"""
+)
+def q_filled_first(spark, d):
+    e = turns(spark, d).select("video_id", (F.floor(F.col("start") / 86_400_000_000) - 19723).cast("long").alias("frame"), F.col("speaker").alias("box"), "event_id")
+    grid = e.select("video_id").distinct().select("video_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("frame"))
+    return J.filled_grid(grid, e, "box", by="event_id", last=False)
+
+
+@query(
+    """WITH p AS (SELECT o_orderkey, o_orderkey % 9 - 2 AS n, (o_orderkey % 90)::DOUBLE AS d FROM orders)
+SELECT o_orderkey, CASE WHEN n <= 0 THEN '' WHEN n = 1 THEN '10.0' ELSE array_to_string(list_transform(range(0, n), lambda i: CAST(CAST(round(round(10 + (i + 0.5) * d / n, 4) * 100) AS BIGINT) AS VARCHAR)), ',') END AS times FROM p"""
+)
+def q_spread_times(spark, d):
+    k = F.col("o_orderkey")
+    n = (k % 9 - 2).cast("int")
+    times = P.sample_times(F.lit(10.0), F.lit(10.0) + (k % 90).cast("double"), n)
+    shown = F.array_join(F.transform(times, lambda t: F.when(n == 1, t.cast("string")).otherwise(F.round(t * 100).cast("long").cast("string"))), ",")
+    return table(spark, d, "orders").select("o_orderkey", shown.alias("times"))

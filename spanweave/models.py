@@ -26,10 +26,22 @@ CONTRACTS = {
 }
 
 
-def run_model(rows: DataFrame, kind: str, make: Callable[[], Callable[..., list[tuple]]]) -> DataFrame:
+_KEPT: dict[tuple[str, str], Callable] = {}
+
+
+def kept(kind: str, key: str, make: Callable[[], Callable]) -> Callable:
+    """The model of a kind and key in this worker, made where another one is held."""
+    if (kind, key) not in _KEPT:
+        _KEPT.clear()
+        _KEPT[kind, key] = make()
+    return _KEPT[kind, key]
+
+
+def run_model(rows: DataFrame, kind: str, make: Callable[[], Callable[..., list[tuple]]], key: str | None = None) -> DataFrame:
     """Rows of ``kind``'s contract for each input row: its keys, the model's columns, ``error``.
 
-    ``make()`` builds the model in the worker; the model gets the contract's columns but the video's
+    ``make()`` builds the model in the worker, once for all its tasks where ``key`` names it (the last
+    one made is kept: a worker holds one model); else once for each task.  The model gets the contract's columns but the video's
     id and returns tuples.  Keys are the contract's columns of plain type.
     """
     takes, gives = CONTRACTS[kind]
@@ -44,7 +56,7 @@ def run_model(rows: DataFrame, kind: str, make: Callable[[], Callable[..., list[
             for row in batch.to_dict("records"):
                 own = [row[k] for k in keys]
                 try:
-                    model = model or make()
+                    model = model or (make() if key is None else kept(kind, key, make))
                     out += [(*own, *found, None) for found in model(**{k: v for k, v in row.items() if k != "video_id"})]
                 except Exception as why:  # the row's own failure
                     out.append((*own, *[None] * len(names), f"{type(why).__name__}: {why}"))

@@ -12,15 +12,22 @@ from .intervals import KEYS, merge, within
 
 
 def frame_count(duration, seconds_each=4.0, least=1, most=8) -> Column:
-    """How many frames a span gets: one for so many seconds, within bounds."""
-    return F.least(F.greatest(F.bround(duration / seconds_each), F.lit(least)), F.lit(most)).cast("int")
+    """How many frames a span gets: one for so many seconds, within bounds; an empty span the fewest.
+
+    Without a rate (``seconds_each`` not above 0) every span gets the most.
+    """
+    if seconds_each <= 0:
+        return F.when(duration <= 0, F.lit(least)).otherwise(F.lit(most))
+    return F.when(duration <= 0, F.lit(least)).otherwise(F.least(F.greatest(F.bround(duration / seconds_each), F.lit(least)), F.lit(most)).cast("int"))
 
 
 def sample_times(start, end, count) -> Column:
-    """Times at the middles of ``count`` equal parts of a span; of one part, its start."""
-    step = (end - start) / count
-    middles = F.transform(F.sequence(F.lit(0), count - 1), lambda i: start + (i + 0.5) * step)
-    return F.when(count == 1, F.array(start)).otherwise(middles)
+    """Times at the middles of ``count`` equal parts of a span, to four places; of one part, its start; of
+    none, none.
+    """
+    step = (end - start) / F.greatest(count, F.lit(1))
+    middles = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.bround(start + (i + 0.5) * step, 4))
+    return F.when(count <= 0, F.array().cast("array<double>")).when(count == 1, F.array(start)).otherwise(middles)
 
 
 def thinned(items: Column, most: int) -> Column:

@@ -98,9 +98,14 @@ def nearest(left: DataFrame, right: DataFrame, value: str, tolerance, keys: Sequ
     return near.groupBy(*left.columns).agg(best.alias(value))
 
 
-def filled_grid(grid: DataFrame, seen: DataFrame, value: str, at: str = "frame", keys: Sequence[str] = KEYS) -> DataFrame:
-    """The grid with ``value`` where seen, carried forward, and back at the beginning."""
-    one = seen.groupBy(*keys, at).agg(F.max(value).alias(value))
+def filled_grid(grid: DataFrame, seen: DataFrame, value: str, at: str = "frame", keys: Sequence[str] = KEYS, by: str | None = None, last: bool = True) -> DataFrame:
+    """The grid with ``value`` where seen, carried forward, and back at the beginning.
+
+    Of several values of one frame the last in the order of ``by`` counts, or the first; without
+    ``by`` the greatest.
+    """
+    pick = F.max(value) if by is None else F.max_by(value, by) if last else F.min_by(value, by)
+    one = seen.groupBy(*keys, at).agg(pick.alias(value))
     order = W.partitionBy(*keys).orderBy(at)
     found = F.coalesce(F.last(value, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)), F.first(value, ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing)))
     return grid.join(one, [*keys, at], "left").withColumn(value, found)

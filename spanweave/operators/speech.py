@@ -18,6 +18,18 @@ def clean_turns(turns: DataFrame, limit, keys: Sequence[str] = KEYS, owner: str
     return merge(cut, [*keys, owner], merge_gap).where(F.col("end") - F.col("start") >= least)
 
 
+def turn_counts(turns: DataFrame, limit, keys: Sequence[str] = KEYS, owner: str = "speaker", merge_gap=0.2, least=0.1, floor=0) -> DataFrame:
+    """What ``clean_turns`` does to each video's turns: raw, outside the video, clamped, merged, dropped as
+    too short, and left.
+    """
+    k = list(keys)
+    raw = turns.groupBy(*k).agg(F.count("*").alias("raw_turns"))
+    cut = clamp(turns, limit, floor).select(*k, owner, "start", "end")
+    left = merge(cut, [*k, owner], merge_gap).groupBy(*k).agg(F.count("*").alias("merged_turns"), F.count_if(F.col("end") - F.col("start") < least).alias("dropped_short"))
+    found = raw.join(cut.groupBy(*k).agg(F.count("*").alias("clamped_turns")), k, "left").join(left, k, "left").na.fill(0)
+    return found.withColumns({"outside_video": F.col("raw_turns") - F.col("clamped_turns"), "turns": F.col("merged_turns") - F.col("dropped_short")})
+
+
 def speech_summary(turns: DataFrame, keys: Sequence[str] = KEYS, owner: str = "speaker") -> DataFrame:
     """Speakers, speech (union), speaker (sum) and overlap lengths, and overlap as a share of speech."""
     own = merge(turns.where("end > start").select(*keys, owner, "start", "end"), [*keys, owner])
@@ -104,6 +116,27 @@ def context_speakers(activity: DataFrame, keys: Sequence[str], identity: str, mo
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") < most)
 
 
+def window_groups(spans: DataFrame, keys: Sequence[str], identity: str, most: int = 3) -> DataFrame:
+    """``group`` of each identity in each window (``keys``, the window's number among them): itself first, then
+    the others in the window that overlap it most, ties by identity, at most ``most`` in all.
+
+    ``spans`` are clipped to the windows, as ``intervals.within`` makes them.
+    """
+    if most < 1:
+        raise ValueError(f"a group holds one at least, got {most}")
+    k = list(keys)
+    there = spans.where("end > start").select(*k, identity).distinct()
+    others = there.select(*k, F.col(identity).alias("__other"))
+    mine = merge(spans.where("end > start").select(*k, identity, "start", "end"), [*k, identity])
+    pairs = mine.join(others, k).where(F.col(identity) != F.col("__other"))
+    theirs = mine.select(*k, F.col(identity).alias("__other"), "start", "end")
+    shared = covered_within(pairs, theirs, [*k, "__other"], "__c").groupBy(*k, identity, "__other").agg(F.sum("__c").alias("__c"))
+    ranked = shared.groupBy(*k, identity).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__c")).alias("less"), "__other"))), lambda x: x["__other"]).alias("__o"))
+    rest = F.slice("__o", 1, most - 1)
+    both = there.join(ranked, [*k, identity], "left")
+    return both.select(*k, identity, F.when(F.col("__o").isNull() | (F.lit(most) == 1), F.array(identity)).otherwise(F.concat(F.array(identity), rest)).alias("group"))
+
+
 def votes(rows: DataFrame, keys: Sequence[str] = KEYS, least_seconds=3.0, least_probability=0.5) -> DataFrame:
     """Language votes of detected segments: seconds, segments and weighted probability, ranked.
 

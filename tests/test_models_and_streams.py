@@ -45,3 +45,11 @@ def test_live_tracks_equal_the_batch_ones(spark, tmp_path):
     run.stop()
     key = lambda df: sorted((r.frame, r.x, r.track_id) for r in df.collect())
     assert key(spark.table("tracks")) == key(L.track(found))
+
+
+def test_a_worker_keeps_one_model():
+    made = []
+    build = lambda name: lambda: made.append(name) or (lambda: name)
+    for name in ("a", "a", "b", "b", "a"):
+        assert models.kept("captioner", name, build(name))() == name
+    assert made == ["a", "b", "a"]
