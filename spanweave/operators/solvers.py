@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -361,25 +362,27 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
     cols = [*k, "frame", "x", "y", "w", "h", "score"]
     kind = {f.name: f.dataType.simpleString() for f in detections.schema}
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame", "score", "x", "y", "w", "h"], ascending=[True, False, True, True, True, True]).reset_index(drop=True)
+    def solve(rows: pa.Table) -> pa.Table:
+        frame, x, y, w, h, score = (rows.column(c).to_numpy() for c in cols[len(k) :])
+        order = np.lexsort((h, w, y, x, -score, frame))
+        frame, score, box = frame[order], score[order], np.stack([x, y, w, h], axis=1)[order].astype(float)
         tracker = Tracker(**limits)
-        ids = np.zeros(len(pdf), int)
-        frame, box, score = pdf["frame"].to_numpy(), pdf[["x", "y", "w", "h"]].to_numpy(float), pdf["score"].to_numpy(float)
-        bounds = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(pdf)]
+        ids = np.zeros(len(order), int)
+        bounds = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(order)]
         for a, b in zip(bounds, bounds[1:], strict=False):
             if np.isnan(score[a:b]).any():  # a frame without faces
                 tracker.frame(box[:0], score[:0])
             else:
                 ids[a:b] = tracker.frame(box[a:b], score[a:b])
-        return pdf.assign(track_id=ids)[ids > 0]
+        kept = np.flatnonzero(ids)
+        return rows.take(pa.array(order[kept])).append_column("track_id", pa.array(ids[kept], pa.int32()))
 
     ship(detections.sparkSession)
     rows = detections.select(*cols)
     if frames is not None:
         empty = frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti")
         rows = apart(rows).unionByName(apart(empty), allowMissingColumns=True)
-    return rows.groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
+    return rows.groupBy(*k).applyInArrow(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
 
 
 def track_quality(tracked: DataFrame, fps: float, keys: Sequence[str] = KEYS) -> DataFrame:
