@@ -335,7 +335,7 @@ def q_tag_counts(spark, d):
 @query(
     out_sql(
         f"""{SCORED}, o AS (SELECT video_id, count(*) FILTER (face = 'F000') AS offscreen_speakers FROM a GROUP BY video_id)""",
-        """SELECT c_custkey AS video_id, coalesce(offscreen_speakers, 0) AS offscreen_speakers, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS silent_extractions, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS unclaimed_faces, CASE WHEN c_custkey % 5 = 0 THEN 'F009' END AS caption_names_dropped,
+        """SELECT c_custkey AS video_id, coalesce(offscreen_speakers, 0) AS offscreen_speakers, CAST(CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS silent_extractions, CAST(CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS unclaimed_faces, CASE WHEN c_custkey % 5 = 0 THEN 'F009' END AS caption_names_dropped,
 CASE WHEN c_custkey % 5 = 0 THEN 'invented' END AS caption_flags, CASE WHEN c_custkey % 5 = 0 THEN 4 ELSE 0 END AS caption_frames FROM customer LEFT JOIN o ON o.video_id = c_custkey""",
     )
 )
@@ -453,7 +453,7 @@ def q_words(spark, d):
 @query(
     out_sql(
         f"{SAID}, t AS (SELECT *, 'n' || turn AS name FROM u WHERE turn % 3 <> 2)",
-        """SELECT video_id, name, face, least(s, 50)::DOUBLE AS "start", least(e, 50)::DOUBLE AS "end", CASE WHEN turn % 2 = 0 THEN 'calm' END AS tag, text, CASE WHEN turn % 4 <> 0 THEN 0.5 ELSE -0.25 END AS confidence, CASE WHEN turn % 2 = 1 THEN 'short' ELSE '' END AS flags FROM t WHERE trim(text) <> ''""",
+        """SELECT video_id, name, face, least(s, 50)::DOUBLE AS "start", least(e, 50)::DOUBLE AS "end", CASE WHEN turn % 2 = 0 THEN 'calm' END AS tag, text, CASE WHEN turn % 4 <> 0 THEN 0.5::DOUBLE ELSE -0.25::DOUBLE END AS confidence, CASE WHEN turn % 2 = 1 THEN 'short' ELSE '' END AS flags FROM t WHERE trim(text) <> ''""",
     )
 )
 def q_utterances(spark, d):
