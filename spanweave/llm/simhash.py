@@ -9,8 +9,10 @@ A variant's key holds 20 or 21 bits, so its members grow with the corpus.  Those
 than CROWD are indexed again, under the key and 42 or 43 one-wildcard variants of what the rest of
 the fingerprint holds, cut in three (of at most four differing bits there, one third has at most
 one): such keys hold 33 to 35 bits.  Members of keys that are still crowded are linked through balls
-of two flips.  So a fingerprint is at most 64 rows, 43 more for each of its keys that is crowded, and
-2,081 more where one of those is crowded still; no key's pairs are all made beyond CROWD members.
+of two flips, and so are at once those of keys whose members have DENSE crowded keys or more each, as
+groups of near copies do: for these a ball is less than so many variants.  So a fingerprint is at most
+64 rows, about 2,100 more where its keys are crowded, and a ball of 2,081 where those are crowded
+still; no key's pairs are all made beyond CROWD members.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ BITS = 4
 SHINGLE = 4
 #: Fingerprints sharing one key beyond which they are not compared in pairs.
 CROWD = 4096
+#: Crowded keys of a fingerprint from which a ball has fewer rows than the variants under all of them.
+DENSE = 2081 // 43
 #: Widths of the thirds of what remains of a fingerprint without one of its segments.
 THIRDS = (15, 14, 14)
 #: Shingles hashed at a time.
@@ -213,7 +217,7 @@ def balls(fps: DataFrame) -> DataFrame:
     return reached.join(least, "word").where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
+def links(fps: DataFrame, crowd: int = CROWD, dense: int = DENSE) -> DataFrame:
     """Links (a, b) that connect just the distinct fingerprints ``fp`` that links of BITS connect."""
     spark = fps.sparkSession
     ship(spark)
@@ -226,10 +230,17 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
         return found.where("b is not null").select("a", "b"), None if over.isEmpty() else over
 
     pairs, over = search(variants(fps))
-    if over is not None:
-        more, over = search(again(over))
-        pairs = pairs.union(more)
-    return pairs if over is None else pairs.union(balls(over.select("fp").distinct()))
+    if over is None:
+        return pairs
+    # A key is settled whole in one way or the other, so no pair of its members is missed.
+    over = cut(over)
+    held = over.groupBy("fp").agg(F.count("*").alias("c"))
+    thick = cut(over.join(held, "fp").groupBy("key").agg(F.avg("c").alias("c")).where(F.col("c") >= dense).select("key"))
+    whole = over.join(thick, "key", "left_semi").select("fp")
+    more, still = search(again(over.join(thick, "key", "left_anti")))
+    whole = cut((whole if still is None else whole.union(still.select("fp"))).distinct())
+    pairs = pairs.union(more)
+    return pairs if whole.isEmpty() else pairs.union(balls(whole))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

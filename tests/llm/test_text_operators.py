@@ -273,9 +273,11 @@ def test_simhash_edges(edge, none):
     assert kept.columns == edge.columns and kept.count() == len({c for _, _, c in expected})
 
 
-@pytest.mark.parametrize("crowd", [4096, 20, 3])
-def test_simhash_crowds_are_linked_whole(spark, crowd):
-    """With 20 crowded keys are cut by further segments, with 3 those of them that stay crowded by balls."""
+@pytest.mark.parametrize(("crowd", "dense"), [(4096, 48), (20, 65), (3, 65), (20, 48), (20, 1)])
+def test_simhash_crowds_are_linked_whole(spark, crowd, dense):
+    """With 20 crowded keys are cut by further segments, with 3 those of them that stay crowded by balls;
+    keys of dense groups by balls at once.
+    """
     rng = random.Random(3)
     centre = rng.getrandbits(64)
     fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(150)} | {rng.getrandbits(64) for _ in range(50)}
@@ -303,7 +305,7 @@ def test_simhash_crowds_are_linked_whole(spark, crowd):
         plain[find(x)].append(x - (1 << 64) if x >> 63 else x)
     plain = sorted(sorted(g) for g in plain.values())
     assert 1 < len(plain) < len(fps)
-    assert groups(simhash.links(df, crowd)) == plain
+    assert groups(simhash.links(df, crowd, dense)) == plain
     if crowd == 3:
         assert groups(simhash.balls(df)) == plain
 
