@@ -83,7 +83,7 @@ def format_turns(turns: DataFrame, tokenizer_path: str) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return map_batches(rows, make, "conv_id long, turn long, ids binary, loss_from long, loss_to long")
+    return map_batches(rows, make, "conv_id long, turn long, ids binary, loss_from long, loss_to long", keeps=True)
 
 
 class Reader:

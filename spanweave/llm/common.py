@@ -8,7 +8,8 @@ bound.  The session's settings are left as they are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from spanweave.shipping import ship
 from spanweave.storage import cut, forget
 
-__all__ = ["BATCH_ROWS", "cut", "forget", "map_batches", "n_partitions", "table", "text_of"]
+__all__ = ["BATCH_ROWS", "cut", "forget", "kept", "map_batches", "n_partitions", "release", "table", "text_of"]
 
 #: Rows of an Arrow batch that a Python function handles at a time.
 BATCH_ROWS = 512
@@ -33,14 +34,18 @@ def map_batches(
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     schema: str,
     rows: int = BATCH_ROWS,
+    keeps: bool = False,
 ) -> DataFrame:
     """``mapInArrow`` with one function per task: ``make()`` is called on the executor.
 
-    The function gets ``rows`` rows at a time.
+    The function gets ``rows`` rows at a time.  keeps: ``make`` uses ``kept``; otherwise what earlier
+    tasks kept in the worker goes first.
     """
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
         step = make()
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
@@ -49,6 +54,28 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, build: Callable[[], object]) -> object:
+    """What ``build()`` gives, kept in the worker process for its next tasks; one thing at a time."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Drop what tasks before kept in the worker process.
+
+    Spark uses a worker again for any later stage, where a vocabulary with a million words encoded
+    would lie idle beside what that stage needs.
+    """
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+
+
 def n_partitions(spark: SparkSession) -> int:
     """The shuffle width the session asks for; operators never use fewer."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

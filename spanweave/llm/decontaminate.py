@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, table, text_of
+from .common import cut, kept, map_batches, table, text_of
 
 SHINGLE, LEAST = 5, 0.8
 #: Bytes of item texts up to which the items are broadcast; beyond it they are joined by hash.
@@ -176,15 +176,9 @@ class Items:
         return verified(text, words, [(*self.rows[k], self.hashes[k]) for k in sorted(near)])
 
 
-_LOADED: dict[int, Items] = {}
-
-
 def load(name: int, rows) -> Items:
-    """The items of a broadcast, made once for each worker process."""
-    if name not in _LOADED:
-        _LOADED.clear()
-        _LOADED[name] = Items(rows.value)
-    return _LOADED[name]
+    """The items of a broadcast, made once for each worker process while its tasks use them."""
+    return kept(("items", name), lambda: Items(rows.value))
 
 
 def verified(text: str, words: np.ndarray, items: list[tuple[int, str, int, np.ndarray]]) -> list[tuple[int, int, int]]:
@@ -241,7 +235,7 @@ def contained_items(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BR
 
         return step
 
-    return map_batches(docs, make, PAIR)
+    return map_batches(docs, make, PAIR, keeps=True)
 
 
 def _pairs(rows: list[tuple]) -> pa.RecordBatch:

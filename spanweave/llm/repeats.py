@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from spanweave.shipping import ship
 
-from .common import cut, forget, map_batches, n_partitions, table, text_of
+from .common import cut, forget, map_batches, n_partitions, release, table, text_of
 from .suffixes import suffix_array
 
 LENGTH, GRAM = 200, 32
@@ -317,6 +317,7 @@ RANGE = "d long, k long, lo long, hi long"
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removed ranges of each occurrence, from rows sorted by anchor and context."""
+    release()
     contexts: list[bytes] = []
     anchor_of, lead_of, rows = [], [], []  # rows: of each distinct context, (d, k, at) of its occurrences
     held = 0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from spanweave.shipping import ship
 
-from .common import cut, map_batches, n_partitions, table, text_of
+from .common import cut, map_batches, n_partitions, release, table, text_of
 from .components import components
 
 #: Widths of the segments, lowest bits first.
@@ -127,6 +127,7 @@ def _linked(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     this task, so the rows returned are fewer than the fingerprints met.  A key's rows are held
     until it has more than ``most``.
     """
+    release()
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:

@@ -1,15 +1,19 @@
 """The corpus pipeline against brute force, and on tables it is not used to."""
 
 import collections
+import gc
 import hashlib
+import os
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_text_operators import EDGE, contained, passages, plain_components, plain_fingerprint, plain_repeats, plain_scores
 
 import corpus_pipeline
-from spanweave.llm import repeats
-from spanweave.llm.common import table
+from spanweave.llm import bpe, repeats
+from spanweave.llm.common import map_batches, table
 from spanweave.llm.registry import TOKENIZER
 
 
@@ -74,3 +78,25 @@ def test_pipeline_of_odd_tables(spark, tmp_path, rows):
     docs = table(spark, str(tmp_path), "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_a_later_stage_does_not_hold_the_vocabulary(spark):
+    """Spark uses Python workers again, and what the encoder kept in one is not for other operators' tasks to carry."""
+    model = Path(TOKENIZER).read_text(encoding="utf-8")
+
+    def say(encode):
+        def make():
+            encoder = bpe.load(model) if encode else None
+
+            def step(batch):
+                held = sum(isinstance(x, bpe.TrieBpe) for x in gc.get_objects())
+                return pa.RecordBatch.from_arrays([pa.array([os.getpid()], pa.int64()), pa.array([held], pa.int64())], ["pid", "held"])
+
+            return lambda batch: (encoder, step(batch))[1]
+
+        return {(r["pid"], r["held"]) for r in map_batches(spark.range(0, 64, 1, 4), make, "pid long, held long").collect()}
+
+    before, after = say(True), say(False)
+    assert {held for _, held in before} == {1}
+    assert {pid for pid, _ in before} & {pid for pid, _ in after}, "no worker was used again"
+    assert {held for _, held in after} == {0}
