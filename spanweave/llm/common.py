@@ -12,13 +12,14 @@ import gc
 from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.shipping import ship
 from spanweave.storage import cut, forget
 
-__all__ = ["BATCH_ROWS", "cut", "forget", "kept", "map_batches", "n_partitions", "release", "table", "text_of"]
+__all__ = ["BATCH_ROWS", "crc32_sql", "cut", "forget", "kept", "map_batches", "n_partitions", "release", "runs", "table", "text_of"]
 
 #: Rows of an Arrow batch that a Python function handles at a time.
 BATCH_ROWS = 512
@@ -76,6 +77,20 @@ def release() -> None:
         gc.collect()
 
 
+def runs(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[object, bool, pa.RecordBatch]]:
+    """Of rows that are sorted by a column: each run of its values within a batch, as (value, whether it is
+    the first run of that value, the rows).  Null is a value like any other."""
+    now: object = ...
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = pc.run_end_encode(batch.column(column))
+        at = 0
+        for value, end in zip(coded.values.to_pylist(), coded.run_ends.to_pylist(), strict=True):
+            yield value, now is ... or value != now, batch.slice(at, end - at)
+            now, at = value, end
+
+
 def n_partitions(spark: SparkSession) -> int:
     """The shuffle width the session asks for; operators never use fewer."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -84,3 +99,10 @@ def n_partitions(spark: SparkSession) -> int:
 def text_of(column: str = "text"):
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the crc32 of a string expression, bit by bit, as DuckDB has no function for it."""
+    bits = f"list_transform(range(8), lambda bit_no: (('0x' || substr(hex(encode({text})), 2 * byte_no::INT + 1, 2))::BIGINT >> bit_no::INT) & 1)"
+    every = f"list_prepend(4294967295::BIGINT, flatten(list_transform(range(octet_length(encode({text}))), lambda byte_no: {bits})))"
+    return f"xor(list_reduce({every}, lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pages, quality, repeats, sharding, simhash, spotsigs, urls
+from . import bpe, chat, decontaminate, languages, pages, prefixes, quality, repair, repeats, sharding, simhash, spotsigs, urls
 from .common import table
 
 #: The vocabulary of the token operators; any file of the same kind will do.
@@ -55,6 +55,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.run(spark, sf_dir)
+
+
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.run(spark, sf_dir)
+
+
+def op13_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
@@ -66,6 +78,9 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_sharding": op9_sharding,
     "op10_bpe": op10_bpe,
+    "op11_repair": op11_repair,
+    "op12_prefixes": op12_prefixes,
+    "op13_languages": op13_languages,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_urls": urls.verdict_sql(),
@@ -73,4 +88,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_pages": pages.TEXT_SQL,
     "op7_chat": chat.DIGEST_SQL,
     "op9_sharding": sharding.placement_sql(),
+    "op11_repair": repair.REPAIR_SQL,
+    "op12_prefixes": prefixes.TREE_SQL,
 }
