@@ -245,10 +245,11 @@ def links(fps: DataFrame, crowd: int = CROWD, dense: int = DENSE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` for each row of ``docs``.
+    """``doc_id, text_hash, fp, root, component_id`` for each row of ``docs``.
 
     component_id is the smallest doc_id reachable over links of at most four differing bits,
-    itself included (null only where all of a component's ids are).  Equal fingerprints count
+    itself included (null only where all of a component's ids are); root is the component's smallest
+    fingerprint, which names it also then.  Equal fingerprints count
     once in the search, however many rows have them.  Null, empty and wordless texts have
     fingerprint zero and are linked like any other.  Empty table: empty result.
     """
@@ -258,17 +259,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = cut(fps.join(roots, fps.fp == roots.node, "left").select("fp", "least_id", "root"))
     # A table of its own, so that adaptive execution may split the join at a root of very many.
     named = cut(joined.where("root is not null").groupBy("root").agg(F.min("least_id").alias("component_id")))
-    member = joined.join(named, "root", "left").select("fp", F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return prints.join(member, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    member = joined.join(named, "root", "left")
+    member = member.select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return prints.join(member, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of each component, one for each component.
+    """One row of ``docs`` for each component: that of the smallest doc_id, of those with it that of the smallest text hash.
 
-    Of rows alike in doc_id and component one is kept.  All columns stay as they are.
+    A component all of whose ids are null keeps one row too, and so does each of several such.  Rows alike
+    in id and text are one.  Null, empty and wordless texts are one component, as their fingerprints are
+    equal.  Empty table: empty result.  All columns stay as they are, whatever their names.
     """
-    kept = near_duplicates(docs).where("doc_id <=> component_id").groupBy("component_id").agg(F.min("text_hash").alias("text_hash"))
-    kept = kept.select(F.col("component_id").alias("__sw_id"), F.col("text_hash").alias("__sw_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("__sw_id"), F.col("text_hash").alias("__sw_hash")))
+    kept = near_duplicates(docs).groupBy("root").agg(first.alias("kept")).select("kept.__sw_id", "kept.__sw_hash")
     keyed = docs.withColumn("__sw_id", F.col("doc_id").cast("long")).withColumn("__sw_hash", F.xxhash64(text_of()))
     on = keyed["__sw_id"].eqNullSafe(kept["__sw_id"]) & (keyed["__sw_hash"] == kept["__sw_hash"])
     return keyed.join(kept, on, "left_semi").dropDuplicates(["__sw_id", "__sw_hash"]).drop("__sw_id", "__sw_hash")

@@ -9,10 +9,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import lit
 from test_text_operators import EDGE, contained, passages, plain_components, plain_fingerprint, plain_repeats, plain_scores
 
 import corpus_pipeline
-from spanweave.llm import bpe, repeats
+from spanweave.llm import bpe, repeats, simhash
 from spanweave.llm.common import map_batches, table
 from spanweave.llm.registry import TOKENIZER
 
@@ -100,3 +101,20 @@ def test_a_later_stage_does_not_hold_the_vocabulary(spark):
     assert {held for _, held in before} == {1}
     assert {pid for pid, _ in before} & {pid for pid, _ in after}, "no worker was used again"
     assert {held for _, held in after} == {0}
+
+
+def test_documents_without_an_id_stay_apart(spark, tmp_path):
+    """Of several null ids each text stays once; equal texts, and those one bit from another, are one."""
+    text = lambda word: " ".join(f"{word}{i} {word[::-1]}{i * 7} went." for i in range(60))
+    rows = [(None, text("river")), (None, text("stone")), (None, text("cloud")), (None, text("stone")), (5, text("house")), (5, text("house")), (7, text("cloud")), (None, None), (None, ""), (8, text("paper")), (3, text("paper"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: lit(c) for c in ("root", "kept", "none", "fp")}).repartition(3)
+    kept = simhash.keep_one(df)
+    found = collections.Counter((r.doc_id, r.text or "") for r in kept.collect())
+    assert kept.columns == df.columns
+    assert found == collections.Counter([(None, text("river")), (None, text("stone")), (5, text("house")), (7, text("cloud")), (None, ""), (3, text("paper"))])
+    docs = [(*r, "en", "web", len(r[1] or "")) for r in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    said = collections.Counter((r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert said == collections.Counter((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in found.elements())
