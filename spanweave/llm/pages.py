@@ -6,9 +6,14 @@ aligned by their longest common subsequence.  Lines that the pair shares are tem
 
 Differencing alone would also delete an article that two neighbouring pages carry, and keeps
 menus that differ between pages, so the page's own markup bounds it: lines in elements marked as
-navigation, header, footer, sidebar, notice, advert, form or comments always go; where a page marks
+navigation, header, footer, sidebar, notice, advert, form or comments go; where a page marks
 its article, lines outside go, and its prose (paragraphs, headings, list items, quotes, cells)
 is not deleted for being shared.
+
+Elements are marked by their tag, or by a word of a class (or id or role) that names the block:
+``sidebar`` and ``left-sidebar``, not ``has-sidebar`` or ``sidebar-closed``.  A class says nothing where the element is what it
+should stand beside: where it holds the page's ``main`` or ``h1``, or the larger part of its text in
+other than links.  Comments' classes always count, but for such states (``comments-open``).
 """
 
 from __future__ import annotations
@@ -29,14 +34,16 @@ from .urls import host_of, path_of
 NOISE, LINE, PROSE = 0, 1, 2
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: What these hold is not shown as text, or is a form's; they may stand inside a line and don't end it.
-HIDDEN = set("head title script style template iframe svg canvas object audio video map select textarea datalist".split())
-AWAY = set("nav footer aside form dialog".split())
+HIDDEN = set("head title script style template noscript iframe svg canvas object audio video map select textarea datalist button".split())
+AWAY = set("nav footer aside form dialog menu".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 PROSE_IN = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption".split())
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Classes of these say nothing about their text.
+PLAIN = set("html body main h1 caption figcaption dt dd table tbody thead tfoot tr td th hr".split())
+HEADINGS = {"h2", "h3", "h4", "h5", "h6"}
 #: An open element of the key's kind ends when one of these begins, unless a list or table stands between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 WITHIN = {"ul", "ol", "dl", "table", "menu"}
@@ -49,37 +56,48 @@ MARKS = set(
 )
 #: Those of them that mark readers' comments.
 REPLIES = {"comment", "comments", "reply", "replies", "respond", "disqus"}
-_PARTS = re.compile(r"[A-Za-z]+")
+#: Those of them that may be a heading's class without making it a header's.
+TITLES = {"header", "masthead", "banner", "topbar", "promo", "alert"}
+#: What a class ends with that says how an element is and not what.
+STATES = set("open opened close closed enable enabled disable disabled on off active inactive allowed".split())
+#: What a class says of an element that has a thing, and is not it.
+HAVING = set("has have with without no not is hide show".split())
+_PARTS = re.compile(r"[a-z]+")
 
 
 class Lines(HTMLParser):
-    """Cuts a page into (text, kind) lines."""
+    """Cuts a page into lines, and says of each which elements it is in that may make it noise."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, in noise, in prose
+        self.open: list[tuple[str, bool, bool, tuple, tuple]] = []  # tag, in noise, in prose, suspects, articles
         self.text: list[str] = []
-        self.at = (False, False, False)  # in noise, in prose, in the article: of the line begun
-        self.found: list[list] = []
-        self.in_article: list[bool] = []
-        self.article = self.inner = self.hidden = 0  # open: article or main, article, hidden elements
-
-    def noisy(self, tag: str, attrs: list) -> bool:
-        """Whether a block is no part of the article; inside one, class words do not mark prose."""
-        if tag in AWAY or tag == "header" and not self.article:
-            return True
-        if tag not in BLOCKS or tag in HEADINGS or tag in ("html", "body", "main") or self.inner and tag in PROSE_IN:
-            return False
-        said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-        marks = MARKS.intersection(_PARTS.findall(said)) if said else set()
-        return bool(marks & REPLIES if tag == "article" or tag == "section" and self.inner else marks)
+        self.at: tuple = (False, False, (), ())  # of the line begun
+        self.found: list[tuple] = []  # text, code points in links, in noise, in prose, suspects, articles
+        self.suspects: list[bool] = []  # elements that a class marks; whether what they hold shows it says nothing
+        self.firm: list[bool] = []  # those of comments
+        self.articles: list[tuple] = []  # suspects that an article is in
+        self.hidden = self.links = self.linked = 0  # open elements; code points of the line in links
+
+    def marked(self, tag: str, attrs: list, inside: bool) -> tuple[bool, bool]:
+        """Whether classes mark an element as none of the article's, and whether as comments."""
+        if tag not in BLOCKS or tag in PLAIN:
+            return False, False
+        said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower().split()
+        found = set()
+        for parts in map(_PARTS.findall, said):
+            if parts and parts[-1] not in STATES and HAVING.isdisjoint(parts):
+                found.update(w for i, w in enumerate(parts) if w in MARKS and not (inside and i and w in TITLES))
+        if tag == "article":
+            found &= REPLIES
+        elif tag in HEADINGS:
+            found -= TITLES
+        return bool(found), bool(found & REPLIES)
 
     def flush(self) -> None:
         if line := " ".join("".join(self.text).split()):
-            noise, prose, inside = self.at
-            self.found.append([line, NOISE if noise else PROSE if prose else LINE])
-            self.in_article.append(inside)
-        self.text = []
+            self.found.append((line, self.linked, *self.at))
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
@@ -96,13 +114,22 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        noise, prose = (self.open[-1][1], self.open[-1][2]) if self.open else (False, False)
-        noise = noise or self.noisy(tag, attrs)
-        if tag in ("article", "main"):
-            self.article += not noise
-            self.inner += tag == "article" and not noise
+        noise, prose, suspects, articles = self.open[-1][1:] if self.open else (False, False, (), ())
+        noise = noise or tag in AWAY or tag == "header" and not articles
+        said, firm = self.marked(tag, attrs, bool(articles))
+        if said:
+            suspects = (*suspects, len(self.suspects))
+            self.suspects.append(False)
+            self.firm.append(firm)
+        if tag in ("main", "h1") and not noise:
+            for i in suspects:
+                self.suspects[i] = True
+        if tag in ("article", "main") and not noise:
+            articles = (*articles, len(self.articles))
+            self.articles.append(suspects)
         self.hidden += tag in HIDDEN
-        self.open.append((tag, noise, prose or tag in PROSE_IN))
+        self.links += tag == "a"
+        self.open.append((tag, noise, prose or tag in PROSE_IN, suspects, articles))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -122,18 +149,17 @@ class Lines(HTMLParser):
     def close_from(self, i: int) -> None:
         if any(tag in BLOCKS for tag, *_ in self.open[i:]):
             self.flush()
-        for tag, noise, _ in self.open[i:]:
-            if tag in ("article", "main") and not noise:
-                self.article -= 1
-                self.inner -= tag == "article"
+        for tag, *_ in self.open[i:]:
             self.hidden -= tag in HIDDEN
+            self.links -= tag == "a"
         del self.open[i:]
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
             if not any(map(str.strip, self.text)):
-                self.at = (*((self.open[-1][1], self.open[-1][2]) if self.open else (False, False)), self.article > 0)
+                self.at = self.open[-1][1:] if self.open else (False, False, (), ())
             self.text.append(data)
+            self.linked += len(data) if self.links else 0
 
 
 def lines_of(html: str) -> tuple[list[str], list[int]]:
@@ -142,11 +168,26 @@ def lines_of(html: str) -> tuple[list[str], list[int]]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    marked = any(a and kind != NOISE for a, (_, kind) in zip(parser.in_article, parser.found, strict=True))
-    kinds = []
-    for inside, (_, kind) in zip(parser.in_article, parser.found, strict=True):
-        kinds.append(NOISE if marked and not inside else kind if marked or kind == NOISE else LINE)
-    return [line for line, _ in parser.found], kinds
+    found = parser.found
+    if parser.suspects:
+        held, linked = [0] * len(parser.suspects), [0] * len(parser.suspects)
+        whole = 0
+        for line, links, noise, _, suspects, _ in found:
+            if not noise and not any(parser.firm[i] for i in suspects):
+                whole += len(line)
+                for i in suspects:
+                    held[i] += len(line)
+                    linked[i] += links
+        clear = [not firm and (wraps or 2 * h > whole and 2 * n <= h) for wraps, firm, h, n in zip(parser.suspects, parser.firm, held, linked, strict=True)]
+        bad = lambda suspects: not all(clear[i] for i in suspects)
+    else:
+        bad = lambda _: False
+    good = [not bad(suspects) for suspects in parser.articles]
+    inside = [any(good[i] for i in articles) for *_, articles in found]
+    noisy = [noise or bad(suspects) for _, _, noise, _, suspects, _ in found]
+    marked = any(a and not n for a, n in zip(inside, noisy, strict=True))
+    kinds = [NOISE if n or marked and not a else PROSE if marked and prose else LINE for a, n, (_, _, _, prose, *_) in zip(inside, noisy, found, strict=True)]
+    return [line for line, *_ in found], kinds
 
 
 def aligned(a: list[str], b: list[str], block: int = 1024) -> set[int]:

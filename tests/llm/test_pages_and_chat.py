@@ -52,9 +52,50 @@ PROSE = """<body><nav>Home</nav><article><h1>T</h1><p>a <button>x</button> b</p>
 <p>n <select><option>no</select>o <script>no()</script>p</p><div class="comments"><p>no</p></div><div>q<table><tr><td>r</table>s</div></article><p class="ad">no</p></body>"""
 
 
-def test_nothing_else_is_dropped_from_an_article_and_no_block_is_split(spark):
+def test_what_is_marked_inside_an_article_goes_and_no_block_is_split(spark):
     df = spark.createDataFrame([(1, "http://a/x", PROSE)], "page_id long, url string, html string")
-    assert pages.main_text(df).first().text == "T\na x b\nc y d e\nf\ng\nh i j\nk\nl\nm\nn o p\nq\nr\ns"
+    assert pages.main_text(df).first().text == "T\na b\nc y d e\nh i j\nn o p\nq\nr\ns"
+
+
+#: Pages without an article element: what wraps the text, of which {} is the place.
+WRAPPERS = [
+    '<div class="layout has-sidebar">{}</div>', '<div class="with-header">{}</div>', '<div class="post share-enabled">{}</div>', '<main><div class="has-sidebar">{}</div></main>', '<body class="no-sidebar">{}</body>',
+    '<div id="page" class="sidebar-right"><main>{}</main></div>', '<div class="post comments-open">{}</div>', '<div class="related">{}</div>', '<div class="header-fixed">{}</div>', "<section>{}</section>", '<td class="header">{}</td>', "<div>{}</div>",
+    '<div class="promo-layout">{}</div>', '<div role="search-result">{}</div>', '<article class="post alert">{}</article>',
+]
+#: What stands beside the text, inside the wrapper and outside, and is none of it.
+ASIDE = [
+    "<nav><ul><li>Home<li>About us</ul></nav>", '<div class="menu"><a href="/">Home and all the rest of it</a></div>', '<p class="advert">Buy now</p>', '<p class="cookie-notice">We use cookies</p>', '<ul><li class="related">See this</ul>',
+    '<section class="newsletter"><p>Join us</p></section>', "<menu><li>One<li>Two</menu>", "<button>Press</button>", "<noscript>Turn it on</noscript>", '<div class="left-sidebar">Left</div>', '<div id="comments"><div>' + "So true! " * 40 + "</div></div>",
+    '<div class="comment-list">' + "<article><p>Nice, nice, nice.</p></article>" * 20 + "</div>", "<form>Mail <input></form>", "<script>var x</script><style>p{}</style>", '<div class="social-share">Share</div>', "<footer>Us</footer>", '<h3 class="related">More</h3>',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_forms_of_pages(wrapper):
+    """Wrappers do not take the text with them, and what is marked goes wherever it stands."""
+    text = ["A headline of some length", "The first of the paragraphs, which goes on for a while.", "one point", "another point", "The end of it all, said at length."]
+    blocks = [f"<h2>{text[0]}</h2>", f"<p>{text[1]}</p>", f"<ul><li>{text[2]}<li>{text[3]}</ul>", f"<p>{text[4]}</p>"]
+    for aside in ASIDE:
+        for at in (0, 2, 4):
+            page = wrapper.format("".join([*blocks[:at], aside, *blocks[at:]]))
+            lines, kinds = pages.lines_of(page)
+            assert [x for x, kind in zip(lines, kinds, strict=True) if kind != pages.NOISE] == text, page
+        lines, kinds = pages.lines_of(aside + wrapper.format("".join(blocks)) + aside)
+        assert [x for x, kind in zip(lines, kinds, strict=True) if kind != pages.NOISE] == text, aside
+
+
+def test_differencing_decides_on_every_form_of_page(spark):
+    """Pages of a host differ in their text alone; what is shared is marked nowhere, and goes."""
+    rows, expected = [], {}
+    for form, wrapper in enumerate(w for w in WRAPPERS if "<article" not in w):
+        for i in range(4):
+            own = [f"Text {i} of form {form}, the first part.", f"Text {i} of form {form}, the second part."]
+            page_id = form * 10 + i
+            expected[page_id] = "\n".join(own)
+            rows.append((page_id, f"http://h{form}/a/{i}", f"<div>Site</div><div>Home</div>{wrapper.format(''.join(f'<p>{x}</p>' for x in own))}<div>All rights</div>"))
+    found = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == expected
 
 
 def plain_difference(rows):
