@@ -47,13 +47,14 @@ def place(df: DataFrame, key, names: list[str], slots: int = SLOTS) -> DataFrame
 
     The table has ``slots`` rows whatever the input and is broadcast; rows are not shuffled.
     Null keys: as the empty key.  Repeated keys: one place.  Empty table: empty result.  Columns
-    of the input called slot or shard are replaced.
+    of the input called slot or shard are replaced, the key's own among them.
     """
     spark = df.sparkSession
     lookup = spark.createDataFrame([(i, names[k]) for i, k in enumerate(fill(names, slots))], "__sw_slot long, __sw_shard string")
     digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
     slot = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % slots
-    out = df.drop("slot", "shard").withColumn("__sw_slot", slot).join(F.broadcast(lookup), "__sw_slot", "left")
+    # The key is read first: it may be a column of these names itself.
+    out = df.withColumn("__sw_slot", slot).drop("slot", "shard").join(F.broadcast(lookup), "__sw_slot", "left")
     return out.withColumnsRenamed({"__sw_slot": "slot", "__sw_shard": "shard"})
 
 

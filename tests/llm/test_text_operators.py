@@ -539,6 +539,9 @@ def test_sharding(edge, none):
         key = "" if r.doc_id is None else str(r.doc_id)
         assert r.slot == int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 101 and r.shard == names[filled[r.slot]]
     assert sharding.place(none, F.col("doc_id"), names, 101).count() == 0
+    for name in ("slot", "shard"):  # a key called like the output
+        named = edge.select(F.col("doc_id").alias(name))
+        assert collections.Counter(sharding.place(named, F.col(name), names, 101).select("slot", "shard").collect()) == collections.Counter(placed.select("slot", "shard").collect())
     with pytest.raises(ValueError):
         sharding.fill(names, 100)
 
