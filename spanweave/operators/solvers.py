@@ -1,4 +1,4 @@
-"""Operators that column expressions can't hold: assignment, clustering, tracking.
+"""Operators that column expressions can't hold: assignment and tracking (clustering: ``clusters``).
 
 Each runs once for each key (a video) on that key's rows, with numpy, and breaks ties by lowest
 index, so results do not depend on how rows are dealt.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from ..storage import cut
+from .clusters import cluster, linked_clusters  # noqa: F401  (they are solvers too)
 from .intervals import KEYS, apart, merge
 from .joins import covered_within, inside
 
@@ -184,45 +185,6 @@ def assignment_summary(assignments: DataFrame, faces: DataFrame, keys: Sequence[
     return counts.join(alone, k, "left").na.fill(0, ["unclaimed"])
 
 
-def linked_clusters(vectors: np.ndarray, most: float = 0.45, tie: float = 1e-9) -> list[list[int]]:
-    """Average-linkage clusters under cosine distance, joined while some two are within ``most``."""
-    v = np.asarray(vectors, np.float32)
-    if not len(v):
-        return []
-    norm = np.linalg.norm(v, axis=1, keepdims=True)
-    unit = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0).astype(np.float64)
-    dist = 1.0 - unit @ unit.T
-    members = [[i] for i in range(len(v))]
-    while len(members) > 1:
-        upper = np.where(np.triu(np.ones(dist.shape, bool), 1), dist, np.inf)
-        low = upper.min()
-        if low > most:
-            break
-        a, b = np.argwhere(upper <= low + tie)[0]
-        n, m = len(members[a]), len(members[b])
-        row = (n * dist[a] + m * dist[b]) / (n + m)
-        dist[a], dist[:, a] = row, row
-        keep = np.arange(len(members)) != b
-        dist = dist[np.ix_(keep, keep)]
-        members[a] += members.pop(b)
-    return sorted(sorted(m) for m in members)
-
-
-def cluster(vectors: DataFrame, keys: Sequence[str] = KEYS, item: str = "track_id", vector: str = "vector", most: float = 0.45) -> DataFrame:
-    """``cluster`` number (by smallest item) of each item of a key."""
-    k = list(keys)
-    kind = {f.name: f.dataType.simpleString() for f in vectors.schema}
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(item).reset_index(drop=True)
-        groups = linked_clusters(np.stack(pdf[vector].to_list()), most)
-        where = {i: n for n, g in enumerate(groups) for i in g}
-        return pdf[[*k, item]].assign(cluster=[where[i] for i in range(len(pdf))])
-
-    ship(vectors.sparkSession)
-    return vectors.select(*k, item, vector).groupBy(*k).applyInPandas(solve, ", ".join(f"`{n}` {kind[n]}" for n in [*k, item]) + ", cluster int")
-
-
 def identities(clusters: DataFrame, tracks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Clusters numbered ``F001`` on, most screen time first, then first seen."""
     k = list(keys)

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from spanweave.operators import clusters
 from spanweave.operators import solvers as L
 
 
@@ -176,6 +177,65 @@ def test_clusters_of_a_table(spark):
         assert {i: n for n, g in enumerate(groups) for i in g} == {i: n for (w, i), n in found.items() if w == video}
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_ties_join_the_first_pair(seed):
+    """Vectors on a coarse grid: many distances alike, repeated and zero vectors."""
+    rng = random.Random(seed)
+    vectors = [[rng.choice([0, 0, 1, 2]) for _ in range(3)] for _ in range(rng.randint(2, 20))]
+    assert L.linked_clusters(np.array(vectors, float)) == plain_clusters(vectors)
+
+
+def test_forests_join_what_matrices_join():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        close = rng.random((rng.integers(1, 12), rng.integers(1, 12))) < rng.choice([0.05, 0.2, 0.8])
+        found = clusters.forest(close)
+
+        def groups(pairs):
+            root = {}
+            get = lambda x: x if root.setdefault(x, x) == x else get(root[x])  # noqa: B023, E731
+            for r, c in pairs:
+                root[get(("r", r))] = get(("c", c))  # noqa: B023
+            by = {}
+            for x in list(root):
+                by.setdefault(get(x), set()).add(x)
+            return sorted(map(sorted, by.values())), len(root) - len(by)
+
+        every, fewest = groups(np.argwhere(close).tolist())
+        assert groups(found)[0] == every and len(found) == fewest and all(close[r, c] for r, c in found)
+
+
+@pytest.mark.parametrize("pivot_bytes", [16 << 20, 0])
+def test_large_keys_equal_small_ones(spark, monkeypatch, pivot_bytes):
+    """Keys cut into components and blocks, with ties, copies, zero and null vectors, and a small key beside them."""
+    rng = random.Random(6)
+    rows = []
+    for video, n in (("a", 160), ("b", 90), ("c", 5)):
+        centres = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(9)]
+        for i in range(n):
+            v = [c + rng.gauss(0, rng.choice([0.1, 0.6])) for c in rng.choice(centres)]
+            v = [1.0, 0.0, 0.0, 0.0, 0.0, 1.0] if i % 9 == 0 else [float(rng.choice([0, 1])) for _ in v] if i % 9 == 1 else None if i == 11 else [0.0] * 6 if i in (12, 13) else v
+            rows.append((video, i * 3 % 1000, v))
+    df = spark.createDataFrame(rows, "video_id string, track_id int, vector array<double>").repartition(3)
+    whole = sorted(map(tuple, L.cluster(df).collect()))
+    monkeypatch.setattr(clusters, "SMALL", 8)
+    monkeypatch.setattr(clusters, "BLOCK", 7)
+    monkeypatch.setattr(clusters, "PIVOT_BYTES", pivot_bytes)
+    assert sorted(map(tuple, L.cluster(df).collect())) == whole and len({c for *_, c in whole}) > 8
+
+
+def test_a_key_of_many_vectors(spark):
+    """One key of more vectors than a task takes, in many groups far apart: each comes back whole."""
+    groups, each, width = 300, 20, 64
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(groups, width))
+    data = (centres[:, None] + rng.normal(scale=0.2, size=(groups, each, width))).reshape(-1, width)
+    pdf = pd.DataFrame({"video_id": "v", "track_id": np.arange(len(data)), "vector": data.tolist()})
+    found = L.cluster(spark.createDataFrame(pdf, "video_id string, track_id int, vector array<double>")).toPandas()
+    assert len(found) == len(data) > clusters.SMALL
+    assert (found["cluster"] == found["track_id"] // each).all()
+
+
 # --- speakers
 
 
