@@ -222,10 +222,10 @@ def q_points_outside(spark, d):
 @query(out_sql(f"{TURNS}", """SELECT a.event_id AS a, b.event_id AS b FROM turns a JOIN turns b ON a.video_id = b.video_id AND a.s < b.e AND b.s < a.e
 WHERE a.speaker = 'view' AND b.speaker = 'error' AND a.e > a.s AND b.e > b.s"""))
 def q_overlap_join(spark, d):
-    t = turns(spark, d)
+    t = turns(spark, d).where("end > start")
     right = t.where("speaker = 'error'").select("video_id", "start", "end", F.col("event_id").alias("b"))
     left = t.where("speaker = 'view'").select("video_id", "start", "end", F.col("event_id").alias("a"))
-    return J.overlap_join(left, right, bucket=12 * 60 * MINUTE).select("a", "b")
+    return J.overlap_join(left, right).select("a", "b")
 
 
 SEGMENTS = f"""{TURNS}, {islands_sql("m", "turns", "video_id, speaker")}, {islands_sql("g", "m", "video_id, speaker", 12 * MINUTE)},

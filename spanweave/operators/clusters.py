@@ -148,22 +148,23 @@ def links(rows: DataFrame, keys: Sequence[str], n_keys: int, most: float) -> Dat
         for batch in batches:
             cells, angles = np.zeros(batch.num_rows, np.int32), np.full(batch.num_rows, math.pi)
             of = list(zip(*(batch.column(i).to_pylist() for i in at_keys), strict=True))
-            vectors = batch.column(at_vector).to_pylist()
+            vectors = units(batch.column(at_vector).flatten().to_numpy().reshape(batch.num_rows, -1))
             where: dict[tuple, list[int]] = {}
             for i, key in enumerate(of):
                 where.setdefault(key, []).append(i)
             for key, at in where.items():
                 if key in pivots:
-                    cosine = units(np.array([vectors[i] for i in at], np.float32)).astype(np.float64) @ pivots[key].T
+                    cosine = vectors[at].astype(np.float64) @ pivots[key].T
                     cells[at] = cosine.argmax(1)
                     angles[at] = np.arccos(np.clip(cosine.max(1), -1, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells), pa.array(angles)], [*batch.schema.names, "__cell", "__angle"])
+            unit = pa.array([v.tobytes() for v in vectors], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in [*k, "__id"]), unit, pa.array(cells), pa.array(angles)], [*k, "__id", "unit", "__cell", "__angle"])
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in kind.items())
-    celled = cut(rows.mapInArrow(assign, schema + ", __cell int, __angle double"))
+    schema = ", ".join(f"`{c}` {kind[c]}" for c in [*k, "__id"])
+    celled = cut(rows.mapInArrow(assign, schema + ", unit binary, __cell int, __angle double"))
     sizes = celled.groupBy(*k, "__cell").agg(F.ceil(F.count("*") / BLOCK).alias("__parts"))
     part = F.pmod(F.xxhash64("__id"), F.col("__parts"))
-    dealt = cut(celled.join(sizes, [*k, "__cell"]).select(*k, "__id", "vector", "__cell", "__angle", part.alias("__part")))
+    dealt = cut(celled.join(sizes, [*k, "__cell"]).select(*k, "__id", "unit", "__cell", "__angle", part.alias("__part")))
     blocks = dealt.groupBy(*k, "__cell", "__part").agg(F.max("__angle").alias("radius"))
     centres = [(*key, i, row.tolist()) for key, table in shared.value.items() for i, row in enumerate(table)]
     centre = rows.sparkSession.createDataFrame(centres, ", ".join(f"`{c}` {kind[c]}" for c in k) + ", __cell int, centre array<double>")
@@ -176,11 +177,11 @@ def links(rows: DataFrame, keys: Sequence[str], n_keys: int, most: float) -> Dat
     pairs = blocks.join(other, k).where((F.col("block") <= F.col("other")) & near).select(*k, "block", "other").withColumn("__pair", F.xxhash64(*k, "block", "other"))
     sides = F.explode(F.array_distinct(F.array("block", "other")))
     wanted = cut(pairs.select(*k, "__pair", (F.col("block") == F.col("other")).alias("__own"), F.col("block").alias("__first"), sides.alias("side")))
-    met = dealt.withColumn("side", F.struct("__cell", "__part")).join(wanted, [*k, "side"]).select("__pair", "__own", (F.col("side") == F.col("__first")).alias("__left"), "__id", "vector")
+    met = dealt.withColumn("side", F.struct("__cell", "__part")).join(wanted, [*k, "side"]).select("__pair", "__own", (F.col("side") == F.col("__first")).alias("__left"), "__id", "unit")
 
     def solve(table: pa.Table) -> pa.Table:
         ids, left = table.column("__id").to_numpy(), table.column("__left").to_numpy()
-        v = units(np.array(table.column("vector").to_pylist(), np.float32)).astype(np.float64)
+        v = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float32).reshape(len(ids), -1).astype(np.float64)
         own = bool(table.column("__own")[0].as_py())
         a, b = np.flatnonzero(left), np.flatnonzero(left if own else ~left)
         close = 1.0 - v[a] @ v[b].T <= most + 1e-9

@@ -11,24 +11,38 @@ from pyspark.sql import functions as F
 from .intervals import KEYS, apart, bounds, merge
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, bucket=None) -> DataFrame:
+#: Levels of dyadic cells: lengths from 2^-30 on; shorter intervals are in cells of that size.
+LEAST_LEVEL = -30
+
+
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Pairs of rows whose intervals share time; b's bounds come as ``b_start, b_end``.
 
-    With ``bucket`` (a length of time) long timelines are cut into buckets, both sides are joined
-    on key and bucket, and a pair is kept in the bucket where its shared time begins, once.
+    Of two intervals that overlap the one holds where the other starts.  An interval is in the two or three
+    cells that cover it of the size 2^level next below its own length; a start is in one cell of each
+    level that the other side's intervals have.  So a pair meets in one cell, whatever the lengths,
+    intervals are few rows each, starts one for each level (as many as lengths have powers of two), and
+    rows that meet are within a few lengths of one another.  The levels are looked up first, by a pass over
+    both sides' bounds.  Rows without both bounds overlap nothing; those without length only what holds them.
     """
     right = b.withColumnsRenamed({"start": "b_start", "end": "b_end"})
-    left = a
-    on = list(keys)
-    if bucket:
-        span = lambda s, e: F.explode(F.sequence(F.floor(s / bucket), F.floor(e / bucket)))
-        left = left.where("end > start").withColumn("__bucket", span(F.col("start"), F.col("end")))
-        right = right.where("b_end > b_start").withColumn("__bucket", span(F.col("b_start"), F.col("b_end")))
-        on += ["__bucket"]
-    both = left.join(right, on).where("start < b_end and b_start < end")
-    if bucket:
-        both = both.where(F.col("__bucket") == F.floor(F.greatest("start", "b_start") / bucket)).drop("__bucket")
-    return both
+    level = lambda s, e: F.greatest(F.floor(F.log2(F.col(e).cast("double") - F.col(s).cast("double"))).cast("int"), F.lit(LEAST_LEVEL))
+    known = lambda df, s, e: df.where(f"{e} > {s}").select(level(s, e).alias("n")).distinct().collect()
+    levels = {side: sorted(r["n"] for r in known(df, s, e)) for side, df, s, e in (("a", a, "start", "end"), ("b", right, "b_start", "b_end"))}
+    cell = lambda t, n: F.floor(F.col(t).cast("double") / F.pow(F.lit(2.0), n)).cast("long")
+
+    def dealt(df: DataFrame, s: str, e: str, of_spans: int, others: list[int]) -> DataFrame:
+        n = level(s, e)
+        spans = F.when(F.col(e) > F.col(s), F.transform(F.sequence(cell(s, n), cell(e, n)), lambda c: F.struct(n.alias("level"), c.alias("cell"), F.lit(of_spans).alias("role"))))
+        empty = F.array().cast("array<struct<level:int,cell:bigint,role:int>>")
+        starts = F.array(*[F.struct(F.lit(i).alias("level"), cell(s, F.lit(i)).alias("cell"), F.lit(1 - of_spans).alias("role")) for i in others]) if others else empty
+        rows = df.where(F.col(s).isNotNull() & F.col(e).isNotNull()).withColumn("__at", F.explode(F.concat(F.coalesce(spans, empty), starts)))
+        return rows.withColumns({f"__{c}": F.col(f"__at.{c}") for c in ("level", "cell", "role")}).drop("__at")
+
+    on = [*keys, "__level", "__cell", "__role"]
+    both = dealt(a, "start", "end", 0, levels["b"]).join(dealt(right, "b_start", "b_end", 1, levels["a"]), on)
+    holds = F.when(F.col("__role") == 0, F.col("b_start") >= F.col("start")).otherwise(F.col("start") > F.col("b_start"))
+    return both.where(holds & F.expr("start < b_end and b_start < end")).drop("__level", "__cell", "__role")
 
 
 def inside(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, how: str = "left_semi") -> DataFrame:

@@ -314,11 +314,50 @@ class Tracker:
         return out
 
 
+#: Rows of a video that one task tracks without looking for places to cut it.
+WHOLE = 20_000
+#: Frames of a bucket in which a long video's frames are counted.
+BUCKET = 1 << 14
+
+
+def pieces(rows: DataFrame, keys: Sequence[str], looked: DataFrame, floor: float, patience: int) -> DataFrame:
+    """``frame, piece, gap`` of each frame that has a detection over ``floor``: the stretches of a key that
+    can be tracked by themselves, and how many frames without one lie before the frame.
+
+    A tracker that saw more than ``patience`` such frames in a row follows nothing any more, so what comes
+    next is tracked as from the beginning.  ``looked`` (keys, frame): all frames that were looked at.
+    Frames are counted within buckets, and the buckets' few rows give what came before, so that a video is
+    not one task.
+    """
+    k = list(keys)
+    usable = F.coalesce((F.col("score") > floor) & ~F.isnan("score"), F.lit(False))
+    seen = rows.select(*k, "frame", usable.alias("on"))
+    every = apart(seen).unionByName(apart(looked.select(*k, "frame", F.lit(False).alias("on")))).groupBy(*k, "frame").agg(F.max("on").alias("on"))
+    every = every.withColumn("bucket", F.floor(F.col("frame") / BUCKET))
+    inside = W.partitionBy(*k, "bucket").orderBy("frame")
+    place = F.row_number().over(inside)
+    every = every.withColumn("n", place).withColumn("last", F.max(F.when(F.col("on"), F.col("n"))).over(inside.rowsBetween(W.unboundedPreceding, -1)))
+    before = W.partitionBy(*k).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    per = every.groupBy(*k, "bucket").agg(F.max("n").alias("n"), F.max(F.when(F.col("on"), F.col("n"))).alias("last"))
+    per = per.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    per = per.select(*k, "bucket", "base", F.max(F.col("base") + F.col("last")).over(before).alias("earlier"))
+    found = every.where("on").join(per, [*k, "bucket"])
+    last = F.coalesce(F.col("base") + F.col("last"), F.col("earlier"))
+    gap = F.col("base") + F.col("n") - last - 1
+    found = found.select(*k, "bucket", "frame", F.coalesce(gap, F.lit(0)).alias("gap"), F.coalesce(gap > patience, F.lit(True)).cast("int").alias("cut"))
+    found = found.withColumn("here", F.sum("cut").over(inside))
+    cuts = found.groupBy(*k, "bucket").agg(F.sum("cut").alias("cuts"))
+    cuts = cuts.select(*k, "bucket", F.coalesce(F.sum("cuts").over(before), F.lit(0)).alias("there"))
+    return found.join(cuts, [*k, "bucket"]).select(*k, "frame", (F.col("here") + F.col("there")).alias("piece"), F.col("gap").cast("long").alias("gap"))
+
+
 def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame | None = None, **limits) -> DataFrame:
     """Detections (``frame, x, y, w, h, score``) with their ``track_id``; those of no track are dropped.
 
     ``frames`` (keys, ``frame``): all that were looked at, so that tracks age in those without faces
-    too; without it only frames with detections count.
+    too; without it only frames with detections count.  A video of more than ``WHOLE`` detections is cut
+    where the tracker follows nothing (``pieces``), and each stretch is a group of its own; its tracks
+    are numbered on from those of the stretches before.  A stretch without such a gap is one task.
     """
     k = list(keys)
     cols = [*k, "frame", "x", "y", "w", "h", "score"]
@@ -326,25 +365,51 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
 
     def solve(rows: pa.Table) -> pa.Table:
         frame, x, y, w, h, score = (rows.column(c).to_numpy() for c in cols[len(k) :])
+        gap = rows.column("gap").to_numpy() if "gap" in rows.column_names else None
         order = np.lexsort((h, w, y, x, -score, frame))
         frame, score, box = frame[order], score[order], np.stack([x, y, w, h], axis=1)[order].astype(float)
         tracker = Tracker(**limits)
         ids = np.zeros(len(order), int)
         bounds = [0, *(np.flatnonzero(frame[1:] != frame[:-1]) + 1).tolist(), len(order)]
         for a, b in zip(bounds, bounds[1:], strict=False):
+            if gap is not None and a:
+                for _ in range(int(gap[order[a]])):
+                    tracker.frame(box[:0], score[:0])
             if np.isnan(score[a:b]).any():  # a frame without faces
                 tracker.frame(box[:0], score[:0])
             else:
                 ids[a:b] = tracker.frame(box[a:b], score[a:b])
         kept = np.flatnonzero(ids)
-        return rows.take(pa.array(order[kept])).append_column("track_id", pa.array(ids[kept], pa.int32()))
+        out = rows.take(pa.array(order[kept])).append_column("track_id", pa.array(ids[kept], pa.int32()))
+        return out.drop_columns(["gap"]) if gap is not None else out
 
     ship(detections.sparkSession)
     rows = detections.select(*cols)
-    if frames is not None:
-        empty = frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti")
-        rows = apart(rows).unionByName(apart(empty), allowMissingColumns=True)
-    return rows.groupBy(*k).applyInArrow(solve, ", ".join(f"`{n}` {kind[n]}" for n in cols) + ", track_id int")
+    schema = ", ".join(f"`{n}` {kind[n]}" for n in cols)
+
+    def whole(rows: DataFrame, frames: DataFrame | None) -> DataFrame:
+        if frames is not None:
+            empty = frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti")
+            rows = apart(rows).unionByName(apart(empty), allowMissingColumns=True)
+        return rows.groupBy(*k).applyInArrow(solve, schema + ", track_id int")
+
+    long = rows.groupBy(*k).count().where(F.col("count") > WHOLE).drop("count")
+    if long.isEmpty():
+        return whole(rows, frames)
+    long = cut(long)
+    rest = whole(rows.join(long, k, "left_anti"), None if frames is None else frames.join(long, k, "left_anti"))
+    rows = rows.join(long, k, "left_semi")
+    looked = rows.select(*k, "frame") if frames is None else frames.join(long, k, "left_semi").select(*k, "frame")
+    defaults = Tracker(**limits)
+    places = pieces(rows, k, looked, defaults.floor, defaults.patience)
+    parts = rows.join(places, [*k, "frame"]).select(*k, "piece", *cols[len(k) :], "gap")
+    schema = ", ".join(f"`{n}` {kind[n]}" for n in k) + ", piece long, " + ", ".join(f"`{n}` {kind[n]}" for n in cols[len(k) :])
+    found = cut(parts.groupBy(*k, "piece").applyInArrow(solve, schema + ", track_id int"))
+    before = W.partitionBy(*k).orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    born = found.groupBy(*k, "piece").agg(F.max("track_id").alias("born"))
+    born = born.select(*k, "piece", F.coalesce(F.sum("born").over(before), F.lit(0)).cast("int").alias("earlier"))
+    found = found.join(born, [*k, "piece"]).select(*cols, (F.col("track_id") + F.col("earlier")).alias("track_id"))
+    return apart(rest).unionByName(apart(found))
 
 
 def track_quality(tracked: DataFrame, fps: float, keys: Sequence[str] = KEYS) -> DataFrame:

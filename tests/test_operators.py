@@ -101,13 +101,36 @@ def test_bad_intervals_fail(spark):
 # --- joins
 
 
-def test_bucketed_overlap_join_equals_the_plain_one(spark):
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_overlap_join_equals_the_plain_one(spark, kind):
+    """Lengths from nothing to 10^9, bounds alike, a video with most rows, nulls."""
     rng = random.Random(2)
-    make = lambda: spans(spark, [("v", s := rng.randint(0, 200), s + rng.randint(1, 40)) for _ in range(60)]).withColumn("id", F.monotonically_increasing_id())
-    a, b = make(), make()
-    pair = lambda df: got(df, "x", "y", "start", "b_start", "end", "b_end")
-    left, right = a.withColumnRenamed("id", "x"), b.withColumnRenamed("id", "y")
-    assert pair(J.overlap_join(left, right)) == pair(J.overlap_join(left, right, bucket=25))
+
+    def make(n):
+        rows = []
+        for i in range(n):
+            start = rng.choice([rng.randint(-(10**9), 10**9), rng.randint(0, 200), rng.randint(-50, 50)])
+            length = rng.choice([0, 1, rng.randint(0, 40), int(10 ** rng.uniform(0, 9))])
+            start, end = (start, start + length) if kind == "long" else (start / 7, start / 7 + length / rng.choice([1, 1e6]))
+            rows.append((rng.choice(["v", "v", "w"]), start, end, i))
+        return [*rows, (None, rows[0][1], rows[0][2], n), ("v", None, rows[0][2], n + 1), ("v", rows[0][1], None, n + 2)]
+
+    a, b = make(150), make(130)
+    df = lambda rows, name: spark.createDataFrame(rows, f"video_id string, start {kind}, end {kind}, {name} long")
+    found = [(r.x, r.y) for r in J.overlap_join(df(a, "x"), df(b, "y")).collect()]
+    plain = [(i, j) for v, s, e, i in a for w, t, u, j in b if None not in (s, e, t, u, v) and v == w and s < u and t < e]
+    assert sorted(found) == sorted(plain) and len(plain) > 900
+    only = J.overlap_join(df([("v", 5, 5, 0)] if kind == "long" else [("v", 5.0, 5.0, 0)], "x"), df(b, "y"))
+    assert sorted(r.y for r in only.collect()) == sorted(j for w, t, u, j in b if None not in (t, u) and w == "v" and t < 5 < u)
+
+
+def test_overlap_join_makes_few_rows_of_long_intervals(spark):
+    rows = [("v", i, i + 10**9, i) for i in range(200)]
+    a = spark.createDataFrame(rows, "video_id string, start long, end long, x long")
+    found = J.overlap_join(a, a.withColumnRenamed("x", "y"))
+    assert found.count() == 200 * 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_nearest_prefers_the_earlier(spark):

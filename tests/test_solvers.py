@@ -137,6 +137,49 @@ def test_tracks_of_a_table_equal_plain_ones(spark):
     assert {(r.video_id, r.frame, r.x): r.track_id for r in L.track(df, frames=every).collect()} == expected
 
 
+@pytest.mark.parametrize("looked", [True, False])
+def test_long_videos_are_cut_where_nothing_is_followed(spark, monkeypatch, looked):
+    """Stretches tracked apart give what the whole gives: gaps of every length around patience, and frames
+    whose detections are too weak to count."""
+    rng = random.Random(8)
+    rows, seen = [], []
+    for video in ("a", "b", "c"):
+        f = rng.randint(0, 5)
+        for _ in range(40):
+            for _ in range(rng.randint(1, 6)):
+                for face in range(rng.randint(1, 3)):
+                    rows.append((video, f, 50.0 + 90 * face + rng.random(), 40.0, 40.0, 50.0, rng.choice([0.7, 0.9, 0.4, 0.62])))
+                seen.append((video, f))
+                f += 1
+            for _ in range(rng.randint(0, 8)):
+                seen.append((video, f))
+                if rng.random() < 0.5:
+                    rows.append((video, f, 50.0, 40.0, 40.0, 50.0, rng.choice([0.1, 0.05])))
+                f += rng.choice([1, 1, 7])
+    rows += [("d", 3, 1.0, 1.0, 5.0, 5.0, 0.05)]
+    df = spark.createDataFrame(rows, "video_id string, frame long, x double, y double, w double, h double, score double").repartition(3)
+    frames = spark.createDataFrame(seen, "video_id string, frame long") if looked else None
+    key = lambda df: sorted((r.video_id, r.frame, r.x, r.track_id) for r in df.collect())
+    whole = key(L.track(df, frames=frames, patience=4))
+    monkeypatch.setattr(L, "BUCKET", 16)
+    monkeypatch.setattr(L, "WHOLE", 0)
+    assert key(L.track(df, frames=frames, patience=4)) == whole
+    monkeypatch.setattr(L, "WHOLE", sum(r[0] == "a" for r in rows) - 1)  # some by one way, some by the other
+    assert key(L.track(df, frames=frames, patience=4)) == whole
+    found = L.pieces(df, ["video_id"], df.select("video_id", "frame") if frames is None else frames, 0.1, 4)
+    counts = {r["video_id"]: r["n"] for r in found.groupBy("video_id").agg(F.max("piece").alias("n")).collect()}
+    assert "d" not in counts and all(n > (4 if looked else 1) for n in counts.values())
+
+
+def test_one_video_is_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(L, "WHOLE", 1000)
+    boxes = spark.range(40_000).select(F.lit("v").alias("video_id"), (F.col("id") * 2 + F.floor(F.col("id") / 100) * 200).alias("frame"), F.lit(10.0).alias("x"), F.lit(10.0).alias("y"), F.lit(30.0).alias("w"), F.lit(40.0).alias("h"), F.lit(0.9).alias("score"))
+    looked = spark.range(200_000).select(F.lit("v").alias("video_id"), F.col("id").alias("frame"))
+    tracked = L.track(boxes, frames=looked)
+    found = tracked.groupBy("track_id").agg(F.count("*").alias("n"), F.min("frame").alias("first")).orderBy("track_id").collect()
+    assert [r.track_id for r in found] == list(range(1, 401)) and {r.n for r in found} == {100} and [r["first"] for r in found] == [400 * i for i in range(400)]
+
+
 # --- clusters
 
 
