@@ -1,5 +1,8 @@
 """Model plug-ins, summaries and the streaming tracker."""
 
+import os
+import random
+
 from pyspark.sql import functions as F
 
 from spanweave import models
@@ -36,15 +39,42 @@ def test_summaries(spark):
 
 
 def test_live_tracks_equal_the_batch_ones(spark, tmp_path):
-    found = boxes(spark, 6).drop("vector", "error").cache()
-    for k in range(2):
-        found.where(f"frame div 3 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
-    run = live.live_tracks(stream).writeStream.format("memory").queryName("tracks").outputMode("append").start()
-    run.processAllAvailable()
-    run.stop()
-    key = lambda df: sorted((r.frame, r.x, r.track_id) for r in df.collect())
-    assert key(spark.table("tracks")) == key(L.track(found))
+    """Frames split over batches, out of order and some late within the limit; afterwards no state is left."""
+    rng = random.Random(4)
+    rows = []
+    for video, first in (("a", 1000), ("b", 1040), ("c", 1400)):
+        for f in range(30):
+            if f % 11 == 5:
+                rows.append((video, f, None, None, None, None, None, first + f))
+                continue
+            rows += [(video, f, 100.0 + 200 * k + 2 * f, 50.0, 40.0, 50.0, rng.choice([0.9, 0.7, 0.4]), first + f) for k in range(2)]
+    moved = sorted(rows, key=lambda r: r[-1] + rng.uniform(0, 8))
+    batches = [moved[i : i + 25] for i in range(0, len(moved), 25)]
+    # Two rows without a frame move the watermark on, at last past the end of every video.
+    batches += [[("z", None, None, None, None, None, None, 10_000)], [("z", None, None, None, None, None, None, 20_000)], [("z", None, None, None, None, None, None, 30_000)]]
+    schema = "video_id string, frame long, x double, y double, w double, h double, score double, t long"
+    seen = lambda rows: spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    folder = tmp_path / "in"
+    for i, batch in enumerate(batches):
+        seen(batch).coalesce(1).write.parquet(str(tmp_path / f"part{i}"))
+        (folder).mkdir(exist_ok=True)
+        for f in (tmp_path / f"part{i}").glob("*.parquet"):
+            f.rename(folder / f"{i:04}.parquet")
+            os.utime(folder / f"{i:04}.parquet", (1_000_000 + i, 1_000_000 + i))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(seen(batches[0]).schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        run = live.live_tracks(stream, quiet=30.0).writeStream.format("memory").queryName("tracks").outputMode("append").start()
+        run.processAllAvailable()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"]]
+        run.stop()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    key = lambda df: sorted((r.video_id, r.frame, r.x, r.track_id) for r in df.collect())
+    whole = seen(rows)
+    expected = key(L.track(whole.where("score is not null"), frames=whole.select("video_id", "frame")))
+    assert key(spark.table("tracks")) == expected != []
+    assert max(held) > 0 and held[-1] == 0
 
 
 def test_a_worker_keeps_one_model():
