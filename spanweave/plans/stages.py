@@ -27,6 +27,8 @@ from ..operators import speech as S
 from ..operators import tags as T
 from ..operators import transcripts as R
 from ..sources import media as M
+from ..sources import sound
+from ..storage import cut
 from .lineage import STAGES, latest, reasons_to_run
 
 Tables = dict[str, DataFrame]
@@ -42,6 +44,11 @@ class Stage:
     reads: tuple[str, ...]
     writes: tuple[str, ...]
     run: Callable[[Tables, Mapping], Tables]
+    #: Tables that it uses where they are given.
+    may_read: tuple[str, ...] = ()
+
+    def inputs(self, tables: Mapping) -> tuple[str, ...]:
+        return (*self.reads, *(t for t in self.may_read if t in tables))
 
 
 def _no_flags() -> Column:
@@ -58,6 +65,32 @@ def _asked(tables: Tables, config: Mapping, kind: str, rows: DataFrame) -> DataF
     return run_model(rows, kind, made)
 
 
+SOUND_RATE = 16_000
+SILENT = 1e-4
+
+
+def _heard(tables: Tables, rows: DataFrame, config: Mapping) -> DataFrame:
+    """Rows (``video_id, start, end``) with ``audio`` (a WAV file in memory), ``rms`` and ``error``.
+
+    ``sound`` names each video's file and the time it begins at (``path, origin``); of it only the bytes of
+    the rows' spans are read.  Without that table, or of a video that is not in it, there is no audio.
+    """
+    if "sound" not in tables:
+        return rows.withColumns({"audio": F.lit(None).cast("binary"), "rms": F.lit(None).cast("double"), "error": F.lit(None).cast("string")})
+    of = tables["sound"].select("video_id", F.col("path").alias("__path"), F.col("origin").alias("__origin"))
+    spans = rows.join(of, "video_id").select("*", F.struct("__path", "__origin").alias("__of"))
+    asked = spans.select(*rows.columns, F.col("__path").alias("path"), (F.col("start") - F.col("__origin")).alias("start_"), (F.col("end") - F.col("start")).alias("seconds"))
+    asked = asked.withColumnsRenamed({"start": "__start", "start_": "start"})
+    read = sound.spans(asked, int(config.get("sample_rate", SOUND_RATE)), wav=True)
+    read = read.drop("path", "start", "seconds").withColumnRenamed("__start", "start")
+    silent = I.apart(rows.join(of.select("video_id"), "video_id", "left_anti"))
+    return cut(I.apart(read).unionByName(silent, allowMissingColumns=True))
+
+
+def _unheard(heard: DataFrame) -> DataFrame:
+    return heard.where("error is not null").groupBy("video_id").agg(F.min("error").alias("error"))
+
+
 def preprocess(tables: Tables, config: Mapping) -> Tables:
     """Timelines and shots from probes and scene logs; a video without sound fails."""
     found = M.probes(tables["answers"]).join(tables["sources"].select("video_id", "path"), "video_id")
@@ -109,10 +142,14 @@ def diarize(tables: Tables, config: Mapping) -> Tables:
 
 def speaking(tables: Tables, config: Mapping) -> Tables:
     """How likely each tracklet speaks at each frame: the mean over the windows that hold it."""
-    rows = tables["tracks"].select("video_id", "track_id").withColumns({"crops": F.lit(None).cast("binary"), "audio": F.lit(None).cast("binary")})
+    spans = tables["tracks"].select("video_id", "track_id", F.col("first_time").alias("start"), F.col("last_time").alias("end"))
+    heard = _heard(tables, spans, config)
+    crops = tables.get("crops")
+    rows = heard.where("error is null").select("video_id", "track_id", "audio")
+    rows = rows.withColumn("crops", F.lit(None).cast("binary")) if crops is None else rows.join(crops.select("video_id", "track_id", "crops"), ["video_id", "track_id"], "left")
     said = _asked(tables, config, "speaking", rows)
     per = said.where("error is null" if "error" in said.columns else "true").groupBy("video_id", "track_id", "frame").agg(F.avg("probability").alias("p"))
-    return {"samples": per.join(tables["videos"].select("video_id", "fps"), "video_id").select("video_id", "track_id", (F.col("frame") / F.col("fps")).alias("t"), "p")}
+    return {"samples": per.join(tables["videos"].select("video_id", "fps"), "video_id").select("video_id", "track_id", (F.col("frame") / F.col("fps")).alias("t"), "p"), "failed": _unheard(heard)}
 
 
 def associate(tables: Tables, config: Mapping) -> Tables:
@@ -127,10 +164,13 @@ def associate(tables: Tables, config: Mapping) -> Tables:
 
 
 def extract(tables: Tables, config: Mapping) -> Tables:
-    """Segments of each person's speech, named, and where their sound is read from."""
+    """Segments of each person's speech, named, and where their sound is read from.
+
+    ``voiced`` (video_id, start, end), where given, bounds them by voice activity.
+    """
     timed = tables["speech"].join(tables["videos"].select("video_id", "duration"), "video_id")
     limits = tables["videos"].select("video_id", "duration")
-    found = S.segments(timed.select("video_id", "duration", "face", "start", "end"), F.col("duration"), ["video_id", "duration", "face"])
+    found = S.segments(timed.select("video_id", "duration", "face", "start", "end"), F.col("duration"), ["video_id", "duration", "face"], voiced=tables.get("voiced"))
     named = S.named(found, ["video_id"], "face").withColumns({"identity": F.col("face"), "flags": F.when(F.col("short"), F.array(F.lit("short"))).otherwise(_no_flags())})
     routed = S.route_sources(named.select("video_id", "identity", "start", "end").join(limits, "video_id"), F.col("duration"), ["video_id", "duration"], "identity")
     both = named.join(routed.select("video_id", "identity", "start", "end", "source", "origin", "until"), ["video_id", "identity", "start", "end"])
@@ -139,7 +179,8 @@ def extract(tables: Tables, config: Mapping) -> Tables:
 
 def transcribe(tables: Tables, config: Mapping) -> Tables:
     """What each segment says: long ones with their language detected, short ones in the video's."""
-    rows = tables["segments"].withColumn("audio", F.lit(None).cast("binary"))
+    heard = _heard(tables, tables["segments"], config)
+    rows = heard.where("error is null").drop("error")
     long = rows.where("duration >= 3").withColumn("language", F.lit(None).cast("string"))
     ask = lambda some: _asked(tables, config, "transcriber", some.select("video_id", "name", "audio", "language"))
     first = ask(long).join(long.select("video_id", "name"), ["video_id", "name"], "left_semi")
@@ -150,14 +191,16 @@ def transcribe(tables: Tables, config: Mapping) -> Tables:
     second = ask(short).join(short.select("video_id", "name"), ["video_id", "name"], "left_semi")
     said = I.apart(first).unionByName(I.apart(second)).join(decided.select("video_id", "code"), "video_id", "left")
     clashes = F.coalesce(F.col("detected") & (F.col("language") != F.col("code")) & (F.col("language") != ""), F.lit(False))
-    flags = F.array_compact(F.concat(R.flags(F.col("text"), F.col("no_speech_prob"), F.col("avg_logprob"), F.col("compression_ratio")), F.array(F.when(clashes, "language_mismatch"))))
-    return {"transcripts": said.withColumn("flags", flags).drop("code"), "language": decided}
+    said = said.join(rows.select("video_id", "name", (F.coalesce(F.col("rms") < SILENT, F.lit(False)) & (F.col("source") == "extraction")).alias("silent")), ["video_id", "name"], "left")
+    flags = R.flags(F.col("text"), F.col("no_speech_prob"), F.col("avg_logprob"), F.col("compression_ratio"))
+    flags = F.array_compact(F.concat(flags, F.array(F.when(clashes, "language_mismatch"), F.when(F.col("silent"), "silent_extraction"))))
+    return {"transcripts": said.withColumn("flags", flags).drop("code", "silent"), "language": decided, "failed": _unheard(heard)}
 
 
 def tag(tables: Tables, config: Mapping) -> Tables:
     """One tag for each segment that is long enough."""
     fit = tables["segments"].where(F.col("duration") >= float(config.get("least_seconds", 0.5)))
-    rows = fit.select("video_id", "name").withColumn("audio", F.lit(None).cast("binary"))
+    rows = _heard(tables, fit.select("video_id", "name", "start", "end"), config).where("error is null").select("video_id", "name", "audio")
     scores = _asked(tables, config, "tagger", rows).where("score is not null")
     words = T.vocabulary(scores.sparkSession)
     return {"tags": T.reduce_tags(scores, words, ["video_id", "name"], config.get("min_score", 0.5), every=fit.select("video_id", "name"))}
@@ -167,7 +210,9 @@ def caption(tables: Tables, config: Mapping) -> Tables:
     """Captions of shots, cleared of people who are not in view, and the global one."""
     listed = P.rosters(tables["visible"], tables["shots"])
     known = tables["identities"].groupBy("video_id").agg(F.array_sort(F.collect_set("face")).alias("known"))
-    prompts = listed.withColumns({"frames": F.lit(None).cast("binary"), "prompt": P.shot_prompt(F.col("index"), F.col("start"), F.col("end"), F.col("roster"))})
+    prompts = listed.withColumn("prompt", P.shot_prompt(F.col("index"), F.col("start"), F.col("end"), F.col("roster")))
+    images = tables.get("shot_frames")
+    prompts = prompts.withColumn("frames", F.lit(None).cast("binary")) if images is None else prompts.join(images.select("video_id", "index", "frames"), ["video_id", "index"], "left")
     said = _asked(tables, config, "captioner", prompts.select("video_id", "index", "frames", "prompt"))
     both = listed.join(said.select("video_id", "index", F.col("caption").alias("text")), ["video_id", "index"], "left").join(known, "video_id", "left")
     checked = P.checked_caption(both.withColumns({"text": F.coalesce("text", F.lit("")), "known": F.coalesce("known", _no_flags())}))
@@ -203,16 +248,16 @@ REGISTRY = {
     s.name: s
     for s in (
         Stage(STAGES[0], "s0-v2", False, ("sources", "answers", "logs"), ("videos", "shots"), preprocess),
-        Stage(STAGES[1], "s1-v1", True, ("videos",), ("sampled", "detections", "embeddings"), faces),
+        Stage(STAGES[1], "s1-v1", True, ("videos",), ("sampled", "detections", "embeddings"), faces, ("frames",)),
         Stage(STAGES[2], "s2-v1", False, ("detections", "sampled"), ("tracked", "tracks"), tracks),
         Stage(STAGES[3], "s3-v2", False, ("tracks", "tracked", "embeddings"), ("identities", "dropped", "vectors"), cluster),
-        Stage(STAGES[4], "s4-v1", True, ("videos",), ("turns",), diarize),
-        Stage(STAGES[5], "s5-v2", True, ("tracks", "videos"), ("samples",), speaking),
+        Stage(STAGES[4], "s4-v1", True, ("videos",), ("turns",), diarize, ("audio",)),
+        Stage(STAGES[5], "s5-v2", True, ("tracks", "videos"), ("samples",), speaking, ("sound", "crops")),
         Stage(STAGES[6], "s6-v1", False, ("identities", "tracked", "samples", "turns"), ("visible", "assignments", "speech"), associate),
-        Stage(STAGES[7], "s7-v1", True, ("speech", "videos"), ("segments",), extract),
-        Stage(STAGES[8], "s8-v1", True, ("segments",), ("transcripts", "language"), transcribe),
-        Stage(STAGES[9], "s9-v1", True, ("segments",), ("tags",), tag),
-        Stage(STAGES[10], "s10-v1", True, ("videos", "shots", "visible", "identities"), ("captions", "overall"), caption),
+        Stage(STAGES[7], "s7-v1", True, ("speech", "videos"), ("segments",), extract, ("voiced",)),
+        Stage(STAGES[8], "s8-v1", True, ("segments",), ("transcripts", "language"), transcribe, ("sound",)),
+        Stage(STAGES[9], "s9-v1", True, ("segments",), ("tags",), tag, ("sound",)),
+        Stage(STAGES[10], "s10-v1", True, ("videos", "shots", "visible", "identities"), ("captions", "overall"), caption, ("shot_frames",)),
         Stage(STAGES[11], "s11-v4", False, ("videos", "shots", "captions", "overall", "identities", "tracks", "speech", "turns", "segments", "transcripts", "language", "tags"), ("utterances", "face_tracks", "documents", "scripts", "gates", "metrics"), compose),
     )
 }
@@ -248,7 +293,7 @@ def input_hashes(stage: Stage, tables: Tables, config: Mapping) -> DataFrame:
     """
     said = json.dumps({k: v for k, v in sorted(config.items()) if k != "models"}, sort_keys=True)
     parts = []
-    for name in stage.reads:
+    for name in stage.inputs(tables):
         df = tables[name]
         row = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))
         parts.append(df.groupBy("video_id").agg(F.sum(F.xxhash64(row).cast("decimal(38,0)")).alias("h"), F.count("*").alias("n")).select("video_id", F.concat_ws(":", F.lit(name), "h", "n").alias("part")))
@@ -281,7 +326,7 @@ def run_stages(tables: Tables, names: Sequence[str], config: Mapping[str, Mappin
         planned = planned.withColumn("reason", reason).select("video_id", "stage", "code_version", "input_hash", "reason")
         planned = planned if state is None else store(planned)
         due = planned.where("reason is not null").select("video_id")
-        given = tables if state is None else {k: v.join(due, "video_id", "left_semi") if k in stage.reads or k.startswith("model_") else v for k, v in tables.items()}
+        given = tables if state is None else {k: v.join(due, "video_id", "left_semi") if k in stage.inputs(tables) or k.startswith("model_") else v for k, v in tables.items()}
         made = stage.run(given, own)
         failed = made.pop("failed", None)
         for table, df in made.items():

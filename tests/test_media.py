@@ -1,6 +1,10 @@
 """Sound and what other programs say of media, on small cases."""
 
 import io
+import os
+import struct
+import subprocess
+import sys
 import wave
 
 import numpy as np
@@ -10,6 +14,7 @@ from pyspark.sql import functions as F
 from spanweave.functions import audio as A
 from spanweave.plans import batch as B
 from spanweave.sources import media as M
+from spanweave.sources import sound
 
 
 def test_wav_round_trip_and_windows():
@@ -111,3 +116,56 @@ def test_two_sources_of_one_stem_fail(spark):
     with pytest.raises(Exception, match="same stem"):
         B.plan_jobs(rows).collect()
     assert [r.video_id for r in B.plan_jobs(rows.where("position < 2")).orderBy("position").collect()] == ["a", "b"]
+
+
+def test_windows_of_wav_files_by_their_bytes(spark, tmp_path):
+    """Windows equal those of the whole file read at once; files with further chunks, two channels, errors."""
+    rng = np.random.default_rng(1)
+    x = rng.uniform(-1, 1, 16_000 * 3 + 100)
+    (tmp_path / "a.wav").write_bytes(A.wav_bytes(x, 16_000))
+    raw = A.wav_bytes(x[:4000], 8_000)
+    (tmp_path / "b.wav").write_bytes(raw[:36] + b"LIST" + struct.pack("<I", 3) + b"abc\0" + raw[36:])
+    (tmp_path / "c.wav").write_bytes(b"no sound at all, but long enough to be asked")
+    paths = [str(tmp_path / "a.wav"), f"file:{tmp_path}/b.wav", str(tmp_path / "c.wav"), str(tmp_path / "none.wav")]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    heads = {r.path.rpartition("/")[2]: r for r in sound.heads(files).collect()}
+    assert (heads["a.wav"].sample_rate, heads["a.wav"].frames, heads["a.wav"].channels, heads["a.wav"].offset) == (16_000, len(x), 1, 44)
+    assert (heads["b.wav"].sample_rate, heads["b.wav"].frames, heads["b.wav"].offset) == (8_000, 4000, 56)
+    assert "not WAV" in heads["c.wav"].error and heads["none.wav"].error
+    found = {(r.path.rpartition("/")[2], r["index"]): r for r in sound.windows(files, 0.5, 0.4).collect()}
+    whole = A.wav_bytes(x, 16_000)
+    assert sorted(i for p, i in found if p == "a.wav") == list(range(8))
+    for i in range(8):
+        assert np.array_equal(np.array(found["a.wav", i].samples, np.float32), A.wav_window(whole, i * 0.4, 0.5))
+    assert len(found["b.wav", 0].samples) == 4000 and found["c.wav", 0].samples is None and found["none.wav", 0].error
+    rows = spark.createDataFrame([(paths[0], 1.0, 0.25, "x"), (paths[0], 9.0, 1.0, "y"), (None, 0.0, 1.0, "z"), (paths[1], 0.0, 1.0, "w")], "path string, start double, seconds double, name string")
+    said = {r["name"]: r for r in sound.spans(rows, 16_000, wav=True).collect()}
+    assert np.array_equal(A.wav_window(bytes(said["x"].audio), 0, 1), A.wav_window(A.wav_bytes(A.wav_window(whole, 1.0, 0.25), 16_000), 0, 1)) and said["x"].rms > 0.5
+    assert "no samples" in said["y"].error and "needs a path" in said["z"].error and "8000 Hz" in said["w"].error
+
+
+def test_a_large_file_is_read_in_little_memory(spark, tmp_path):
+    """A WAV file of 3 GB (a sparse one) whose sound stands near its end; the reader is let have 1 GB."""
+    size, at = 3_000_000_000, 2_900_000_000
+    path, x = str(tmp_path / "large.wav"), np.arange(-800, 800, dtype="<i2")
+    with open(path, "wb") as f:
+        f.write(A.wav_bytes(np.zeros(0), 16_000)[:40] + struct.pack("<I", size))
+        f.seek(44 + at)
+        f.write(x.tobytes())
+        f.truncate(44 + size)
+    start = at / 2 / 16_000
+    code = f"""
+import resource, sys
+import numpy as np
+from spanweave.sources import sound
+resource.setrlimit(resource.RLIMIT_DATA, (1 << 30, 1 << 30))
+with sound.opened({path!r}) as f:
+    rate, frames, channels, offset = sound.head_of(f)
+    raw = np.frombuffer(f.read_at(3200, offset + {at}), "<i2")
+print(rate, frames, channels, raw.tolist() == list(range(-800, 800)))
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert said.stdout.split() == ["16000", str(size // 2), "1", "True"], said.stderr
+    rows = spark.createDataFrame([(path, start, 0.1), (path, 5.0, 0.1)], "path string, start double, seconds double")
+    found = {r.start: np.array(r.samples, np.float32) for r in sound.spans(rows).collect()}
+    assert np.array_equal(found[start], x.astype(np.float32) / 32768) and not found[5.0].any()
