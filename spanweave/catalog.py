@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as X
 from .operators import captions as P
+from .operators import compose as C
 from .operators import intervals as I
 from .operators import joins as J
 from .operators import script as G
@@ -351,14 +352,18 @@ def q_slug(spark, d):
 
 
 @query(
-    """WITH t AS (SELECT c_nationkey AS video_id, c_custkey, round(sum(o_totalprice), 2) AS screen_time, min(epoch_us(o_orderdate)) AS first_seen FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)
-SELECT video_id, c_custkey, printf('F%03d', row_number() OVER (PARTITION BY video_id ORDER BY screen_time DESC, first_seen, c_custkey)) AS face_id FROM t"""
+    """WITH t AS (SELECT c_nationkey AS video_id, c_custkey, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS screen_time, min(epoch_us(o_orderdate)) AS first_seen, max(epoch_us(o_orderdate)) AS last_seen, count(*) AS n, min(o_orderkey) AS first
+FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)
+SELECT video_id, printf('F%03d', row_number() OVER (PARTITION BY video_id ORDER BY screen_time DESC, first_seen, c_custkey)) AS face_id, first, n, screen_time, last_seen - first_seen AS span FROM t"""
 )
 def q_rank_identities(spark, d):
+    """Customers are people of a nation, and their orders tracks as long as they cost."""
     both = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"))
-    t = both.groupBy(F.col("c_nationkey").alias("video_id"), "c_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("screen_time"), F.min("o_orderdate").alias("first_seen"))
-    order = W.partitionBy("video_id").orderBy(F.desc("screen_time"), "first_seen", "c_custkey")
-    return t.select("video_id", "c_custkey", X.face_id(F.row_number().over(order)).alias("face_id"))
+    of = [F.col("c_nationkey").alias("video_id"), F.col("o_orderkey").alias("track_id")]
+    seen = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    tracks = both.select(*of, seen.alias("first_seen"), seen.alias("last_seen"), F.round(F.col("o_totalprice") * 100).cast("long").alias("span"))
+    found = L.identities(both.select(*of, F.col("c_custkey").alias("cluster")), tracks)
+    return found.select("video_id", "face_id", F.get("track_ids", F.lit(0)).alias("first"), F.size("track_ids").cast("long").alias("n"), "screen_time", (F.col("last_seen") - F.col("first_seen")).alias("span"))
 
 
 @query(
@@ -508,35 +513,41 @@ SELECT c.label, n.n, round(sum(m * m), 5) AS norm2, round(CASE WHEN n.n > 1 THEN
 )
 def q_cohesion(spark, d):
     e = table(spark, d, "embeddings")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    parts = e.select("label", norm.alias("norm"), F.posexplode("embedding").alias("i", "x")).select("label", "i", (F.col("x").cast("double") / F.col("norm")).alias("x"))
-    sums = parts.groupBy("label", "i").agg(F.sum("x").alias("s"), F.avg("x").alias("m"), F.count("*").alias("n"))
-    cohesion = F.when(F.max("n") > 1, (F.sum(F.col("s") * F.col("s")) - F.max("n")) / (F.max("n") * (F.max("n") - 1))).otherwise(1.0)
-    return sums.groupBy("label").agg(F.max("n").alias("n"), F.round(F.sum(F.col("m") * F.col("m")), 5).alias("norm2"), F.round(cohesion, 5).alias("cohesion"))
+    found = C.track_vectors(e.select(F.lit(0).alias("video_id"), F.col("label").alias("track_id"), F.col("vec_id").alias("emb")), e.select(F.lit(0).alias("video_id"), F.col("vec_id").alias("emb"), F.col("embedding").alias("vec")))
+    # The mean of unit vectors is as long as their cohesion says.
+    norm2 = ((F.col("samples") - 1) * F.col("cohesion") + 1) / F.col("samples")
+    return found.select(F.col("track_id").alias("label"), F.col("samples").alias("n"), F.round(norm2, 5).alias("norm2"), F.round("cohesion", 5).alias("cohesion"))
 
 
 @query(
-    """SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity
-FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0"""
+    """WITH p AS (SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity
+FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+SELECT a, b, similarity FROM p QUALIFY row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) <= 10"""
 )
 def q_cosine_pairs(spark, d):
+    """The ten vectors of its label nearest to each of the queries, which are the ids divisible by 100."""
     e = table(spark, d, "embeddings")
     probes = e.where("vec_id % 100 = 0").select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("va"))
     both = probes.join(e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("vb")), "label").where("a <> b")
-    return both.select("a", "b", F.round(X.cosine(F.col("va"), F.col("vb")), 5).alias("similarity"))
+    found = both.select("a", "b", F.round(X.cosine(F.col("va"), F.col("vb")), 5).alias("similarity"))
+    order = W.partitionBy("a").orderBy(F.desc("similarity"), "b")
+    return found.withColumn("place", F.row_number().over(order)).where("place <= 10").drop("place")
 
 
 @query(
-    """WITH c AS (SELECT r_regionkey AS video_id, i, j, CAST((r_regionkey * 7 + i * i * 5 + j * 3 + i * j * 11) % 13 AS DOUBLE) AS cost FROM region, (SELECT unnest([0, 1, 2]) AS i), (SELECT unnest([0, 1, 2]) AS j)),
-p AS (SELECT * FROM (VALUES (0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)) AS p(a, b, c)),
-s AS (SELECT x.video_id, x.cost + y.cost + z.cost AS total FROM p JOIN c x ON x.i = 0 AND x.j = p.a JOIN c y ON y.i = 1 AND y.j = p.b AND y.video_id = x.video_id JOIN c z ON z.i = 2 AND z.j = p.c AND z.video_id = x.video_id)
-SELECT video_id, 3 AS pairs, min(total) AS total FROM s GROUP BY video_id"""
+    """WITH RECURSIVE e AS (SELECT user_id AS video_id, event_type AS face, CAST(event_id % 5 AS INT) AS j, min(CAST(round(value * 100) AS BIGINT)) AS cost FROM events WHERE event_id % 4 > 0 GROUP BY ALL),
+r AS (SELECT video_id, face, row_number() OVER (PARTITION BY video_id ORDER BY face) AS i FROM (SELECT DISTINCT video_id, face FROM e)), n AS (SELECT video_id, max(i) AS n FROM r GROUP BY 1),
+s AS (SELECT video_id, 0::BIGINT AS i, 0 AS used, 0::BIGINT AS total FROM n
+UNION ALL SELECT s.video_id, s.i + 1, s.used | coalesce(1 << x.j, 0), min(s.total + coalesce(x.cost, 0)) FROM s JOIN r ON r.video_id = s.video_id AND r.i = s.i + 1
+  JOIN (SELECT video_id, face, j, cost FROM e UNION ALL SELECT video_id, face, NULL, NULL FROM r) x ON x.video_id = s.video_id AND x.face = r.face AND coalesce(s.used & (1 << x.j), 0) = 0 GROUP BY 1, 2, 3),
+m AS (SELECT s.video_id, bit_count(used)::BIGINT AS pairs, min(total) AS total FROM s JOIN n ON n.video_id = s.video_id AND n.n = s.i GROUP BY ALL)
+SELECT video_id, max(pairs) AS pairs, arg_max(total, pairs)::DOUBLE AS total FROM m GROUP BY 1"""
 )
 def q_assign(spark, d):
-    three = F.explode(F.array(*[F.lit(i) for i in range(3)]))
-    c = table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("video_id"), three.alias("i")).select("*", three.alias("j"))
-    c = c.withColumn("cost", ((F.col("video_id") * 7 + F.col("i") * F.col("i") * 5 + F.col("j") * 3 + F.col("i") * F.col("j") * 11) % 13).cast("double"))
-    return L.assign(c, ["video_id"], "i", "j").groupBy("video_id").agg(F.count("*").cast("int").alias("pairs"), F.sum("cost").alias("total"))
+    """Event types to remainders of a user's events, each with the least value that both have."""
+    e = table(spark, d, "events").where("event_id % 4 > 0")
+    edges = e.groupBy(F.col("user_id").alias("video_id"), "event_type", (F.col("event_id") % 5).alias("j")).agg(F.min(F.round(F.col("value") * 100).cast("long")).alias("cost"))
+    return L.assign(edges, ["video_id"], "event_type", "j").groupBy("video_id").agg(F.count("*").alias("pairs"), F.sum("cost").alias("total"))
 
 
 VOICES = f"""{TURNS}, t AS (SELECT *, printf('F%03d', event_id % 3 + 1) AS face FROM turns), w AS (SELECT video_id, face, s, e FROM t WHERE speaker = 'view'),

@@ -6,10 +6,9 @@ index, so results do not depend on how rows are dealt.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -72,25 +71,88 @@ def matched(cost: np.ndarray, most: float) -> tuple[list[tuple[int, int]], list[
     return pairs, sorted({*range(cost.shape[0])} - {r for r, _ in pairs}), sorted({*range(cost.shape[1] if cost.ndim > 1 else 0)} - {c for _, c in pairs})
 
 
+def by_key(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
+    """The rows of each key, of rows that stand by their first ``n`` columns; one key is held at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(n)), strict=True)) if n else [()] * batch.num_rows
+        first = 0
+        for i in range(1, batch.num_rows + 1):
+            if i < batch.num_rows and keys[i] == keys[first]:
+                continue
+            if held and keys[first] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = keys[first]
+            held.append(batch.slice(first, i - first))
+            first = i
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def seats(rows: Sequence, columns: Sequence, costs: np.ndarray, most: float = float("inf")) -> list[int]:
+    """Places of the edges (row, column, cost) of a matching with as many pairs as can be, at least cost.
+
+    Only given edges are made pairs.  Each connected component is matched by itself, so a table stands for a
+    component's rows and columns and not for all; of edges alike in both the cheapest counts.
+    """
+    root: dict = {}
+
+    def find(x):
+        while (p := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(p, p)
+        return x
+
+    for r, c in zip(rows, columns, strict=True):
+        a, b = find((0, r)), find((1, c))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    parts: dict = {}
+    for i, r in enumerate(rows):
+        parts.setdefault(find((0, r)), []).append(i)
+    out = []
+    for edges in parts.values():
+        of_r = {r: n for n, r in enumerate(sorted({rows[i] for i in edges}))}
+        of_c = {c: n for n, c in enumerate(sorted({columns[i] for i in edges}))}
+        own = costs[edges]
+        dear = np.abs(own).max() * (len(of_r) * len(of_c) + 1) + 1
+        grid, edge = np.full((len(of_r), len(of_c)), dear), np.full((len(of_r), len(of_c)), -1)
+        for i in edges:
+            r, c = of_r[rows[i]], of_c[columns[i]]
+            if edge[r, c] < 0 or costs[i] < grid[r, c]:
+                grid[r, c], edge[r, c] = costs[i], i
+        out += [int(edge[r, c]) for r, c in cheapest_matching(grid) if edge[r, c] >= 0 and grid[r, c] <= most]
+    return sorted(out)
+
+
 def assign(costs: DataFrame, keys: Sequence[str], row: str, column: str, cost: str = "cost", most: float = float("inf")) -> DataFrame:
-    """Least-cost 1:1 pairs of each key from rows (row, column, cost); pairs not given are not made."""
+    """Least-cost 1:1 pairs of each key from rows (row, column, cost), as many as can be; pairs not given are not made.
+
+    Keys stream through a task in their order, many in a batch; one key's edges are held at a time.  Rows
+    with a null row, column or cost are no edges; of repeated ones the cheapest counts.
+    """
     k = list(keys)
     kind = {f.name: f.dataType.simpleString() for f in costs.schema}
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        grid = pdf.pivot_table(index=row, columns=column, values=cost, aggfunc="min", sort=True)
-        missing = grid.isna().to_numpy()
-        values = grid.to_numpy(float)
-        dear = np.nanmax(np.abs(values)) * (values.size + 1) + 1 if values.size else 0
-        pairs = [(r, c) for r, c in cheapest_matching(np.where(missing, dear, values)) if not missing[r, c] and values[r, c] <= most]
-        out = pd.DataFrame({row: [grid.index[r] for r, _ in pairs], column: [grid.columns[c] for _, c in pairs], cost: [float(values[r, c]) for r, c in pairs]})
-        for name in reversed(k):
-            out.insert(0, name, pdf[name].iloc[0])
-        return out
+    names = [*k, row, column, cost]
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[pa.Table] = []
+        for rows in by_key(batches, len(k)):
+            found = seats(rows.column(len(k)).to_pylist(), rows.column(len(k) + 1).to_pylist(), rows.column(len(k) + 2).to_numpy(), most)
+            if found:
+                done.append(rows.take(found))
+            if len(done) >= 256:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+                done = []
+        if done:
+            yield from pa.concat_tables(done).combine_chunks().to_batches()
 
     ship(costs.sparkSession)
-    schema = ", ".join(f"`{n}` {kind[n]}" for n in [*k, row, column]) + f", `{cost}` double"
-    return costs.select(*k, row, column, F.col(cost).cast("double").alias(cost)).groupBy(*k).applyInPandas(solve, schema)
+    schema = ", ".join(f"`{n}` {kind[n]}" for n in names[:-1]) + f", `{cost}` double"
+    edges = costs.select(*names[:-1], F.col(cost).cast("double").alias(cost)).where(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col(cost).isNotNull() & ~F.isnan(cost))
+    dealt = edges.repartition(*k).sortWithinPartitions(*k, row, column) if k else edges.coalesce(1).sortWithinPartitions(row, column)
+    return dealt.mapInArrow(solve, schema)
 
 
 INELIGIBLE = 1000.0

@@ -28,6 +28,7 @@ from ..operators import tags as T
 from ..operators import transcripts as R
 from ..sources import media as M
 from ..sources import sound
+from ..sources.published import digest
 from ..storage import cut
 from .lineage import STAGES, latest, reasons_to_run
 
@@ -286,38 +287,69 @@ def needed(stage: Stage, tables: Tables) -> None:
             raise FileNotFoundError(f"{stage.name} has no table {name}; " + (f"run {by} first" if by else "give it as an input"))
 
 
-def input_hashes(stage: Stage, tables: Tables, config: Mapping) -> DataFrame:
+def input_hashes(stage: Stage, tables: Tables, config: Mapping, digests: Tables | None = None) -> DataFrame:
     """``video_id, input_hash``: of the stage's settings and of what each table it reads has of the video.
 
-    Rows count whatever their order; each table is summed up by video before its sums meet.
+    Rows count whatever their order; each table is summed up by video before its sums meet.  ``digests``
+    (``published.digest`` of a table) spare reading the tables they are of.
     """
     said = json.dumps({k: v for k, v in sorted(config.items()) if k != "models"}, sort_keys=True)
     parts = []
     for name in stage.inputs(tables):
-        df = tables[name]
-        row = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))
-        parts.append(df.groupBy("video_id").agg(F.sum(F.xxhash64(row).cast("decimal(38,0)")).alias("h"), F.count("*").alias("n")).select("video_id", F.concat_ws(":", F.lit(name), "h", "n").alias("part")))
+        df = (digests or {}).get(name)
+        df = digest(tables[name]) if df is None else df
+        parts.append(df.select("video_id", F.concat_ws(":", F.lit(name), "h", "n").alias("part")))
     if "videos" in tables and "videos" not in stage.writes:  # a video without any rows to read is still one to run
-        parts.append(tables["videos"].select("video_id", F.lit("").alias("part")))
+        every = (digests or {}).get("videos")
+        parts.append((tables["videos"] if every is None else every).select("video_id", F.lit("").alias("part")))
     every = reduce(DataFrame.unionByName, map(I.apart, parts))
     return every.groupBy("video_id").agg(F.sha2(F.concat_ws("|", F.lit(said), F.array_join(F.array_sort(F.collect_list("part")), "|")), 256).alias("input_hash"))
 
 
-def run_stages(tables: Tables, names: Sequence[str], config: Mapping[str, Mapping] | None = None, state: DataFrame | None = None, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[Tables, DataFrame]:
+#: Videos to run up to which they are looked for by name, so that scans skip all others.
+FEW = 1000
+
+
+def run_stages(
+    tables: Tables,
+    names: Sequence[str],
+    config: Mapping[str, Mapping] | None = None,
+    state: DataFrame | None = None,
+    store: Callable[[DataFrame], DataFrame] = lambda df: df,
+    digests: Tables | None = None,
+    changes: dict[str, tuple[DataFrame, DataFrame]] | None = None,
+    narrow: Callable[[str, list], DataFrame | None] = lambda name, videos: None,
+) -> tuple[Tables, DataFrame]:
     """Run stages in order; returns all tables and the state records of this run.
 
     ``tables`` may hold what an earlier run wrote: with ``state`` (its records) a stage then runs for
     those videos alone that have a reason to run, and the others keep their rows.  ``store`` writes a
     table that a later stage reads and reads it back, which keeps plans short; records have video_id, stage, status, error,
-    code_version, input_hash and reason.  Videos that fail at a stage are left out after it.
+    code_version, input_hash and reason.  Videos that fail at a stage are left out after it.  ``digests`` of
+    tables spare reading them to see what changed; ``changes`` is given each table's new rows and the
+    videos they are of; ``narrow`` may give a table's rows of few videos by a shorter way than a filter.
     """
-    tables, config, records = dict(tables), config or {}, None
+    origin, tables, config, records = tables, dict(tables), config or {}, None
+    digests, fresh = dict(digests or {}), {}
+
+    def of(name: str, due: DataFrame, some: list) -> DataFrame:
+        """A table's rows of the videos to run."""
+        few = lambda df: df.where(F.col("video_id").isin(some)) if len(some) <= FEW else df.join(due, "video_id", "left_semi")
+        if name not in origin:
+            return few(tables[name])
+        before = narrow(name, some) if len(some) <= FEW else None
+        before = few(origin[name]) if before is None else before
+        if name not in fresh:
+            return before
+        df, made_for = fresh[name]
+        return I.apart(few(df)).unionByName(I.apart(before.join(made_for, "video_id", "left_anti").select(*df.columns)))
+
     for i, name in enumerate(names):
         stage = get_stage(name)
-        read_later = {t for later in names[i + 1 :] for t in get_stage(later).reads}
+        read_later = {t for later in names[i + 1 :] for t in get_stage(later).inputs(tables)}
         own = config.get(name) or {}
         needed(stage, tables)
-        planned = input_hashes(stage, tables, own).select("video_id", F.lit(name).alias("stage"), F.lit(stage.version).alias("code_version"), "input_hash")
+        planned = input_hashes(stage, tables, own, digests).select("video_id", F.lit(name).alias("stage"), F.lit(stage.version).alias("code_version"), "input_hash")
         reason = F.lit("no previous run")
         if state is not None:
             known = reasons_to_run(planned, state).withColumnRenamed("reason", "__r")
@@ -326,13 +358,27 @@ def run_stages(tables: Tables, names: Sequence[str], config: Mapping[str, Mappin
         planned = planned.withColumn("reason", reason).select("video_id", "stage", "code_version", "input_hash", "reason")
         planned = planned if state is None else store(planned)
         due = planned.where("reason is not null").select("video_id")
-        given = tables if state is None else {k: v.join(due, "video_id", "left_semi") if k in stage.inputs(tables) or k.startswith("model_") else v for k, v in tables.items()}
+        given = tables
+        if state is not None:
+            some = [r["video_id"] for r in due.limit(FEW + 1).collect()]
+            given = {k: of(k, due, some) if k in stage.inputs(tables) or k.startswith("model_") else v for k, v in tables.items()}
         made = stage.run(given, own)
         failed = made.pop("failed", None)
         for table, df in made.items():
             before = tables.get(table)
-            both = df if state is None or before is None else I.apart(df).unionByName(I.apart(before.join(due, "video_id", "left_anti").select(*df.columns)))
-            tables[table] = store(both) if table in read_later else both
+            if changes is not None:
+                df = store(df)
+                changes[table] = df, due
+            if state is None or before is None:
+                tables[table] = store(df) if table in read_later and changes is None else df
+                digests.pop(table, None)
+                continue
+            fresh[table] = df, due
+            both = I.apart(df).unionByName(I.apart(before.join(due, "video_id", "left_anti").select(*df.columns)))
+            tables[table] = store(both) if table in read_later and changes is None else both
+            if table in digests:
+                new = digest(df)
+                digests[table] = I.apart(new).unionByName(I.apart(digests[table].select(*new.columns).join(due, "video_id", "left_anti")))
         said = planned.where("reason is not null")
         if failed is not None:
             said = said.join(failed, "video_id", "left")

@@ -10,6 +10,7 @@ from test_stages import PROBE, SOUND
 from spanweave import __main__ as cli
 from spanweave.plans import config as K
 from spanweave.sources import readers as R
+from spanweave.sources.published import Published
 
 
 def test_settings(tmp_path):
@@ -61,10 +62,44 @@ def test_run_and_report(spark, tmp_path, capsys):
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
     assert cli.main(["stages"]) == 0 and "s2-tracks  s2-v1  cpu" in capsys.readouterr().out
     assert cli.main(["run", folder, "--stage", "s0-preprocess", "--stage", "s4-diarize"], spark) == 1
-    assert spark.read.parquet(f"{folder}/turns.parquet").count() == 1
+    assert Published(spark, folder).table("turns").count() == 1
     assert cli.main(["report", folder], spark) == 1
     said = capsys.readouterr().out
-    assert "- videos: 2 (list names 2)" in said and "| c | s0-preprocess | ValueError: the video has no audio stream |" in said
+    assert "Videos: 2 of 2 that are listed" in said and "| c | s0-preprocess | ValueError: the video has no audio stream |" in said
     assert cli.main(["report", folder, "--out", f"{folder}/report"], spark) == 1 and spark.read.text(f"{folder}/report").count() > 10
+    assert cli.main(["report", folder, "--json"], spark) == 1
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {"kind": "totals", "videos": 2, "done": 0, "not_done": 2, "listed": 2} in said and sum(x["kind"] == "video" for x in said) == 2
     with pytest.raises(SystemExit):
         cli.main(["run", folder, "--stage", "nothing"], spark)
+    with pytest.raises(SystemExit):
+        cli.main(["run", folder, "--limit", "0"], spark)
+
+
+def test_runs_of_some_videos(spark, tmp_path):
+    """Files, folders and lists name videos, and a limit takes the first."""
+    folder, media = str(tmp_path / "tables"), tmp_path / "media"
+    (media / "sub").mkdir(parents=True)
+    for name in ("b.mp4", "sub/d.mkv", ".hidden.mp4", "notes.txt"):
+        (media / name).write_bytes(b"x")
+    (tmp_path / "list.txt").write_text("# a list\n\nc\n  sub/a.mp4\nc\n")
+    for name, rows, schema in (
+        ("sources", [(v, f"/m/{v}.mp4") for v in "abcd"], "video_id string, path string"),
+        ("answers", [(v, PROBE % SOUND) for v in "abcd"], "video_id string, probe string"),
+        ("logs", [(v, "") for v in "abcd"], "video_id string, log string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    assert cli.asked_for(spark, [str(media)], None, None) == ["b", "d"]
+    assert cli.asked_for(spark, ["/x/y/z.mp4", str(media)], str(tmp_path / "list.txt"), 4) == ["z", "b", "d", "c"]
+    with pytest.raises(ValueError, match="no videos"):
+        cli.asked_for(spark, [], str(_empty(tmp_path)), None)
+    ran = lambda: sorted(r.video_id for r in Published(spark, folder).table("videos").collect())
+    assert cli.main(["run", folder, "--stage", "s0-preprocess", "--limit", "1"], spark) == 0 and ran() == ["a"]
+    assert cli.main(["run", folder, "--stage", "s0-preprocess", "--input", str(media / "b.mp4")], spark) == 0 and ran() == ["a", "b"]
+    assert cli.main(["run", folder, "--stage", "s0-preprocess", "--list", str(tmp_path / "list.txt")], spark) == 0 and ran() == ["a", "b", "c"]
+    assert cli.main(["run", folder, "--stage", "s0-preprocess"], spark) == 0 and ran() == ["a", "b", "c", "d"]
+
+
+def _empty(folder):
+    (folder / "empty.txt").write_text("# nothing\n")
+    return folder / "empty.txt"
