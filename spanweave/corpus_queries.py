@@ -5,6 +5,8 @@ Orders stand for tracklets, customers for people and nations for videos where ev
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from .catalog import MINUTE, SAID, TURNS, islands_sql, out_sql, query, said, scenes, table, turns
@@ -16,6 +18,7 @@ from .operators import document as D
 from .operators import intervals as I
 from .operators import joins as J
 from .operators import solvers as L
+from .operators import spectra as E
 from .operators import speech as S
 from .operators import summaries as Y
 from .operators import tags as T
@@ -700,6 +703,37 @@ def q_progress(spark, d):
     return customers.select("c_custkey", line.alias("line"), B.bar((k % 25) / 24.0).alias("bar"))
 
 
+# --- spectra
+
+# A sine through a raised cosine is three sines; each is a geometric series, whose sum is its closed form.  a and b are
+# the angles of the sine and its phase at a frame's first sample, w that of a bin; sums of e^(i t n), n < N, by t.
+SINES = """WITH p AS (SELECT c_custkey AS video_id, 2 * pi() * (200 + c_custkey % 61 * 110) / 16000.0 AS a, 0.25 + c_custkey % 3 / 8.0 AS amp FROM customer),
+f AS (SELECT *, unnest(range(0, 3)) AS row FROM p), g AS (SELECT *, a * 160 * row AS b FROM f),
+k AS (SELECT unnest(range(0, 257)) AS k), s AS (SELECT video_id, row, amp, k, b, a, 2 * pi() * k / 512 AS w FROM g, k),
+t AS (SELECT *, unnest([{'c': 0.5, 'd': 0.0}, {'c': -0.25, 'd': 2 * pi() / 400}, {'c': -0.25, 'd': -2 * pi() / 400}]) AS z FROM s),
+e AS (SELECT video_id, row, amp, k, z.c AS c, unnest([{'t': a + z.d - w, 'p': b, 'g': 1.0}, {'t': -a + z.d - w, 'p': -b, 'g': -1.0}]) AS u FROM t),
+d AS (SELECT *, CASE WHEN abs(sin(u.t / 2)) < 1e-12 THEN 400.0 ELSE sin(200 * u.t) / sin(u.t / 2) END AS m, u.t * 199.5 + u.p AS q FROM e),
+x AS (SELECT video_id, row, k, any_value(amp) * 32768 * sqrt(pow(sum(c * u.g * m * cos(q)), 2) + pow(sum(c * u.g * m * sin(q)), 2)) / 2 AS mag FROM d GROUP BY ALL),
+mel AS (SELECT k, 1127.0 * ln(1 + k * 31.25 / 700) AS mels FROM k), edge AS (SELECT i, 1127.0 * ln(1 + 125 / 700.0) + i * (1127.0 * ln(1 + 7500 / 700.0) - 1127.0 * ln(1 + 125 / 700.0)) / 65 AS v FROM (SELECT unnest(range(0, 66)) AS i)),
+w AS (SELECT k, l.i AS band, greatest(0, least((mels - l.v) / (m.v - l.v), (r.v - mels) / (r.v - m.v))) AS weight FROM mel, edge l JOIN edge m ON m.i = l.i + 1 JOIN edge r ON r.i = l.i + 2 WHERE k > 0),
+y AS (SELECT video_id, row, band, ln(sum(mag * weight) + 0.01) AS v FROM x JOIN w USING (k) GROUP BY ALL)"""
+
+
+@query(f"{SINES} SELECT video_id, row, CAST(arg_max(band, v) AS BIGINT) AS loudest, round(max(v), 4) AS most, round(avg(v), 4) AS mean FROM y GROUP BY ALL")
+def q_spectra(spark, d):
+    """A sine for each customer, in five pieces of 144 samples: its log-mel features at three hops."""
+    k = F.col("c_custkey")
+    hertz, loud = 200 + k % 61 * 110, 0.25 + k % 3 / 8.0
+    sine = lambda i: (F.sin(2 * math.pi * hertz / 16000.0 * i) * loud).cast("double")
+    n = F.col("index") * 144
+    pieces = table(spark, d, "customer").select("c_custkey", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("index"))
+    pieces = pieces.select(k.alias("video_id"), "index", F.transform(F.sequence(n, n + 143), sine).alias("samples"))
+    found = E.features(pieces)
+    place = F.array_position("features", F.array_max("features")) - 1
+    mean = F.aggregate("features", F.lit(0.0), lambda s, x: s + x) / F.size("features")
+    return found.select("video_id", "row", place.alias("loudest"), F.round(F.array_max("features"), 4).alias("most"), F.round(mean, 4).alias("mean"))
+
+
 # --- media
 
 

@@ -98,19 +98,30 @@ def mel_bank(bins: int, sample_rate: int, bands: int = BANDS, low: float = LOWES
     return bank
 
 
-def log_mel(samples: np.ndarray, sample_rate: int = 16_000, fps: float = BASE_FPS) -> np.ndarray:
-    """Log-mel features, a row for each hop; frame and hop shrink as the video's rate grows."""
+def frame_sizes(sample_rate: int = 16_000, fps: float = BASE_FPS) -> tuple[int, int]:
+    """Samples of a frame and of a hop; both shrink as the video's rate grows."""
     frame, hop = (round(sample_rate * s * BASE_FPS / fps) for s in (FRAME_SECONDS, HOP_SECONDS))
     if frame <= 0 or hop <= 0:
         raise ValueError(f"{fps} frames a second leave no frame or hop")
+    return frame, hop
+
+
+def mel_rows(samples: np.ndarray, sample_rate: int = 16_000, fps: float = BASE_FPS) -> np.ndarray:
+    """Log-mel features in double precision, a row for each hop that a whole frame begins at."""
+    frame, hop = frame_sizes(sample_rate, fps)
     size = 1 << int(np.ceil(np.log2(frame)))
     signal = np.asarray(samples, np.float64) * SCALE
     if len(signal) < frame:
-        return np.zeros((0, BANDS), np.float32)
+        return np.zeros((0, BANDS))
     frames = np.lib.stride_tricks.sliding_window_view(signal, frame)[::hop]
     taper = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(frame) / frame)
     spectrum = np.abs(np.fft.rfft(frames * taper, size, axis=1))
-    return np.log(spectrum @ mel_bank(size // 2 + 1, sample_rate) + OFFSET).astype(np.float32)
+    return np.log(spectrum @ mel_bank(size // 2 + 1, sample_rate) + OFFSET)
+
+
+def log_mel(samples: np.ndarray, sample_rate: int = 16_000, fps: float = BASE_FPS) -> np.ndarray:
+    """``mel_rows`` in single precision."""
+    return mel_rows(samples, sample_rate, fps).astype(np.float32)
 
 
 def window_features(samples: np.ndarray, video_frames: int, fps: float = BASE_FPS) -> np.ndarray:

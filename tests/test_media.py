@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanweave.functions import audio as A
+from spanweave.operators import spectra as E
 from spanweave.plans import batch as B
 from spanweave.sources import media as M
 from spanweave.sources import sound
@@ -169,3 +170,29 @@ print(rate, frames, channels, raw.tolist() == list(range(-800, 800)))
     rows = spark.createDataFrame([(path, start, 0.1), (path, 5.0, 0.1)], "path string, start double, seconds double")
     found = {r.start: np.array(r.samples, np.float32) for r in sound.spans(rows).collect()}
     assert np.array_equal(found[start], x.astype(np.float32) / 32768) and not found[5.0].any()
+
+
+def test_features_of_pieces_are_those_of_the_whole(spark):
+    """Pieces of every length, one batch or many, null and empty ones, and a sound too short for a frame."""
+    rng = np.random.default_rng(3)
+    rows, whole = [], {}
+    for video, n in (("a", 9000), ("b", 399), ("c", 400), ("d", 0)):
+        x = rng.uniform(-1, 1, n).astype(np.float32)
+        whole[video] = A.mel_rows(x)
+        at, i = 0, 0
+        while at < n or i == 0:
+            size = int(rng.integers(0, 700))
+            rows.append((video, i, x[at : at + size].tolist() if size else None if i % 2 else []))
+            at, i = at + size, i + 1
+    df = spark.createDataFrame(rows, "video_id string, index int, samples array<float>").repartition(3)
+    found = E.features(df).toPandas().sort_values(["video_id", "row"])
+    for video, expected in whole.items():
+        own = found[found["video_id"] == video]
+        assert own["row"].tolist() == list(range(len(expected)))
+        assert not len(expected) or np.allclose(np.stack(own["features"]), expected)
+    assert len(whole["a"]) > 50 and len(whole["b"]) == 0 and len(whole["c"]) == 1
+    speakers = spark.createDataFrame([("w", 2, [2.0]), ("w", 1, [1.0]), ("x", 5, [5.0])], "window string, speaker int, features array<double>")
+    axis = E.padded(speakers, ["window"], 3, ["speaker"], F.array(F.lit(0.0)))
+    assert sorted((r.window, r.slot, r.features) for r in axis.collect()) == [("w", 0, [1.0]), ("w", 1, [2.0]), ("w", 2, [0.0]), ("x", 0, [5.0]), ("x", 1, [0.0]), ("x", 2, [0.0])]
+    with pytest.raises(Exception, match="2 speakers do not fit"):
+        E.padded(speakers, ["window"], 1, ["speaker"], F.array(F.lit(0.0))).collect()
