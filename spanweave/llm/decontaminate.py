@@ -211,8 +211,8 @@ def contained_items(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BR
     Items whose texts take at most ``broadcast_bytes`` (measured first) are broadcast and every
     document is searched in one pass without a shuffle.  Beyond that, only the partitions' ceilings
     and cells are broadcast (of a fixed size), what documents have there is joined with the items'
-    signatures by partition and hash, and the pairs are verified where each document's candidates,
-    of which it has no more than it holds signature hashes, meet its text.
+    signatures by partition and hash, each distinct text once, and the pairs are verified where lots of
+    each document's candidates meet its text.
 
     Null texts: as empty, in nothing and with nothing.  Very long texts and words are taken whole.
     Repeated documents or items: pairs for each row.  Empty tables: empty result.  Other columns
@@ -270,10 +270,21 @@ def partitions(signatures: DataFrame) -> Partitions:
     return out
 
 
+#: Candidate items of a document that are verified in one row.
+TOGETHER = 256
+
+
 def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The search with more items than may be broadcast."""
-    left = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
-    right = items.select("item_id", "text", F.xxhash64("item_id", "text").alias("row"))
+    """The search with more items than may be broadcast.
+
+    Texts are searched once however many documents or items have them, and pairs of texts become those of
+    rows at the end.  A document's candidates are verified in lots of about TOGETHER, so a signature that very
+    many items share makes more rows and no longer ones.
+    """
+    named = lambda df, key: df.withColumn(key, F.xxhash64("text"))
+    left, right = named(docs, "doc_text"), named(items, "item_text")
+    once = lambda df, key: cut(df.groupBy(key).agg(F.first("text").alias("text")))
+    doc_texts, item_texts = once(left, "doc_text"), once(right, "item_text")
 
     def sign():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -282,7 +293,7 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return step
 
-    signatures = cut(map_batches(right.select("row", "text").dropDuplicates(["row"]), sign, SIGNED))
+    signatures = cut(map_batches(item_texts, sign, SIGNED))
     shared = docs.sparkSession.sparkContext.broadcast(partitions(signatures))
 
     def look():
@@ -293,23 +304,26 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return step
 
-    marks = map_batches(left.select("row", "text").dropDuplicates(["row"]), look, SIGNED)
-    pairs = marks.withColumnRenamed("row", "doc_row").join(signatures.withColumnRenamed("row", "item_row"), ["size", "band", "hash"]).select("doc_row", "item_row").distinct()
-    named = pairs.join(right.select(F.col("row").alias("item_row"), "item_id", F.col("text").alias("item")), "item_row")
-    near = named.groupBy("doc_row").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
-    both = left.join(near, left["row"] == near["doc_row"]).select("doc_id", "text", "items")
+    marks = map_batches(doc_texts, look, SIGNED)
+    pairs = cut(marks.withColumnRenamed("row", "doc_text").join(signatures.withColumnRenamed("row", "item_text"), ["size", "band", "hash"]).select("doc_text", "item_text").distinct())
+    lots = pairs.groupBy("doc_text").agg(F.ceil(F.count("*") / TOGETHER).alias("lots"))
+    lot = F.pmod(F.col("item_text"), F.col("lots"))
+    asked = pairs.join(lots, "doc_text").join(item_texts.withColumnRenamed("text", "item"), "item_text").groupBy("doc_text", lot.alias("lot"))
+    near = asked.agg(F.collect_list(F.struct("item_text", "item")).alias("items"))
+    both = doc_texts.join(near, "doc_text").select("doc_text", "text", "items")
 
     def check():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for d, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                signed = ((x["item_id"], x["item"], *signature(x["item"])) for x in found)
+                signed = ((x["item_text"], x["item"], *signature(x["item"])) for x in found)
                 out += [(d, i, n, k, k / n) for i, n, k in verified(text, word_hashes(text), [(i, item, size, h) for i, item, size, _, h, _ in signed])]
             return _pairs(out)
 
         return step
 
-    return map_batches(both, check, PAIR, rows=64)
+    met = map_batches(both, check, PAIR, rows=64).withColumnsRenamed({"doc_id": "doc_text", "item_id": "item_text"})
+    return met.join(left.select("doc_id", "doc_text"), "doc_text").join(right.select("item_id", "item_text"), "item_text").select(*(c.split()[0] for c in PAIR.split(", ")))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

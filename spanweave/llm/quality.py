@@ -20,9 +20,10 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_batches, table, text_of
+from .common import cut, map_batches, table, text_of
 
 #: Indicator slots of each family.
 CHAR_BITS, SHAPE_BITS = 17, 16
@@ -32,6 +33,9 @@ SHAPE_N = (1, 2, 3)
 #: Labelled rows to fit on, at most so many of each class: those with the smallest hashes of
 #: doc_id.  The bound keeps the fit in one task whatever the size of the corpus.
 FIT_ROWS_PER_CLASS = 2_000
+#: Their indicators at most, of each class: what the one task that fits holds.  Of texts like the tables'
+#: 2,000 have about a third of it; of very long texts fewer than 2,000 are used.
+FIT_INDICATORS_PER_CLASS = 10_000_000
 #: Code points of a text turned into n-grams at a time, or more where no white space stands between;
 #: n-grams across a cut are kept, so the indicators do not depend on it.
 BLOCK = 1 << 18
@@ -206,8 +210,9 @@ def _sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(offset)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = FIT_ROWS_PER_CLASS) -> dict:
-    """Fit on labelled rows whose crc32(doc_id as text) mod 5 is not 0, ``per_class`` of each class at most.
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = FIT_ROWS_PER_CLASS, indicators: int = FIT_INDICATORS_PER_CLASS) -> dict:
+    """Fit on labelled rows whose crc32(doc_id as text) mod 5 is not 0, ``per_class`` of each class at most,
+    and of these, by the hash of their ids, as many as have ``indicators`` together (one at least).
 
     The chosen labels are a bounded number of rows and broadcast; indicators are made where the
     texts are, and one task fits the model, which is all that reaches the driver.  Rows with a
@@ -239,7 +244,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
         yield pa.RecordBatch.from_arrays([pa.array([m["w"].astype("<f8").tobytes()], pa.binary()), *map(pa.array, numbers)], ["w", "bias", "slope", "offset"])
 
     sets = map_batches(rows, make, "doc_id long, y int, h long, slots array<int>").groupBy("doc_id", "y").agg(F.min_by("slots", "h").alias("slots"))
+    sets = cut(sets)
+    held = F.sum(F.size("slots")).over(W.partitionBy("y").orderBy(*by_hash).rowsBetween(W.unboundedPreceding, -1))
+    used = sets.select("doc_id", "y", (F.coalesce(held, F.lit(0)) + F.size("slots")).alias("held"), held.isNull().alias("first"))
+    # At most per_class rows of each class.
+    sets = sets.join(F.broadcast(used.where(f"first or held <= {indicators}").select("doc_id", "y")), ["doc_id", "y"]).select("doc_id", "y", "slots")
     row = sets.repartition(1).mapInArrow(solve, "w binary, bias double, slope double, offset double").first()
+    if row is None:  # an empty table may leave no task
+        return fit([])
     return {"w": np.frombuffer(row["w"], "<f8"), "bias": row["bias"], "slope": row["slope"], "offset": row["offset"]}
 
 

@@ -417,6 +417,16 @@ def test_decontamination(spark, edge, none, limit):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.where("doc_id > 5").collect()) == [6, 7, 8, 9, 10, 21]
 
 
+def test_items_that_repeat_and_share_a_signature_in_the_join(spark, monkeypatch):
+    """Thousands of copies of an item and hundreds of items with one passage, beyond the broadcast's size."""
+    monkeypatch.setattr(decontaminate, "TOGETHER", 16)
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    items = [(7, passage)] * 3000 + [(i, f"{passage} and {i}") for i in range(100, 400)] + [(5, "the cat and the dog ran")]
+    rows = [(1, f"so {passage} it goes"), (2, passage + " and 150"), (2, passage + " and 150"), (3, "nothing of that"), (None, passage)]
+    found = decontaminate.contained_items(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), broadcast_bytes=0)
+    assert collections.Counter((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in found.collect()) == contained(rows, items)
+
+
 def test_items_are_partitioned_by_the_size_of_their_sets():
     rng = random.Random(4)
     sizes = [1, 2, 3, 7, 8, 40, 500, 1996]
@@ -445,6 +455,29 @@ def test_very_long_texts_and_words_are_taken_whole(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 7), (1, 8), (2, 7)]
 
 
+def test_the_fit_is_bounded_in_indicators(spark):
+    """Of texts with very many indicators fewer are fitted on, in the order of their ids' hashes, and one of each class at least."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * 3 + str(rng.getrandbits(20)) for _ in range(300))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    whole = quality.train(docs, labels)
+    order = [r.id for r in spark.range(40).where(F.crc32(F.col("id").cast("string")) % 5 != 0).orderBy(F.xxhash64("id"), "id").collect()]
+    extract = quality.Extractor()
+    size = {i: len(extract(t)) for i, t in rows}
+    for least in (0, sum(size[i] for i in [i for i in order if i % 2][:3])):
+        used = set()
+        for y in (0, 1):
+            total = 0
+            for n, i in enumerate([i for i in order if i % 2 == y]):
+                total += size[i]
+                if total <= least or not n:
+                    used.add(i)
+        some = quality.train(docs, labels, indicators=least)
+        assert np.array_equal(some["w"], quality.train(docs.where(F.col("doc_id").isin(list(used))), labels)["w"]) and not np.array_equal(some["w"], whole["w"])
+    assert np.array_equal(quality.train(docs, labels, indicators=10**9)["w"], whole["w"])
+
+
 # --- 4
 
 
