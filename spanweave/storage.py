@@ -24,13 +24,21 @@ def scratch(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _at(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop's."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back, which cuts its lineage.
 
-    What is read back survives the loss of executors; ``forget`` deletes it.
+    What is read back survives the loss of executors; ``forget`` deletes it, else the end of the driver does.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/spanweave-{uuid.uuid4().hex}"
+    at, system = _at(spark, path)
+    system.deleteOnExit(at)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._spanweave_path = path
@@ -41,6 +49,6 @@ def forget(*frames: DataFrame | None) -> None:
     """Delete the tables of frames that ``cut`` gave and that no plan still to run reads."""
     for df in frames:
         if path := getattr(df, "_spanweave_path", None):
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            at, system = _at(df.sparkSession, path)
+            system.delete(at, True)
+            system.cancelDeleteOnExit(at)
