@@ -22,7 +22,7 @@ Texts are shuffled once, compressed one by one; both the requests for bytes and
 meet them there.  Contexts that repeat whole are told by two 64-bit hashes, that of the anchor and
 XXH3 of the context's bytes and the anchor's place in it; that an anchor's hash may stand for two
 strings does no harm, as the bytes are compared.  Anchors with more than CROWD contexts would make
-one task's group too large; their strings are counted one by one by their hashes, in Spark, instead.
+one task's group too large; their strings are counted one by one by their BLAKE2 digests, in Spark, instead.
 """
 
 from __future__ import annotations
@@ -357,25 +357,25 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crowded(contexts: DataFrame) -> DataFrame:
-    """Ranges of anchors met too often for one task: each string by its hash, counted in Spark."""
+    """Ranges of anchors met too often for one task: each string by its 128-bit BLAKE2, counted in Spark.
 
-    def make():
-        anchors = Anchors()
+    No two strings are known to have one such digest, nor can any be made to.
+    """
 
+    def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            h, lo, owner = [], [], []
+            digests, lo, owner = [], [], []
             for i, (raw, lead, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("context", "lead", "at")), strict=True)):
-                sums = anchors.sums(np.frombuffer(raw, np.uint8))
-                one = _mix((sums[LENGTH:] - sums[:-LENGTH]) * anchors.inverse[: len(raw) - LENGTH + 1])
-                h.append(one.view(np.int64))
-                lo.append(at - lead + np.arange(len(one)))
-                owner.append(np.full(len(one), i))
+                n = max(0, len(raw) - LENGTH + 1)
+                digests += [hashlib.blake2b(raw[j : j + LENGTH], digest_size=16).digest() for j in range(n)]
+                lo.append(at - lead + np.arange(n))
+                owner.append(np.full(n, i))
             of = pa.array(_joined(owner))
-            return pa.RecordBatch.from_arrays([batch.column("anchor").take(of), pa.array(_joined(h)), *(batch.column(c).take(of) for c in ("d", "k")), pa.array(_joined(lo))], ["anchor", "string", "d", "k", "lo"])
+            return pa.RecordBatch.from_arrays([batch.column("anchor").take(of), pa.array(digests, pa.binary()), *(batch.column(c).take(of) for c in ("d", "k")), pa.array(_joined(lo))], ["anchor", "string", "d", "k", "lo"])
 
         return step
 
-    strings = map_batches(contexts, make, "anchor long, string long, d long, k long, lo long", rows=256)
+    strings = map_batches(contexts, make, "anchor long, string binary, d long, k long, lo long", rows=256)
     often = strings.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "string")
     return strings.join(often, ["anchor", "string"]).select("d", "k", "lo", (F.col("lo") + LENGTH).alias("hi"))
 
