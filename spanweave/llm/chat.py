@@ -133,7 +133,8 @@ def read_back(parts: DataFrame, tokenizer_path: str) -> DataFrame:
     """Assemble the turns of ``format_turns`` into conversations and read them back.
 
     One row for each conv_id (null: one conversation of its own).  Turns stand in the order of
-    turn (nulls first), ties by their ids.  The digests need each conversation's turns in order,
+    turn (nulls first), ties by their ids.  Repeated rows are turns of their own.  Empty table: empty
+    result.  The digests need each conversation's turns in order,
     so a conversation is read by one task, but as a stream of sorted rows: memory does not grow
     with it, and the encoding, which is the work, was done before by even shares of rows.
     """

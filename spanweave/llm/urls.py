@@ -63,6 +63,10 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     What is spread is one row for each host reached, checkpointed each round, and rounds end when
     nothing is left to spread.  Shares are summed before each shuffle.  A host with very many
     links is split by adaptive execution in the join.
+
+    Repeated links and seeds add up.  Links with a null end spread nothing, and a seed with a null host
+    or kind stays where it is.  No links: the seeds' own share.  No seeds: empty result.  Other columns
+    are dropped.
     """
     ahead = links.select(F.lit("trust").alias("kind"), "src", "dst", "n")
     back = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
