@@ -29,7 +29,7 @@ from .common import kept, map_batches, text_of
 
 NEVER = 1 << 60
 #: Entries a worker keeps of encoded words and of judged token pairs before it starts anew.
-WORDS_KEPT, PAIRS_KEPT = 1_000_000, 1_000_000
+WORDS_KEPT, PAIRS_KEPT = 400_000, 400_000
 #: A text of more code points is cut into words lazily, this many words at a time.
 LONG_TEXT, WORDS_AT_A_TIME = 2_000_000, 200_000
 #: Fixed value: how byte-level vocabularies split text before merging.  White space is spelled

@@ -8,6 +8,7 @@ bound.  The session's settings are left as they are.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable, Iterator
 
@@ -75,6 +76,9 @@ def release() -> None:
     if _KEPT:
         _KEPT.clear()
         gc.collect()
+        # What was freed goes back to the machine, where the C library can do so.
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
 
 def runs(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[object, bool, pa.RecordBatch]]:
