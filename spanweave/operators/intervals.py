@@ -61,38 +61,51 @@ def apart(df: DataFrame) -> DataFrame:
 
 
 def bounds(df: DataFrame, keys: Sequence[str], **steps) -> DataFrame:
-    """Both bounds of each interval as rows ``t``; ``steps`` name columns that are the step at its start and
-    less that at its end.
+    """Both bounds of each interval as rows ``t``; ``steps`` name columns that are the step (a number or column) at
+    its start and less that at its end.
     """
     row = lambda at, sign: F.struct(F.col(at).alias("t"), *[F.lit(sign * step).alias(name) for name, step in steps.items()])
     return df.select(*keys, F.explode(F.array(row("start", 1), row("end", -1))).alias("__b")).select(*keys, "__b.*")
 
 
 def swept(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Spans between the bounds of both sides, with whether left (``l``) and right (``r``) cover them.
+    """Spans between the bounds of both sides, with whether left (``l``) and right (``r``) cover them, and whether a
+    merged interval without length of one side is at their start, inside one of the other (``inner``).
 
     Either side is merged first; one window pass over the bounds, so no pairs are made.
     """
-    events = apart(bounds(merge(a, keys), keys, l=1, r=0)).unionByName(apart(bounds(merge(b, keys), keys, l=0, r=1)))
-    steps = events.groupBy(*keys, "t").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    point = (F.col("start") == F.col("end")).cast("int")
+    events = apart(bounds(merge(a, keys), keys, l=1, r=0, lp=point, rp=0)).unionByName(apart(bounds(merge(b, keys), keys, l=0, r=1, lp=0, rp=point)))
+    steps = events.groupBy(*keys, "t").agg(*[f(c).alias(c) for c, f in (("l", F.sum), ("r", F.sum), ("lp", F.max), ("rp", F.max))])
     order = W.partitionBy(*keys).orderBy("t")
     covers = lambda c: F.sum(c).over(order) > 0
-    return steps.select(*keys, F.col("t").alias("start"), F.lead("t").over(order).alias("end"), covers("l").alias("l"), covers("r").alias("r")).where("end > start")
+    # Merged intervals do not touch, so what covers before and after a point holds it.
+    holds = lambda c: covers(c) & (F.sum(c).over(order) - F.col(c) > 0)
+    inner = ((F.col("lp") > 0) & holds("r")) | ((F.col("rp") > 0) & holds("l"))
+    return steps.select(*keys, F.col("t").alias("start"), F.lead("t").over(order).alias("end"), covers("l").alias("l"), covers("r").alias("r"), inner.alias("inner")).where("end > start")
 
 
-def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Maximal spans of positive length that both sides cover."""
-    return merge(swept(a, b, keys).where("l and r").select(*keys, "start", "end"), keys)
+def shared(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, points: bool = False) -> DataFrame:
+    """Spans between bounds that both sides cover; with ``points`` also, as spans without length, the merged
+    intervals without length of one side that are inside one of the other.
+    """
+    met = swept(a, b, keys).where("(l and r) or inner" if points else "l and r")
+    return met.select(*keys, "start", F.when(F.col("l") & F.col("r"), F.col("end")).otherwise(F.col("start")).alias("end"))
+
+
+def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, points: bool = False) -> DataFrame:
+    """Maximal spans of positive length that both sides cover, and ``points`` if asked for."""
+    return merge(shared(a, b, keys, points), keys)
 
 
-def overlap_total(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Length that both sides cover, for each key where they do."""
-    return swept(a, b, keys).where("l and r").groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("length"))
+def overlap_total(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS, points: bool = False) -> DataFrame:
+    """Length that both sides cover, for each key where they do; with ``points`` 0 where they share these alone."""
+    return shared(a, b, keys, points).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("length"))
 
 
-def owner_overlap(df: DataFrame, owner: str, first, second, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Length that two named owners share, for each key where they do."""
-    return overlap_total(df.where(F.col(owner) == first), df.where(F.col(owner) == second), keys)
+def owner_overlap(df: DataFrame, owner: str, first, second, keys: Sequence[str] = KEYS, points: bool = False) -> DataFrame:
+    """Length that two named owners share, for each key where they do (or, with ``points``, meet)."""
+    return overlap_total(df.where(F.col(owner) == first), df.where(F.col(owner) == second), keys, points)
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -51,6 +51,24 @@ def test_a_turn_without_length_overlaps_nothing(spark):
     assert I.overlaps(turns, "speaker").count() == 0
 
 
+def sides_with_points(spark, seed):
+    """Two sides of spans, every third without length, and the pairs of their merged spans that meet by the SQL's condition."""
+    rng = random.Random(seed)
+    rows = [[(v, s, s + rng.choice((0, 2, 5))) for v in "uvwx" for s in rng.sample(range(0, 60), rng.randint(1, 8))] for _ in range(2)]
+    rows[0].append(("p", 3, 3)), rows[1].append(("p", 1, 9)), rows[0].append(("q", 1, 9)), rows[1].append(("q", 9, 9))
+    sides = [spans(spark, r) for r in rows]
+    a, b = (got(I.merge(s), "video_id", "start", "end") for s in sides)
+    return sides, [(v, max(s, t), min(e, f)) for v, s, e in a for w, t, f in b if v == w and s < f and t < e]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_intersect_keeps_points_inside_the_other_side(spark, seed):
+    sides, met = sides_with_points(spark, seed)
+    assert ("p", 3.0, 3.0) in met and "q" not in {v for v, _, _ in met}
+    assert got(I.intersect(*sides, points=True), "video_id", "start", "end") == sorted(met)
+    assert got(I.intersect(*sides), "video_id", "start", "end") == sorted(m for m in met if m[2] > m[1])
+
+
 def grid(rows, n=24):
     cover = [set() for _ in range(n)]
     for _, s, e in rows:
