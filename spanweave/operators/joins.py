@@ -52,6 +52,16 @@ def inside(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, how:
     return as_of(points, right, "__until", keys).where(hit if how == "left_semi" else ~hit).drop("__until")
 
 
+def held(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Points ``t`` that some span of its key holds with its inside: it starts before and ends after them."""
+    rises, falls = F.when(F.col("d") > 0, F.col("d")), F.when(F.col("d") < 0, F.col("d"))
+    steps = bounds(spans.where("end > start"), keys, d=1).groupBy(*keys, "t").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (("up", rises), ("down", falls))])
+    depth = F.sum(F.col("up") + F.col("down")).over(W.partitionBy(*keys).orderBy("t"))
+    steps = steps.select(*keys, "t", F.struct(F.col("t").alias("at"), (depth - F.col("up")).alias("on"), depth.alias("after")).alias("__bound"))
+    found = as_of(points, steps, "__bound", keys)
+    return found.where(F.when(F.col("__bound.at") == F.col("t"), F.col("__bound.on")).otherwise(F.col("__bound.after")) > 0).drop("__bound")
+
+
 def covered_before(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``points`` with ``covered``: how long the spans of its key last before its time ``t``, spans that
     lie over one another counting each.

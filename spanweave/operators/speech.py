@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .intervals import KEYS, clamp, depth, intersect, merge, union_length
-from .joins import covered_within
+from .intervals import KEYS, apart, clamp, depth, intersect, merge, union_length
+from .joins import covered_within, held
 
 
 def clean_turns(turns: DataFrame, limit, keys: Sequence[str] = KEYS, owner: str = "speaker", merge_gap=0.2, least=0.1, floor=0) -> DataFrame:
@@ -103,15 +103,23 @@ def stitch(scores: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return frames.groupBy(*keys, (F.col("start") + F.col("i")).alias("frame")).agg(F.avg("p").alias("probability"))
 
 
-def context_speakers(activity: DataFrame, keys: Sequence[str], identity: str, most: int = 3) -> DataFrame:
+def context_speakers(activity: DataFrame, keys: Sequence[str], identity: str, most: int = 3, points: bool = False) -> DataFrame:
     """For each identity the others active with it, most overlap first, at most ``most - 1``.
 
-    Each span meets each other identity once, not each of its spans.
+    Each span meets each other identity once, not each of its spans.  With ``points`` those are active with it
+    too, with an overlap of 0, that it meets only in spans without length, of either, inside one of the other.
     """
     others = activity.select(*keys, F.col(identity).alias("other")).distinct()
     pairs = activity.select(*keys, identity, "start", "end").join(others, list(keys)).where(f"{identity} <> other")
     theirs = activity.select(*keys, F.col(identity).alias("other"), "start", "end")
-    per = covered_within(pairs, theirs, [*keys, "other"], "__c").groupBy(*keys, identity, "other").agg(F.sum("__c").alias("overlap")).where("overlap > 0")
+    rows = covered_within(pairs, theirs, [*keys, "other"], "__c").select(*keys, identity, "other", "__c", F.lit(False).alias("__met"))
+    if points:
+        alone = pairs.where("start = end").select(*keys, identity, "other", F.col("start").alias("t")).distinct()
+        met = held(alone, theirs, [*keys, "other"])
+        way = lambda x, y: F.struct(F.col(x).alias(identity), F.col(y).alias("other"))
+        met = met.select(*keys, F.explode(F.array(way(identity, "other"), way("other", identity))).alias("__w")).select(*keys, "__w.*")
+        rows = apart(rows).unionByName(apart(met.withColumn("__c", F.lit(0).cast(rows.schema["__c"].dataType)).withColumn("__met", F.lit(True))))
+    per = rows.groupBy(*keys, identity, "other").agg(F.sum("__c").alias("overlap"), F.max("__met").alias("__met")).where("overlap > 0 or __met").drop("__met")
     order = W.partitionBy(*keys, identity).orderBy(F.desc("overlap"), "other")
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") < most)
 

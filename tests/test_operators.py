@@ -82,7 +82,7 @@ def test_overlap_total_has_keys_that_meet_in_points(spark, seed):
 def zero_events(spark, folder):
     """A folder of events in which some turns have no length: users meet in points alone, in spans, at bounds and not."""
     rows, n = [], 0
-    for user, turns in enumerate(([("view", 0, 300), ("error", 36, 0)], [("view", 36, 0), ("error", 0, 300)], [("view", 0, 36), ("error", 36, 0)], [("view", 0, 36), ("error", 18, 36), ("click", 20, 0)], [("view", 5, 0), ("error", 5, 0)])):
+    for user, turns in enumerate(([("view", 0, 300), ("error", 12, 0)], [("view", 12, 0), ("error", 0, 300)], [("view", 0, 300), ("error", 30, 0)], [("view", 0, 36), ("error", 18, 36), ("click", 20, 0)], [("view", 5, 0), ("error", 5, 0)])):
         for kind, hour, value in turns:
             rows.append((n, "2024-01-05 00:00:00", hour, user, kind, float(value)))
             n += 1
@@ -91,7 +91,7 @@ def zero_events(spark, folder):
     made.write.parquet(f"{folder}/events.parquet")
 
 
-@pytest.mark.parametrize("name", ["q_owner_overlap"])
+@pytest.mark.parametrize("name", ["q_owner_overlap", "q_context_speakers"])
 def test_turns_without_length_equal_the_sql(spark, tmp_path, name):
     zero_events(spark, tmp_path)
     db = duckdb.connect()
