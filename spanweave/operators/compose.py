@@ -17,6 +17,17 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.coalesce(F.when(total > 0, F.sum(value * weight) / total).otherwise(F.avg(value)), F.lit(0.0))
 
 
+def ordered_mean(rows: str, value: str, weight: str) -> Column:
+    """``weighted_mean`` of a list of rows, added up one after the other, so that the last digit does not depend on
+    how rows were dealt."""
+    known = F.filter(rows, lambda r: r[value].isNotNull() & r[weight].isNotNull())
+    add = lambda f: F.aggregate(known, F.lit(0.0), lambda s, r: s + f(r))
+    total = add(lambda r: r[weight])
+    have = F.filter(rows, lambda r: r[value].isNotNull())
+    plain = F.when(F.size(have) > 0, F.aggregate(have, F.lit(0.0), lambda s, r: s + r[value]) / F.size(have))
+    return F.coalesce(F.when(total > 0, add(lambda r: r[value] * r[weight]) / total).otherwise(plain), F.lit(0.0))
+
+
 def shots_with_captions(shots: DataFrame, captions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Every shot with its ``caption`` by index; without one the empty text."""
     said = captions.select(*keys, "index", F.col("caption").alias("__c"))
@@ -85,13 +96,18 @@ def identity_rollup(member: DataFrame, vectors: DataFrame, keys: Sequence[str] =
     near = lambda c, places: F.round(c, places) if rounded else c
     k = [*keys, "face"]
     both = member.join(vectors.select(*keys, "track_id", "cohesion"), [*keys, "track_id"], "left")
-    return both.groupBy(*k).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("position", "track_id"))), lambda m: m["track_id"]).alias("track_ids"),
-        near(F.min("first_time"), 4).alias("first_seen"), near(F.max("last_time"), 4).alias("last_seen"), near(F.sum("span"), 4).alias("screen_time"),
-        F.sum("frames").alias("frames"), F.count("*").alias("tracks"),
-        near(weighted_mean(F.col("mean_score"), F.col("frames")), 4).alias("mean_score"), near(weighted_mean(F.col("mean_height"), F.col("frames")), 2).alias("mean_height"),
-        near(weighted_mean(F.col("motion"), F.col("frames")), 5).alias("motion"), near(F.avg("cohesion"), 4).alias("cohesion"), (weighted_mean(F.col("motion"), F.col("frames")) < static).alias("suspect_static"),
-    )
+    cols = ("position", "track_id", "mean_score", "mean_height", "motion", "cohesion", "frames")
+    per = both.groupBy(*k).agg(
+        F.array_sort(F.collect_list(F.struct(*cols))).alias("__rows"),
+        near(F.min("first_time"), 4).alias("first_seen"), near(F.max("last_time"), 4).alias("last_seen"), near(F.sum("span"), 4).alias("screen_time"), F.sum("frames").alias("frames"), F.count("*").alias("tracks"),
+    )
+    mean = lambda c: ordered_mean("__rows", c, "frames")
+    seen = F.filter("__rows", lambda r: r["cohesion"].isNotNull())
+    cohesion = F.when(F.size(seen) > 0, F.aggregate(seen, F.lit(0.0), lambda s, r: s + r["cohesion"]) / F.size(seen))
+    return per.select(
+        *k, F.transform("__rows", lambda m: m["track_id"]).alias("track_ids"), "first_seen", "last_seen", "screen_time", "frames", "tracks",
+        near(mean("mean_score"), 4).alias("mean_score"), near(mean("mean_height"), 2).alias("mean_height"), near(mean("motion"), 5).alias("motion"), near(cohesion, 4).alias("cohesion"), (mean("motion") < static).alias("suspect_static"),
+    )
 
 
 def shot_identities(shots: DataFrame, keys: Sequence[str] = KEYS, column: str = "roster") -> DataFrame:

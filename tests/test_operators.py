@@ -9,8 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from spanweave import catalog
+from spanweave import catalog, corpus_queries
 from spanweave.functions import text as X
+from spanweave.operators import compose as C
 from spanweave.operators import intervals as I
 from spanweave.operators import joins as J
 from spanweave.operators import qa as Q
@@ -318,3 +319,25 @@ def test_cosine_pairs_of_a_query_are_all(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label").toPandas()
     want = sum(int((e.label == label).sum()) - 1 for label in e.label[e.vec_id % 100 == 0])
     assert catalog.QUERIES["q_cosine_pairs"](spark, sf).count() == want
+
+
+def test_identity_rollup_adds_in_the_order_of_tracklets(spark):
+    """And its query rounds as the SQL: eighty persons whose mean is near a tie of the seventh digit."""
+    rng = random.Random(5)
+    rows = [(1, f, p, f * 100 + p, 0.0, 1.0, 1.0, rng.choice((1, 3, 4, 8, 16)), rng.randrange(101) / 100, 20.0, rng.randrange(97) / 3000) for f in range(80) for p in range(12)]
+    cols = ["video_id", "face", "position", "track_id", "first_time", "last_time", "span", "frames", "mean_score", "mean_height", "motion"]
+    rng.shuffle(rows)
+    member = spark.createDataFrame(rows, cols).repartition(7)
+    vectors = spark.createDataFrame([(1, r[3], (r[3] % 7) / 8) for r in rows], "video_id long, track_id long, cohesion double")
+    found = {r.face: r for r in C.identity_rollup(member, vectors, rounded=False).collect()}
+    for f in range(80):
+        own = sorted(r[2:] for r in rows if r[1] == f)
+        total, mean = sum(float(r[5]) for r in own), {}
+        for name, at in (("mean_score", 6), ("motion", 8)):
+            mean[name] = 0.0
+            for r in own:
+                mean[name] += r[at] * r[5]
+        assert (found[f].mean_score, found[f].motion) == (mean["mean_score"] / total, mean["motion"] / total)
+    ties = [0.42265624999999996, 0.55828125, 0.01771875, 0.014581249999999999]
+    df = spark.createDataFrame([(v,) for v in ties], "x double").select(corpus_queries.rounded("x", 7).alias("x"))
+    assert [r.x for r in df.collect()] == [0.4226563, 0.5582812, 0.0177187, 0.0145813] == [duckdb.execute("SELECT round(?::DOUBLE, 7)", [v]).fetchone()[0] for v in ties]
