@@ -8,6 +8,7 @@ import sys
 import wave
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,33 @@ def test_features_of_pieces_are_those_of_the_whole(spark):
     assert sorted((r.window, r.slot, r.features) for r in axis.collect()) == [("w", 0, [1.0]), ("w", 1, [2.0]), ("w", 2, [0.0]), ("x", 0, [5.0]), ("x", 1, [0.0]), ("x", 2, [0.0])]
     with pytest.raises(Exception, match="2 speakers do not fit"):
         E.padded(speakers, ["window"], 1, ["speaker"], F.array(F.lit(0.0))).collect()
+
+
+def test_features_of_many_keys_in_one_batch_are_those_of_each(spark, monkeypatch):
+    """Sounds of any length, cut anywhere, empty, null and under a frame, in batches that end inside a sound and in slices."""
+    monkeypatch.setattr(E, "SAMPLES", 700)
+    rng, rows, whole = np.random.default_rng(3), [], {}
+    for key in range(40):
+        sound = rng.normal(size=int(rng.integers(0, 1500))).astype(np.float32)
+        cuts = [0, *sorted(rng.integers(0, len(sound) + 1, int(rng.integers(0, 7))).tolist()), len(sound)]
+        whole[key] = A.mel_rows(sound)
+        rows += [(key, i, sound[a:b].tolist()) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))] + [(key, 99, None)]
+    df = spark.createDataFrame(rows, "video_id long, index long, samples array<float>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = E.features(df).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for key, want in whole.items():
+        own = found[found.video_id == key].sort_values("row")
+        assert own.row.tolist() == list(range(len(want)))
+        assert not len(want) or np.allclose(np.stack(own.features), want, atol=1e-9)
+
+
+def test_the_front_ends_bank_is_made_once_and_batches_share_spectra():
+    """A batch of many short sounds takes few calls of the front end, not one for each sound."""
+    A.mel_bank.cache_clear()
+    A.mel_rows(np.zeros(400)), A.mel_rows(np.zeros(800))
+    assert A.mel_bank.cache_info().misses == 1
+    pieces = pa.record_batch([pa.array([1, 1, None, 2, 2]), pa.array([[0.0] * 4, None, [1.0], [2.0] * 9, []], pa.list_(pa.float32()))], ["k", "samples"])
+    assert E.firsts([pieces.column(0)], 5).tolist() == [0, 2, 3] and [b.num_rows for b in E.slices(pieces, 1)] == [5]
