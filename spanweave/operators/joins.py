@@ -62,39 +62,41 @@ def held(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> Dat
     return found.where(F.when(F.col("__bound.at") == F.col("t"), F.col("__bound.on")).otherwise(F.col("__bound.after")) > 0).drop("__bound")
 
 
-def covered_before(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def covered_before(points: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, parts: int | None = None) -> DataFrame:
     """``points`` with ``covered``: how long the spans of its key last before its time ``t``, spans that
     lie over one another counting each.
 
     The spans' depth and its sum up to each bound come from one window pass; points then take the
     last bound's, so no pairs are made.  What spans cover from s to e is the difference at e and s.
     """
-    steps = bounds(spans.where("end > start"), keys, d=1).groupBy(*keys, "t").agg(F.sum("d").alias("d"))
+    steps = bounds(spans.where("end > start"), keys, d=1)
+    steps = (steps.repartition(parts, *keys) if parts else steps).groupBy(*keys, "t").agg(F.sum("d").alias("d"))
     order = W.partitionBy(*keys).orderBy("t")
     steps = steps.select(*keys, "t", F.sum("d").over(order).alias("__depth"), F.lead("t").over(order).alias("__next"))
     whole = F.coalesce(F.sum(F.col("__depth") * (F.col("__next") - F.col("t"))).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     steps = steps.select(*keys, "t", F.struct(F.col("t").alias("at"), F.col("__depth").alias("depth"), whole.alias("sum")).alias("__bound"))
-    found = as_of(points, steps, "__bound", keys)
+    found = as_of(points, steps, "__bound", keys, parts=parts)
     return found.withColumn("covered", F.coalesce(F.col("__bound.sum") + F.col("__bound.depth") * (F.col("t") - F.col("__bound.at")), F.lit(0))).drop("__bound")
 
 
-def covered_within(rows: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, name: str = "covered") -> DataFrame:
-    """``rows`` (start, end) with ``name``: how long the spans of their key last inside them."""
+def covered_within(rows: DataFrame, spans: DataFrame, keys: Sequence[str] = KEYS, name: str = "covered", parts: int | None = None) -> DataFrame:
+    """``rows`` (start, end) with ``name``: how long the spans of their key last inside them; ``parts`` as in ``as_of``."""
     cols = rows.columns
     ends = rows.select("*", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("end").alias("t"), F.lit(1).alias("sign")))).alias("__end"))
     ends = ends.select(*cols, F.col("__end.t").alias("t"), F.col("__end.sign").alias("__sign"))
-    found = covered_before(ends, spans, keys).groupBy(*cols).agg(F.sum(F.col("covered") * F.col("__sign")).alias("__c"), F.count("*").alias("__n"))
+    found = covered_before(ends, spans, keys, parts).groupBy(*cols).agg(F.sum(F.col("covered") * F.col("__sign")).alias("__c"), F.count("*").alias("__n"))
     # Rows alike in all columns are one group: each is given back.
     each = found.withColumn("__i", F.explode(F.expr("sequence(1, cast(__n div 2 as int))")))
     return each.select(*cols, (F.col("__c") / (F.col("__n") / 2)).cast(found.schema["__c"].dataType).alias(name))
 
 
-def as_of(left: DataFrame, right: DataFrame, value: str, keys: Sequence[str] = KEYS, first_if_none: bool = False) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, value: str, keys: Sequence[str] = KEYS, first_if_none: bool = False, parts: int | None = None) -> DataFrame:
     """``left`` with the ``value`` of the last right row at or before its time ``t``.
 
     One sort of both sides together carries the last value forward, so no pairs are made; of right
     rows at one time the greatest value counts.  ``first_if_none``: before all right rows, the
-    first one's value.
+    first one's value.  ``parts``: into how many tasks the keys are dealt, where what Spark makes
+    of the compressed size of rows alike would be too few.
     """
     cols = [c for c in left.columns if c not in keys and c != "t"]
     l_side = left.select(*keys, "t", F.struct(*cols).alias("__row"), F.lit(None).cast(right.schema[value].dataType).alias("__v"), F.lit(1).alias("__side"))
@@ -103,7 +105,8 @@ def as_of(left: DataFrame, right: DataFrame, value: str, keys: Sequence[str] = K
     found = F.last("__v", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
     if first_if_none:
         found = F.coalesce(found, F.first("__v", ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing)))
-    both = apart(l_side).unionByName(apart(r_side)).withColumn(value, found)
+    both = apart(l_side).unionByName(apart(r_side))
+    both = (both.repartition(parts, *keys) if parts else both).withColumn(value, found)
     return both.where("__side = 1").select(*keys, "t", *[F.col("__row")[c].alias(c) for c in cols], value)
 
 

@@ -124,6 +124,10 @@ def context_speakers(activity: DataFrame, keys: Sequence[str], identity: str, mo
     return per.withColumn("rank", F.row_number().over(order)).where(F.col("rank") < most)
 
 
+#: Spans whose windows' groups one task sums, on average.
+SPANS_OF_TASK = 25_000
+
+
 def window_groups(spans: DataFrame, keys: Sequence[str], identity: str, most: int = 3) -> DataFrame:
     """``group`` of each identity in each window (``keys``, the window's number among them): itself first, then
     the others in the window that overlap it most, ties by identity, at most ``most`` in all.
@@ -133,12 +137,15 @@ def window_groups(spans: DataFrame, keys: Sequence[str], identity: str, most: in
     if most < 1:
         raise ValueError(f"a group holds one at least, got {most}")
     k = list(keys)
+    # Bounds and spans are some twelve rows for each span, and much smaller written than in memory.
+    parts = max(int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")), spans.count() // SPANS_OF_TASK + 1)
+    spans = spans.repartition(parts, *k)
     there = spans.where("end > start").select(*k, identity).distinct()
     others = there.select(*k, F.col(identity).alias("__other"))
     mine = merge(spans.where("end > start").select(*k, identity, "start", "end"), [*k, identity])
     pairs = mine.join(others, k).where(F.col(identity) != F.col("__other"))
     theirs = mine.select(*k, F.col(identity).alias("__other"), "start", "end")
-    shared = covered_within(pairs, theirs, [*k, "__other"], "__c").groupBy(*k, identity, "__other").agg(F.sum("__c").alias("__c"))
+    shared = covered_within(pairs, theirs, [*k, "__other"], "__c", parts).groupBy(*k, identity, "__other").agg(F.sum("__c").alias("__c"))
     ranked = shared.groupBy(*k, identity).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__c")).alias("less"), "__other"))), lambda x: x["__other"]).alias("__o"))
     rest = F.slice("__o", 1, most - 1)
     both = there.join(ranked, [*k, identity], "left")

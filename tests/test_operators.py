@@ -341,3 +341,11 @@ def test_identity_rollup_adds_in_the_order_of_tracklets(spark):
     ties = [0.42265624999999996, 0.55828125, 0.01771875, 0.014581249999999999]
     df = spark.createDataFrame([(v,) for v in ties], "x double").select(corpus_queries.rounded("x", 7).alias("x"))
     assert [r.x for r in df.collect()] == [0.4226563, 0.5582812, 0.0177187, 0.0145813] == [duckdb.execute("SELECT round(?::DOUBLE, 7)", [v]).fetchone()[0] for v in ties]
+
+
+def test_window_groups_are_dealt_by_the_number_of_spans(spark, sf, monkeypatch):
+    """Not into as few tasks as the compressed size of their bounds says."""
+    monkeypatch.setattr(S, "SPANS_OF_TASK", 50)
+    t = catalog.turns(spark, sf).withColumn("w", F.floor(F.col("start") / 86_400_000_000).cast("long"))
+    plan = S.window_groups(t, ["video_id", "w"], "speaker")._jdf.queryExecution().toString()
+    assert f", {t.count() // 50 + 1}), REPARTITION_BY_NUM" in plan
