@@ -5,9 +5,11 @@ and no cluster reaches beyond a connected component of the pairs within the limi
 ``SMALL`` vectors is therefore cut into these components first, by Spark, and each component is
 clustered by itself; the result is that of the whole key.
 
-The pairs are sought in blocks.  Vectors go to the nearest of a key's pivots; a block is a share of one
-pivot's vectors, and two blocks meet only if their pivots are no further apart than the limit and both
-blocks' radii, as angles.  A task multiplies two blocks and gives a forest of the links it finds.
+The pairs are sought in blocks.  Vectors go to the nearest of a key's pivots, and a block is a stretch of a
+key's vectors in the order of their pivots.  Two pivots' vectors meet only if the pivots are no further apart
+than the limit and both radii, as angles, and two blocks only if some of their pivots' do.  A group multiplies
+two blocks and gives a forest of the links it finds.  Vectors that are in no link see no Python again, and
+components stream through tasks, many in a batch.
 """
 
 from __future__ import annotations
@@ -16,25 +18,46 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..graph import components
-from ..shipping import ship
+from ..shipping import ship, tasks
 from ..storage import cut
-from .intervals import KEYS
+from .intervals import KEYS, apart
 
 #: Vectors of a key that one task clusters without looking for components.
 SMALL = 4096
-#: Vectors of a block.
-BLOCK = 1024
+#: Vectors of a block, in the mean.
+BLOCK = 8192
+#: Rows of a block that are multiplied with another block at a time.
+STRIP = 512
 #: Pivots of a key, fewer where all keys' together would be over PIVOT_BYTES.
 PIVOTS, PIVOT_BYTES = 64, 16 << 20
 
 
+def by_key(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
+    """The rows of each key, of rows that stand by their first ``n`` columns; one key is held at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(n)), strict=True)) if n else [()] * batch.num_rows
+        first = 0
+        for i in range(1, batch.num_rows + 1):
+            if i < batch.num_rows and keys[i] == keys[first]:
+                continue
+            if held and keys[first] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = keys[first]
+            held.append(batch.slice(first, i - first))
+            first = i
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def units(vectors: np.ndarray) -> np.ndarray:
     """Rows of length one in single precision; zero rows stay zero."""
     v = np.asarray(vectors, np.float32)
@@ -118,6 +141,24 @@ def forest(close: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def fewest(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+    """Those of links that join what the links before them do not."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (p := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(p, p)
+        return x
+
+    out = []
+    for x, y in zip(a, b, strict=True):
+        p, q = find(x), find(y)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
 def pivots_of(rows: DataFrame, k: list[str], n_keys: int) -> dict[tuple, np.ndarray]:
     """Some vectors of each key, by the hash of their ids; none where even one of each would be too much."""
     width = rows.agg(F.max(F.size("vector")).alias("n")).first()["n"] or 1
@@ -141,7 +182,7 @@ def links(rows: DataFrame, keys: Sequence[str], n_keys: int, most: float) -> Dat
     shared = rows.sparkSession.sparkContext.broadcast(pivots_of(rows, k, n_keys))
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     at_keys, at_vector = [rows.columns.index(c) for c in k], rows.columns.index("vector")
-    limit = math.acos(max(-1.0, min(1.0, 1 - most)))
+    limit = math.acos(max(-1.0, min(1.0, 1 - most - 1e-9)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots = shared.value
@@ -160,43 +201,74 @@ def links(rows: DataFrame, keys: Sequence[str], n_keys: int, most: float) -> Dat
             unit = pa.array([v.tobytes() for v in vectors], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in [*k, "__id"]), unit, pa.array(cells), pa.array(angles)], [*k, "__id", "unit", "__cell", "__angle"])
 
-    schema = ", ".join(f"`{c}` {kind[c]}" for c in [*k, "__id"])
-    celled = cut(rows.mapInArrow(assign, schema + ", unit binary, __cell int, __angle double"))
-    sizes = celled.groupBy(*k, "__cell").agg(F.ceil(F.count("*") / BLOCK).alias("__parts"))
-    part = F.pmod(F.xxhash64("__id"), F.col("__parts"))
-    dealt = cut(celled.join(sizes, [*k, "__cell"]).select(*k, "__id", "unit", "__cell", "__angle", part.alias("__part")))
-    blocks = dealt.groupBy(*k, "__cell", "__part").agg(F.max("__angle").alias("radius"))
-    centres = [(*key, i, row.tolist()) for key, table in shared.value.items() for i, row in enumerate(table)]
-    centre = rows.sparkSession.createDataFrame(centres, ", ".join(f"`{c}` {kind[c]}" for c in k) + ", __cell int, centre array<double>")
-    blocks = cut(blocks.join(centre, [*k, "__cell"], "left").withColumn("block", F.struct("__cell", "__part")))
-    other = blocks.select(*k, F.col("block").alias("other"), F.col("radius").alias("radius2"), F.col("centre").alias("centre2"))
-    cosine = F.aggregate(F.zip_with("centre", "centre2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
-    # Blocks, not vectors, meet here; without pivots nothing is ruled out.
-    near = F.coalesce(apart <= limit + F.col("radius") + F.col("radius2") + 1e-6, F.lit(True))
-    pairs = blocks.join(other, k).where((F.col("block") <= F.col("other")) & near).select(*k, "block", "other").withColumn("__pair", F.xxhash64(*k, "block", "other"))
-    sides = F.explode(F.array_distinct(F.array("block", "other")))
-    wanted = cut(pairs.select(*k, "__pair", (F.col("block") == F.col("other")).alias("__own"), F.col("block").alias("__first"), sides.alias("side")))
-    met = dealt.withColumn("side", F.struct("__cell", "__part")).join(wanted, [*k, "side"]).select("__pair", "__own", (F.col("side") == F.col("__first")).alias("__left"), "__id", "unit")
+    def near(key: tuple, cells: np.ndarray, radius: np.ndarray, others: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Whether vectors of a cell and of another one, within their radii, can be within the limit."""
+        if key not in shared.value:
+            return np.ones((len(cells), len(others)), bool)
+        pivots = shared.value[key]
+        return ~(np.arccos(np.clip(pivots[cells] @ pivots[others].T, -1, 1)) > limit + radius[:, None] + reach + 1e-6)
+
+    def pair(table: pa.Table) -> pa.Table:
+        """The pairs of a key's blocks that some near cells reach into."""
+        cells, n, radius, first = (table.column(c).to_numpy() for c in ("__cell", "n", "radius", "first"))
+        key = tuple(table.column(c)[0].as_py() for c in k)
+        blocks = int((first + n - 1).max() // BLOCK) + 1
+        wanted = np.zeros((blocks, blocks), bool)
+        low, high = first // BLOCK, (first + n - 1) // BLOCK + 1
+        for i, j in np.argwhere(near(key, cells, radius, cells, radius)).tolist():
+            wanted[low[i] : high[i], low[j] : high[j]] = True
+        a, b = np.nonzero(np.triu(wanted | wanted.T))
+        return pa.table([*(pa.array([x] * len(a), table.schema.field(c).type) for c, x in zip(k, key, strict=True)), pa.array(a, pa.int64()), pa.array(b, pa.int64())], [*k, "block", "other"])
 
     def solve(table: pa.Table) -> pa.Table:
-        ids, left = table.column("__id").to_numpy(), table.column("__left").to_numpy()
-        v = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float32).reshape(len(ids), -1).astype(np.float64)
-        own = bool(table.column("__own")[0].as_py())
-        a, b = np.flatnonzero(left), np.flatnonzero(left if own else ~left)
-        close = 1.0 - v[a] @ v[b].T <= most + 1e-9
-        if own:
-            close &= np.arange(len(b)) > np.arange(len(a))[:, None]
-        found = forest(close)
-        return pa.table({"a": pa.array([ids[a[r]] for r, _ in found], pa.int64()), "b": pa.array([ids[b[c]] for _, c in found], pa.int64())})
+        key = tuple(table.column(c)[0].as_py() for c in k)
+        ids, cells, angles, block = (table.column(c).to_numpy() for c in ("__id", "__cell", "__angle", "__at"))
+        v = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float32).reshape(len(ids), -1)
+        first, own = table.column("block")[0].as_py(), table.column("block")[0] == table.column("other")[0]
+        order = np.argsort(cells, kind="stable")
+        a = order[block[order] == first]
+        b = a if own else order[block[order] != first]
+        if not len(a) or not len(b):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        # In single precision a product is less exact by this; a link too many only makes a component larger.
+        floor = np.float32(1 - most - 1e-9 - (v.shape[1] + 2) * 2.0**-23)
+        (of_a, at_a), (of_b, at_b) = (np.unique(cells[x], return_index=True) for x in (a, b))
+        meet = near(key, of_a, np.maximum.reduceat(angles[a], at_a), of_b, np.maximum.reduceat(angles[b], at_b))
+        runs = [(0, len(a), None)] if meet.all() else [(x, y, np.repeat(m, np.diff(np.r_[at_b, len(b)]))) for x, y, m in zip(at_a.tolist(), [*at_a[1:].tolist(), len(a)], meet, strict=True)]
+        left, right, far = v[a], v[b], []
+        for begin, end, some in runs:
+            for at in range(begin, end, STRIP):
+                rows = np.arange(at, min(at + STRIP, end))
+                # Of a block with itself each pair counts once.
+                cols = np.arange(at if own else 0, len(b)) if some is None else np.flatnonzero(some & (np.arange(len(b)) >= at) if own else some)
+                close = left[rows] @ (right[cols[0] :] if some is None else right[cols]).T >= floor if len(cols) else np.zeros((len(rows), 0), bool)
+                if own:
+                    inner = int(np.searchsorted(cols, rows[-1] + 1))
+                    close[:, :inner] &= cols[:inner] > rows[:, None]
+                found = np.flatnonzero(close)
+                if len(found) > sum(close.shape):
+                    found = np.array([r * len(cols) + c for r, c in forest(close)])
+                far.append(np.stack([a[rows[found // len(cols)]], b[cols[found % len(cols)]]]) if len(found) else np.empty((2, 0), int))
+        some = fewest(*np.concatenate(far, axis=1).tolist())
+        return pa.table({"a": pa.array([ids[x] for x, _ in some], pa.int64()), "b": pa.array([ids[y] for _, y in some], pa.int64())})
 
-    return met.groupBy("__pair").applyInArrow(solve, "a long, b long")
+    own = ", ".join(f"`{c}` {kind[c]}" for c in k)
+    celled = cut(rows.mapInArrow(assign, f"{own}, __id {kind['__id']}, unit binary, __cell int, __angle double"))
+    before = W.partitionBy(*k).orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = celled.groupBy(*k, "__cell").agg(F.count("*").alias("n"), F.max("__angle").alias("radius"))
+    cells = cut(cells.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    pairs = cells.groupBy(*k).applyInArrow(pair, f"{own}, block long, other long")
+    wanted = cut(pairs.select("*", F.explode(F.array_distinct(F.array("block", "other"))).alias("__at")))
+    place = F.col("first") + F.pmod(F.xxhash64("__id"), F.col("n"))
+    dealt = celled.join(cells.select(*k, "__cell", "n", "first"), [*k, "__cell"]).withColumn("__at", F.floor(place / BLOCK)).drop("n", "first")
+    met = dealt.join(wanted, [*k, "__at"]).repartition(tasks(rows.sparkSession), *k, "block", "other")
+    return met.groupBy(*k, "block", "other").applyInArrow(solve, "a long, b long")
 
 
 def cluster(vectors: DataFrame, keys: Sequence[str] = KEYS, item: str = "track_id", vector: str = "vector", most: float = 0.45) -> DataFrame:
     """``cluster`` number (from 0, by smallest item) of each item of a key.
 
-    A key of more than ``SMALL`` vectors is cut into connected components, each clustered by one task, in
+    A key of more than ``SMALL`` vectors is cut into connected components, each clustered within one task, in
     memory that grows with its vectors.  Zero and null vectors are clusters by themselves.
     """
     k = list(keys)
@@ -205,28 +277,52 @@ def cluster(vectors: DataFrame, keys: Sequence[str] = KEYS, item: str = "track_i
     rows = vectors.select(*k, item, F.col(vector).cast("array<float>").alias("vector"))
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(item).reset_index(drop=True)
-        width = max((len(v) for v in pdf["vector"] if v is not None), default=0)
-        groups = linked_clusters(np.stack([np.zeros(width, np.float32) if v is None else v for v in pdf["vector"]]), most)
-        where = {i: n for n, g in enumerate(groups) for i in g}
-        first = {i: pdf[item].iloc[g[0]] for g in groups for i in g}
-        return pdf[[*k, item]].assign(cluster=[where[i] for i in range(len(pdf))], __first=[first[i] for i in range(len(pdf))])
+    def solve(n: int):
+        """The clusters of rows that stand by their first ``n`` columns: ``item, first, place`` of each item."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: list[pa.Table] = []
+            for table in by_key(batches, n):
+                column = table.column("vector").combine_chunks()
+                there = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+                values = column.drop_null().flatten().to_numpy(zero_copy_only=False)
+                data = np.zeros((len(column), len(values) // max(len(there), 1)), np.float32)
+                if len({len(v) for v in column.drop_null()}) > 1:
+                    raise ValueError("vectors of a key differ in length")
+                data[there] = values.reshape(len(there), -1)
+                groups = linked_clusters(data, most)
+                where = np.empty(len(column), np.int32)
+                for number, g in enumerate(groups):
+                    where[g] = number
+                first = table.column(item).take(pa.array([g[0] for g in groups])).take(pa.array(where))
+                done.append(table.select([*k, item]).append_column("cluster", pa.array(where)).append_column("__first", first))
+                if len(done) >= 256:
+                    yield from pa.concat_tables(done).combine_chunks().to_batches()
+                    done = []
+            if done:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+
+        return run
+
+    def clustered(some: DataFrame, by: list[str]) -> DataFrame:
+        return some.repartition(tasks(spark), *by).sortWithinPartitions(*by, item).select(*by, item, "vector").mapInArrow(solve(len(by)), schema)
 
     schema = ", ".join(f"`{n}` {kind[n]}" for n in [*k, item]) + f", cluster int, __first {kind[item]}"
     sizes = rows.groupBy(*k).count().where(F.col("count") > SMALL).drop("count")
     n_keys = sizes.count()
     if not n_keys:
-        return rows.groupBy(*k).applyInPandas(solve, schema).drop("__first")
+        return clustered(rows, k).drop("__first")
     sizes = cut(sizes)
-    small = rows.join(sizes, k, "left_anti").groupBy(*k).applyInPandas(solve, schema).drop("__first")
+    small = clustered(rows.join(sizes, k, "left_anti"), k).drop("__first")
     large = cut(rows.join(sizes, k, "left_semi").withColumn("__id", F.monotonically_increasing_id()))
     # Of vectors alike one is sought.
     nonzero = F.exists("vector", lambda x: x != 0)
-    alike = cut(large.where(nonzero).groupBy(*k, "vector").agg(F.min("__id").alias("__id")))
+    alike = cut(large.where(nonzero).groupBy(*k, "vector").agg(F.min("__id").alias("__id"), F.min(item).alias("__first")))
     roots = components(links(alike.select(*k, "__id", "vector"), k, n_keys, most))
-    rooted = alike.join(roots, alike["__id"] == roots["node"], "left").select(*k, "vector", F.coalesce("root", "__id").alias("__root"))
-    parts = large.join(rooted, [*k, "vector"], "left").withColumn("__root", F.coalesce("__root", "__id"))
-    found = parts.drop("__id").groupBy(*k, "__root").applyInPandas(solve, schema)
+    rooted = alike.join(roots, alike["__id"] == roots["node"], "left").select(*k, "vector", "__first", F.col("root").alias("__root"))
+    parts = large.join(rooted, [*k, "vector"], "left")
+    # What is linked to nothing is a cluster with its copies.
+    lone = parts.where("__root is null").select(*k, item, F.coalesce("__first", item).alias("__first"))
+    linked = clustered(parts.where("__root is not null"), [*k, "__root"]).select(*k, item, "__first")
     number = F.dense_rank().over(W.partitionBy(*k).orderBy("__first")) - 1
-    return small.unionByName(found.select(*k, item, number.alias("cluster")))
+    return small.unionByName(apart(lone).unionByName(apart(linked)).select(*k, item, number.alias("cluster")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from ..storage import cut
-from .clusters import cluster, linked_clusters  # noqa: F401  (they are solvers too)
+from .clusters import by_key, cluster, linked_clusters  # noqa: F401  (they are solvers too)
 from .intervals import KEYS, apart, merge
 from .joins import covered_within, inside
 
@@ -71,26 +71,6 @@ def matched(cost: np.ndarray, most: float) -> tuple[list[tuple[int, int]], list[
     return pairs, sorted({*range(cost.shape[0])} - {r for r, _ in pairs}), sorted({*range(cost.shape[1] if cost.ndim > 1 else 0)} - {c for _, c in pairs})
 
 
-def by_key(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
-    """The rows of each key, of rows that stand by their first ``n`` columns; one key is held at a time."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    for batch in batches:
-        keys = list(zip(*(batch.column(i).to_pylist() for i in range(n)), strict=True)) if n else [()] * batch.num_rows
-        first = 0
-        for i in range(1, batch.num_rows + 1):
-            if i < batch.num_rows and keys[i] == keys[first]:
-                continue
-            if held and keys[first] != now:
-                yield pa.Table.from_batches(held)
-                held = []
-            now = keys[first]
-            held.append(batch.slice(first, i - first))
-            first = i
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def seats(rows: Sequence, columns: Sequence, costs: np.ndarray, most: float = float("inf")) -> list[int]:
     """Places of the edges (row, column, cost) of a matching with as many pairs as can be, at least cost.
 

@@ -1,4 +1,4 @@
-"""Gives executors this library's code, so that Python functions sent to them can import it."""
+"""Gives executors this library's code, so that Python functions sent to them can import it, and their tasks."""
 
 from __future__ import annotations
 
@@ -24,3 +24,8 @@ def ship(spark: SparkSession) -> None:
                     code.write(full, os.path.relpath(full, os.path.dirname(here)))
     context.addPyFile(path)
     context._spanweave_shipped = True
+
+
+def tasks(spark: SparkSession) -> int:
+    """Into how many tasks rows are dealt by number that cost far more than their bytes show."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)

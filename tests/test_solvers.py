@@ -267,6 +267,25 @@ def test_large_keys_equal_small_ones(spark, monkeypatch, pivot_bytes):
     assert sorted(map(tuple, L.cluster(df).collect())) == whole and len({c for *_, c in whole}) > 8
 
 
+def test_vectors_without_links_see_no_solver(spark, monkeypatch):
+    """Of a large key only components go to Python, as lone vectors and their copies are most of it."""
+    solver = clusters.linked_clusters
+
+    def strict(vectors, most=0.45):
+        assert len(np.unique(vectors, axis=0)) > 1
+        return solver(vectors, most)
+
+    lone = np.eye(30)
+    near = lone + 0.1 * np.roll(lone, 1, axis=1)
+    data = np.concatenate([lone, lone[20:], near[:5], np.zeros((2, 30))])
+    rows = [("v", 2 * i, v.tolist()) for i, v in enumerate(data)]
+    monkeypatch.setattr(clusters, "SMALL", 8)
+    monkeypatch.setattr(clusters, "BLOCK", 10)
+    monkeypatch.setattr(clusters, "linked_clusters", strict)
+    found = {r.track_id: r.cluster for r in L.cluster(spark.createDataFrame(rows, "video_id string, track_id int, vector array<double>")).collect()}
+    assert found == {2 * i: n for n, g in enumerate(solver(data)) for i in g}
+
+
 def test_a_key_of_many_vectors(spark):
     """One key of more vectors than a task takes, in many groups far apart: each comes back whole."""
     groups, each, width = 300, 20, 64
