@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..shipping import ship, tasks
 from ..storage import cut
 from .clusters import by_key, cluster, linked_clusters  # noqa: F401  (they are solvers too)
 from .intervals import KEYS, apart, merge
@@ -131,7 +131,7 @@ def assign(costs: DataFrame, keys: Sequence[str], row: str, column: str, cost: s
     ship(costs.sparkSession)
     schema = ", ".join(f"`{n}` {kind[n]}" for n in names[:-1]) + f", `{cost}` double"
     edges = costs.select(*names[:-1], F.col(cost).cast("double").alias(cost)).where(F.col(row).isNotNull() & F.col(column).isNotNull() & F.col(cost).isNotNull() & ~F.isnan(cost))
-    dealt = edges.repartition(*k).sortWithinPartitions(*k, row, column) if k else edges.coalesce(1).sortWithinPartitions(row, column)
+    dealt = edges.repartition(tasks(costs.sparkSession), *k).sortWithinPartitions(*k, row, column) if k else edges.coalesce(1).sortWithinPartitions(row, column)
     return dealt.mapInArrow(solve, schema)
 
 

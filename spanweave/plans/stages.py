@@ -160,7 +160,7 @@ def associate(tables: Tables, config: Mapping) -> Tables:
     visible = C.visible_spans(people, gap=gap)
     samples = C.members(tables["identities"], tables["samples"]).select("video_id", "face", "t", "p")
     scores = L.speaker_scores(visible, samples, tables["turns"])
-    found = L.assign_speakers(scores, tables["turns"])
+    found = cut(L.assign_speakers(scores, tables["turns"]))  # read for speech and by itself
     return {"visible": visible, "assignments": found, "speech": S.speaking(found, tables["turns"], gap=gap)}
 
 
@@ -179,17 +179,20 @@ def extract(tables: Tables, config: Mapping) -> Tables:
 
 
 def transcribe(tables: Tables, config: Mapping) -> Tables:
-    """What each segment says: long ones with their language detected, short ones in the video's."""
+    """What each segment says: long ones with their language detected, short ones in the video's.
+
+    What the model said is written, so that each segment is asked once whatever is read of it.
+    """
     heard = _heard(tables, tables["segments"], config)
     rows = heard.where("error is null").drop("error")
     long = rows.where("duration >= 3").withColumn("language", F.lit(None).cast("string"))
     ask = lambda some: _asked(tables, config, "transcriber", some.select("video_id", "name", "audio", "language"))
-    first = ask(long).join(long.select("video_id", "name"), ["video_id", "name"], "left_semi")
+    first = cut(ask(long).join(long.select("video_id", "name"), ["video_id", "name"], "left_semi"))
     heard = long.select("video_id", "name", "duration").join(first, ["video_id", "name"]).withColumn("probability", F.col("language_probability"))
     sample = S.take_until(rows.select("video_id", "name", "start", "duration")).join(first, ["video_id", "name"]).groupBy("video_id").agg(F.max_by("language", "duration").alias("code"), F.max_by("language_probability", "duration").alias("confidence"))
-    decided = S.language_of(I.apart(heard).unionByName(rows.select("video_id", "name", "duration"), allowMissingColumns=True).na.fill(False, ["detected"]), sample)
+    decided = cut(S.language_of(I.apart(heard).unionByName(rows.select("video_id", "name", "duration"), allowMissingColumns=True).na.fill(False, ["detected"]), sample))
     short = S.forced_language(rows.where("duration < 3"), decided)
-    second = ask(short).join(short.select("video_id", "name"), ["video_id", "name"], "left_semi")
+    second = cut(ask(short).join(short.select("video_id", "name"), ["video_id", "name"], "left_semi"))
     said = I.apart(first).unionByName(I.apart(second)).join(decided.select("video_id", "code"), "video_id", "left")
     clashes = F.coalesce(F.col("detected") & (F.col("language") != F.col("code")) & (F.col("language") != ""), F.lit(False))
     said = said.join(rows.select("video_id", "name", (F.coalesce(F.col("rms") < SILENT, F.lit(False)) & (F.col("source") == "extraction")).alias("silent")), ["video_id", "name"], "left")

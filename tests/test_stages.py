@@ -57,6 +57,22 @@ def test_only_what_changed_runs_again(spark):
     assert merged.count() == state.count() and N.first_failures(merged).first().video_id == "c"
 
 
+def test_each_segment_is_transcribed_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def counted(name, audio=None, language=None):
+        import uuid
+
+        open(f"{folder}/{name}-{uuid.uuid4().hex}", "w").close()
+        return models.echo(name, audio, language)
+
+    segments = spark.range(12).selectExpr("id % 3 video_id", "'F001' identity", "concat('F001_', id) name", "id * 10.0D start", "id * 10.0D + 1 + id % 2 * 4 end", "1.0D + id % 2 * 4 duration", "'original' source")
+    made = stages.transcribe({"segments": segments}, {"models": {"transcriber": lambda: counted}})
+    said = {r.name: r.text for r in made["transcripts"].collect()}
+    assert said == {f"F001_{i}": f" F001_{i}" for i in range(12)} and made["language"].count() == 3 and made["failed"].count() == 0
+    assert sorted(f.name.split("-")[0] for f in tmp_path.iterdir()) == sorted(said)
+
+
 def test_registry(spark):
     assert len(stages.available()) == 12 and stages.uses_gpu("s1-faces") and not stages.uses_gpu("s2-tracks") and stages.uses_gpu("nothing")
     with pytest.raises(KeyError, match="known stages"):
