@@ -425,6 +425,26 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
         out = rows.take(pa.array(order[kept])).append_column("track_id", pa.array(ids[kept], pa.int32()))
         return out.drop_columns(["gap"]) if gap is not None else out
 
+    def stream(n: int):
+        """Groups by their first ``n`` columns, many in a batch; one is held at a time."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: list[pa.Table] = []
+            for rows in by_key(batches, n):
+                done.append(solve(rows.combine_chunks()))
+                if len(done) >= 256:
+                    yield from pa.concat_tables(done).combine_chunks().to_batches()
+                    done = []
+            if done:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+
+        return run
+
+    def grouped(some: DataFrame, by: list[str], schema: str) -> DataFrame:
+        # A row is much more work than its bytes show, so tasks are dealt by number.
+        width = tasks(some.sparkSession)
+        return some.repartition(width, *by).sortWithinPartitions(*by).mapInArrow(stream(len(by)), schema)
+
     ship(detections.sparkSession)
     rows = detections.select(*cols)
     schema = ", ".join(f"`{n}` {kind[n]}" for n in cols)
@@ -433,7 +453,7 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
         if frames is not None:
             empty = frames.select(*k, "frame").distinct().join(rows.select(*k, "frame"), [*k, "frame"], "left_anti")
             rows = apart(rows).unionByName(apart(empty), allowMissingColumns=True)
-        return rows.groupBy(*k).applyInArrow(solve, schema + ", track_id int")
+        return grouped(rows.select(*cols), k, schema + ", track_id int")
 
     long = rows.groupBy(*k).count().where(F.col("count") > WHOLE).drop("count")
     if long.isEmpty():
@@ -446,7 +466,7 @@ def track(detections: DataFrame, keys: Sequence[str] = KEYS, frames: DataFrame |
     places = pieces(rows, k, looked, defaults.floor, defaults.patience)
     parts = rows.join(places, [*k, "frame"]).select(*k, "piece", *cols[len(k) :], "gap")
     schema = ", ".join(f"`{n}` {kind[n]}" for n in k) + ", piece long, " + ", ".join(f"`{n}` {kind[n]}" for n in cols[len(k) :])
-    found = cut(parts.groupBy(*k, "piece").applyInArrow(solve, schema + ", track_id int"))
+    found = cut(grouped(parts, [*k, "piece"], schema + ", track_id int"))
     before = W.partitionBy(*k).orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
     born = found.groupBy(*k, "piece").agg(F.max("track_id").alias("born"))
     born = born.select(*k, "piece", F.coalesce(F.sum("born").over(before), F.lit(0)).cast("int").alias("earlier"))

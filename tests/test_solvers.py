@@ -171,6 +171,13 @@ def test_long_videos_are_cut_where_nothing_is_followed(spark, monkeypatch, looke
     assert "d" not in counts and all(n > (4 if looked else 1) for n in counts.values())
 
 
+def test_small_videos_are_many_tasks(spark):
+    """Rows of few bytes that cost much are dealt by number, not put together by size."""
+    boxes = spark.range(200).selectExpr("id div 2 video_id", "id % 2 frame", "10.0D x", "10.0D y", "30.0D w", "40.0D h", "0.9D score")
+    found = L.track(boxes).select(F.spark_partition_id().alias("task"), "track_id").collect()
+    assert len(found) == 200 and {r.track_id for r in found} == {1} and len({r.task for r in found}) > 4
+
+
 def test_one_video_is_many_groups(spark, monkeypatch):
     monkeypatch.setattr(L, "WHOLE", 1000)
     boxes = spark.range(40_000).select(F.lit("v").alias("video_id"), (F.col("id") * 2 + F.floor(F.col("id") / 100) * 200).alias("frame"), F.lit(10.0).alias("x"), F.lit(10.0).alias("y"), F.lit(30.0).alias("w"), F.lit(40.0).alias("h"), F.lit(0.9).alias("score"))
