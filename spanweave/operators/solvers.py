@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shipping import ship, tasks
-from ..storage import cut
+from ..storage import cut, unsent
 from .clusters import by_key, cluster, linked_clusters  # noqa: F401  (they are solvers too)
 from .intervals import KEYS, apart, merge
 from .joins import covered_within, inside
@@ -172,7 +172,7 @@ def assign_speakers(scores: DataFrame, speakers: DataFrame, keys: Sequence[str]
     first, as they are few and read twice.
     """
     k = list(keys)
-    scores = cut(scores)
+    scores = unsent(cut(scores))
     fit = F.coalesce((F.col("coverage") >= least_coverage) & F.col("score").isNotNull(), F.lit(False))
     costs = scores.select(*k, "speaker", "face", F.when(fit, -F.col("score")).otherwise(INELIGIBLE).alias("cost"))
     seats = assign(costs, k, "speaker", "face").where(F.col("cost") < INELIGIBLE).select(*k, "speaker", F.col("face").alias("seat"))

@@ -29,7 +29,7 @@ from ..operators import transcripts as R
 from ..sources import media as M
 from ..sources import sound
 from ..sources.published import digest
-from ..storage import cut
+from ..storage import cut, unsent
 from .lineage import STAGES, latest, reasons_to_run
 
 Tables = dict[str, DataFrame]
@@ -85,7 +85,7 @@ def _heard(tables: Tables, rows: DataFrame, config: Mapping) -> DataFrame:
     read = sound.spans(asked, int(config.get("sample_rate", SOUND_RATE)), wav=True)
     read = read.drop("path", "start", "seconds").withColumnRenamed("__start", "start")
     silent = I.apart(rows.join(of.select("video_id"), "video_id", "left_anti"))
-    return cut(I.apart(read).unionByName(silent, allowMissingColumns=True))
+    return unsent(cut(I.apart(read).unionByName(silent, allowMissingColumns=True)))
 
 
 def _unheard(heard: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def associate(tables: Tables, config: Mapping) -> Tables:
     visible = C.visible_spans(people, gap=gap)
     samples = C.members(tables["identities"], tables["samples"]).select("video_id", "face", "t", "p")
     scores = L.speaker_scores(visible, samples, tables["turns"])
-    found = cut(L.assign_speakers(scores, tables["turns"]))  # read for speech and by itself
+    found = unsent(cut(L.assign_speakers(scores, tables["turns"])))  # read for speech and by itself
     return {"visible": visible, "assignments": found, "speech": S.speaking(found, tables["turns"], gap=gap)}
 
 
@@ -174,7 +174,7 @@ def extract(tables: Tables, config: Mapping) -> Tables:
     found = S.segments(timed.select("video_id", "duration", "face", "start", "end"), F.col("duration"), ["video_id", "duration", "face"], voiced=tables.get("voiced"))
     named = S.named(found, ["video_id"], "face").withColumns({"identity": F.col("face"), "flags": F.when(F.col("short"), F.array(F.lit("short"))).otherwise(_no_flags())})
     routed = S.route_sources(named.select("video_id", "identity", "start", "end").join(limits, "video_id"), F.col("duration"), ["video_id", "duration"], "identity")
-    both = named.join(routed.select("video_id", "identity", "start", "end", "source", "origin", "until"), ["video_id", "identity", "start", "end"])
+    both = unsent(named).join(routed.select("video_id", "identity", "start", "end", "source", "origin", "until"), ["video_id", "identity", "start", "end"])
     return {"segments": both.select("video_id", "identity", "index", "name", "start", "end", (F.col("end") - F.col("start")).alias("duration"), "flags", "source", "origin", "until")}
 
 
@@ -187,12 +187,12 @@ def transcribe(tables: Tables, config: Mapping) -> Tables:
     rows = heard.where("error is null").drop("error")
     long = rows.where("duration >= 3").withColumn("language", F.lit(None).cast("string"))
     ask = lambda some: _asked(tables, config, "transcriber", some.select("video_id", "name", "audio", "language"))
-    first = cut(ask(long).join(long.select("video_id", "name"), ["video_id", "name"], "left_semi"))
+    first = unsent(cut(ask(long).join(long.select("video_id", "name"), ["video_id", "name"], "left_semi")))
     heard = long.select("video_id", "name", "duration").join(first, ["video_id", "name"]).withColumn("probability", F.col("language_probability"))
     sample = S.take_until(rows.select("video_id", "name", "start", "duration")).join(first, ["video_id", "name"]).groupBy("video_id").agg(F.max_by("language", "duration").alias("code"), F.max_by("language_probability", "duration").alias("confidence"))
-    decided = cut(S.language_of(I.apart(heard).unionByName(rows.select("video_id", "name", "duration"), allowMissingColumns=True).na.fill(False, ["detected"]), sample))
+    decided = unsent(cut(S.language_of(I.apart(heard).unionByName(rows.select("video_id", "name", "duration"), allowMissingColumns=True).na.fill(False, ["detected"]), sample)))
     short = S.forced_language(rows.where("duration < 3"), decided)
-    second = cut(ask(short).join(short.select("video_id", "name"), ["video_id", "name"], "left_semi"))
+    second = unsent(cut(ask(short).join(short.select("video_id", "name"), ["video_id", "name"], "left_semi")))
     said = I.apart(first).unionByName(I.apart(second)).join(decided.select("video_id", "code"), "video_id", "left")
     clashes = F.coalesce(F.col("detected") & (F.col("language") != F.col("code")) & (F.col("language") != ""), F.lit(False))
     said = said.join(rows.select("video_id", "name", (F.coalesce(F.col("rms") < SILENT, F.lit(False)) & (F.col("source") == "extraction")).alias("silent")), ["video_id", "name"], "left")
@@ -206,7 +206,7 @@ def tag(tables: Tables, config: Mapping) -> Tables:
     fit = tables["segments"].where(F.col("duration") >= float(config.get("least_seconds", 0.5)))
     rows = _heard(tables, fit.select("video_id", "name", "start", "end"), config).where("error is null").select("video_id", "name", "audio")
     scores = _asked(tables, config, "tagger", rows).where("score is not null")
-    words = T.vocabulary(scores.sparkSession)
+    words = F.broadcast(T.vocabulary(scores.sparkSession))  # a fixed table
     return {"tags": T.reduce_tags(scores, words, ["video_id", "name"], config.get("min_score", 0.5), every=fit.select("video_id", "name"))}
 
 
@@ -327,7 +327,8 @@ def run_stages(
 
     ``tables`` may hold what an earlier run wrote: with ``state`` (its records) a stage then runs for
     those videos alone that have a reason to run, and the others keep their rows.  ``store`` writes a
-    table that a later stage reads and reads it back, which keeps plans short; records have video_id, stage, status, error,
+    table that a later stage reads and reads it back, which keeps plans short; stages get tables marked as
+    ``unsent``, as all grow with the videos; records have video_id, stage, status, error,
     code_version, input_hash and reason.  Videos that fail at a stage are left out after it.  ``digests`` of
     tables spare reading them to see what changed; ``changes`` is given each table's new rows and the
     videos they are of; ``narrow`` may give a table's rows of few videos by a shorter way than a filter.
@@ -365,7 +366,7 @@ def run_stages(
         if state is not None:
             some = [r["video_id"] for r in due.limit(FEW + 1).collect()]
             given = {k: of(k, due, some) if k in stage.inputs(tables) or k.startswith("model_") else v for k, v in tables.items()}
-        made = stage.run(given, own)
+        made = stage.run({k: unsent(v) for k, v in given.items()}, own)
         failed = made.pop("failed", None)
         for table, df in made.items():
             before = tables.get(table)

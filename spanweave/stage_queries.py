@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import models
 from .catalog import FROM, islands_sql, out_sql, query, turns
 from .plans import stages
-from .storage import cut
+from .storage import cut, unsent
 
 LATE = ("s6-associate", "s7-tse", "s8-asr", "s9-paralinguistic", "s10-caption", "s11-compose")
 UNTIL = 650.0
@@ -70,5 +70,5 @@ def q_stages(spark, d):
     done = records.where("status = 'ok'").groupBy("video_id").agg((F.countDistinct("stage") >= 3).alias("complete"))
     on = made["assignments"].groupBy("video_id").agg(F.count_if(F.col("face") != "F000").alias("assigned"))
     found = made["metrics"].select("video_id", F.col("utterance_count").alias("utterances"), F.round("speech_seconds", 3).alias("seconds"))
-    out = found.join(made["scripts"], "video_id").join(on, "video_id", "left").join(done, "video_id", "left").na.fill(0, ["assigned"])
+    out = found.join(made["scripts"], "video_id").join(unsent(on), "video_id", "left").join(unsent(done), "video_id", "left").na.fill(0, ["assigned"])
     return out.select("video_id", "assigned", "utterances", "seconds", "script", F.coalesce("complete", F.lit(False)).alias("complete"))

@@ -45,6 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """``df``, which joins then shuffle by their keys and do not send whole to the driver and all executors.
+
+    For tables that grow with the data.  Spark broadcasts by a file's compressed size, of which the rows in
+    memory may be many times as much, and the driver holds those of all joins of a query at once.
+    """
+    return df.hint("merge")
+
+
 def forget(*frames: DataFrame | None) -> None:
     """Delete the tables of frames that ``cut`` gave and that no plan still to run reads."""
     for df in frames:

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spanweave import models
+from spanweave import models, stage_queries
+from spanweave.operators import solvers
 from spanweave.plans import lineage as N
 from spanweave.plans import stages
 from spanweave.storage import cut, forget, scratch
@@ -73,6 +74,25 @@ def test_each_segment_is_transcribed_once(spark, tmp_path):
     assert sorted(f.name.split("-")[0] for f in tmp_path.iterdir()) == sorted(said)
 
 
+def test_no_table_of_videos_is_broadcast(spark, sf, monkeypatch):
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("\n"))
+        return cut(df)
+
+    for module in (stage_queries, stages, solvers):
+        monkeypatch.setattr(module, "cut", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # more than each table's files have here
+    try:
+        seen(stage_queries.q_stages(spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sent = [p[i + 1 : i + 3] for p in plans for i, line in enumerate(p) if "BroadcastExchange" in line]
+    assert len(plans) > 10 and all("Scan ExistingRDD[dimension" in "".join(x) for x in sent), sent
+
+
 def test_registry(spark):
     assert len(stages.available()) == 12 and stages.uses_gpu("s1-faces") and not stages.uses_gpu("s2-tracks") and stages.uses_gpu("nothing")
     with pytest.raises(KeyError, match="known stages"):
